@@ -126,34 +126,59 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows
     return out.where(F.col("_block") == F.col("_own")).select(*df.columns, name, *aggs)
 
 
-def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mapping[str, tuple[str, Column]],
-             chunk: int = DAY, end: str = "gap") -> DataFrame:
-    """Activity sessions per key: a step strictly longer than ``gap`` seconds starts a new one.
+def _link_sessions(chunks: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """Number sessions across chunk borders.
 
-    Rows fold to partial sessions inside (key, chunk) first; only partial sessions, which
-    are few, are then chained across chunk borders. ``aggs`` maps a name to (sum | count |
-    min | max, column). ``end='gap'`` closes a session at its last event plus the gap,
-    ``end='last_event'`` at its last event.
+    ``chunks`` has one row per (key, chunk): first and last time and the number of local
+    sessions. Only a chunk's first session can continue the one before it.
     """
-    at = F.col(ts).cast("timestamp")
-    cut = df.withColumn("_ts", at).withColumn("_chunk", chunk_of(ts, chunk))
+    w = Window.partitionBy(*keys).orderBy("_chunk")
+    joins = F.coalesce((micros("_from") - F.lag(micros("_to")).over(w) <= gap * 1_000_000).cast("long"), F.lit(0))
+    linked = chunks.withColumn("_joins", joins)
+    before = F.coalesce(F.sum(F.col("_n") - F.col("_joins")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                        F.lit(0))
+    return linked.select(*keys, "_chunk", (before - F.col("_joins")).alias("_shift"))
+
+
+def _local_sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int) -> DataFrame:
+    """Rows with ``_ts``, ``_chunk`` and a session number that restarts in each chunk."""
+    cut = df.withColumn("_ts", F.col(ts).cast("timestamp")).withColumn("_chunk", chunk_of(ts, chunk))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_ts")
     step = micros("_ts") - F.lag(micros("_ts")).over(w)
     marked = cut.withColumn("_new", (step.isNull() | (step > gap * 1_000_000)).cast("long"))
-    marked = marked.withColumn("_sid", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0)))
+    return marked.withColumn("_sid", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
+
+
+def session_ids(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int = DAY) -> DataFrame:
+    """Rows with their session number per key (1, 2, ..)."""
+    marked = _local_sessions(df, keys, ts, gap, chunk)
+    spans = marked.groupBy(*keys, "_chunk").agg(
+        F.min("_ts").alias("_from"), F.max("_ts").alias("_to"), F.max("_sid").alias("_n"))
+    return (marked.join(_link_sessions(spans, keys, gap), [*keys, "_chunk"])
+            .select(*df.columns, (F.col("_sid") + F.col("_shift")).alias("session_no")))
+
+
+def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mapping[str, tuple[str, Column]],
+             chunk: int = DAY, end: str = "gap") -> DataFrame:
+    """Activity sessions per key: a step strictly longer than ``gap`` seconds starts a new one.
+
+    Rows fold to partial sessions inside (key, chunk), one shuffle of the raw rows; only
+    partial sessions are numbered across chunk borders and folded again. ``aggs`` maps a
+    name to (sum | count | min | max, column). ``end='gap'`` closes a session at its last
+    event plus the gap, ``end='last_event'`` at its last event.
+    """
     folds = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-    partial = marked.groupBy(*keys, "_chunk", "_sid").agg(
+    partial = _local_sessions(df, keys, ts, gap, chunk).groupBy(*keys, "_chunk", "_sid").agg(
         F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
         *[folds[k](c).alias(n) for n, (k, c) in aggs.items()])
-    wide = chunk * 16
-    linked = previous(partial, keys, ["_first"], {"_before": "_last"}, wide)
-    fresh = F.col("_before").isNull() | (micros("_first") - micros("_before") > gap * 1_000_000)
-    numbered_ = running(linked.withColumn("_fresh", fresh.cast("long")), keys, ["_first"],
-                        {"session_no": ("sum", F.col("_fresh"))}, wide)
+    spans = partial.groupBy(*keys, "_chunk").agg(
+        F.min("_first").alias("_from"), F.max("_last").alias("_to"), F.max("_sid").alias("_n"))
+    linked = partial.join(_link_sessions(spans, keys, gap), [*keys, "_chunk"])
+    linked = linked.withColumn("session_no", F.col("_sid") + F.col("_shift"))
     again = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     closing = F.max("_last")
     if end == "gap":
         closing = closing + F.expr(f"INTERVAL {gap} SECONDS")
-    return numbered_.groupBy(*keys, "session_no").agg(
+    return linked.groupBy(*keys, "session_no").agg(
         F.min("_first").alias("session_start"), closing.alias("session_end"),
         *[again[k](n).alias(n) for n, (k, _) in aggs.items()])
