@@ -182,3 +182,18 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mappin
     return linked.groupBy(*keys, "session_no").agg(
         F.min("_first").alias("session_start"), closing.alias("session_end"),
         *[again[k](n).alias(n) for n, (k, _) in aggs.items()])
+
+
+def following(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None, cols: Mapping[str, str],
+              chunk: int = DAY) -> DataFrame:
+    """Add columns holding the next row's values: the row before, in falling order.
+
+    ``tie`` is a numeric column that orders rows of the same time.
+    """
+    back = df.withColumn("_back", -micros(ts))
+    order = ["_back"]
+    if tie:
+        back = back.withColumn("_tie", -F.col(tie))
+        order.append("_tie")
+    part = F.floor(F.col("_back") / F.lit(chunk * 1_000_000)).cast("long")
+    return previous(back, keys, order, cols, part).drop("_back", "_tie")

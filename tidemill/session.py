@@ -63,3 +63,14 @@ def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def materialize(df, label: str):
+    """Write a table to the shared folder and read it back.
+
+    For a result that several later steps read: it is computed once, and a lost executor
+    costs a re-read instead of the whole lineage.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
