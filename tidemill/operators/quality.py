@@ -152,7 +152,7 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         "column_name", F.col("n").alias("row_count"), F.col("z").alias("null_count"),
         F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"), F.col("lo").alias("min_value"),
         F.col("hi").alias("max_value"), F.when(have > 0, F.col("s") / have).alias("mean"),
-        F.when(have > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("stddev"))
+        F.when((have > 1) & var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0)))).alias("stddev"))
 
 
 def suggest_rules(profiled: DataFrame, few: int = 10) -> DataFrame:
