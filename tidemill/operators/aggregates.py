@@ -91,10 +91,10 @@ def last_n_reasons(df: DataFrame, key: str, order: Sequence[str], reason: str, r
     totals = df.groupBy(key).agg(
         F.count("*").alias("alert_count"), F.sum(dec(risk, 6)).cast("double").alias("total_risk"),
         F.max(order[0]).alias("last_alert_at"))
-    last = top_n_per_group(df.select(key, *order, reason), [key], [F.col(o).desc() for o in order], n)
+    last = top_n_per_group(df.select(key, *order, *[c for c in [reason] if c not in order]), [key], [F.col(o).desc() for o in order], n)
     listed = last.groupBy(key).agg(
-        F.concat_ws(" | ", F.transform(F.sort_array(F.collect_list(F.struct(*order, reason))),
-                                       lambda s: s[reason])).alias("reasons"))
+        F.concat_ws(" | ", F.transform(F.sort_array(F.collect_list(F.struct(*order, F.col(reason).alias("_why")))),
+                                       lambda s: s["_why"])).alias("reasons"))
     return (totals.join(listed, key, "left")
             .withColumn("avg_risk", F.col("total_risk") / F.col("alert_count")))
 
@@ -132,3 +132,21 @@ def running_global(df: DataFrame, period: Column, **aggs: Column) -> DataFrame:
     daily = df.groupBy(period.alias("period")).agg(*[c.alias(n) for n, c in aggs.items()])
     w = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select("period", *aggs, *[F.sum(n).over(w).alias(f"running_{n}") for n in aggs])
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Median per group, the mean of the two middle values if the count is even.
+
+    Rows fold to (group, value) counts first, and the position of each value comes from a
+    running count that is cut by value, so no task holds a whole group.
+    """
+    from tidemill.operators.ordered import running
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    placed = running(counts, keys, [value], {"_upto": ("sum", F.col("_n"))}, chunk=F.floor(value).cast("long"))
+    totals = df.groupBy(*keys).agg(F.count(value).alias("_all"))
+    lo, hi = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    start = F.col("_upto") - F.col("_n")
+    held = placed.join(totals, list(keys))
+    low = F.when((start < lo) & (lo <= F.col("_upto")), F.col(value))
+    high = F.when((start < hi) & (hi <= F.col("_upto")), F.col(value))
+    return held.groupBy(*keys).agg(((F.max(low) + F.max(high)) / 2).alias(name))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import ordered as O
 from tidemill.operators.relational import top_n_per_group
 from tidemill.operators.versioned import VersionedTable
+from tidemill.session import hadoop_fs, materialize
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -140,7 +141,7 @@ def scd2_history(log: DataFrame, key: str, tracked: Sequence[str], ts: str, tie:
     held = {f"_p_{c}": c for c in tracked}
     prev = O.previous(log.select(key, *tracked, ts, tie), [key], [ts, tie], {**held, "_p_ts": ts}, chunk)
     moved = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in tracked])
-    starts = prev.where(F.col("_p_ts").isNull() | moved).select(key, *tracked, ts, tie)
+    starts = materialize(prev.where(F.col("_p_ts").isNull() | moved).select(key, *tracked, ts, tie), "versions")
     closed = O.following(starts, [key], ts, tie, {"valid_to": ts}, chunk)
     return closed.select(key, *tracked, F.col(ts).alias("valid_from"), "valid_to",
                          F.col("valid_to").isNull().alias("is_current"))
@@ -169,7 +170,6 @@ class WatermarkLog:
         return self.spark.read.schema(self.DDL).parquet(self.path)
 
     def latest(self, pipeline: str) -> dict[str, object]:
-        from tidemill.session import hadoop_fs
         fs, p = hadoop_fs(self.spark, self.path)
         if not fs.exists(p):
             return {}

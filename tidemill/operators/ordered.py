@@ -6,6 +6,9 @@ summary row per chunk carries the state across the border; a second, short windo
 those summaries; an equi-join on (key, chunk) brings the carried state back. The chunk is
 a function of the row alone, so a lost executor recomputes the same split.
 
+The input is read twice (rows and summaries; the second read takes few columns), so a step
+that follows another such step should start from a written table (``session.materialize``).
+
 ``chunk`` is a width in seconds: choose it so that one chunk of the hottest key fits a
 task. Order columns must make rows unique within a key where the result depends on it.
 """
@@ -126,20 +129,6 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows
     return out.where(F.col("_block") == F.col("_own")).select(*df.columns, name, *aggs)
 
 
-def _link_sessions(chunks: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
-    """Number sessions across chunk borders.
-
-    ``chunks`` has one row per (key, chunk): first and last time and the number of local
-    sessions. Only a chunk's first session can continue the one before it.
-    """
-    w = Window.partitionBy(*keys).orderBy("_chunk")
-    joins = F.coalesce((micros("_from") - F.lag(micros("_to")).over(w) <= gap * 1_000_000).cast("long"), F.lit(0))
-    linked = chunks.withColumn("_joins", joins)
-    before = F.coalesce(F.sum(F.col("_n") - F.col("_joins")).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                        F.lit(0))
-    return linked.select(*keys, "_chunk", (before - F.col("_joins")).alias("_shift"))
-
-
 def _local_sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int) -> DataFrame:
     """Rows with ``_ts``, ``_chunk`` and a session number that restarts in each chunk."""
     cut = df.withColumn("_ts", F.col(ts).cast("timestamp")).withColumn("_chunk", chunk_of(ts, chunk))
@@ -149,13 +138,24 @@ def _local_sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk
     return marked.withColumn("_sid", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
+def _numbered_partials(partial: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """Add the session number of each partial session (``_first``, ``_last``).
+
+    Sessions of a key lie more than ``gap`` apart, so a key has at most (time range / gap)
+    of them plus one per chunk: this window is bounded by the calendar, not by the rows.
+    """
+    w = Window.partitionBy(*keys).orderBy("_first")
+    step = micros("_first") - F.lag(micros("_last")).over(w)
+    fresh = (step.isNull() | (step > gap * 1_000_000)).cast("long")
+    return partial.withColumn("_fresh", fresh).withColumn("session_no", F.sum("_fresh").over(w)).drop("_fresh")
+
+
 def session_ids(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int = DAY) -> DataFrame:
     """Rows with their session number per key (1, 2, ..)."""
     marked = _local_sessions(df, keys, ts, gap, chunk)
-    spans = marked.groupBy(*keys, "_chunk").agg(
-        F.min("_ts").alias("_from"), F.max("_ts").alias("_to"), F.max("_sid").alias("_n"))
-    return (marked.join(_link_sessions(spans, keys, gap), [*keys, "_chunk"])
-            .select(*df.columns, (F.col("_sid") + F.col("_shift")).alias("session_no")))
+    partial = marked.groupBy(*keys, "_chunk", "_sid").agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
+    return (marked.join(_numbered_partials(partial, keys, gap), [*keys, "_chunk", "_sid"])
+            .select(*df.columns, "session_no"))
 
 
 def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mapping[str, tuple[str, Column]],
@@ -163,7 +163,7 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mappin
     """Activity sessions per key: a step strictly longer than ``gap`` seconds starts a new one.
 
     Rows fold to partial sessions inside (key, chunk), one shuffle of the raw rows; only
-    partial sessions are numbered across chunk borders and folded again. ``aggs`` maps a
+    partial sessions are chained across chunk borders and folded again. ``aggs`` maps a
     name to (sum | count | min | max, column). ``end='gap'`` closes a session at its last
     event plus the gap, ``end='last_event'`` at its last event.
     """
@@ -171,10 +171,7 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mappin
     partial = _local_sessions(df, keys, ts, gap, chunk).groupBy(*keys, "_chunk", "_sid").agg(
         F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
         *[folds[k](c).alias(n) for n, (k, c) in aggs.items()])
-    spans = partial.groupBy(*keys, "_chunk").agg(
-        F.min("_first").alias("_from"), F.max("_last").alias("_to"), F.max("_sid").alias("_n"))
-    linked = partial.join(_link_sessions(spans, keys, gap), [*keys, "_chunk"])
-    linked = linked.withColumn("session_no", F.col("_sid") + F.col("_shift"))
+    linked = _numbered_partials(partial, keys, gap)
     again = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     closing = F.max("_last")
     if end == "gap":
