@@ -9,6 +9,7 @@ from tidemill.bindings.registry import query
 from tidemill.bindings.sqltext import dsum
 from tidemill.functions import scalar as S
 from tidemill.functions.exact import exact_sum
+from tidemill.operators import joins as J
 from tidemill.sinks import files as K
 from tidemill.sources import files as R
 from tidemill.sources import increments as I
@@ -61,7 +62,7 @@ def _(t):
     lookup = R.inline_table(t.spark, [(0, "Loss", ["error"]), (1, "Accuracy", ["purchase"])],
                             "metric_id int, metric_name string, kinds array<string>")
     kinds = lookup.select("metric_id", "metric_name", F.explode("kinds").alias("event_type"))
-    return t.events.join(F.broadcast(kinds), "event_type").groupBy("metric_id", "metric_name").agg(F.count("*").alias("n"))
+    return t.events.join(J.small(kinds), "event_type").groupBy("metric_id", "metric_name").agg(F.count("*").alias("n"))
 
 
 @query("src_05_read_parquet_cols", """
@@ -133,8 +134,7 @@ SELECT c_custkey AS id, c_name AS title, n_name AS location, CASE WHEN c_acctbal
   CASE WHEN c_acctbal < 1000 THEN NULL ELSE r_name END AS category
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def _(t):
-    rows = t.customer.join(F.broadcast(t.nation), c("c_nationkey") == c("n_nationkey")).join(
-        F.broadcast(t.region), c("n_regionkey") == c("r_regionkey"))
+    rows = J.star_join(t.customer, [(t.nation, c("c_nationkey") == c("n_nationkey")), (t.region, c("n_regionkey") == c("r_regionkey"))])
     nested = rows.select(c("c_custkey").alias("id"), c("c_name").alias("title"),
                          F.struct(c("n_name").alias("display_name")).alias("location"),
                          F.when(c("c_acctbal") >= 0, F.struct(c("c_mktsegment").alias("display_name"))).alias("company"),
@@ -169,7 +169,7 @@ def _(t):
 @query("snk_01_write_partitioned", "SELECT p_partkey, p_brand, p_type FROM part")
 def _(t):
     path = t.scratch("by_type")
-    K.write_partitioned(t.part.select("p_partkey", "p_brand", "p_type"), path, ["p_type"], files_per_value=4)
+    K.write_partitioned(t.part.select("p_partkey", "p_brand", "p_type"), path, ["p_type"])
     return t.spark.read.parquet(path)
 
 

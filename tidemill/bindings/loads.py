@@ -48,6 +48,17 @@ def _(t):
 COLS = ["o_orderkey", "o_orderstatus", "o_totalprice"]
 
 
+@query("inc_02_merge_partitions", """
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+ CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""")
+def _(t):
+    path = t.scratch("by_year")
+    rows = t.orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    K.write_partitioned(rows.where("year < 2000"), path, ["year"])
+    N.merge_partitions(path, rows.where("year >= 1999").withColumn("o_orderstatus", F.lit("X")), ["o_orderkey"], "year")
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
 def _base(t):
     return t.orders.where(c("o_orderdate") < ntz(Y2000)).select(*COLS)
 
@@ -178,8 +189,8 @@ LEFT JOIN h ON o_custkey = user_id AND sold_at >= valid_from AND (valid_to IS NU
 def _(t):
     log = t.events.select("user_id", c("event_type").alias("grp"), "ts", "event_id")
     history = N.scd2_history(log, "user_id", ["grp"], "ts", "event_id", chunk=O.DAY)
-    shifted = t.orders.select("o_orderpriority", "o_custkey", (c("o_orderdate") + F.expr("INTERVAL 10000 DAYS")).alias("sold_at"))
-    return N.scd2_lookup(shifted, history, "o_custkey", "sold_at", "user_id").groupBy("o_orderpriority", "grp").agg(F.count("*").alias("n"))
+    shifted = t.orders.select("o_orderkey", "o_orderpriority", "o_custkey", (c("o_orderdate") + F.expr("INTERVAL 10000 DAYS")).alias("sold_at"))
+    return N.scd2_lookup(shifted, history, "o_custkey", "sold_at", "o_orderkey", "user_id", ["grp"], 30 * O.DAY).groupBy("o_orderpriority", "grp").agg(F.count("*").alias("n"))
 
 
 @query("inc_11_dedup_by_key", """

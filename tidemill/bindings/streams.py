@@ -109,10 +109,10 @@ def hourly(df):
 
 @query("snk_08_upsert_stream", HOURLY)
 def _(t):
-    table, ckpt, folder = VersionedTable(t.spark, t.scratch("hourly")), t.scratch("ckpt"), t.scratch("landing")
+    table, ckpt, folder = VersionedTable(t.spark, t.scratch("hourly"), ["window_start", "event_type"]), t.scratch("ckpt"), t.scratch("landing")
     for lo, hi in ((None, "2024-01-15 12:30:00"), ("2024-01-15 12:30:00", None)):  # the cut is inside an hour
         drop(part(t.events, lo, hi), folder)
-        K.upsert_stream(hourly(events_stream(t, folder)), ["window_start", "event_type"], table, ckpt)
+        K.upsert_stream(hourly(events_stream(t, folder)), table, ckpt)
     return table.read().withColumn("total", c("total").cast("double"))
 
 
@@ -139,12 +139,12 @@ def _(t):
 @query("agg_17_running_totals", f"""
 SELECT user_id, event_type, COUNT(*) AS n, {dsum('value')} AS total, MAX(value) AS highest FROM events GROUP BY 1, 2""")
 def _(t):
-    table, ckpt, folder = VersionedTable(t.spark, t.scratch("totals")), t.scratch("ckpt"), t.scratch("landing")
+    table, ckpt, folder = VersionedTable(t.spark, t.scratch("totals"), ["user_id", "event_type"]), t.scratch("ckpt"), t.scratch("landing")
     for lo, hi in ((None, FIRST), (FIRST, None)):
         drop(part(t.events, lo, hi), folder)
         totals = A.group_agg(events_stream(t, folder, None), ["user_id", "event_type"], n=F.count("*"),
                              total=F.sum(c("value").cast("decimal(18,2)")), highest=F.max("value"))
-        K.upsert_stream(totals, ["user_id", "event_type"], table, ckpt)
+        K.upsert_stream(totals, table, ckpt, compact_every=2)
     return table.read().withColumn("total", c("total").cast("double"))
 
 
@@ -234,8 +234,8 @@ def _(t):
 
 @query("str_08_push_pull_query", HOURLY.replace("FROM events", "FROM events WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-20'"))
 def _(t):
-    table, folder = VersionedTable(t.spark, t.scratch("pushed")), watched(t, t.events)
-    K.upsert_stream(hourly(events_stream(t, folder)), ["window_start", "event_type"], table, t.scratch("ckpt"))
+    table, folder = VersionedTable(t.spark, t.scratch("pushed"), ["window_start", "event_type"]), watched(t, t.events)
+    K.upsert_stream(hourly(events_stream(t, folder)), table, t.scratch("ckpt"))
     pulled = W.window_lookup(table.read(), "event_type", "purchase", F.lit(SECOND).cast("timestamp"), F.lit(MARKER).cast("timestamp"))
     return pulled.withColumn("total", c("total").cast("double"))
 

@@ -70,12 +70,12 @@ def _(t):
 
 @query("win_05_window_lookup", f"""
 SELECT date_trunc('day', ts) AS window_start, user_id, COUNT(*) AS n, {dsum('value')} AS total FROM events
-WHERE user_id = 17 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1, 2""")
+WHERE user_id = 7 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1, 2""")
 def _(t):
     path = t.scratch("windows")
     W.tumbling(t.events, "ts", "1 day", ["user_id"], n=F.count("*"), total=exact_sum("value")).write.parquet(path)
     mv = t.spark.read.parquet(path)
-    return W.window_lookup(mv, "user_id", 17, F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"),
+    return W.window_lookup(mv, "user_id", 7, F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"),
                            F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")).drop("window_end")
 
 
@@ -185,10 +185,10 @@ def _(t):
 
 
 @query("ana_04_player_rank", f"""
-SELECT 17::INTEGER AS user_id, COUNT(*) FILTER (total_score > (SELECT total_score FROM {TOTALS} WHERE user_id = 17)) + 1 AS place,
+SELECT 7::INTEGER AS user_id, COUNT(*) FILTER (total_score > (SELECT total_score FROM {TOTALS} WHERE user_id = 7)) + 1 AS place,
        COUNT(*) AS players FROM {TOTALS}""")
 def _(t):
-    return N.player_rank(t.events, "user_id", "value", 17)
+    return N.player_rank(t.events, "user_id", "value", 7)
 
 
 @query("ana_05_leaderboard_by_period", f"""
@@ -227,10 +227,10 @@ SELECT period, CAST(a AS DOUBLE) AS amount, n, CAST(SUM(a) OVER (ORDER BY period
 def _(t):
     out = A.running_global(t.orders, c("o_orderdate").cast("date"), amount=F.sum(c("o_totalprice").cast("decimal(18,2)")),
                            n=F.count("*"))
-    whole = t.orders.agg(exact_sum("o_totalprice").alias("whole"))
-    return out.crossJoin(F.broadcast(whole)).select(
+    whole = t.orders.agg(exact_sum("o_totalprice").alias("whole")).scalar()
+    return out.select(
         "period", c("amount").cast("double").alias("amount"), "n", c("running_amount").cast("double").alias("running_amount"),
-        "running_n", (c("amount").cast("double") / c("whole")).alias("share"))
+        "running_n", (c("amount").cast("double") / whole).alias("share"))
 
 
 @query("ana_08_cumulative_by_customer", f"""

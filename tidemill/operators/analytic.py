@@ -31,10 +31,10 @@ def daily_allocation(df: DataFrame, key: str, ts: str, tie: str, group: str) ->
     """
     day = F.col(ts).cast("date")
     last = df.groupBy(key, day.alias("day")).agg(F.max_by(group, F.struct(ts, tie)).alias(group))
-    final = df.agg(F.max(day).alias("_end"))
+    end = df.agg(F.max(day).alias("end")).scalar()
     w = Window.partitionBy(key).orderBy("day")
-    until = F.coalesce(F.date_sub(F.lead("day").over(w), 1), F.col("_end"))
-    return (last.crossJoin(F.broadcast(final)).withColumn("_until", until)
+    until = F.coalesce(F.date_sub(F.lead("day").over(w), 1), end)
+    return (last.withColumn("_until", until)
             .select(key, F.explode(F.expr("sequence(day, _until, interval 1 day)")).alias("day"), group))
 
 
@@ -47,12 +47,12 @@ def leaderboard(df: DataFrame, player: str, score: str, k: int) -> DataFrame:
 
 
 def player_rank(df: DataFrame, player: str, score: str, who) -> DataFrame:
-    """Rank of one player: one more than the number of players with a higher total."""
+    """Rank of one player: one more than the number of players with a higher total; NULL for a stranger."""
     totals = df.groupBy(player).agg(exact_sum(score).alias("total_score"))
-    own = totals.where(F.col(player) == who).select(F.col("total_score").alias("own_score"))
-    return totals.join(F.broadcast(own)).agg(
-        F.lit(who).alias(player), (F.count_if(F.col("total_score") > F.col("own_score")) + 1).alias("place"),
-        F.count("*").alias("players"))
+    own = df.where(F.col(player) == who).agg(exact_sum(score).alias("own")).scalar()
+    counted = totals.withColumn("own", own).agg(
+        F.max("own").alias("own"), F.count_if(F.col("total_score") > F.col("own")).alias("above"), F.count("*").alias("players"))
+    return counted.select(F.lit(who).alias(player), F.when(F.col("own").isNotNull(), F.col("above") + 1).alias("place"), "players")
 
 
 def leaderboard_by_period(df: DataFrame, period: Column, player: str, score: str, k: int) -> DataFrame:

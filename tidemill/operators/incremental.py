@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators import ordered as O
+from tidemill.operators.joins import asof_lookup
 from tidemill.operators.relational import top_n_per_group
 from tidemill.operators.versioned import VersionedTable
 from tidemill.session import hadoop_fs, materialize
@@ -103,7 +104,7 @@ def replace_time_range(df: DataFrame, path: str, ts: str, start: Column, end: Co
     range must cover whole partitions.
     """
     rows = df.where(F.col(ts).between(start, end)).withColumn(part, part_expr)
-    (rows.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.hint("rebalance", F.col(part)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(path))
 
 
@@ -147,10 +148,32 @@ def scd2_history(log: DataFrame, key: str, tracked: Sequence[str], ts: str, tie:
                          F.col("valid_to").isNull().alias("is_current"))
 
 
-def scd2_lookup(facts: DataFrame, history: DataFrame, fact_key: str, fact_ts: str, key: str) -> DataFrame:
-    """Join facts to the dimension version in force at their time."""
-    return facts.join(history, (F.col(fact_key) == F.col(key)) & (F.col(fact_ts) >= F.col("valid_from"))
-                      & (F.col("valid_to").isNull() | (F.col(fact_ts) < F.col("valid_to"))), "left")
+def scd2_lookup(facts: DataFrame, history: DataFrame, fact_key: str, fact_ts: str, fact_id: str, key: str,
+                cols: Sequence[str], chunk: int = 365 * O.DAY) -> DataFrame:
+    """Facts with the dimension version in force at their time; ``cols`` are NULL where there is none.
+
+    An as-of lookup on valid_from, then the end of validity is checked: a join on the key
+    with a range condition would meet every fact of a key with every version of it.
+    """
+    held = {**{c: c for c in cols}, "_valid_to": "valid_to"}
+    versions = history.select(key, *cols, "valid_from", "valid_to").withColumn("_id", F.lit(0))
+    found = asof_lookup(facts, versions, fact_key, fact_ts, "valid_from", held, fact_id, "_id", chunk, key)
+    open_ = F.col("_valid_to").isNull() | (F.col(fact_ts) < F.col("_valid_to"))
+    return found.select(*facts.columns, *[F.when(open_, F.col(c)).alias(c) for c in cols])
+
+
+def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], part: str) -> None:
+    """Upsert into a partitioned table, rewriting only the partitions the batch falls in.
+
+    A row's partition must follow from its key. The merged partitions are staged in the
+    shared folder first, since a path must not be overwritten while it is read.
+    """
+    spark = source.sparkSession
+    target = spark.read.schema(source.schema).parquet(path)
+    touched = target.join(source.select(part).distinct(), part, "left_semi")  # prunes directories at run time
+    staged = materialize(merge_upsert(touched.select(*source.columns), source, keys), "merged")
+    (staged.hint("rebalance", F.col(part)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part).parquet(path))
 
 
 class WatermarkLog:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.ordered import DAY, micros, running
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def lookup_enrich(facts: DataFrame, dim: DataFrame, on: Column, defaults: Mappin
 
 
 def asof_lookup(left: DataFrame, right: DataFrame, key: str, lt: str, rt: str, cols: Mapping[str, str],
-                left_id: str, right_id: str, chunk: int = DAY) -> DataFrame:
+                left_id: str, right_id: str, chunk: int = DAY, right_key: str | None = None) -> DataFrame:
     """For each left row, the newest right row of its key with ``rt <= lt``.
 
     Both sides go into one ordered list and the last right row is carried forward, so the
@@ -103,15 +103,15 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, lt: str, rt: str, c
     held = F.struct(*[F.col(src).alias(new) for new, src in cols.items()])
     left_cols = left.columns
     a = left.select(F.col(key).alias("_k"), F.col(lt).alias("_t"), F.lit(1).alias("_side"),
-                    F.col(left_id).cast("long").alias("_id"), F.struct(*left_cols).alias("_row"),
+                    F.col(left_id).cast("long").alias("_id"), F.struct(*left_cols).alias("_left"),
                     F.lit(None).cast(right.select(held).schema[0].dataType).alias("_held"))
-    b = right.select(F.col(key).alias("_k"), F.col(rt).alias("_t"), F.lit(0).alias("_side"),
+    b = right.select(F.col(right_key or key).alias("_k"), F.col(rt).alias("_t"), F.lit(0).alias("_side"),
                      F.col(right_id).cast("long").alias("_id"),
-                     F.lit(None).cast(a.schema["_row"].dataType).alias("_row"), held.alias("_held"))
+                     F.lit(None).cast(a.schema["_left"].dataType).alias("_left"), held.alias("_held"))
     both = a.unionByName(b)
     seen = running(both, ["_k"], ["_t", "_side", "_id"], {"_last": ("last", F.col("_held"))}, chunk)
     return (seen.where(F.col("_side") == 1)
-            .select(*[F.col(f"_row.{c}").alias(c) for c in left_cols],
+            .select(*[F.col(f"_left.{c}").alias(c) for c in left_cols],
                     *[F.col(f"_last.{c}").alias(c) for c in cols]))
 
 

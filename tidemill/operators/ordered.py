@@ -1,10 +1,11 @@
 """Running values along an ordered key, safe when one key holds much of the table.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a key's whole history in one task.
-Here each key is cut into time chunks. A first window works inside (key, chunk); one
-summary row per chunk carries the state across the border; a second, short window folds
-those summaries; an equi-join on (key, chunk) brings the carried state back. The chunk is
-a function of the row alone, so a lost executor recomputes the same split.
+Here each key is cut into time chunks. Every (key, chunk) folds to one summary row; a
+short window over those gives each chunk the state carried in from the chunks before it.
+That state joins the rows as one more row, sorted first, and a window inside (key, chunk)
+does the rest: one shuffle of the rows, no join. The chunk is a function of the row alone,
+so a lost executor recomputes the same split.
 
 The input is read twice (rows and summaries; the second read takes few columns), so a step
 that follows another such step should start from a written table (``session.materialize``).
@@ -42,42 +43,33 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Map
     """
     part = chunk_of(order[0], chunk) if isinstance(chunk, int) else chunk
     cut = df.withColumn("_chunk", part)
-    within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(
+    folds = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+    value, total, carry, out = {}, [], [], {}
+    within = Window.partitionBy(*keys, "_chunk").orderBy("_rowkind", *order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    over_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-
-    local, total, carry, final = {}, [], [], {}
-    by_order = F.struct(*order)
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     for name, (kind, c) in specs.items():
-        loc, tot, car = f"_l_{name}", f"_t_{name}", f"_c_{name}"
+        v = f"_v_{name}"
         if kind == "last":
-            local[loc] = F.last(c, ignorenulls=True).over(within)
-            total.append(F.max_by(c, F.when(c.isNotNull(), by_order)).alias(tot))
-            carry.append(F.last(tot, ignorenulls=True).over(over_chunks).alias(car))
-            final[name] = F.coalesce(F.col(loc), F.col(car))
-        elif kind in ("sum", "count"):
-            fold = F.sum if kind == "sum" else F.count
-            local[loc] = fold(c).over(within)
-            total.append(fold(c).alias(tot))
-            carry.append(F.sum(tot).over(over_chunks).alias(car))
-            value = F.when(F.col(loc).isNotNull() | F.col(car).isNotNull(),
-                           F.coalesce(F.col(loc), F.lit(0)) + F.coalesce(F.col(car), F.lit(0)))
-            final[name] = value
-        elif kind in ("min", "max"):
-            fold, pick = (F.min, F.least) if kind == "min" else (F.max, F.greatest)
-            local[loc] = fold(c).over(within)
-            total.append(fold(c).alias(tot))
-            carry.append(fold(tot).over(over_chunks).alias(car))
-            final[name] = pick(F.col(loc), F.col(car))
+            value[v] = c
+            total.append(F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(v))
+            carry.append(F.last(v, ignorenulls=True).over(earlier).alias(v))
+            out[name] = F.last(v, ignorenulls=True).over(within)
+        elif kind in folds:
+            value[v] = F.when(c.isNotNull(), F.lit(1).cast("long")) if kind == "count" else c
+            fold = folds[kind]
+            total.append((F.count(c) if kind == "count" else fold(c)).alias(v))
+            carry.append(fold(v).over(earlier).alias(v))
+            out[name] = fold(v).over(within)
+            if kind == "count":
+                out[name] = F.coalesce(out[name], F.lit(0).cast("long"))
         else:
             raise ValueError(f"unknown running kind {kind}")
     summary = cut.groupBy(*keys, "_chunk").agg(*total)
-    carried = summary.select(*keys, "_chunk", *carry)
-    rows = cut.withColumns(local).alias("r")
-    carried = carried.alias("s")
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys] + [F.col("r._chunk") == F.col("s._chunk")]
-    joined = rows.join(carried, on, "left")
-    return joined.select(*[F.col(f"r.{c}") for c in df.columns], *[c.alias(n) for n, c in final.items()])
+    seeds = summary.select(*keys, "_chunk", F.lit(0).alias("_rowkind"), *carry).dropna("all", subset=list(value))
+    rows = cut.withColumns(value).withColumn("_rowkind", F.lit(1))
+    both = rows.unionByName(seeds, allowMissingColumns=True)
+    return both.withColumns(out).where("_rowkind = 1").select(*df.columns, *specs)
 
 
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Mapping[str, str],

@@ -123,11 +123,12 @@ def _text(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Per column: count, nulls, exact distinct values, min, max, mean and deviation.
+def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """Per column: count, nulls, distinct values, min, max, mean and deviation.
 
-    Counts and sums of all columns come from one pass. Distinct values are counted from
-    one unpivoted (column, value) list, which spreads over its values.
+    Counts and sums of all columns come from one pass. Exact distinct values are counted
+    from one unpivoted (column, value) list, which shuffles every different value; with
+    ``exact=False`` a sketch counts them in the one pass.
     """
     cols = list(cols or df.columns)
     numeric = [f.name for f in df.schema.fields if f.name in cols and isinstance(f.dataType, T.NumericType)]
@@ -137,24 +138,30 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         F.count("*").alias(f"n|{c}"), F.count_if(F.col(c).isNull()).alias(f"z|{c}"),
         F.min(c).cast("string").alias(f"lo|{c}"), F.max(c).cast("string").alias(f"hi|{c}"),
         (F.sum(d(c)) if c in numeric else F.lit(None)).cast("double").alias(f"s|{c}"),
-        (F.sum(d(c) * d(c)) if c in numeric else F.lit(None)).cast("double").alias(f"q|{c}"))]
+        (F.sum(d(c) * d(c)) if c in numeric else F.lit(None)).cast("double").alias(f"q|{c}"),
+        (F.lit(None).cast("long") if exact else F.approx_count_distinct(c)).alias(f"d|{c}"))]
     wide = df.agg(*stats)
     per = F.explode(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), *[F.col(f"`{k}|{c}`").alias(k) for k in ("n", "z", "lo", "hi", "s", "q")])
+        F.lit(c).alias("column_name"), *[F.col(f"`{k}|{c}`").alias(k) for k in ("n", "z", "lo", "hi", "s", "q", "d")])
         for c in cols])).alias("p")
     rows = wide.select(per).select("p.*")
-    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _text(c).alias("v")) for c in cols])
-                                ).alias("x")).select("x.*").where("v IS NOT NULL").distinct()
-    distinct = pairs.groupBy("column_name").agg(F.count("*").alias("distinct_count"))
+    if exact:
+        rows = rows.drop("d").join(F.broadcast(_distinct_values(df, cols)), "column_name", "left")  # one row per column
     have = F.col("n") - F.col("z")
     var = (F.col("q") - F.col("s") * F.col("s") / have) / (have - 1)
-    return rows.join(F.broadcast(distinct), "column_name", "left").select(
+    return rows.select(
         "column_name", F.col("n").alias("row_count"), F.col("z").alias("null_count"),
-        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"), F.col("lo").alias("min_value"),
+        F.coalesce("d", F.lit(0)).alias("distinct_count"), F.col("lo").alias("min_value"),
         F.col("hi").alias("max_value"), F.when(have > 0, F.col("s") / have).alias("mean"),
         F.when((have > 1) & var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0)))).alias("stddev"))
 
 
+def _distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _text(c).alias("v")) for c in cols])
+                                ).alias("x")).select("x.*").where("v IS NOT NULL").distinct()
+    return pairs.groupBy("column_name").agg(F.count("*").alias("d"))
+
+
 def suggest_rules(profiled: DataFrame, few: int = 10) -> DataFrame:
     """Candidate checks from a profile: never null, few values, numeric range."""
     rules = F.filter(F.array(
@@ -181,11 +188,11 @@ def metric_checks(df: DataFrame, checks: Sequence[tuple[str, str, str | None, st
     """
     simple = {n: (F.count("*") if m == "row_count" else F.count_if(F.col(c).isNull()))
               for n, m, c, _, _ in checks if m != "duplicate_count"}
-    values = df.agg(*[c.alias(n) for n, c in simple.items()]) if simple else None
+    values = df.agg(*[c.alias(n) for n, c in simple.items()], F.lit(0).alias("_one"))
     for n, m, c, _, _ in checks:
         if m == "duplicate_count":
-            one = duplicate_groups(df.where(F.col(c).isNotNull()), [c]).agg(F.count("*").alias(n))
-            values = one if values is None else values.crossJoin(F.broadcast(one))  # one row each
+            repeated = duplicate_groups(df.where(F.col(c).isNotNull()), [c]).agg(F.count("*").alias("n"))
+            values = values.withColumn(n, repeated.scalar())
     rows = [F.struct(F.lit(n).alias("check_name"), F.lit(m).alias("metric"), F.col(n).cast("bigint").alias("value"),
                      F.lit(float(limit)).alias("threshold"),
                      F.when(OPS[op](F.col(n), F.lit(limit)), "pass").otherwise("fail").alias("status"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.exact import exact_avg, exact_sum
 from tidemill.operators.relational import top_n, top_n_per_group
+from tidemill.session import materialize
 
 
 def answer(df: DataFrame, question: str, label: Column, value: Column) -> DataFrame:
@@ -22,7 +23,12 @@ def stack(answers: Sequence[DataFrame]) -> DataFrame:
 
 def fire_calls_report(df: DataFrame, call: str, delay: str, zip_: str, hood: str, city: str, ts: str, *, slow: float,
                       zips: Sequence, year: int, in_city: str) -> DataFrame:
-    """Seven questions on call records."""
+    """Seven questions on call records.
+
+    The columns they need are written once, so that a joined input is not computed for
+    each question again.
+    """
+    df = materialize(df.select(call, delay, zip_, hood, city, ts), "calls")
     n = F.count("*").alias("n")
     by_type_zip = top_n(df.where(F.col(call).isNotNull()).groupBy(call, zip_).agg(n), [F.col("n").desc(), F.col(call), F.col(zip_)], 1)
     per_week = df.where(F.year(ts) == year).groupBy(F.weekofyear(ts).alias("week")).agg(n)
@@ -80,7 +86,7 @@ def product_cross_counts(df: DataFrame, place: str, colour: str, amount: Column,
 def repo_questions(repos: DataFrame, name: str, stars: str, language: str, created: str, owner: str) -> DataFrame:
     """Total, most starred, best per language, newest, language share over time, and repos per owner."""
     cols = [name, stars, language, created, owner]
-    rows = repos.select(*cols)
+    rows = materialize(repos.select(*cols), "repos")
     best = [F.col(stars).desc(), F.col(name)]
     monthly = rows.groupBy(F.date_format(created, "yyyy").alias("y"), language).agg(F.count("*").alias("n"))
     yearly = monthly.groupBy("y").agg(F.sum("n").alias("all"))

@@ -12,6 +12,7 @@ from tidemill.functions.exact import dec
 from tidemill.operators.ordered import DAY, micros, previous, session_ids
 from tidemill.operators.relational import top_n
 from tidemill.plans.reports import answer, stack
+from tidemill.sinks.files import write_partitioned
 
 
 # ---- funnel
@@ -115,8 +116,8 @@ def save_dashboard_tables(orders: DataFrame, path: str) -> None:
     """Aggregates the dashboard reads, from (ts, id, customer, category, status, amount)."""
     minute = F.date_trunc("minute", F.col("ts")).alias("minute")
     money = F.sum(dec("amount")).alias("revenue")
-    (orders.groupBy(minute, "category", "status", "customer").agg(F.count("*").alias("orders"), money)
-     .withColumn("day", F.to_date("minute")).repartition("day").write.mode("overwrite").partitionBy("day").parquet(f"{path}/per_minute"))
+    folded = orders.groupBy(minute, "category", "status", "customer").agg(F.count("*").alias("orders"), money)
+    write_partitioned(folded.withColumn("day", F.to_date("minute")), f"{path}/per_minute", ["day"])
 
 
 def revenue_dashboard(orders: DataFrame, path: str, as_of: str, back: int, top: int = 10, latest: int = 20) -> DataFrame:

@@ -8,15 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite",
-                      files_per_value: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite") -> None:
     """Parquet in one directory per value.
 
-    Rows shuffle by the partition columns so that a task does not open a file in every
-    directory; ``files_per_value`` salts a value that is too large for one writer.
+    Rows are rebalanced by the partition columns: a task does not open a file in every
+    directory, small values share a task, and AQE splits a value that holds much of the
+    table over several writers (by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
     """
-    salt = [F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))] if files_per_value > 1 else []
-    df.repartition(*[F.col(c) for c in cols], *salt).write.mode(mode).partitionBy(*cols).parquet(path)
+    df.hint("rebalance", *[F.col(c) for c in cols]).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, mode: str = "overwrite") -> None:
@@ -48,19 +47,17 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def write_clustered(df: DataFrame, path: str, part_expr: Column, part_name: str, cluster: Sequence[str],
-                    files_per_value: int = 1) -> None:
+def write_clustered(df: DataFrame, path: str, part_expr: Column, part_name: str, cluster: Sequence[str]) -> None:
     """Partitioned by one expression and sorted by the cluster columns inside each file.
 
-    A selective read prunes directories by the partition and row groups by the min/max
-    statistics of the sorted columns. ``files_per_value`` range-splits a big value.
+    A selective read prunes directories by the partition, files by their range and row
+    groups by the min/max statistics of the sorted columns. Files are cut by sampled
+    ranges of (partition, cluster columns, row hash); the hash lets a range end inside a
+    value that many rows share.
     """
     tagged = df.withColumn(part_name, part_expr)
-    if files_per_value > 1:
-        spread = tagged.repartitionByRange(part_name, *cluster)
-    else:
-        spread = tagged.repartition(part_name)
-    (spread.sortWithinPartitions(part_name, *cluster).write.mode("overwrite")
+    ranges = [F.col(part_name), *[F.col(c) for c in cluster], F.xxhash64(*df.columns)]
+    (tagged.repartitionByRange(*ranges).sortWithinPartitions(part_name, *cluster).write.mode("overwrite")
      .partitionBy(part_name).parquet(path))
 
 
@@ -71,9 +68,9 @@ def write_jdbc_parallel(df: DataFrame, url: str, table: str, workers: int = 6, b
      .options(url=url, dbtable=table, batchsize=str(batch), numPartitions=str(workers)).save())
 
 
-def route_by_topic(df: DataFrame, route: Column, path: str, files_per_topic: int = 1) -> None:
+def route_by_topic(df: DataFrame, route: Column, path: str) -> None:
     """Write each record under the output its rule names."""
-    write_partitioned(df.withColumn("topic", route), path, ["topic"], files_per_value=files_per_topic)
+    write_partitioned(df.withColumn("topic", route), path, ["topic"])
 
 
 def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.incremental import merge_upsert
 from tidemill.operators.versioned import VersionedTable
 from tidemill.session import hadoop_fs
 
@@ -33,15 +32,19 @@ def append_batches(df: DataFrame, path: str, checkpoint: str) -> None:
     each_batch(df, checkpoint, lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch_id={n}"))
 
 
-def upsert_stream(df: DataFrame, keys: Sequence[str], table: VersionedTable, checkpoint: str, mode: str = "update") -> None:
-    """Keyed upsert: the newest value per key wins. A batch already in the table is skipped."""
+def upsert_stream(df: DataFrame, table: VersionedTable, checkpoint: str, mode: str = "update", compact_every: int = 20) -> None:
+    """Keyed upsert: the newest value per key wins.
+
+    A batch writes only its own rows, as a delta; after ``compact_every`` of them the table
+    is folded to a new snapshot. A batch that is already in the table is skipped.
+    """
     def work(batch: DataFrame, n: int) -> None:
         tag = f"b{n}"
         if table.has_tag(tag):
             return
-        if batch.isEmpty():
-            return
-        table.write(merge_upsert(table.read(), batch, keys) if table.exists() else batch, tag)
+        table.upsert(batch, tag)
+        if table.deltas() >= compact_every:
+            table.compact()
     each_batch(df, checkpoint, work, mode)
 
 
