@@ -14,6 +14,7 @@ from tidemill.bindings.sqltext import dsum
 from tidemill.functions.exact import exact_sum
 from tidemill.operators import cdc as C
 from tidemill.operators import ordered as O
+from tidemill.session import spread
 
 c = F.col
 ROW_DDL = "id:bigint,customer:bigint,name:string,status:string,total:double,updated_at:bigint"
@@ -23,7 +24,7 @@ DAY_MS = 86_400_000
 
 def envelopes(t):
     """key, value (JSON or NULL), position."""
-    o = t.orders.withColumn("ms", F.unix_millis(c("o_orderdate").cast("timestamp")))
+    o = spread(t.orders).withColumn("ms", F.unix_millis(c("o_orderdate").cast("timestamp")))
 
     def row(status, shift):
         return F.struct(c("o_orderkey").alias("id"), c("o_custkey").alias("customer"), F.lit(None).cast("string").alias("name"),

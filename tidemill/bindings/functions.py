@@ -11,7 +11,7 @@ from tidemill.functions import scalar as S
 from tidemill.functions import udfs as U
 from tidemill.functions.exact import exact_sum
 from tidemill.operators import joins as J
-from tidemill.operators import ordered as O
+from tidemill.session import spread
 
 c = F.col
 
@@ -84,11 +84,11 @@ def _(t):
 
 
 @query("fun_09_text_stats", r"""
-SELECT doc_id, md5(upper(lang || source)) AS upper_digest, length(text)::INTEGER AS chars,
+SELECT doc_id, md5(upper(replace(text, 'ß', 'ss'))) AS upper_digest, length(text)::INTEGER AS chars,
   CASE WHEN trim(text, E' \t\n\r') = '' THEN 0 ELSE len(regexp_split_to_array(trim(text, E' \t\n\r'), '[ \t\n\r]+')) END::INTEGER AS words
 FROM documents""")
 def _(t):
-    return t.documents.select("doc_id", F.md5(F.upper(F.concat("lang", "source"))).alias("upper_digest"),
+    return spread(t.documents).select("doc_id", F.md5(F.upper("text")).alias("upper_digest"),
                               F.length("text").alias("chars"), S.count_words(c("text")).alias("words"))
 
 
@@ -188,7 +188,7 @@ SELECT doc_id, word, COUNT(*) AS n FROM
 
 @query("fun_19_explode_words", WORDS)
 def _(t):
-    words = t.documents.select("doc_id", F.explode(S.words_of(c("text"))).alias("word"))
+    words = spread(t.documents).select("doc_id", F.explode(S.words_of(c("text"))).alias("word"))
     return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.exact import dec
 from tidemill.operators.relational import top_n_per_group
+from tidemill.session import spread
 
 
 def group_agg(df: DataFrame, keys: Sequence[Column | str], **aggs: Column) -> DataFrame:
@@ -78,7 +79,7 @@ def count_distinct_twice_grouped(df: DataFrame, keys: Sequence[str], member: str
 
 def word_count(df: DataFrame, text: str, strip: str) -> DataFrame:
     """Lower-cased words with punctuation stripped at both ends, counted."""
-    words = df.select(F.explode(F.split(F.lower(F.col(text)), "[ \t\n\r]+")).alias("raw"))
+    words = spread(df.select(text)).select(F.explode(F.split(F.lower(F.col(text)), "[ \t\n\r]+")).alias("raw"))
     return (words.select(F.btrim("raw", F.lit(strip)).alias("word"))
             .where(F.col("word") != "").groupBy("word").agg(F.count("*").alias("n")))
 

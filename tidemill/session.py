@@ -74,3 +74,19 @@ def materialize(df, label: str):
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df):
+    """Give a small input to all cores before heavy per-row work.
+
+    A table of a few files with one row group each comes as a few tasks, however many cores
+    there are. Below one split's worth of bytes per core it is dealt out evenly, which
+    moves little data; a larger table already has enough splits and is left alone.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < split * cores else df
