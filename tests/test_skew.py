@@ -65,8 +65,48 @@ def test_previous_and_following(data):
 @pytest.mark.parametrize("seconds", [10, 700])
 def test_trailing_range(data, chunk, seconds):
     w = Window.partitionBy("k").orderBy(F.unix_micros("t")).rangeBetween(-seconds * 1_000_000, 0)
-    got = O.trailing_range(data, ["k"], "t", seconds, {"s": F.sum("v"), "n": F.count("*")}, chunk)
-    assert rows(got, "id", "s", "n") == rows(data.select("id", F.sum("v").over(w).alias("s"), F.count("*").over(w).alias("n")), "id", "s", "n")
+    got = O.trailing_range(data, ["k"], "t", seconds, {"s": ("sum", c("w")), "n": ("count", c("w")), "m": ("count", F.lit(1))}, chunk)
+    want = data.select("id", F.sum("w").over(w).alias("s"), F.count("w").over(w).alias("n"), F.count("*").over(w).alias("m"))
+    assert rows(got, "id", "s", "n", "m") == rows(want, "id", "s", "n", "m")
+
+
+@pytest.fixture(scope="module")
+def bursts(data):
+    """A third of the rows belong to one key and share one time."""
+    return data.withColumn("t", F.when(c("k") == "hot", F.timestamp_seconds(F.lit(500))).otherwise(c("t"))).persist()
+
+
+@pytest.fixture
+def tiny_tasks(monkeypatch):
+    monkeypatch.setattr(O, "SMALL_BYTES", 0)
+    monkeypatch.setattr(O, "TASK_ROWS", 40)
+
+
+def test_chunks_are_narrowed_until_they_fit(data, tiny_tasks):
+    sizes = O.cut(data, ["k"], ["t", "id"], O.DAY).groupBy("k", "_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 40
+    assert rows(O.running(data, ["k"], ["t", "id"], {"s": ("sum", c("w"))}), "id", "s") == rows(
+        data.select("id", F.sum("w").over(plain()).alias("s")), "id", "s")
+
+
+def test_rows_of_one_key_and_time_are_split_by_range(bursts, tiny_tasks):
+    cut = O.cut(bursts, ["k"], ["t", "id"], O.DAY)
+    sizes = cut.where("k = 'hot'").groupBy("_chunk").count()
+    assert sizes.count() > 10 and cut.count() == bursts.count()
+    w = plain()
+    want = bursts.select("id", F.sum("w").over(w).alias("s"), F.lag("w").over(Window.partitionBy("k").orderBy("t", "id")).alias("p"))
+    got = O.running(bursts, ["k"], ["t", "id"], {"s": ("sum", c("w"))})
+    assert rows(got, "id", "s") == rows(want, "id", "s")
+    assert rows(O.previous(bursts, ["k"], ["t", "id"], {"p": "w"}), "id", "p") == rows(want, "id", "p")
+
+
+def test_measured_sessions_and_ranges(bursts, tiny_tasks):
+    want = O.sessions(bursts, ["k"], "t", 120, {"s": ("sum", c("v"))}, F.lit(0).cast("long"), "last_event")
+    got = O.sessions(bursts, ["k"], "t", 120, {"s": ("sum", c("v"))}, O.DAY, "last_event")
+    assert rows(got, "k", "session_start", "session_end", "s") == rows(want, "k", "session_start", "session_end", "s")
+    w = Window.partitionBy("k").orderBy(F.unix_micros("t")).rangeBetween(-700 * 1_000_000, 0)
+    got = O.trailing_range(bursts, ["k"], "t", 700, {"s": ("sum", c("w"))})
+    assert rows(got, "id", "s") == rows(bursts.select("id", F.sum("w").over(w).alias("s")), "id", "s")
 
 
 @pytest.mark.parametrize("block", [7, 50, 10_000])

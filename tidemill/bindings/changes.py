@@ -14,7 +14,9 @@ from tidemill.bindings.sqltext import dsum
 from tidemill.functions.exact import exact_sum
 from tidemill.operators import cdc as C
 from tidemill.operators import ordered as O
+from tidemill.operators.versioned import VersionedTable
 from tidemill.session import spread
+from tidemill.streaming import sinks as K
 
 c = F.col
 ROW_DDL = "id:bigint,customer:bigint,name:string,status:string,total:double,updated_at:bigint"
@@ -131,6 +133,20 @@ def _(t):
     return C.apply_changelog(orders, "key", ["position"], ["id", "customer", "status", "total", "updated_at"])
 
 
+@query("cdc_06_apply_changelog_stream", LOG + "SELECT id, customer, status, total, updated_at FROM live")
+def _(t):
+    """The log arrives in two parts: snapshots first, then all that came after them."""
+    table = VersionedTable(t.spark, t.scratch("current"), ["key"])
+    folder, ckpt = t.scratch("changes"), t.scratch("ckpt")
+    orders = envelopes(t).where(c("key").startswith("orders:"))
+    for step in (orders.where("position = 0"), orders.where("position > 0")):
+        step.write.mode("append").parquet(folder)
+        stream = t.spark.readStream.schema(orders.schema).parquet(folder)
+        K.changelog_stream(C.parse_envelope(stream, ROW_DDL), table, ["position"],
+                           ["id", "customer", "status", "total", "updated_at"], ckpt)
+    return K.live_rows(table).drop("key")
+
+
 BY_STATUS = LOG + f"SELECT status, COUNT(*) AS n, {dsum('total')} AS revenue FROM live GROUP BY 1"
 
 

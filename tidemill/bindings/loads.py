@@ -339,8 +339,8 @@ def _(t):
 
 @query("inc_23_run_incremental", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def _(t):
-    table, log = VersionedTable(t.spark, t.scratch("orders_copy")), N.WatermarkLog(t.spark, t.scratch("marks"))
+    table, log = VersionedTable(t.spark, t.scratch("orders_copy"), ["o_orderkey"]), N.WatermarkLog(t.spark, t.scratch("marks"))
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     for cut in ("1997-01-01 00:00:00", Y2000, "2100-01-01 00:00:00", "2100-01-01 00:00:00"):
-        N.run_incremental(rows.where(c("o_orderdate") < ntz(cut)), table, log, "orders", ["o_orderkey"], "o_orderkey", "o_orderdate")
+        N.run_incremental(rows.where(c("o_orderdate") < ntz(cut)), table, log, "orders", "o_orderkey", "o_orderdate")
     return table.read()

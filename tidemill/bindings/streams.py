@@ -214,6 +214,17 @@ def _(t):
     return X.session_tracker(t.events, "user_id", "ts", "event_id", "event_type", 2 * 3600)
 
 
+@query("str_05_session_tracker_stream", """
+WITH l AS (SELECT *, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
+g AS (SELECT *, SUM(CASE WHEN p IS NULL OR ts - p > INTERVAL 2 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM l)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) AS last_seen, COUNT(*) AS actions, arg_max(event_type, (ts, event_id)) AS last_action
+FROM g GROUP BY user_id, s""")
+def _(t):
+    out, folder = t.scratch("sessions"), watched(t, t.events, marker(t.events))
+    K.append_stream(X.session_tracker(events_stream(t, folder), "user_id", "ts", "event_id", "event_type", 2 * 3600), out, t.scratch("ckpt"))
+    return t.spark.read.parquet(out).where("user_id >= 0")
+
+
 @query("str_06_state_ttl", f"SELECT date_trunc('day', ts) AS window_start, user_id, COUNT(*) AS n, {dsum('value')} AS total FROM events GROUP BY 1, 2")
 def _(t):
     out, folder = t.scratch("daily"), watched(t, t.events, marker(t.events))
@@ -285,6 +296,32 @@ def _(t):
     return out.select("event_id", "highest", "lowest", c("total").cast("double").alias("total"))
 
 
+def _in_two_runs(t, shape):
+    """Land the events in two parts and run the query after each."""
+    out, ckpt, folder = t.scratch("stateful"), t.scratch("ckpt"), t.scratch("landing")
+    for lo, hi in ((None, FIRST), (FIRST, None)):
+        drop(part(t.events, lo, hi), folder)
+        rows = events_stream(t, folder, None).withColumn("cents", F.round(c("value") * 100).cast("long"))
+        K.append_stream(shape(rows), out, ckpt)
+    return t.spark.read.parquet(out)
+
+
+@query("str_12_rolling_reduce_stream", f"""
+SELECT event_id, MAX(value) OVER w AS highest, MIN(value) OVER w AS lowest, CAST(SUM({DEC2('value')}) OVER w AS DOUBLE) AS total FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
+def _(t):
+    out = _in_two_runs(t, lambda rows: X.rolling_reduce_stream(rows, "user_id", ["ts", "event_id"], "cents"))
+    return out.select("event_id", *[(c(n) / 100.0).alias(n) for n in ("highest", "lowest", "total")])
+
+
+@query("win_06_count_window_stream", f"""
+SELECT user_id, CAST((rn - 1) // 10 AS BIGINT) AS window_no, {dsum('value')} AS total FROM
+(SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) GROUP BY 1, 2 HAVING COUNT(*) = 10""")
+def _(t):
+    out = _in_two_runs(t, lambda rows: X.count_window_stream(rows, "user_id", ["ts", "event_id"], "cents", 10))
+    return out.select("user_id", "window_no", (c("total_cents") / 100.0).alias("total"))
+
+
 @query("str_13_load_shed", f"""
 WITH h AS (SELECT event_id, event_type, sha256(event_id::VARCHAR) AS s FROM events)
 SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN 1 ELSE 10 END AS weight FROM h
@@ -295,9 +332,5 @@ def _(t):
 
 @query("udf_04_stateful_agent", EVERY_THIRD)
 def _(t):
-    out, ckpt, folder = t.scratch("published"), t.scratch("ckpt"), t.scratch("landing")
-    for lo, hi in ((None, FIRST), (FIRST, None)):
-        drop(part(t.events, lo, hi), folder)
-        rows = events_stream(t, folder, None).withColumn("cents", F.round(c("value") * 100).cast("long"))
-        K.append_stream(X.publish_every_n_stream(rows, "user_id", ["ts", "event_id"], "cents", 3), out, ckpt)
-    return t.spark.read.parquet(out).select("user_id", "alert_count", (c("total_cents") / 100.0).alias("total"))
+    out = _in_two_runs(t, lambda rows: X.publish_every_n_stream(rows, "user_id", ["ts", "event_id"], "cents", 3))
+    return out.select("user_id", "alert_count", (c("total_cents") / 100.0).alias("total"))

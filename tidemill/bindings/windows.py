@@ -204,7 +204,7 @@ SELECT event_id, user_id, COUNT(*) OVER w AS n_12h, CAST(SUM({DEC2('value')}) OV
 WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 12 HOUR PRECEDING AND CURRENT ROW)""")
 def _(t):
     out = N.rolling_sum_range(t.events.select("event_id", "user_id", "ts", "value"), ["user_id"], "ts", 12 * 3600,
-                              n_12h=F.count("*"), total_12h=F.sum(c("value").cast("decimal(18,2)")))
+                              n_12h=("count", F.lit(1)), total_12h=("sum", c("value").cast("decimal(18,2)")))
     return out.select("event_id", "user_id", "n_12h", c("total_12h").cast("double").alias("total_12h"))
 
 

@@ -61,8 +61,8 @@ def leaderboard_by_period(df: DataFrame, period: Column, player: str, score: str
 
 
 def rolling_sum_range(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, chunk: int = O.DAY,
-                      **aggs: Column) -> DataFrame:
-    return O.trailing_range(df, keys, ts, seconds, aggs, chunk)
+                      **specs: tuple[str, Column]) -> DataFrame:
+    return O.trailing_range(df, keys, ts, seconds, specs, chunk)
 
 
 def consecutive_condition(periods: DataFrame, keys: Sequence[str], order: str, condition: Column, n: int) -> DataFrame:

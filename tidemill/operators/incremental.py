@@ -201,12 +201,13 @@ class WatermarkLog:
         return {k: v for k, v in (("max_id", row["i"]), ("max_ts", row["t"])) if v is not None}
 
 
-def run_incremental(source: DataFrame, table: VersionedTable, log: WatermarkLog, pipeline: str, keys: Sequence[str],
-                    id_col: str, ts_col: str) -> int:
+def run_incremental(source: DataFrame, table: VersionedTable, log: WatermarkLog, pipeline: str, id_col: str, ts_col: str,
+                    compact_every: int = 20) -> int:
     """Read the mark, pull newer rows, merge them, then record the new mark.
 
-    The mark is written last: a run that dies earlier is repeated in full, and since the
-    merge is an upsert by key the repeat changes nothing.
+    The first pull becomes a snapshot; later ones are written as deltas of the keyed table,
+    so a run costs what it pulls. The mark is written last: a run that dies earlier is
+    repeated in full, and since the merge is an upsert by key the repeat changes nothing.
     """
     import datetime as dt
 
@@ -217,7 +218,12 @@ def run_incremental(source: DataFrame, table: VersionedTable, log: WatermarkLog,
     marks = high_water(batch, id_col, ts_col)
     if not marks:
         return 0
-    table.write(merge_upsert(table.read(), batch, keys) if table.exists() else batch)
+    if table.exists():
+        table.upsert(batch)
+        if table.deltas() >= compact_every:
+            table.compact()
+    else:
+        table.write(batch)
     log.append(pipeline, marks["max_id"], marks["max_ts"], started, dt.datetime.now(dt.timezone.utc), "source", table.path)
     return 1
 

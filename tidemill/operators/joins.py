@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.ordered import DAY, micros, running
+from tidemill.session import plan_bytes
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def small(df: DataFrame) -> DataFrame:
     """Hint a broadcast if the optimizer's own size estimate is below a fixed bound."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(size)) <= BROADCAST_BYTES else df
+    return F.broadcast(df) if plan_bytes(df) <= BROADCAST_BYTES else df
 
 
 def inner_join(a: DataFrame, b: DataFrame, on) -> DataFrame:

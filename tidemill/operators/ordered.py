@@ -10,8 +10,9 @@ so a lost executor recomputes the same split.
 The input is read twice (rows and summaries; the second read takes few columns), so a step
 that follows another such step should start from a written table (``session.materialize``).
 
-``chunk`` is a width in seconds: choose it so that one chunk of the hottest key fits a
-task. Order columns must make rows unique within a key where the result depends on it.
+``chunk`` is the widest chunk in seconds. On a large table the rows of the fullest (key,
+chunk) are counted first and the width is cut until they fit a task (see ``cut``). Order
+columns must make rows unique within a key where the result depends on it.
 """
 
 from __future__ import annotations
@@ -20,8 +21,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemill.session import materialize, plan_bytes
 
 HOUR, DAY = 3600, 86400
+SMALL_BYTES = 256 * 1024 * 1024  # a table of this size fits a task even if it is one group
+TASK_ROWS = 4_000_000  # most rows of one (key, chunk)
+KEY_CHUNKS = 1_000_000  # most chunks of one key
 
 
 def micros(c: Column | str) -> Column:
@@ -32,21 +39,54 @@ def chunk_of(ts: str, seconds: int) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: int | Column = DAY) -> DataFrame:
+    """Add ``_chunk``, a number that grows along the order and keeps every (key, chunk) small.
+
+    ``order[0]`` is a time, or a number of microseconds. A small table takes the given
+    width. On a large one the fullest (key, chunk) is counted (a partial aggregate over few
+    columns) and the width narrowed until it holds at most ``TASK_ROWS``. Where that does
+    not do, because many rows share a time or a burst would need too many chunks, the table
+    is written once in sorted ranges of (key, order), each of which is a chunk. A column is
+    taken as it is.
+    """
+    if isinstance(chunk, Column):
+        return df.withColumn("_chunk", chunk)
+    numeric = isinstance(df.schema[order[0]].dataType, T.NumericType)
+
+    def at_width(seconds: int) -> DataFrame:
+        part = F.floor(F.col(order[0]) / F.lit(seconds * 1_000_000)).cast("long") if numeric else chunk_of(order[0], seconds)
+        return df.withColumn("_chunk", part)
+
+    if plan_bytes(df) <= SMALL_BYTES:
+        return at_width(chunk)
+    for _ in range(3):
+        sizes = at_width(chunk).groupBy(*keys, "_chunk").agg(F.count("*").alias("n"))
+        per = sizes.groupBy(*keys).agg(F.max("n").alias("most"), F.sum("n").alias("rows"), F.count("*").alias("chunks"))
+        most, rows, chunks = per.agg(F.max("most"), F.sum("rows"), F.max("chunks")).first()
+        if not rows or (most <= TASK_ROWS and chunks <= KEY_CHUNKS):
+            return at_width(chunk)
+        if chunk == 1 or chunks > KEY_CHUNKS:
+            break
+        chunk = max(1, int(chunk * TASK_ROWS / most / 2))
+    ranges = df.repartitionByRange(2 + 2 * rows // TASK_ROWS, *keys, *order)
+    return materialize(ranges.withColumn("_chunk", F.spark_partition_id().cast("long")), "ranges")
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Mapping[str, tuple[str, Column]],
-            chunk: int | Column = DAY, inclusive: bool = True) -> DataFrame:
+            chunk: int | Column = DAY, inclusive: bool = True, peers: bool = False) -> DataFrame:
     """Add running columns: ``specs`` maps a new name to (kind, column).
 
     Kinds are sum, count, min, max and last (newest non-null value). With
-    ``inclusive=False`` the current row is left out, so ``last`` gives the row before.
-    ``order[0]`` is the time column that is cut into chunks, unless ``chunk`` is a column
-    that grows with the order.
+    ``inclusive=False`` the current row is left out, so ``last`` gives the row before; with
+    ``peers`` all rows of equal order count as reached together. ``order[0]`` is the time
+    column that is cut into chunks, unless ``chunk`` is a column that grows with the order.
     """
-    part = chunk_of(order[0], chunk) if isinstance(chunk, int) else chunk
-    cut = df.withColumn("_chunk", part)
+    chunked = cut(df, keys, order, chunk)
     folds = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     value, total, carry, out = {}, [], [], {}
-    within = Window.partitionBy(*keys, "_chunk").orderBy("_rowkind", *order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    within = Window.partitionBy(*keys, "_chunk").orderBy("_rowkind", *order)
+    within = (within.rangeBetween(Window.unboundedPreceding, Window.currentRow) if peers else
+              within.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     for name, (kind, c) in specs.items():
         v = f"_v_{name}"
@@ -65,9 +105,9 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Map
                 out[name] = F.coalesce(out[name], F.lit(0).cast("long"))
         else:
             raise ValueError(f"unknown running kind {kind}")
-    summary = cut.groupBy(*keys, "_chunk").agg(*total)
+    summary = chunked.groupBy(*keys, "_chunk").agg(*total)
     seeds = summary.select(*keys, "_chunk", F.lit(0).alias("_rowkind"), *carry).dropna("all", subset=list(value))
-    rows = cut.withColumns(value).withColumn("_rowkind", F.lit(1))
+    rows = chunked.withColumns(value).withColumn("_rowkind", F.lit(1))
     both = rows.unionByName(seeds, allowMissingColumns=True)
     return both.withColumns(out).where("_rowkind = 1").select(*df.columns, *specs)
 
@@ -86,23 +126,33 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
     return running(df, keys, order, {name: ("count", F.lit(1))}, chunk)
 
 
-def trailing_range(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, aggs: Mapping[str, Column],
+def trailing_range(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, specs: Mapping[str, tuple[str, Column]],
                    chunk: int = DAY) -> DataFrame:
-    """Aggregates over the trailing time range [ts - seconds, ts] of each key.
+    """Sums and counts over the trailing time range [ts - seconds, ts] of each key.
 
-    A row also visits the next chunks its range reaches into; there it only counts, so
-    each chunk can be worked on alone.
+    ``specs`` maps a new name to (sum | count, column); sums should be of DECIMAL or whole
+    numbers. A row's value is added at its time and taken away just after the range, and the
+    total at a time is the running sum of both: each row is met twice, however many rows
+    its range holds.
     """
-    width = chunk * 1_000_000
-    span = seconds * 1_000_000
+    for kind, _ in specs.values():
+        if kind not in ("sum", "count"):
+            raise ValueError(f"a trailing range has sums and counts, not {kind}")
+    values = {}
+    for n, (kind, c) in specs.items():
+        values[f"_c_{n}"] = F.when(c.isNotNull(), F.lit(1).cast("long")).otherwise(0)
+        if kind == "sum":
+            values[f"_s_{n}"] = c
     at = micros(ts)
-    own = F.floor(at / width).cast("long")
-    reach = F.floor((at + span) / width).cast("long")
-    spread = (df.withColumn("_at", at).withColumn("_own", own)
-              .withColumn("_chunk", F.explode(F.sequence(own, reach))))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_at").rangeBetween(-span, 0)
-    out = spread.withColumns({n: c.over(w) for n, c in aggs.items()})
-    return out.where(F.col("_chunk") == F.col("_own")).select(*df.columns, *aggs)
+    moves = df.select(*keys, F.struct(*df.columns).alias("_row"), at.alias("_in"), *[v.alias(n) for n, v in values.items()])
+    moves = moves.withColumn("_at", F.explode(F.array(F.col("_in"), F.col("_in") + (seconds * 1_000_000 + 1))))
+    enters = F.col("_at") == F.col("_in")
+    moves = moves.select(*keys, "_at", F.when(enters, F.col("_row")).alias("_row"),
+                         *[F.when(enters, F.col(n)).otherwise(-F.col(n)).alias(n) for n in values])
+    totals = running(moves, keys, ["_at"], {f"_t{n}": ("sum", F.col(n)) for n in values}, chunk, peers=True)
+    out = [(F.when(F.col(f"_t_c_{n}") > 0, F.col(f"_t_s_{n}")) if kind == "sum" else F.col(f"_t_c_{n}")).alias(n)
+           for n, (kind, _) in specs.items()]
+    return totals.where("_row IS NOT NULL").select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], *out)
 
 
 def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, aggs: Mapping[str, Column],
@@ -123,10 +173,10 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows
 
 def _local_sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int) -> DataFrame:
     """Rows with ``_ts``, ``_chunk`` and a session number that restarts in each chunk."""
-    cut = df.withColumn("_ts", F.col(ts).cast("timestamp")).withColumn("_chunk", chunk_of(ts, chunk))
+    chunked = cut(df.withColumn("_ts", F.col(ts).cast("timestamp")), keys, ["_ts"], chunk)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_ts")
     step = micros("_ts") - F.lag(micros("_ts")).over(w)
-    marked = cut.withColumn("_new", (step.isNull() | (step > gap * 1_000_000)).cast("long"))
+    marked = chunked.withColumn("_new", (step.isNull() | (step > gap * 1_000_000)).cast("long"))
     return marked.withColumn("_sid", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
@@ -136,7 +186,7 @@ def _numbered_partials(partial: DataFrame, keys: Sequence[str], gap: int) -> Dat
     Sessions of a key lie more than ``gap`` apart, so a key has at most (time range / gap)
     of them plus one per chunk: this window is bounded by the calendar, not by the rows.
     """
-    w = Window.partitionBy(*keys).orderBy("_first")
+    w = Window.partitionBy(*keys).orderBy("_first", "_last")
     step = micros("_first") - F.lag(micros("_last")).over(w)
     fresh = (step.isNull() | (step > gap * 1_000_000)).cast("long")
     return partial.withColumn("_fresh", fresh).withColumn("session_no", F.sum("_fresh").over(w)).drop("_fresh")
@@ -184,5 +234,4 @@ def following(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None, cols
     if tie:
         back = back.withColumn("_tie", -F.col(tie))
         order.append("_tie")
-    part = F.floor(F.col("_back") / F.lit(chunk * 1_000_000)).cast("long")
-    return previous(back, keys, order, cols, part).drop("_back", "_tie")
+    return previous(back, keys, order, cols, chunk).drop("_back", "_tie")

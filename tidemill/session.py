@@ -76,6 +76,11 @@ def materialize(df, label: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plan_bytes(df) -> int:
+    """The optimizer's estimate of a table's size; for a scan, the bytes of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df):
     """Give a small input to all cores before heavy per-row work.
 
@@ -88,5 +93,4 @@ def spread(df):
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < split * cores else df
+    return df.repartition(cores) if plan_bytes(df) < split * cores else df

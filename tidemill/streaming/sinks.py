@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.relational import top_n_per_group
 from tidemill.operators.versioned import VersionedTable
 from tidemill.session import hadoop_fs
 
@@ -32,20 +33,43 @@ def append_batches(df: DataFrame, path: str, checkpoint: str) -> None:
     each_batch(df, checkpoint, lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch_id={n}"))
 
 
+def _upsert_once(table: VersionedTable, batch: DataFrame, n: int, compact_every: int) -> None:
+    """Add a batch as a delta unless the table already has it; fold many deltas to a snapshot."""
+    tag = f"b{n}"
+    if table.has_tag(tag):
+        return
+    table.upsert(batch, tag)
+    if table.deltas() >= compact_every:
+        table.compact()
+
+
 def upsert_stream(df: DataFrame, table: VersionedTable, checkpoint: str, mode: str = "update", compact_every: int = 20) -> None:
     """Keyed upsert: the newest value per key wins.
 
     A batch writes only its own rows, as a delta; after ``compact_every`` of them the table
     is folded to a new snapshot. A batch that is already in the table is skipped.
     """
+    each_batch(df, checkpoint, lambda batch, n: _upsert_once(table, batch, n, compact_every), mode)
+
+
+def changelog_stream(parsed: DataFrame, table: VersionedTable, order: Sequence[str], row_fields: Sequence[str],
+                     checkpoint: str, compact_every: int = 20) -> None:
+    """Fold a stream of change records into a keyed table (read it with ``live_rows``).
+
+    Each batch folds to its newest record per key and is upserted; a delete or tombstone
+    leaves a row marked ``deleted``. A key's records must arrive in order over the batches,
+    as a log partitioned by key gives them.
+    """
     def work(batch: DataFrame, n: int) -> None:
-        tag = f"b{n}"
-        if table.has_tag(tag):
-            return
-        table.upsert(batch, tag)
-        if table.deltas() >= compact_every:
-            table.compact()
-    each_batch(df, checkpoint, work, mode)
+        newest = top_n_per_group(batch, table.keys, [F.col(o).desc() for o in order], 1, "_rn")
+        rows = newest.select(*table.keys, *[F.col(f"after.{f}").alias(f) for f in row_fields],
+                             (F.col("tombstone") | F.coalesce(F.col("op") == "d", F.lit(False))).alias("deleted"))
+        _upsert_once(table, rows, n, compact_every)
+    each_batch(parsed, checkpoint, work)
+
+
+def live_rows(table: VersionedTable) -> DataFrame:
+    return table.read().where("NOT deleted").drop("deleted")
 
 
 def replace_stream(df: DataFrame, table: VersionedTable, checkpoint: str) -> None:

@@ -42,32 +42,84 @@ def publish_every_n(df: DataFrame, key: str, order: Sequence[str], value: Column
     return out.where(F.col("alert_count") % n == 0)
 
 
+def _in_order(batches: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
+    """A micro-batch's rows of one key. Their number is bounded by the source's per-trigger limit."""
+    return pd.concat(list(batches)).sort_values(list(order))
+
+
 def publish_every_n_stream(df: DataFrame, key: str, order: Sequence[str], cents: str, n: int) -> DataFrame:
     """The same as a state machine: (count, total) per key lives in the state store.
 
-    A micro-batch's rows of one key are put in order before they are counted; the batch
-    size is bounded by the source's per-trigger limit. ``cents`` is an integer column.
+    ``cents`` is an integer column.
     """
     kind = df.schema[key].dataType.simpleString()
-    columns = [*order, cents]
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         count, total = state.get if state.exists else (0, 0)
-        rows = pd.concat([b[columns] for b in batches]).sort_values(list(order))
+        rows = _in_order(batches, order)
         running_count = range(count + 1, count + len(rows) + 1)
         running_total = rows[cents].cumsum() + total
         out = pd.DataFrame({key: k[0], "alert_count": list(running_count), "total_cents": running_total.astype("int64").to_list()})
         state.update((count + len(rows), int(running_total.iloc[-1])))
         yield out[out["alert_count"] % n == 0]
 
-    return df.select(key, *columns).groupBy(key).applyInPandasWithState(
+    return df.select(key, *order, cents).groupBy(key).applyInPandasWithState(
         step, f"{key} {kind}, alert_count long, total_cents long", "count long, total long", "append",
         GroupStateTimeout.NoTimeout)
 
 
+def count_window_stream(df: DataFrame, key: str, order: Sequence[str], cents: str, n: int) -> DataFrame:
+    """Windows of n records per key over a stream; the state holds the count and the open window's sum."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        count, pending = state.get if state.exists else (0, 0)
+        rows = _in_order(batches, order)
+        number = pd.Series(range(count, count + len(rows)), index=rows.index) // n
+        sums = rows[cents].groupby(number.to_numpy()).sum()
+        sums.iloc[0] += pending
+        count += len(rows)
+        full = sums[sums.index < count // n]
+        state.update((count, int(sums.iloc[-1]) if count % n else 0))
+        yield pd.DataFrame({key: k[0], "window_no": full.index, "total_cents": full.to_numpy()})
+
+    return df.select(key, *order, cents).groupBy(key).applyInPandasWithState(
+        step, f"{key} {kind}, window_no long, total_cents long", "count long, pending long", "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def rolling_reduce_stream(df: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
+    """Running maximum, minimum and sum of a whole-number column, one output per input of a keyed stream."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = _in_order(batches, order)
+        v = rows[value]
+        highest, lowest, total = v.cummax(), v.cummin(), v.cumsum()
+        if state.exists:
+            hi, lo, before = state.get
+            highest, lowest, total = highest.clip(lower=hi), lowest.clip(upper=lo), total + before
+        state.update((int(highest.iloc[-1]), int(lowest.iloc[-1]), int(total.iloc[-1])))
+        yield rows[list(order)].assign(**{key: k[0], "highest": highest, "lowest": lowest, "total": total})[
+            [key, *order, "highest", "lowest", "total"]]
+
+    named = ", ".join(f"{c} {kinds[c]}" for c in (key, *order))
+    return df.select(key, *order, value).groupBy(key).applyInPandasWithState(
+        step, f"{named}, highest long, lowest long, total long", "highest long, lowest long, total long", "append",
+        GroupStateTimeout.NoTimeout)
+
+
 def session_tracker(df: DataFrame, key: str, ts: str, tie: str, action: str, idle: int, chunk: int = O.DAY) -> DataFrame:
-    """Sessions per user with their last action, action count, start and last time seen."""
+    """Sessions per user with their last action, action count, start and last time seen.
+
+    On a stream (with a watermark) a session comes out when it is over, without its number.
+    """
     newest = F.struct(F.col(ts).alias("ts"), F.col(tie).alias("tie"), F.col(action).alias("action"))
+    if df.isStreaming:
+        live = df.groupBy(F.session_window(ts, f"{idle} seconds").alias("w"), key).agg(
+            F.count("*").alias("actions"), F.max(newest).alias("_newest"))
+        return live.select(key, F.col("w.start").alias("session_start"), F.col("_newest.ts").alias("last_seen"), "actions",
+                           F.col("_newest.action").alias("last_action"))
     out = O.sessions(df, [key], ts, idle, {"actions": ("count", F.lit(1)), "_newest": ("max", newest)}, chunk, "last_event")
     return out.select(key, "session_no", "session_start", F.col("session_end").alias("last_seen"), "actions",
                       F.col("_newest.action").alias("last_action"))
