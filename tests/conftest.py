@@ -12,10 +12,11 @@ TESTDATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tidemill.session import build_session
+    from tidemill.session import build_session, clear_scratch
     session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"})
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -40,7 +40,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return _plain_timestamps(fn(Tables(spark, sf_dir)))
+            return session.size_shuffles(_plain_timestamps(fn(Tables(spark, sf_dir))))
 
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")

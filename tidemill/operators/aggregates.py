@@ -139,11 +139,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     """Median per group, the mean of the two middle values if the count is even.
 
     Rows fold to (group, value) counts first, and the position of each value comes from a
-    running count that is cut by value, so no task holds a whole group.
+    running count that is cut into ranges of values, so no task holds a large group.
     """
     from tidemill.operators.ordered import running
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    placed = running(counts, keys, [value], {"_upto": ("sum", F.col("_n"))}, chunk=F.floor(value).cast("long"))
+    placed = running(counts, keys, [value], {"_upto": ("sum", F.col("_n"))})
     totals = df.groupBy(*keys).agg(F.count(value).alias("_all"))
     lo, hi = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
     start = F.col("_upto") - F.col("_n")

@@ -39,7 +39,7 @@ def fraud_rules(txns: DataFrame, limits: Limits = Limits(), chunk: int = DAY) ->
     """Alert rows of five rules over (id, user, ts, amount, country, merchant).
 
     Counts and sums run inside fixed windows per user. A running count of different
-    merchants is a running sum of first-occurrence flags. Each rule reads the transactions
+    merchants is a running count of marks set at first occurrences. Each rule reads the transactions
     on its own, keeps only what it needs, and leaves only the alerts.
     """
     order = ["ts", "id"]
@@ -56,10 +56,12 @@ def fraud_rules(txns: DataFrame, limits: Limits = Limits(), chunk: int = DAY) ->
                           S.risk_velocity(total, limits.total, limits.total_span))
 
     windowed = txns.select("id", "user", "ts", "merchant", _bucket("ts", limits.count_window).alias("bucket"))
-    firsts = windowed.groupBy("user", "bucket", "merchant").agg(F.min(F.struct("ts", "id")).alias("f")).select(F.col("f.id").alias("id"))
-    flagged = windowed.join(firsts.withColumn("first_seen", F.lit(1)), "id", "left")
-    counted = running(flagged, ["user", "bucket"], order, {
-        "n": ("count", F.lit(1)), "merchants": ("count", F.col("first_seen"))}, min(chunk, limits.count_window))
+    firsts = windowed.groupBy("user", "bucket", "merchant").agg(F.min(F.struct("ts", "id")).alias("f")).select(
+        "f.id", "user", "f.ts", "bucket", F.lit(0).alias("kind"))  # a mark just before a merchant's first row
+    marked = windowed.select("id", "user", "ts", "bucket", F.lit(1).alias("kind")).unionByName(firsts)
+    counted = running(marked, ["user", "bucket"], [*order, "kind"], {
+        "n": ("count", F.when(F.col("kind") == 1, 1)), "merchants": ("count", F.when(F.col("kind") == 0, 1))},
+        min(chunk, limits.count_window)).where("kind = 1")
     count_alerts = counted.select("id", "user", "ts", F.explode(F.filter(F.array(
         F.when(F.col("n") > limits.count, F.struct(F.lit("high_frequency").alias("rule"), F.col("n").cast("string").alias("detail"),
                                                    S.risk_frequency(F.col("n")).alias("risk"))),

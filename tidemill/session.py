@@ -8,8 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job assumes. Sizes are left to the cluster; AQE merges small shuffle
-# partitions and splits skewed ones at run time.
+# Settings every job assumes. AQE merges small shuffle partitions and splits skewed ones at
+# run time; how many it starts from follows the input (``size_shuffles``).
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -53,9 +53,19 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "tidemill", spark.sparkContext.applicationId)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return os.path.join(shared_dir(spark), "tidemill", f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new, unused path below this application's part of the shared folder."""
+    return os.path.join(_own_folder(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged. Call it last: results may still read from there."""
+    fs, path = hadoop_fs(spark, _own_folder(spark))
+    fs.delete(path, True)
 
 
 def hadoop_fs(spark: SparkSession, path: str):
@@ -72,7 +82,7 @@ def materialize(df, label: str):
     costs a re-read instead of the whole lineage.
     """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    size_shuffles(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -81,6 +91,31 @@ def plan_bytes(df) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+SHUFFLE_BYTES = 128 * 1024 * 1024  # input per shuffle partition
+MOST_PARTITIONS = 100_000
+
+
+def input_bytes(df) -> int:
+    """Bytes of all tables a plan scans; sources of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < 2 ** 62)
+
+
+def size_shuffles(df):
+    """Let shuffles start from as many partitions as the input needs; AQE merges those left small.
+
+    The session's own number is only ever raised. Returns the table itself.
+    """
+    conf = df.sparkSession.conf
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    have = int(conf.get(key, None) or conf.get("spark.sql.shuffle.partitions"))
+    need = min(input_bytes(df) // SHUFFLE_BYTES, MOST_PARTITIONS)
+    if need > have:
+        conf.set(key, str(need))
+    return df
+
+
 def spread(df):
     """Give a small input to all cores before heavy per-row work.
 
