@@ -10,6 +10,7 @@ from tidemill.bindings.sqltext import DEC2, davg, dsum
 from tidemill.functions import scalar as S
 from tidemill.functions.exact import exact_sum
 from tidemill.operators import aggregates as A
+from tidemill.operators.relational import union_all
 from tidemill.plans import broker as B
 from tidemill.plans import experiment as E
 from tidemill.plans import fraud as FR
@@ -398,12 +399,9 @@ def _(t):
     import datetime as dt
     filters = {"segment": ["BUILDING", "MACHINERY", "HOUSEHOLD"], "category": ["ECONOMY", "STANDARD", "SMALL", "MEDIUM", "LARGE"], "status": ["F", "O"],
                "ordered_year": (dt.date(1996, 1, 1), dt.date(1999, 1, 1)), "region": ["AFRICA", "AMERICA", "EUROPE", "MIDDLE EAST"]}
-    out = None
-    for panel, dim in (("month", "ordered_month"), ("state", "state"), ("region", "region"), ("manager", "manager")):
-        one = SM.semantic_query(_views(t), MODEL, [dim], KPIS, filters)
-        one = one.select(F.lit(panel).alias("panel"), c(dim).cast("string").alias("label"), *KPIS)
-        out = one if out is None else out.unionByName(one)
-    return out
+    panels = SM.semantic_panels(_views(t), MODEL, ["ordered_month", "state", "region", "manager"], KPIS, filters)
+    return union_all(*[one.select(F.lit(dim.removeprefix("ordered_")).alias("panel"), c(dim).cast("string").alias("label"), *KPIS)
+                       for dim, one in panels.items()])
 
 
 # ---- further reports

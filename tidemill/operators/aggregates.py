@@ -141,13 +141,13 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     Rows fold to (group, value) counts first, and the position of each value comes from a
     running count that is cut into ranges of values, so no task holds a large group.
     """
-    from tidemill.operators.ordered import running
+    from tidemill.operators.ordered import null_safe_join, running
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     placed = running(counts, keys, [value], {"_upto": ("sum", F.col("_n"))})
     totals = df.groupBy(*keys).agg(F.count(value).alias("_all"))
     lo, hi = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
     start = F.col("_upto") - F.col("_n")
-    held = placed.join(totals, list(keys))
+    held = null_safe_join(placed, totals, keys)
     low = F.when((start < lo) & (lo <= F.col("_upto")), F.col(value))
     high = F.when((start < hi) & (hi <= F.col("_upto")), F.col(value))
     return held.groupBy(*keys).agg(((F.max(low) + F.max(high)) / 2).alias(name))

@@ -35,6 +35,13 @@ def micros(c: Column | str) -> Column:
     return F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
 
 
+def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a NULL key meets the NULL key, as it does in a groupBy."""
+    b = b.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return a.join(b, on).drop(*[f"_r_{k}" for k in keys])
+
+
 def chunk_of(ts: str, seconds: int) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
 
@@ -196,8 +203,8 @@ def session_ids(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: in
     """Rows with their session number per key (1, 2, ..)."""
     marked = _local_sessions(df, keys, ts, gap, chunk)
     partial = marked.groupBy(*keys, "_chunk", "_sid").agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
-    return (marked.join(_numbered_partials(partial, keys, gap), [*keys, "_chunk", "_sid"])
-            .select(*df.columns, "session_no"))
+    return null_safe_join(marked, _numbered_partials(partial, keys, gap).drop("_first", "_last"), [*keys, "_chunk", "_sid"]).select(
+        *df.columns, "session_no")
 
 
 def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mapping[str, tuple[str, Column]],

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.exact import dec
+from tidemill.session import materialize
 
 GRAINS = {"date": "day", "week": "week", "month": "month", "quarter": "quarter", "year": "year"}
 
@@ -54,14 +55,8 @@ def _aggregate(kind: str, sql: str) -> Column:
     raise ModelError(f"unknown measure kind {kind}")
 
 
-def semantic_query(tables: Mapping[str, DataFrame], model: Mapping, dimensions: Sequence[str], measures: Sequence[str],
-                   filters: Mapping[str, object] | None = None, parameters: Mapping[str, str] | None = None) -> DataFrame:
-    """Group the declared measures by the declared dimensions.
-
-    ``filters`` maps a dimension to a value, a list of values, or a (low, high) pair.
-    ``parameters`` picks the measure behind a parameter's name at run time.
-    """
-    filters, parameters = filters or {}, parameters or {}
+def _measures(model: Mapping, measures: Sequence[str], parameters: Mapping[str, str]) -> tuple[dict, dict]:
+    """(measure asked for -> its definition, plain measure -> its definition)."""
     chosen = {}
     for m in measures:
         target = m
@@ -75,10 +70,13 @@ def semantic_query(tables: Mapping[str, DataFrame], model: Mapping, dimensions:
     for name, (view, kind, arg) in chosen.items():
         for part in (arg if kind == "ratio" else (name,)):
             plain[part] = model["measures"][part] if kind == "ratio" else (view, kind, arg)
-    dims = {d: _dimension(model, d) for d in dimensions}
-    tests = {f: _dimension(model, f) for f in filters}
-    wanted = {v for v, _ in (*dims.values(), *tests.values())} | {v for v, _, _ in plain.values()}
+    return chosen, plain
 
+
+def _joined(tables: Mapping[str, DataFrame], model: Mapping, views: set[str], filters: Mapping[str, object]) -> DataFrame:
+    """The base view joined to those views and the ones they or the filters need, filtered."""
+    tests = {f: _dimension(model, f) for f in filters}
+    wanted = views | {v for v, _ in tests.values()}
     df, joined = tables[model["base"]], {model["base"]}
 
     def join(view: str) -> None:
@@ -98,10 +96,45 @@ def semantic_query(tables: Mapping[str, DataFrame], model: Mapping, dimensions:
             df = df.where(col.between(*value))
         else:
             df = df.where(col.isin(*value) if isinstance(value, list) else col == value)
+    return df
+
+
+def _grouped(df: DataFrame, dims: Mapping[str, Column], chosen: Mapping, plain: Mapping) -> DataFrame:
     aggs = [_aggregate(kind, arg).alias(f"_{n}") for n, (_, kind, arg) in plain.items()]
-    grouped = df.groupBy(*[c.alias(n) for n, (_, c) in dims.items()]).agg(*aggs)
+    grouped = df.groupBy(*[c.alias(n) for n, c in dims.items()]).agg(*aggs)
     out = []
     for name, (_, kind, arg) in chosen.items():
         value = F.col(f"_{arg[0]}") / F.nullif(f"_{arg[1]}", F.lit(0)) if kind == "ratio" else F.col(f"_{name}")
         out.append(value.alias(name))
     return grouped.select(*dims, *out)
+
+
+def semantic_query(tables: Mapping[str, DataFrame], model: Mapping, dimensions: Sequence[str], measures: Sequence[str],
+                   filters: Mapping[str, object] | None = None, parameters: Mapping[str, str] | None = None) -> DataFrame:
+    """Group the declared measures by the declared dimensions.
+
+    ``filters`` maps a dimension to a value, a list of values, or a (low, high) pair.
+    ``parameters`` picks the measure behind a parameter's name at run time.
+    """
+    chosen, plain = _measures(model, measures, parameters or {})
+    dims = {d: _dimension(model, d) for d in dimensions}
+    views = {v for v, _ in dims.values()} | {v for v, _, _ in plain.values()}
+    df = _joined(tables, model, views, filters or {})
+    return _grouped(df, {d: c for d, (_, c) in dims.items()}, chosen, plain)
+
+
+def semantic_panels(tables: Mapping[str, DataFrame], model: Mapping, dimensions: Sequence[str], measures: Sequence[str],
+                    filters: Mapping[str, object] | None = None,
+                    parameters: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """The same measures by each dimension on its own: the panels of one dashboard.
+
+    The views are joined once, and what the panels need is written; each panel reads that.
+    """
+    chosen, plain = _measures(model, measures, parameters or {})
+    dims = {d: _dimension(model, d) for d in dimensions}
+    views = {v for v, _ in dims.values()} | {v for v, _, _ in plain.values()}
+    wide = _joined(tables, model, views, filters or {}).select(
+        *[c.alias(d) for d, (_, c) in dims.items()], *[F.expr(arg).alias(f"_arg_{n}") for n, (_, _, arg) in plain.items()])
+    rows = materialize(wide, "panels")
+    stored = {n: (view, kind, f"_arg_{n}") for n, (view, kind, _) in plain.items()}
+    return {d: _grouped(rows.select(d, *[a for _, _, a in stored.values()]), {d: F.col(d)}, chosen, stored) for d in dims}
