@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import scratch
+
 SLICE_CHARS = 2_000_000  # text that a task holds as Python objects at a time
 
 
@@ -69,3 +71,26 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def sha(col: Column) -> Column:
     return F.sha2(col, 256)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    A lost executor then costs a re-read instead of the whole lineage. The shuffle files behind the
+    write have served their purpose and are dropped with it; the session's own setting is restored.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, secret_scan, token_counts
+from tidemill.llm import bpe, decontaminate, imatch, pii, quality, secret_scan, token_counts
+from tidemill.llm.common import stored
 from tidemill.llm.sqltext import OP1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,7 +46,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(both)
 
 
+@query("op3_decontaminate")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer()
     return token_counts.limits(token_counts.histogram(bpe.lengths(documents(spark, sf_dir), ranks, pattern)))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = stored(quality.statistics(documents(spark, sf_dir)), "statistics")
+    return quality.scored(measured, quality.fit(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.extract(documents(spark, sf_dir)))
+
+
+@query("op10_imatch")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare(documents(spark, sf_dir))
