@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, imatch, pii, quality, secret_scan, token_counts
+from tidemill.llm import bpe, decontaminate, imatch, pii, quality, secret_scan, substring_dedup, token_counts
 from tidemill.llm.common import stored
 from tidemill.llm.sqltext import OP1
 
@@ -51,6 +52,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer()
