@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, imatch, pii, quality, secret_scan, substring_dedup, token_counts
+from tidemill.llm import bpe, decontaminate, imatch, pii, quality, repeats, secret_scan, substring_dedup, token_counts
 from tidemill.llm.common import stored
 from tidemill.llm.sqltext import OP1
 
@@ -70,6 +70,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(measured, quality.fit(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+@query("op7_repeats")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op8_pii")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.extract(documents(spark, sf_dir)))
