@@ -31,8 +31,23 @@ def _fresh(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return source.join(matched, list(keys), "left_anti")
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], stamp: Mapping[str, Column] | None = None) -> DataFrame:
-    """Matched rows are replaced, new ones added; ``stamp`` columns are set on both."""
+def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+    """A batch with one row per key: the first in the given order, or an error when the job meets a second one."""
+    if order:
+        return dedup_by_key(source, keys, order)
+    rows = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*source.columns)).alias("_row"))
+    told = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in keys])
+    single = F.assert_true(F.col("_n") == 1, F.concat(F.lit("several source rows for one key: "), told))
+    return rows.where(single.isNull()).select("_row.*")
+
+
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], stamp: Mapping[str, Column] | None = None,
+                 order: Sequence[Column] | None = None) -> DataFrame:
+    """Matched rows are replaced, new ones added; ``stamp`` columns are set on both.
+
+    Of several source rows for a key the first in ``order`` counts; without an order they are an error.
+    """
+    source = one_per_key(source, keys, order)
     incoming = source.withColumns(dict(stamp or {}))
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(incoming.select(*target.columns))
@@ -44,11 +59,12 @@ def differs(cols: Sequence[str], a: str, b: str) -> Column:
 
 
 def merge_when_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str],
-                       stamp: Mapping[str, Column]) -> DataFrame:
+                       stamp: Mapping[str, Column], order: Sequence[Column] | None = None) -> DataFrame:
     """Upsert that touches a matched row only if a compared column differs.
 
-    The extra column ``merge_action`` says keep, update or insert.
+    The extra column ``merge_action`` says keep, update or insert. Several source rows for a key: see ``merge_upsert``.
     """
+    source = one_per_key(source, keys, order)
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = target.alias("t").join(source.alias("s"), on, "left")
     changed = F.col(f"s.{keys[0]}").isNotNull() & differs(compare, "t", "s")
@@ -98,14 +114,30 @@ def apply_strategy(name: str, target: DataFrame, source: DataFrame, keys: Sequen
 
 
 def replace_time_range(df: DataFrame, path: str, ts: str, start: Column, end: Column, part: str, part_expr: Column) -> None:
-    """Replace exactly the partitions of [start, end]; running it again changes nothing.
+    """Replace exactly the rows of [start, end]; running it again changes nothing.
 
-    Dynamic partition overwrite only swaps the directories the batch has rows for, so the
-    range must cover whole partitions.
+    The partitions that hold such rows, in the table or in the batch, are rebuilt: rows outside the range stay,
+    also in a partition at its edge, and a partition left without rows goes. The new content
+    is staged first, since a path must not be overwritten while it is read.
     """
-    rows = df.where(F.col(ts).between(start, end)).withColumn(part, part_expr)
-    (rows.hint("rebalance", F.col(part)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spark = df.sparkSession
+    inside = F.col(ts).between(start, end)
+    rows = df.where(inside).withColumn(part, part_expr)
+    fs, root = hadoop_fs(spark, path)
+    if not fs.exists(root):
+        rows.hint("rebalance", F.col(part)).write.partitionBy(part).parquet(path)
+        return
+    table = spark.read.schema(rows.schema).parquet(path)
+    touched = table.where(inside).select(part).distinct()
+    outside = table.where(~F.coalesce(inside, F.lit(False))).join(touched.unionByName(rows.select(part)).distinct(), part, "left_semi")
+    staged = materialize(rows.unionByName(outside.select(*rows.columns)), "range")
+    emptied = [r[0] for r in touched.join(staged.select(part).distinct(), part, "left_anti").collect()]  # partition names only
+    (staged.hint("rebalance", F.col(part)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(path))
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in emptied:
+        fs.delete(jpath(root, f"{part}={escape(str(value))}"), True)
 
 
 def full_refresh(model: DataFrame, path: str) -> DataFrame:
@@ -137,7 +169,7 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[
     return past.select(*dim.columns).unionByName(current.select(*dim.columns)).unionByName(versions.select(*dim.columns))
 
 
-def scd2_history(log: DataFrame, key: str, tracked: Sequence[str], ts: str, tie: str, chunk: int = 365 * O.DAY) -> DataFrame:
+def scd2_history(log: DataFrame, key: str, tracked: Sequence[str], ts: str, tie: str, chunk: int | Column | None = None) -> DataFrame:
     """Versions with validity from a change log: equal neighbours fold into one version."""
     held = {f"_p_{c}": c for c in tracked}
     prev = O.previous(log.select(key, *tracked, ts, tie), [key], [ts, tie], {**held, "_p_ts": ts}, chunk)
@@ -149,7 +181,7 @@ def scd2_history(log: DataFrame, key: str, tracked: Sequence[str], ts: str, tie:
 
 
 def scd2_lookup(facts: DataFrame, history: DataFrame, fact_key: str, fact_ts: str, fact_id: str, key: str,
-                cols: Sequence[str], chunk: int = 365 * O.DAY) -> DataFrame:
+                cols: Sequence[str], chunk: int | Column | None = None) -> DataFrame:
     """Facts with the dimension version in force at their time; ``cols`` are NULL where there is none.
 
     An as-of lookup on valid_from, then the end of validity is checked: a join on the key
@@ -193,12 +225,13 @@ class WatermarkLog:
         return self.spark.read.schema(self.DDL).parquet(self.path)
 
     def latest(self, pipeline: str) -> dict[str, object]:
+        """The newest mark: the latest time, and the largest id recorded with it."""
         fs, p = hadoop_fs(self.spark, self.path)
         if not fs.exists(p):
             return {}
         row = (self.read().where(F.col("pipeline_name") == pipeline)
-               .agg(F.max("last_id").alias("i"), F.max("last_ts").alias("t")).first())
-        return {k: v for k, v in (("max_id", row["i"]), ("max_ts", row["t"])) if v is not None}
+               .agg(F.max(F.struct("last_ts", "last_id")).alias("m")).first()["m"])
+        return {k: v for k, v in (("max_id", row["last_id"]), ("max_ts", row["last_ts"])) if v is not None} if row else {}
 
 
 def run_incremental(source: DataFrame, table: VersionedTable, log: WatermarkLog, pipeline: str, id_col: str, ts_col: str,

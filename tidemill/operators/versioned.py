@@ -64,7 +64,9 @@ class VersionedTable:
         newest = top_n_per_group(changes, self.keys, [F.col("_version").desc()], 1, "_rn").drop("_version", "_rn")
         if table is None:
             return newest
-        return table.join(newest.select(*self.keys), self.keys, "left_anti").unionByName(newest)
+        changed = newest.select(*[F.col(k).alias(f"_n_{k}") for k in self.keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in self.keys]  # a NULL key is a key like others
+        return table.join(changed, same, "left_anti").unionByName(newest)
 
     def _write(self, df: DataFrame, kind: str, tag: str | None) -> int:
         number = max((n for n, _, _ in self._entries()), default=0) + 1

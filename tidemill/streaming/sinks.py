@@ -28,14 +28,20 @@ def each_batch(df: DataFrame, checkpoint: str, work: Callable[[DataFrame, int],
     _until_done(df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(work))
 
 
+def query_id(df: DataFrame, checkpoint: str) -> str:
+    """The identity that a checkpoint gives its query: batch numbers are unique only together with it."""
+    row = df.sparkSession.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()
+    return row[0].replace("-", "")
+
+
 def append_batches(df: DataFrame, path: str, checkpoint: str) -> None:
-    """One directory per batch, overwritten if the batch is repeated."""
-    each_batch(df, checkpoint, lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch_id={n}"))
+    """One directory per query and batch, overwritten if the batch is repeated."""
+    each_batch(df, checkpoint, lambda batch, n: batch.write.mode("overwrite").parquet(
+        f"{path}/query_id={query_id(batch, checkpoint)}/batch_id={n}"))
 
 
-def _upsert_once(table: VersionedTable, batch: DataFrame, n: int, compact_every: int) -> None:
+def _upsert_once(table: VersionedTable, batch: DataFrame, tag: str, compact_every: int) -> None:
     """Add a batch as a delta unless the table already has it; fold many deltas to a snapshot."""
-    tag = f"b{n}"
     if table.has_tag(tag):
         return
     table.upsert(batch, tag)
@@ -43,13 +49,23 @@ def _upsert_once(table: VersionedTable, batch: DataFrame, n: int, compact_every:
         table.compact()
 
 
-def upsert_stream(df: DataFrame, table: VersionedTable, checkpoint: str, mode: str = "update", compact_every: int = 20) -> None:
+def upsert_stream(df: DataFrame, table: VersionedTable, checkpoint: str, mode: str = "update", compact_every: int = 20,
+                  order: Sequence[str] | None = None) -> None:
     """Keyed upsert: the newest value per key wins.
 
     A batch writes only its own rows, as a delta; after ``compact_every`` of them the table
-    is folded to a new snapshot. A batch that is already in the table is skipped.
+    is folded to a new snapshot. A batch that is already in the table is skipped. Within a batch
+    the row that is last in ``order`` wins; a stream that sends a key more than once in a batch, as one in
+    append mode does, needs it.
     """
-    each_batch(df, checkpoint, lambda batch, n: _upsert_once(table, batch, n, compact_every), mode)
+    def work(batch: DataFrame, n: int) -> None:
+        if order:
+            batch = top_n_per_group(batch, table.keys, [F.col(o).desc() for o in order], 1, "_rn").drop("_rn")
+        _upsert_once(table, batch, f"{query_id(batch, checkpoint)}b{n}", compact_every)
+
+    if mode == "append" and not order:
+        raise ValueError("an append-mode stream may send a key twice in a batch: name the order that decides")
+    each_batch(df, checkpoint, work, mode)
 
 
 def changelog_stream(parsed: DataFrame, table: VersionedTable, order: Sequence[str], row_fields: Sequence[str],
@@ -64,7 +80,7 @@ def changelog_stream(parsed: DataFrame, table: VersionedTable, order: Sequence[s
         newest = top_n_per_group(batch, table.keys, [F.col(o).desc() for o in order], 1, "_rn")
         rows = newest.select(*table.keys, *[F.col(f"after.{f}").alias(f) for f in row_fields],
                              (F.col("tombstone") | F.coalesce(F.col("op") == "d", F.lit(False))).alias("deleted"))
-        _upsert_once(table, rows, n, compact_every)
+        _upsert_once(table, rows, f"{query_id(batch, checkpoint)}b{n}", compact_every)
     each_batch(parsed, checkpoint, work)
 
 
@@ -74,21 +90,24 @@ def live_rows(table: VersionedTable) -> DataFrame:
 
 def replace_stream(df: DataFrame, table: VersionedTable, checkpoint: str) -> None:
     """Complete mode: every batch is the whole result."""
-    each_batch(df, checkpoint, lambda batch, n: None if table.has_tag(f"b{n}") else table.write(batch, f"b{n}") and None,
-               "complete")
+    def work(batch: DataFrame, n: int) -> None:
+        tag = f"{query_id(batch, checkpoint)}b{n}"
+        if not table.has_tag(tag):
+            table.write(batch, tag)
+    each_batch(df, checkpoint, work, "complete")
 
 
 def fan_out(df: DataFrame, sinks: Mapping[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str) -> None:
     """One source, several outputs in one query; the batch is read once.
 
-    Each output keeps one directory per batch. Aggregates written here are partial and are
+    Each output keeps one directory per query and batch. Aggregates written here are partial and are
     folded again by their reader.
     """
     def work(batch: DataFrame, n: int) -> None:
         batch.persist()
         try:
             for name, shape in sinks.items():
-                shape(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={n}")
+                shape(batch).write.mode("overwrite").parquet(f"{path}/{name}/query_id={query_id(batch, checkpoint)}/batch_id={n}")
         finally:
             batch.unpersist()
     each_batch(df, checkpoint, work)
@@ -104,17 +123,18 @@ def split_late_stream(df: DataFrame, ts: str, delay: int, path: str, checkpoint:
     marks = f"{path}/marks"
 
     def work(batch: DataFrame, n: int) -> None:
-        fs, p = hadoop_fs(spark, marks)
+        own = f"query_id={query_id(batch, checkpoint)}"
+        fs, p = hadoop_fs(spark, f"{marks}/{own}")
         mark = None
         if fs.exists(p):
-            mark = (spark.read.schema("newest timestamp, batch_id int").parquet(marks)
+            mark = (spark.read.schema("newest timestamp, batch_id int").parquet(f"{marks}/{own}")
                     .where(F.col("batch_id") < n).agg(F.max("newest")).first()[0])
         late = F.lit(False) if mark is None else F.col(ts) < F.lit(mark) - F.expr(f"INTERVAL {delay} SECONDS")
         batch.persist()
         try:
-            batch.where(late).write.mode("overwrite").parquet(f"{path}/late/batch_id={n}")
-            batch.where(~late).write.mode("overwrite").parquet(f"{path}/on_time/batch_id={n}")
-            batch.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch_id={n}")
+            batch.where(late).write.mode("overwrite").parquet(f"{path}/late/{own}/batch_id={n}")
+            batch.where(~late).write.mode("overwrite").parquet(f"{path}/on_time/{own}/batch_id={n}")
+            batch.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(f"{marks}/{own}/batch_id={n}")
         finally:
             batch.unpersist()
     each_batch(df, checkpoint, work)
