@@ -15,7 +15,6 @@ from tidemill.functions.exact import exact_sum
 from tidemill.operators import cdc as C
 from tidemill.operators import ordered as O
 from tidemill.operators.versioned import VersionedTable
-from tidemill.session import spread
 from tidemill.streaming import sinks as K
 
 c = F.col
@@ -26,7 +25,7 @@ DAY_MS = 86_400_000
 
 def envelopes(t):
     """key, value (JSON or NULL), position."""
-    o = spread(t.orders).withColumn("ms", F.unix_millis(c("o_orderdate").cast("timestamp")))
+    o = t.orders.withColumn("ms", F.unix_millis(c("o_orderdate").cast("timestamp")))
 
     def row(status, shift):
         return F.struct(c("o_orderkey").alias("id"), c("o_custkey").alias("customer"), F.lit(None).cast("string").alias("name"),
@@ -110,14 +109,17 @@ def _(t):
         F.coalesce("after.id", "before.id").alias("id"), "op", F.coalesce("after.status", "before.status").alias("status"))
 
 
-HANDLERS = LOG + """SELECT CASE WHEN op IS NULL THEN 'tombstone' WHEN op = 'c' AND tbl = 'customers' THEN 'new_customer_alert'
- WHEN op = 'u' AND tbl = 'orders' AND status = 'shipped' THEN 'shipping_notification' WHEN op = 'd' THEN 'deletion_warning'
- ELSE 'default' END AS handler, COUNT(*) AS n FROM log GROUP BY 1"""
+HANDLERS = LOG + """SELECT CASE WHEN op IS NULL THEN 'purge' WHEN op = 'c' AND tbl = 'customers' THEN 'greet'
+ WHEN op = 'u' AND tbl = 'orders' AND status = 'shipped' THEN 'announce' WHEN op = 'd' THEN 'review'
+ ELSE 'rest' END AS handler, COUNT(*) AS n FROM log GROUP BY 1"""
 
 
 @query("cdc_04_route_events", HANDLERS)
 def _(t):
-    return C.route_events(parsed(t), c("after.status") == "shipped").groupBy("handler").agg(F.count("*").alias("n"))
+    op, table = c("op"), c("source.table")
+    rules = [("purge", c("tombstone")), ("greet", (op == "c") & (table == "customers")),
+             ("announce", (op == "u") & (table == "orders") & (c("after.status") == "shipped")), ("review", op == "d")]
+    return C.route_events(parsed(t), rules, "rest").groupBy("handler").agg(F.count("*").alias("n"))
 
 
 @query("cdc_05_diff_before_after", LOG + """
@@ -166,9 +168,9 @@ def _(t):
 
 
 @query("cdc_08_validate_dead_letter", """
-SELECT event_id, CASE event_type WHEN 'click' THEN 'Missing ''op'' field' WHEN 'signup' THEN 'Invalid ''op'' value: ''x'''
-  WHEN 'error' THEN CASE WHEN value < 30 THEN 'JSON parse error' ELSE '''before'' is null for op=''d''' END
-  WHEN 'purchase' THEN '''after'' is null for op=''c''' END AS error_reason FROM events
+SELECT event_id, CASE event_type WHEN 'click' THEN 'no_operation' WHEN 'signup' THEN 'unknown_operation:x'
+  WHEN 'error' THEN CASE WHEN value < 30 THEN 'not_json' ELSE 'no_before_row:d' END
+  WHEN 'purchase' THEN 'no_after_row:c' END AS error_reason FROM events
 WHERE event_type != 'view' AND value <= 100""")
 def _(t):
     kind, body = c("event_type"), F.to_json(F.struct("event_id", "user_id", "value"))
@@ -203,7 +205,7 @@ def _(t):
     row = F.to_json(F.struct("event_id", F.when(c("event_type") == "purchase", c("value")).alias("amount"),
                              F.when(c("value") > 50, c("value")).alias("value")))
     rows = t.events.select("event_id", "user_id", "ts", row.alias("row_json"))
-    out = C.schema_changes(rows, "user_id", ["ts", "event_id"], "row_json", O.DAY)
+    out = C.schema_changes(rows, "user_id", ["ts", "event_id"], "row_json")
     return out.select("event_id", F.array_join("added", ",").alias("added"), F.array_join("removed", ",").alias("removed"))
 
 
@@ -260,10 +262,10 @@ def _(t):
 
 @query("cdc_15_route_by_config", HANDLERS)
 def _(t):
-    rules = [{"condition": "tombstone", "handler": "tombstone"}, {"op": "c", "table": "customers", "handler": "new_customer_alert"},
-             {"op": "u", "table": "orders", "condition": "after.status = 'shipped'", "handler": "shipping_notification"},
-             {"op": "d", "handler": "deletion_warning"}]
-    return C.route_by_config(parsed(t), rules).groupBy("handler").agg(F.count("*").alias("n"))
+    rules = [{"condition": "tombstone", "handler": "purge"}, {"op": "c", "table": "customers", "handler": "greet"},
+             {"op": "u", "table": "orders", "condition": "after.status = 'shipped'", "handler": "announce"},
+             {"op": "d", "handler": "review"}]
+    return C.route_by_config(parsed(t), rules, "rest").groupBy("handler").agg(F.count("*").alias("n"))
 
 
 @query("cdc_16_merge_replicas_lww", """

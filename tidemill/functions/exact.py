@@ -1,7 +1,8 @@
 """Order-independent sums and means of money kept as DOUBLE.
 
 Adding doubles gives a different last digit for each order of addition, so a result
-would change with the number of partitions. Adding DECIMALs does not.
+would change with the number of partitions. Adding DECIMALs does not. This is for money, whose
+values have ``scale`` digits; other numbers are to be summed as they are.
 """
 
 from pyspark.sql import Column
@@ -27,4 +28,4 @@ def exact_stddev(c: Column | str, scale: int = 2) -> Column:
     n = F.count(c)
     s = F.sum(d).cast("double")
     q = F.sum(d * d).cast("double")
-    return F.when(n > 1, F.sqrt((q - s * s / n) / (n - 1)))
+    return F.when(n > 1, F.sqrt(F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))))

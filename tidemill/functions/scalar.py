@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # The three accepted text formats of a timestamp.
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+PLAIN_SECONDS = "yyyy-MM-dd HH:mm:ss"
+ISO_FRACTION = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 US_DATE = "MM/dd/yyyy"
 US_STAMP = "MM/dd/yyyy hh:mm:ss a"
 
@@ -23,9 +25,8 @@ def parse_ts(c: Column, *formats: str) -> Column:
 
 
 def coerce_ts(c: Column, *formats: str) -> Column:
-    """Epoch milliseconds or one of the text formats; anything else is NULL."""
-    millis = F.when(c.rlike("^[0-9]{10,18}$"), F.timestamp_millis(c.try_cast("long")))
-    return F.coalesce(millis, parse_ts(c, *formats))
+    """Epoch milliseconds (any whole number) or one of the text formats; anything else is NULL."""
+    return F.coalesce(F.timestamp_millis(c.try_cast("long")), parse_ts(c, *formats))
 
 
 def date_diff_days(later: Column, earlier: Column) -> Column:
@@ -62,8 +63,11 @@ def regex_route(c: Column, pattern: str, replacement: str) -> Column:
 
 
 def surrogate_key(*cols: Column) -> Column:
-    """md5 over the business columns, NULL spelled out so that it cannot collide with ''."""
-    return F.md5(F.concat_ws("-", *[F.coalesce(c.cast("string"), F.lit("_null_")) for c in cols]))
+    """md5 over the business columns, each with its length before it and NULL as a bare mark, so that no two lists collide."""
+    def part(c: Column) -> Column:
+        text = c.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.md5(F.concat_ws(",", *[part(c) for c in cols]))
 
 
 def hex_mod(digest: Column, n: int, digits: int) -> Column:

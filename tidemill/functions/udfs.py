@@ -28,26 +28,26 @@ def weighted_mean_partials() -> Callable[[DataFrame, list[str], str, str], DataF
     """Aggregate function in two steps, so that no task ever holds a whole group.
 
     A grouped-aggregate pandas function needs a group's rows together. Instead each Arrow
-    batch yields (key, sum of w*v, sum of w), and a native sum folds those.
+    batch yields (key, sum of w*v, sum of w), and a native sum folds those. Rows without a
+    value or a weight do not count; a group of such rows has no result row.
     """
     def run(df: DataFrame, keys: list[str], value: str, weight: str) -> DataFrame:
         kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
 
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                b = b.assign(wv=(b[value] * 100).round().astype("int64") * b[weight].round().astype("int64"),
-                             w=b[weight].round().astype("int64"))
+                b = b[b[value].notna() & b[weight].notna()]
+                b = b.assign(wv=b[value].astype("float64") * b[weight].astype("float64"), w=b[weight].astype("float64"))
                 yield b.groupby(keys, as_index=False, dropna=False)[["wv", "w"]].sum()
 
-        parts = df.select(*keys, value, weight).mapInPandas(partial, f"{kinds}, wv long, w long")
-        total = F.sum(F.col("wv").cast("decimal(20,0)")).cast("double")
-        return parts.groupBy(*keys).agg((total / F.lit(100.0) / F.sum("w")).alias("weighted_mean"))
+        parts = df.select(*keys, value, weight).mapInPandas(partial, f"{kinds}, wv double, w double")
+        return parts.groupBy(*keys).agg((F.sum("wv") / F.sum("w")).alias("weighted_mean"))
     return run
 
 
 def split_words_udtf():
     """Table function: one text in, one row per word out."""
-    @F.udtf(returnType="word: string, position: int")
+    @F.udtf(returnType="word: string, position: int", useArrow=True)
     class SplitWords:
         def eval(self, text: str):
             for i, w in enumerate((text or "").split()):

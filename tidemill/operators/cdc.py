@@ -49,14 +49,12 @@ def filter_ops(parsed: DataFrame, ops: Sequence[str] | None = None, tables: Sequ
     return out
 
 
-def route_events(parsed: DataFrame, shipped: Column) -> DataFrame:
-    """Handler of each record; the first fitting rule wins."""
-    op, table = F.col("op"), F.col("source.table")
-    handler = (F.when(F.col("tombstone"), "tombstone")
-               .when((op == "c") & (table == "customers"), "new_customer_alert")
-               .when((op == "u") & (table == "orders") & shipped, "shipping_notification")
-               .when(op == "d", "deletion_warning").otherwise("default"))
-    return parsed.withColumn("handler", handler)
+def route_events(parsed: DataFrame, rules: Sequence[tuple[str, Column]], otherwise: str) -> DataFrame:
+    """Add ``handler``: the name of the first rule (name, condition) that holds for a record, else ``otherwise``."""
+    name = F.lit(otherwise)
+    for handler, condition in reversed(rules):
+        name = F.when(condition, F.lit(handler)).otherwise(name)
+    return parsed.withColumn("handler", name)
 
 
 def route_by_config(parsed: DataFrame, rules: Sequence[Mapping[str, str]], default: str = "default") -> DataFrame:
@@ -108,25 +106,26 @@ def signed_rows(parsed: DataFrame, row_fields: Sequence[str]) -> DataFrame:
     return live.select(F.explode(F.filter(F.array(plus, minus), lambda x: x.isNotNull())).alias("r")).select("r.*")
 
 
+# Which row image an operation must carry: (operations, image, checked only when strict).
+REQUIRED_IMAGES = ((("c", "r"), "after", False), (("d",), "before", False), (("u",), "after", True))
+
+
 def validate_envelope(df: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """Add ``error_reason``: NULL for a valid record or a tombstone.
+    """Add ``error_reason``, a code: NULL for a valid record or a tombstone.
 
-    ``strict`` also rejects updates without a new row.
+    ``not_json``; ``no_operation``; ``unknown_operation:<op>``; ``no_<image>_row:<op>`` where the operation must carry that
+    image. ``strict`` also asks updates for their new row.
     """
-    obj = F.try_parse_json(value)
-
     def at(name: str) -> Column:
-        return F.coalesce(F.get_json_object(value, f"$.payload.{name}"), F.get_json_object(value, f"$.{name}"))
+        return F.coalesce(*[F.get_json_object(value, f"$.{prefix}{name}") for prefix in ("payload.", "")])
+
     op = at("op")
-    reason = (F.when(F.col(value).isNull(), None)
-              .when(obj.isNull(), "JSON parse error")
-              .when(op.isNull(), "Missing 'op' field")
-              .when(~op.isin(*OPS), F.concat(F.lit("Invalid 'op' value: '"), op, F.lit("'")))
-              .when(op.isin("c", "r") & at("after").isNull(), F.concat(F.lit("'after' is null for op='"), op, F.lit("'")))
-              .when((op == "d") & at("before").isNull(), F.lit("'before' is null for op='d'")))
-    if strict:
-        reason = reason.when((op == "u") & at("after").isNull(), F.lit("'after' is null for op='u'"))
-    return df.withColumn("error_reason", reason)
+    tests = [("not_json", F.try_parse_json(value).isNull()), ("no_operation", op.isNull()),
+             (F.concat(F.lit("unknown_operation:"), op), ~op.isin(*OPS))]
+    tests += [(F.concat(F.lit(f"no_{image}_row:"), op), op.isin(*ops) & at(image).isNull())
+              for ops, image, only_strict in REQUIRED_IMAGES if strict or not only_strict]
+    found = F.coalesce(*[F.when(failed, code if isinstance(code, Column) else F.lit(code)) for code, failed in tests])
+    return df.withColumn("error_reason", F.when(F.col(value).isNotNull(), found))
 
 
 def dead_letters(checked: DataFrame, origin: Mapping[str, str]) -> DataFrame:
@@ -142,7 +141,7 @@ def event_stats(parsed: DataFrame) -> DataFrame:
         F.count_if("tombstone").alias("tombstones"), F.count("*").alias("total"))
 
 
-def schema_changes(df: DataFrame, table: str, order: Sequence[str], row_json: str, chunk: int | Column) -> DataFrame:
+def schema_changes(df: DataFrame, table: str, order: Sequence[str], row_json: str, chunk: int | Column | None = None) -> DataFrame:
     """Columns added and removed between a table's consecutive records."""
     from tidemill.operators.ordered import previous
     keyed = df.withColumn("_cols", F.array_sort(F.json_object_keys(row_json)))
@@ -200,7 +199,7 @@ TRANSITIONS = (
 
 
 def status_history(df: DataFrame, key: str, order: Sequence[str], status: str,
-                   allowed: Sequence[tuple[str, str]] = TRANSITIONS, chunk: int | Column = 86400) -> DataFrame:
+                   allowed: Sequence[tuple[str, str]] = TRANSITIONS, chunk: int | Column | None = None) -> DataFrame:
     """Status changes in order, with the seconds spent in the state before and a legality flag."""
     from tidemill.operators.ordered import micros, previous
     prev = previous(df, [key], order, {"from_status": status, "_since": order[0]}, chunk)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.functions.exact import exact_avg, exact_stddev
+
 
 @dataclass(frozen=True)
 class Check:
@@ -123,22 +125,26 @@ def _text(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True, scale: int | None = None) -> DataFrame:
     """Per column: count, nulls, distinct values, min, max, mean and deviation.
 
     Counts and sums of all columns come from one pass. Exact distinct values are counted
     from one unpivoted (column, value) list, which shuffles every different value; with
-    ``exact=False`` a sketch counts them in the one pass.
+    ``exact=False`` a sketch counts them in the one pass. Numbers are taken as they are; ``scale`` sums
+    them as DECIMALs of so many digits, which suits money.
     """
     cols = list(cols or df.columns)
     numeric = [f.name for f in df.schema.fields if f.name in cols and isinstance(f.dataType, T.NumericType)]
-    def d(c):
-        return F.col(c).cast("decimal(18,2)")
+    def mean(c):
+        return F.avg(c) if scale is None else exact_avg(c, scale)
+
+    def spread(c):
+        return F.stddev_samp(c) if scale is None else exact_stddev(c, scale)
     stats = [x for c in cols for x in (
         F.count("*").alias(f"n|{c}"), F.count_if(F.col(c).isNull()).alias(f"z|{c}"),
         F.min(c).cast("string").alias(f"lo|{c}"), F.max(c).cast("string").alias(f"hi|{c}"),
-        (F.sum(d(c)) if c in numeric else F.lit(None)).cast("double").alias(f"s|{c}"),
-        (F.sum(d(c) * d(c)) if c in numeric else F.lit(None)).cast("double").alias(f"q|{c}"),
+        (mean(c) if c in numeric else F.lit(None)).cast("double").alias(f"s|{c}"),
+        (spread(c) if c in numeric else F.lit(None)).cast("double").alias(f"q|{c}"),
         (F.lit(None).cast("long") if exact else F.approx_count_distinct(c)).alias(f"d|{c}"))]
     wide = df.agg(*stats)
     per = F.explode(F.array(*[F.struct(
@@ -147,13 +153,10 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
     rows = wide.select(per).select("p.*")
     if exact:
         rows = rows.drop("d").join(F.broadcast(_distinct_values(df, cols)), "column_name", "left")  # one row per column
-    have = F.col("n") - F.col("z")
-    var = (F.col("q") - F.col("s") * F.col("s") / have) / (have - 1)
     return rows.select(
         "column_name", F.col("n").alias("row_count"), F.col("z").alias("null_count"),
         F.coalesce("d", F.lit(0)).alias("distinct_count"), F.col("lo").alias("min_value"),
-        F.col("hi").alias("max_value"), F.when(have > 0, F.col("s") / have).alias("mean"),
-        F.when((have > 1) & var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0)))).alias("stddev"))
+        F.col("hi").alias("max_value"), F.col("s").alias("mean"), F.col("q").alias("stddev"))
 
 
 def _distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -14,18 +14,25 @@ from tidemill.sinks.files import write_clustered, write_partitioned
 
 def migrate_with_duration(source: DataFrame, ordered: str, shipped: str, write: Callable[[DataFrame], None],
                           read: Callable[[], DataFrame]) -> DataFrame:
-    """Add the shipping duration, write, read back, and fail if the row counts differ.
+    """Add the shipping duration, write, read back, and fail if the rows differ in number or value.
 
-    ``write`` and ``read`` bind the target: files, or ``write_jdbc_parallel``/``read_jdbc``.
+    Both sides fold to a row count and the sum of their rows' hashes, one pass each. ``write`` and ``read`` bind the
+    target: files, or ``write_jdbc_parallel``/``read_jdbc``.
     """
-    write(source.withColumn("shipping_duration", date_diff_days(F.col(shipped), F.col(ordered))))
+    rows = source.withColumn("shipping_duration", date_diff_days(F.col(shipped), F.col(ordered)))
+    write(rows)
     target = read()
-    a, b = source.count(), target.count()
+    a, b = (_fingerprint(df.select(*rows.columns)) for df in (rows, target))
     if a != b:
-        raise ValueError(f"target has {b} rows, source {a}")
+        raise ValueError(f"target has {b[0]} rows, source {a[0]}" if a[0] != b[0] else "target and source differ in values")
     return target
 
 
+def _fingerprint(df: DataFrame) -> tuple:
+    sums = [F.sum(F.xxhash64(*[F.struct(F.lit(seed)), *df.columns]).cast("decimal(20,0)")) for seed in (1, 2)]
+    return tuple(df.agg(F.count("*"), *sums).first())
+
+
 def reconcile(source: DataFrame, target: DataFrame, key: str, fields: list[str]) -> DataFrame:
     return compare_replica(source, target, key, fields)
 
