@@ -131,13 +131,6 @@ def test_interval_join_bounds_are_inclusive(spark):
     assert values(J.window_join(left, right, [("k", "j")], "lt", "rt", 1), "s") == [-1, 0]
 
 
-def test_small_hint_only_below_the_bound(spark, monkeypatch):
-    df = spark.range(10)
-    assert "broadcast" in J.small(df)._jdf.queryExecution().logical().toString()
-    monkeypatch.setattr(J, "BROADCAST_BYTES", 1)
-    assert "broadcast" not in J.small(df)._jdf.queryExecution().logical().toString()
-
-
 # ---- windows
 
 def test_session_edge(spark):
@@ -155,7 +148,7 @@ def test_session_across_chunk_borders(spark):
     t0 = ts("2024-01-01T23:50:00")
     rows = [("u", t0 + dt.timedelta(minutes=4 * i)) for i in range(40)] + [("u", t0 + dt.timedelta(hours=30))]
     df = spark.createDataFrame(rows, "u string, t timestamp")
-    for chunk in (60, 600, 86400):
+    for chunk in (1, 3, 7):
         got = values(W.session(df, "t", 300, ["u"], {"n": ("count", F.lit(1))}, chunk=chunk), "n")
         assert got == [1, 40]
 
@@ -177,13 +170,13 @@ def test_fold_with_delete_and_tombstone(spark):
 
 
 def test_envelope_reasons(spark):
-    rows = [('{"garbage": "x"}', "Missing 'op' field"), ("{oops", "JSON parse error"), ('{"op":"x"}', "Invalid 'op' value: 'x'"),
-            ('{"op":"c","after":null}', "'after' is null for op='c'"), ('{"op":"d"}', "'before' is null for op='d'"),
+    rows = [('{"garbage": "x"}', "no_operation"), ("{oops", "not_json"), ('{"op":"x"}', "unknown_operation:x"),
+            ('{"op":"c","after":null}', "no_after_row:c"), ('{"op":"d"}', "no_before_row:d"),
             ('{"op":"u"}', None), (None, None), ('{"payload":{"op":"r","after":{"id":1}}}', None)]
     df = spark.createDataFrame(rows, "value string, want string").coalesce(1)
     assert all(r.error_reason == r.want for r in C.validate_envelope(df).collect())
     strict = C.validate_envelope(df, strict=True).where("want IS NULL AND error_reason IS NOT NULL").collect()
-    assert [r.error_reason for r in strict] == ["'after' is null for op='u'"]
+    assert [r.error_reason for r in strict] == ["no_after_row:u"]
 
 
 def test_row_level_and_field_level_merge(spark):
@@ -254,7 +247,7 @@ def test_soft_delete_and_return(spark):
 def test_scd2_intervals_do_not_overlap(spark):
     days = [ts(f"2024-01-{d:02d}T00:00:00") for d in range(1, 9)]
     log = [("k", "ABBACCAA"[i], days[i], i) for i in range(8)]
-    hist = N.scd2_history(spark.createDataFrame(log, "k string, v string, at timestamp, n int"), "k", ["v"], "at", "n", chunk=86400)
+    hist = N.scd2_history(spark.createDataFrame(log, "k string, v string, at timestamp, n int"), "k", ["v"], "at", "n", chunk=2)
     rows = sorted(hist.collect(), key=lambda r: r.valid_from)
     assert [r.v for r in rows] == ["A", "B", "A", "C", "A"]
     assert all(a.valid_to == b.valid_from for a, b in zip(rows, rows[1:])) and rows[-1].valid_to is None

@@ -115,7 +115,7 @@ def test_every_nth_stream(spark, work):
     for part in (rows_[:77], rows_[77:]):
         land(spark, folder, part)
         K.append_stream(X.publish_every_n_stream(stream(spark, folder), "u", ["t", "id"], "v", 3), out, ckpt)
-    batch = X.publish_every_n(spark.read.schema(DDL).parquet(folder), "u", ["t", "id"], c("v"), 3, chunk=600)
+    batch = X.publish_every_n(spark.read.schema(DDL).parquet(folder), "u", ["t", "id"], c("v"), 3, chunk=3)
     assert rows(spark.read.parquet(out), "u", "alert_count", "total_cents") == rows(batch, "u", "alert_count", "total")
 
 

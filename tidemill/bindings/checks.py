@@ -110,7 +110,7 @@ def _profile_sql():
 
 @query("dq_10_profile", f"SELECT column_name, row_count, null_count, distinct_count, min_value, max_value, round(mean, 6) AS mean, round(stddev, 3) AS stddev FROM ({_profile_sql()})")
 def _(t):
-    out = Q.profile(t.orders, list(PROFILE_COLS))
+    out = Q.profile(t.orders, list(PROFILE_COLS), scale=2)
     return out.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 3))
 
 
@@ -119,7 +119,7 @@ WITH p AS ({_profile_sql()}) SELECT column_name, 'is_not_null' AS function, '' A
 UNION ALL SELECT column_name, 'is_in_list', CAST(distinct_count AS VARCHAR) FROM p WHERE distinct_count <= 10
 UNION ALL SELECT column_name, 'is_in_range', min_value || '..' || max_value FROM p WHERE mean IS NOT NULL""")
 def _(t):
-    return Q.suggest_rules(Q.profile(t.orders, list(PROFILE_COLS)))
+    return Q.suggest_rules(Q.profile(t.orders, list(PROFILE_COLS), scale=2))
 
 
 @query("dq_12_metric_checks", """

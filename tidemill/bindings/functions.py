@@ -11,7 +11,6 @@ from tidemill.functions import scalar as S
 from tidemill.functions import udfs as U
 from tidemill.functions.exact import exact_sum
 from tidemill.operators import joins as J
-from tidemill.session import spread
 
 c = F.col
 
@@ -29,14 +28,19 @@ def _(t):
 
 @query("fun_02_coerce_ts", """
 SELECT event_id, CASE event_type WHEN 'view' THEN date_trunc('millisecond', ts) WHEN 'click' THEN date_trunc('second', ts)
-  WHEN 'signup' THEN date_trunc('day', ts) WHEN 'purchase' THEN date_trunc('second', ts) END AS at FROM events""")
+  WHEN 'signup' THEN date_trunc('day', ts) WHEN 'purchase' THEN CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts)
+    WHEN 1 THEN date_trunc('second', ts) ELSE date_trunc('millisecond', ts) END
+  WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '1970-01-01' - INTERVAL 1 SECOND * event_id END END AS at FROM events""")
 def _(t):
     kind, ts = c("event_type"), c("ts")
     raw = (F.when(kind == "view", F.unix_millis(ts.cast("timestamp")).cast("string"))
            .when(kind == "click", F.date_format(ts, S.ISO_SECONDS)).when(kind == "signup", F.date_format(ts, S.US_DATE))
-           .when(kind == "purchase", F.date_format(ts, S.US_STAMP)).otherwise("not a time"))
+           .when((kind == "purchase") & (c("event_id") % 3 == 0), F.date_format(ts, S.US_STAMP))
+           .when((kind == "purchase") & (c("event_id") % 3 == 1), F.date_format(ts, S.PLAIN_SECONDS))
+           .when(kind == "purchase", F.date_format(ts, S.ISO_FRACTION))
+           .when(c("event_id") % 2 == 0, (c("event_id") * -1000).cast("string")).otherwise("not a time"))
     return t.events.select("event_id", raw.alias("raw")).select(
-        "event_id", S.coerce_ts(c("raw"), S.ISO_SECONDS, S.US_DATE, S.US_STAMP).alias("at"))
+        "event_id", S.coerce_ts(c("raw"), S.ISO_SECONDS, S.US_DATE, S.US_STAMP, S.PLAIN_SECONDS, S.ISO_FRACTION).alias("at"))
 
 
 @query("fun_03_date_diff_days", """
@@ -71,9 +75,12 @@ def _(t):
     return t.events.select("event_id", S.day_suffix(c("event_type"), c("ts")).alias("topic"))
 
 
-@query("fun_07_current_ts_columns")
+@query("fun_07_current_ts_columns", """SELECT COUNT(*) AS n, COUNT(*) AS stamped, COUNT(*) AS dated, CAST(1 AS BIGINT) AS stamps FROM orders""")
 def _(t):
-    return t.orders.select("*", F.current_timestamp().alias("loaded_at"), F.current_date().alias("load_date"))
+    loaded = t.orders.select("*", F.current_timestamp().alias("loaded_at"), F.current_date().alias("load_date"))
+    # what can be said of a clock: every row has one and the same stamp, and its date is the load date
+    return loaded.agg(F.count("*").alias("n"), F.count("loaded_at").alias("stamped"),
+                      F.count_if(c("loaded_at").cast("date") == c("load_date")).alias("dated"), F.count_distinct("loaded_at").alias("stamps"))
 
 
 @query("fun_08_concat_name", """
@@ -88,7 +95,7 @@ SELECT doc_id, md5(upper(replace(text, 'ß', 'ss'))) AS upper_digest, length(tex
   CASE WHEN trim(text, E' \t\n\r') = '' THEN 0 ELSE len(regexp_split_to_array(trim(text, E' \t\n\r'), '[ \t\n\r]+')) END::INTEGER AS words
 FROM documents""")
 def _(t):
-    return spread(t.documents).select("doc_id", F.md5(F.upper("text")).alias("upper_digest"),
+    return t.documents.select("doc_id", F.md5(F.upper("text")).alias("upper_digest"),
                               F.length("text").alias("chars"), S.count_words(c("text")).alias("words"))
 
 
@@ -114,8 +121,8 @@ def _(t):
 
 
 @query("fun_12_surrogate_key", """
-SELECT l_orderkey, l_linenumber, l_partkey, md5(concat_ws('-', l_orderkey::VARCHAR, l_partkey::VARCHAR, l_linenumber::VARCHAR,
-  COALESCE(NULLIF(l_returnflag, 'N'), '_null_'))) AS sk FROM lineitem""")
+SELECT l_orderkey, l_linenumber, l_partkey, md5(concat_ws(',', length(l_orderkey::VARCHAR) || ':' || l_orderkey, length(l_partkey::VARCHAR) || ':' || l_partkey,
+  length(l_linenumber::VARCHAR) || ':' || l_linenumber, COALESCE('1:' || NULLIF(l_returnflag, 'N'), '-'))) AS sk FROM lineitem""")
 def _(t):
     flag = F.nullif("l_returnflag", F.lit("N"))
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", S.surrogate_key(
@@ -148,9 +155,9 @@ def _(t):
 @query("fun_15_null_handling", """
 SELECT c_custkey, o_orderkey, COALESCE(o_totalprice, 0) AS amount, NULLIF(o_orderpriority, '1-URGENT') AS priority,
        COALESCE(o_orderstatus, 'none') AS status
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) ON o_custkey = c_custkey""")
+FROM customer LEFT JOIN orders ON o_custkey - o_custkey % 3 = c_custkey""")
 def _(t):
-    joined = t.customer.join(t.orders.where("o_totalprice > 450000"), c("c_custkey") == c("o_custkey"), "left")
+    joined = t.customer.join(t.orders, c("c_custkey") == c("o_custkey") - c("o_custkey") % 3, "left")
     return joined.select("c_custkey", "o_orderkey", F.coalesce("o_totalprice", F.lit(0.0)).alias("amount"),
                          F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("priority"),
                          F.coalesce("o_orderstatus", F.lit("none")).alias("status"))
@@ -188,15 +195,15 @@ SELECT doc_id, word, COUNT(*) AS n FROM
 
 @query("fun_19_explode_words", WORDS)
 def _(t):
-    words = spread(t.documents).select("doc_id", F.explode(S.words_of(c("text"))).alias("word"))
+    words = t.documents.select("doc_id", F.explode(S.words_of(c("text"))).alias("word"))
     return words.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
 @query("fun_20_array_ops", """
-WITH a AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS types FROM events WHERE value > 100 GROUP BY 1)
+WITH a AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS types FROM events GROUP BY 1)
 SELECT user_id, len(types)::INTEGER AS n, list_contains(types, 'purchase') AS buys, array_to_string(types, '|') AS joined FROM a""")
 def _(t):
-    types = t.events.where("value > 100").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
+    types = t.events.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
     return types.select("user_id", F.size("types").alias("n"), F.array_contains("types", "purchase").alias("buys"),
                         F.array_join("types", "|").alias("joined"))
 
@@ -354,10 +361,12 @@ def _(t):
 
 
 @query("udf_02_aggregate", f"""
-SELECT l_suppkey, CAST(SUM({DEC2('l_extendedprice')} * {DEC2('l_quantity')}) AS DOUBLE) / {dsum('l_quantity')} AS weighted_mean
-FROM lineitem GROUP BY 1""")
+SELECT l_suppkey, round(SUM(l_extendedprice * (l_quantity + 0.25)) / SUM(l_quantity + 0.25), 4) AS weighted_mean
+FROM lineitem WHERE l_returnflag != 'N' GROUP BY 1""")
 def _(t):
-    return U.weighted_mean_partials()(t.lineitem, ["l_suppkey"], "l_extendedprice", "l_quantity")
+    rows = t.lineitem.select("l_suppkey", (c("l_quantity") + 0.25).alias("weight"),  # fractional weights, and rows without a value
+                             F.when(c("l_returnflag") != "N", c("l_extendedprice")).alias("price"))
+    return U.weighted_mean_partials()(rows, ["l_suppkey"], "price", "weight").withColumn("weighted_mean", F.round("weighted_mean", 4))
 
 
 @query("udf_03_table", r"""

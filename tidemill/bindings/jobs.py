@@ -87,7 +87,7 @@ f AS (SELECT date_trunc('day', ts) AS day, {davg('v', 3)} AS fm, sqrt((CAST(SUM(
  - {dsum('v', 3)} * {dsum('v', 3)} / COUNT(v)) / (COUNT(v) - 1)) AS sd FROM x GROUP BY 1)
 SELECT day, user_id, lowest, highest, mean, abs(mean - fm) > 2 * sd AS anomaly FROM s JOIN f USING (day)""")
 def _(t):
-    _, stats = N.turbine_pipeline(_readings(t), "user_id", "ts", "power", 0, 300)
+    _, stats = N.turbine_pipeline(_readings(t), "user_id", "ts", "power", 0, 300, scale=3)
     return stats.drop("fleet_mean", "fleet_sd")
 
 
@@ -248,7 +248,7 @@ SELECT * FROM k WHERE anomaly IS NOT NULL""")
 def _(t):
     rows = t.events.select("event_id", "user_id", "ts", F.when(c("value") < 0.5, None).otherwise(c("value")).alias("reading"),
                            F.when(c("event_type") == "error", 200.0).otherwise(350.0).alias("hi"))
-    out = N.sensor_anomalies(rows, "user_id", ["ts", "event_id"], "reading", F.lit(0.0), c("hi"), 20, 3.0, block=1000)
+    out = N.sensor_anomalies(rows, "user_id", ["ts", "event_id"], "reading", F.lit(0.0), c("hi"), 20, 3.0, block=1000, scale=2)
     return out.select("event_id", "user_id", "anomaly")
 
 
@@ -261,7 +261,7 @@ KINDS = {"view": "cart.item_added", "click": "cart.item_quantity_changed", "erro
 def _cart_events(t):
     kind = S.map_lookup(c("event_type"), KINDS)
     item = kind.startswith("cart.item")
-    product = F.substring(F.get_json_object("props", "$.k"), 1, 1)
+    product = F.get_json_object("props", "$.k")
     return t.events.select(
         c("user_id").alias("cart"), "ts", c("event_id").alias("id"), kind.alias("type"), F.when(item, product).alias("product"),
         F.when(kind == "cart.item_added", 1).when(kind == "cart.item_quantity_changed", 3).alias("quantity"),
@@ -271,7 +271,7 @@ def _cart_events(t):
         F.when(~item, F.when(c("value") > 30, 10.0).otherwise(5.0)).alias("discount_value"))
 
 
-CART = """WITH e AS (SELECT * FROM events WHERE ts <= TIMESTAMP '{as_of}'), i AS (SELECT user_id, substr(json_extract_string(props, '$.k'), 1, 1) AS product,
+CART = """WITH e AS (SELECT * FROM events WHERE ts <= TIMESTAMP '{as_of}'), i AS (SELECT user_id, json_extract_string(props, '$.k') AS product,
  MAX(CASE WHEN event_type = 'view' THEN (ts, event_id) END) AS a, MAX(CASE WHEN event_type = 'error' THEN (ts, event_id) END) AS r,
  MAX(CASE WHEN event_type = 'click' THEN (ts, event_id) END) AS ch, arg_max(value, CASE WHEN event_type = 'view' THEN (ts, event_id) END) AS price
  FROM e WHERE event_type IN ('view', 'click', 'error') GROUP BY 1, 2),

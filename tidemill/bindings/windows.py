@@ -116,14 +116,12 @@ def _(t):
 
 
 @query("win_09_gap_fill", f"""
-WITH h AS (SELECT date_trunc('hour', ts) AS window_start, COUNT(*) AS n, {dsum('value')} AS total FROM events
-           WHERE event_type = 'purchase' GROUP BY 1),
-s AS (SELECT unnest(generate_series((SELECT MIN(window_start) FROM h), (SELECT MAX(window_start) FROM h), INTERVAL 1 HOUR)) AS window_start)
+WITH h AS (SELECT date_trunc('minute', ts) AS window_start, COUNT(*) AS n, {dsum('value')} AS total FROM events GROUP BY 1),
+s AS (SELECT unnest(generate_series((SELECT MIN(window_start) FROM h), (SELECT MAX(window_start) FROM h), INTERVAL 1 MINUTE)) AS window_start)
 SELECT window_start, COALESCE(n, 0) AS n, COALESCE(total, 0) AS total FROM s LEFT JOIN h USING (window_start)""")
 def _(t):
-    hours = W.tumbling(t.events.where("event_type = 'purchase'"), "ts", "1 hour", n=F.count("*"),
-                       total=exact_sum("value")).drop("window_end")
-    return W.gap_fill(hours, "window_start", "1 hour", {"n": 0, "total": 0.0})
+    minutes = W.tumbling(t.events, "ts", "1 minute", n=F.count("*"), total=exact_sum("value")).drop("window_end")
+    return W.gap_fill(minutes, "window_start", "1 minute", {"n": 0, "total": 0.0})
 
 
 @query("win_10_multi_resolution", f"""
@@ -209,14 +207,14 @@ def _(t):
 
 
 @query("ana_07_consecutive_condition", f"""
-WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hour, {davg('value')} AS mean_value FROM events GROUP BY 1, 2),
-r AS (SELECT *, mean_value < 45 AS hit, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY hour)
-      - ROW_NUMBER() OVER (PARTITION BY event_type, mean_value < 45 ORDER BY hour) AS run FROM h)
-SELECT event_type, MIN(hour) AS run_start, MAX(hour) AS run_end, COUNT(*) AS periods FROM r WHERE hit
-GROUP BY event_type, run HAVING COUNT(*) >= 3""")
+WITH h AS (SELECT event_type, time_bucket(INTERVAL 30 MINUTE, ts) AS slot, {davg('value')} AS mean_value FROM events GROUP BY 1, 2),
+p AS (SELECT *, LAG(slot) OVER (PARTITION BY event_type ORDER BY slot) AS before FROM h WHERE mean_value < 45),
+r AS (SELECT *, SUM(CASE WHEN before = slot - INTERVAL 30 MINUTE THEN 0 ELSE 1 END) OVER (PARTITION BY event_type ORDER BY slot) AS run FROM p)
+SELECT event_type, MIN(slot) AS run_start, MAX(slot) AS run_end, COUNT(*) AS periods FROM r
+GROUP BY event_type, run HAVING COUNT(*) >= 2""")
 def _(t):
-    hours = A.group_agg(t.events, ["event_type", F.date_trunc("hour", "ts").alias("hour")], mean_value=exact_avg("value"))
-    return N.consecutive_condition(hours, ["event_type"], "hour", c("mean_value") < 45, 3)
+    slots = A.group_agg(t.events, ["event_type", F.window("ts", "30 minutes")["start"].alias("slot")], mean_value=exact_avg("value"))
+    return N.consecutive_condition(slots, ["event_type"], "slot", c("mean_value") < 45, 2, 1800)
 
 
 @query("ana_08_cumulative_metrics", f"""
@@ -238,7 +236,7 @@ SELECT o_orderkey, o_custkey, CAST(SUM({DEC2('o_totalprice')}) OVER w AS DOUBLE)
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)""")
 def _(t):
     out = O.running(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], {
-        "running_amount": ("sum", c("o_totalprice").cast("decimal(18,2)")), "order_no": ("count", F.lit(1))}, chunk=365 * O.DAY)
+        "running_amount": ("sum", c("o_totalprice").cast("decimal(18,2)")), "order_no": ("count", F.lit(1))})
     return out.select("o_orderkey", "o_custkey", c("running_amount").cast("double").alias("running_amount"), "order_no")
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.exact import dec
 from tidemill.operators.relational import top_n_per_group
-from tidemill.session import spread
 
 
 def group_agg(df: DataFrame, keys: Sequence[Column | str], **aggs: Column) -> DataFrame:
@@ -79,7 +78,7 @@ def count_distinct_twice_grouped(df: DataFrame, keys: Sequence[str], member: str
 
 def word_count(df: DataFrame, text: str, strip: str) -> DataFrame:
     """Lower-cased words with punctuation stripped at both ends, counted."""
-    words = spread(df.select(text)).select(F.explode(F.split(F.lower(F.col(text)), "[ \t\n\r]+")).alias("raw"))
+    words = df.select(text).select(F.explode(F.split(F.lower(F.col(text)), "[ \t\n\r]+")).alias("raw"))
     return (words.select(F.btrim("raw", F.lit(strip)).alias("word"))
             .where(F.col("word") != "").groupBy("word").agg(F.count("*").alias("n")))
 
@@ -100,9 +99,15 @@ def last_n_reasons(df: DataFrame, key: str, order: Sequence[str], reason: str, r
             .withColumn("avg_risk", F.col("total_risk") / F.col("alert_count")))
 
 
-def weighted_avg(value: Column, weight: Column) -> Column:
-    w = dec(weight)
-    return F.sum(dec(value) * w).cast("double") / F.sum(w).cast("double")
+def weighted_avg(value: Column, weight: Column, scale: int | None = None) -> Column:
+    """Sum of value times weight over the sum of weights, of rows that have both.
+
+    Numbers are taken as they are; ``scale`` sums them as DECIMALs of so many digits instead, which for money makes
+    the result independent of the order of addition.
+    """
+    v, w = (value, weight) if scale is None else (dec(value, scale), dec(weight, scale))
+    both = value.isNotNull() & weight.isNotNull()
+    return F.sum(F.when(both, v * w)).cast("double") / F.sum(F.when(both, w)).cast("double")
 
 
 def mode_by_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

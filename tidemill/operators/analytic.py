@@ -17,7 +17,7 @@ def first_entry(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return top_n_per_group(df, keys, [F.col(o) for o in order], 1).drop("rn")
 
 
-def changed_from_previous(df: DataFrame, key: str, order: Sequence[str], col: str, chunk: int = O.DAY) -> DataFrame:
+def changed_from_previous(df: DataFrame, key: str, order: Sequence[str], col: str, chunk: int | Column | None = None) -> DataFrame:
     """Rows whose value differs from the key's row before, with that value."""
     prev = O.previous(df, [key], order, {f"prev_{col}": col}, chunk)
     return prev.where(F.col(f"prev_{col}").isNotNull() & (F.col(f"prev_{col}") != F.col(col)))
@@ -60,22 +60,21 @@ def leaderboard_by_period(df: DataFrame, period: Column, player: str, score: str
     return top_n_per_group(totals, ["period"], [F.col("total_score").desc(), F.col(player)], k, "place")
 
 
-def rolling_sum_range(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, chunk: int = O.DAY,
+def rolling_sum_range(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, chunk: int | Column | None = None,
                       **specs: tuple[str, Column]) -> DataFrame:
     return O.trailing_range(df, keys, ts, seconds, specs, chunk)
 
 
-def consecutive_condition(periods: DataFrame, keys: Sequence[str], order: str, condition: Column, n: int) -> DataFrame:
-    """Runs of at least n consecutive periods in which the condition held.
+def consecutive_condition(periods: DataFrame, keys: Sequence[str], order: str, condition: Column, n: int, seconds: int) -> DataFrame:
+    """Runs of at least n consecutive periods of ``seconds`` each in which the condition held.
 
-    Works on one row per period, i.e. after an aggregate. A period's row number minus its
-    row number among equal outcomes is constant along a run.
+    Works on one row per period, i.e. after an aggregate. The number of a period less its row number among those that
+    held is constant along a run, so a missing period ends it as one that failed does.
     """
-    flagged = periods.withColumn("_hit", condition)
-    every = Window.partitionBy(*keys).orderBy(order)
-    same = Window.partitionBy(*keys, "_hit").orderBy(order)
-    marked = flagged.withColumn("_run", F.row_number().over(every) - F.row_number().over(same))
-    return (marked.where("_hit").groupBy(*keys, "_run")
+    held = periods.where(condition)
+    number = F.floor(O.micros(order) / F.lit(seconds * 1_000_000)).cast("long")
+    marked = held.withColumn("_run", number - F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    return (marked.groupBy(*keys, "_run")
             .agg(F.min(order).alias("run_start"), F.max(order).alias("run_end"), F.count("*").alias("periods"))
             .where(F.col("periods") >= n).drop("_run"))
 

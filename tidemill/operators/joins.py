@@ -1,8 +1,8 @@
 """Joins: equi, star, interval, as-of and lookup.
 
 Small sides are left to AQE, which broadcasts a side once its measured size is below
-``spark.sql.autoBroadcastJoinThreshold`` and splits skewed partitions otherwise. A side is
-hinted here only when its size is bounded by a fixed list (see ``small``).
+``spark.sql.autoBroadcastJoinThreshold`` and splits skewed partitions otherwise. Nothing is
+hinted here.
 """
 
 from __future__ import annotations
@@ -12,15 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.ordered import DAY, micros, running
-from tidemill.session import plan_bytes
-
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast if the optimizer's own size estimate is below a fixed bound."""
-    return F.broadcast(df) if plan_bytes(df) <= BROADCAST_BYTES else df
+from tidemill.operators.ordered import micros, running
 
 
 def inner_join(a: DataFrame, b: DataFrame, on) -> DataFrame:
@@ -32,9 +24,9 @@ def left_join(a: DataFrame, b: DataFrame, on) -> DataFrame:
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Column | str | list[str]]]) -> DataFrame:
-    """Join a fact to its dimensions; those of a proven small size are broadcast."""
+    """Join a fact to its dimensions one after the other."""
     for dim, on in dims:
-        fact = fact.join(small(dim), on, "inner")
+        fact = fact.join(dim, on, "inner")
     return fact
 
 
@@ -94,10 +86,10 @@ def lookup_enrich(facts: DataFrame, dim: DataFrame, on: Column, defaults: Mappin
 
 
 def asof_lookup(left: DataFrame, right: DataFrame, key: str, lt: str, rt: str, cols: Mapping[str, str],
-                left_id: str, right_id: str, chunk: int = DAY, right_key: str | None = None) -> DataFrame:
+                left_id: str, right_id: str, chunk: int | Column | None = None, right_key: str | None = None) -> DataFrame:
     """For each left row, the newest right row of its key with ``rt <= lt``.
 
-    Both sides go into one ordered list and the last right row is carried forward, so the
+    A NULL key meets nothing: such a left row stays without a match.     Both sides go into one ordered list and the last right row is carried forward, so the
     cost is a sort per (key, chunk) and never key-size squared.
     """
     held = F.struct(*[F.col(src).alias(new) for new, src in cols.items()])
@@ -105,7 +97,7 @@ def asof_lookup(left: DataFrame, right: DataFrame, key: str, lt: str, rt: str, c
     a = left.select(F.col(key).alias("_k"), F.col(lt).alias("_t"), F.lit(1).alias("_side"),
                     F.col(left_id).cast("long").alias("_id"), F.struct(*left_cols).alias("_left"),
                     F.lit(None).cast(right.select(held).schema[0].dataType).alias("_held"))
-    b = right.select(F.col(right_key or key).alias("_k"), F.col(rt).alias("_t"), F.lit(0).alias("_side"),
+    b = right.where(F.col(right_key or key).isNotNull()).select(F.col(right_key or key).alias("_k"), F.col(rt).alias("_t"), F.lit(0).alias("_side"),
                      F.col(right_id).cast("long").alias("_id"),
                      F.lit(None).cast(a.schema["_left"].dataType).alias("_left"), held.alias("_held"))
     both = a.unionByName(b)
@@ -121,9 +113,15 @@ def anti_join_new(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
 
 
 def not_in_subquery(df: DataFrame, col: str, sub: DataFrame, sub_col: str) -> DataFrame:
-    """SQL ``NOT IN``: one NULL in the subquery leaves no rows at all."""
+    """SQL ``NOT IN``: one NULL in the subquery leaves no rows; an empty subquery leaves all.
+
+    A plain anti join, with counts of the subquery as scalar guards, so that no size forces a broadcast.
+    """
+    values = sub.select(F.col(sub_col).alias("_not_in"))
+    kept = df.join(values, F.col(col) == F.col("_not_in"), "left_anti")
     return df.sparkSession.sql(
-        f"SELECT * FROM {{df}} WHERE `{col}` NOT IN (SELECT `{sub_col}` FROM {{sub}})", df=df, sub=sub)
+        f"SELECT * FROM {{kept}} WHERE (SELECT count(*) FROM {{sub}}) = 0"
+        f" OR (`{col}` IS NOT NULL AND (SELECT count_if(`{sub_col}` IS NULL) FROM {{sub}}) = 0)", kept=kept, sub=sub)
 
 
 def semi_join_exists(df: DataFrame, ref: DataFrame, on: Column) -> DataFrame:

@@ -1,18 +1,18 @@
 """Running values along an ordered key, safe when one key holds much of the table.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a key's whole history in one task.
-Here each key is cut into time chunks. Every (key, chunk) folds to one summary row; a
-short window over those gives each chunk the state carried in from the chunks before it.
-That state joins the rows as one more row, sorted first, and a window inside (key, chunk)
-does the rest: one shuffle of the rows, no join. The chunk is a function of the row alone,
-so a lost executor recomputes the same split.
-
-The input is read twice (rows and summaries; the second read takes few columns), so a step
-that follows another such step should start from a written table (``session.materialize``).
-
-``chunk`` is the widest chunk in seconds. On a large table the rows of the fullest (key,
-chunk) are counted first and the width is cut until they fit a task (see ``cut``). Order
-columns must make rows unique within a key where the result depends on it.
+Here the table is written once in sorted ranges of (key, order); a range is a chunk, so a key,
+or even one time of a key, spreads over as many ranges as its rows fill. Every (key, chunk) folds
+to one summary row; a short window over those gives each chunk the state carried in from the
+chunks before it. That state joins the rows as one more row, sorted first, and a window
+inside (key, chunk) does the rest. The same happens at every size of the table.
+
+The written copy holds the columns of the table given, so give it only what is needed.
+A lost executor costs a re-read of the copy. Order columns must make rows unique within a
+key where the result depends on it.
+
+``chunk`` is the number of ranges (the session's shuffle partitions if not given), or a column
+that grows with the order and is taken as the chunk.
 """
 
 from __future__ import annotations
@@ -23,12 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.session import materialize, plan_bytes
+from tidemill.session import materialize
 
 HOUR, DAY = 3600, 86400
-SMALL_BYTES = 256 * 1024 * 1024  # a table of this size fits a task even if it is one group
-TASK_ROWS = 4_000_000  # most rows of one (key, chunk)
-KEY_CHUNKS = 1_000_000  # most chunks of one key
 
 
 def micros(c: Column | str) -> Column:
@@ -42,58 +39,31 @@ def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame
     return a.join(b, on).drop(*[f"_r_{k}" for k in keys])
 
 
-def chunk_of(ts: str, seconds: int) -> Column:
-    return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
+def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: int | Column | None = None) -> DataFrame:
+    """Add ``_chunk``, a number that grows along the order within each key.
 
-
-def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: int | Column = DAY) -> DataFrame:
-    """Add ``_chunk``, a number that grows along the order and keeps every (key, chunk) small.
-
-    ``order[0]`` is a time, or a number of microseconds. A small table takes the given
-    width. On a large one the fullest (key, chunk) is counted (a partial aggregate over few
-    columns) and the width narrowed until it holds at most ``TASK_ROWS``. Where that does
-    not do, because many rows share a time or a burst would need too many chunks, the table
-    is written once in sorted ranges of (key, order), each of which is a chunk. A column is
-    taken as it is.
+    The table is written in sorted ranges of (key, order), which sampling makes about equal in rows.
+    A column is taken as it is.
     """
     if isinstance(chunk, Column):
         return df.withColumn("_chunk", chunk)
-    numeric = isinstance(df.schema[order[0]].dataType, T.NumericType)
-
-    def at_width(seconds: int) -> DataFrame:
-        part = F.floor(F.col(order[0]) / F.lit(seconds * 1_000_000)).cast("long") if numeric else chunk_of(order[0], seconds)
-        return df.withColumn("_chunk", part)
-
-    if plan_bytes(df) <= SMALL_BYTES:
-        return at_width(chunk)
-    for _ in range(3):
-        sizes = at_width(chunk).groupBy(*keys, "_chunk").agg(F.count("*").alias("n"))
-        per = sizes.groupBy(*keys).agg(F.max("n").alias("most"), F.sum("n").alias("rows"), F.count("*").alias("chunks"))
-        most, rows, chunks = per.agg(F.max("most"), F.sum("rows"), F.max("chunks")).first()
-        if not rows or (most <= TASK_ROWS and chunks <= KEY_CHUNKS):
-            return at_width(chunk)
-        if chunk == 1 or chunks > KEY_CHUNKS:
-            break
-        chunk = max(1, int(chunk * TASK_ROWS / most / 2))
-    ranges = df.repartitionByRange(2 + 2 * rows // TASK_ROWS, *keys, *order)
+    n = chunk or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.repartitionByRange(n, *keys, *order)
     return materialize(ranges.withColumn("_chunk", F.spark_partition_id().cast("long")), "ranges")
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Mapping[str, tuple[str, Column]],
-            chunk: int | Column = DAY, inclusive: bool = True, peers: bool = False) -> DataFrame:
+            chunk: int | Column | None = None, inclusive: bool = True) -> DataFrame:
     """Add running columns: ``specs`` maps a new name to (kind, column).
 
     Kinds are sum, count, min, max and last (newest non-null value). With
-    ``inclusive=False`` the current row is left out, so ``last`` gives the row before; with
-    ``peers`` all rows of equal order count as reached together. ``order[0]`` is the time
-    column that is cut into chunks, unless ``chunk`` is a column that grows with the order.
+    ``inclusive=False`` the current row is left out, so ``last`` gives the row before.
     """
     chunked = cut(df, keys, order, chunk)
     folds = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     value, total, carry, out = {}, [], [], {}
     within = Window.partitionBy(*keys, "_chunk").orderBy("_rowkind", *order)
-    within = (within.rangeBetween(Window.unboundedPreceding, Window.currentRow) if peers else
-              within.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+    within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     for name, (kind, c) in specs.items():
         v = f"_v_{name}"
@@ -120,7 +90,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Map
 
 
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Mapping[str, str],
-             chunk: int | Column = DAY) -> DataFrame:
+             chunk: int | Column | None = None) -> DataFrame:
     """Add columns holding the row before's values (``cols``: new name -> source)."""
     held = F.struct(*[F.col(src).alias(new) for new, src in cols.items()])
     out = running(df, keys, order, {"_prev": ("last", held)}, chunk, inclusive=False)
@@ -128,19 +98,19 @@ def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Map
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
-             chunk: int | Column = DAY) -> DataFrame:
+             chunk: int | Column | None = None) -> DataFrame:
     """1-based row number along the order."""
     return running(df, keys, order, {name: ("count", F.lit(1))}, chunk)
 
 
 def trailing_range(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, specs: Mapping[str, tuple[str, Column]],
-                   chunk: int = DAY) -> DataFrame:
+                   chunk: int | Column | None = None) -> DataFrame:
     """Sums and counts over the trailing time range [ts - seconds, ts] of each key.
 
     ``specs`` maps a new name to (sum | count, column); sums should be of DECIMAL or whole
-    numbers. A row's value is added at its time and taken away just after the range, and the
-    total at a time is the running sum of both: each row is met twice, however many rows
-    its range holds.
+    numbers. A row's value is added at its time and taken away just after the range. The
+    additions fold to one row per key and time, and the total at a time is their running
+    sum: the cost does not grow with the rows of a range, or of one time.
     """
     for kind, _ in specs.values():
         if kind not in ("sum", "count"):
@@ -150,20 +120,20 @@ def trailing_range(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, sp
         values[f"_c_{n}"] = F.when(c.isNotNull(), F.lit(1).cast("long")).otherwise(0)
         if kind == "sum":
             values[f"_s_{n}"] = c
-    at = micros(ts)
-    moves = df.select(*keys, F.struct(*df.columns).alias("_row"), at.alias("_in"), *[v.alias(n) for n, v in values.items()])
-    moves = moves.withColumn("_at", F.explode(F.array(F.col("_in"), F.col("_in") + (seconds * 1_000_000 + 1))))
+    per_time = df.groupBy(*keys, micros(ts).alias("_in")).agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    moves = per_time.withColumn("_at", F.explode(F.array(F.col("_in"), F.col("_in") + (seconds * 1_000_000 + 1))))
     enters = F.col("_at") == F.col("_in")
-    moves = moves.select(*keys, "_at", F.when(enters, F.col("_row")).alias("_row"),
-                         *[F.when(enters, F.col(n)).otherwise(-F.col(n)).alias(n) for n in values])
-    totals = running(moves, keys, ["_at"], {f"_t{n}": ("sum", F.col(n)) for n in values}, chunk, peers=True)
+    moves = moves.groupBy(*keys, "_at").agg(
+        F.max(enters).alias("_enters"), *[F.sum(F.when(enters, F.col(n)).otherwise(-F.col(n))).alias(n) for n in values])
+    totals = running(moves, keys, ["_at"], {f"_t{n}": ("sum", F.col(n)) for n in values}, chunk).where("_enters")
     out = [(F.when(F.col(f"_t_c_{n}") > 0, F.col(f"_t_s_{n}")) if kind == "sum" else F.col(f"_t_c_{n}")).alias(n)
            for n, (kind, _) in specs.items()]
-    return totals.where("_row IS NOT NULL").select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], *out)
+    rows = df.select(*keys, micros(ts).alias("_at"), F.struct(*df.columns).alias("_row"))
+    return null_safe_join(rows, totals, [*keys, "_at"]).select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], *out)
 
 
 def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, aggs: Mapping[str, Column],
-                  block: int = 100_000, chunk: int = DAY, name: str = "rn") -> DataFrame:
+                  block: int = 100_000, chunk: int | Column | None = None, name: str = "rn") -> DataFrame:
     """Aggregates over the ``rows`` rows before each row of a key (the row itself left out).
 
     Rows are numbered first and cut into blocks of equal length; the tail of a block is
@@ -178,13 +148,13 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows
     return out.where(F.col("_block") == F.col("_own")).select(*df.columns, name, *aggs)
 
 
-def _local_sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int) -> DataFrame:
-    """Rows with ``_ts``, ``_chunk`` and a session number that restarts in each chunk."""
-    chunked = cut(df.withColumn("_ts", F.col(ts).cast("timestamp")), keys, ["_ts"], chunk)
+def _local_sessions(times: DataFrame, keys: Sequence[str], gap: int, chunk: int | Column | None) -> DataFrame:
+    """Rows (one per key and ``_ts``) with ``_chunk`` and a session number that restarts in each chunk."""
+    chunked = cut(times, keys, ["_ts"], chunk)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_ts")
     step = micros("_ts") - F.lag(micros("_ts")).over(w)
     marked = chunked.withColumn("_new", (step.isNull() | (step > gap * 1_000_000)).cast("long"))
-    return marked.withColumn("_sid", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
+    return marked.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
 def _numbered_partials(partial: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
@@ -199,29 +169,31 @@ def _numbered_partials(partial: DataFrame, keys: Sequence[str], gap: int) -> Dat
     return partial.withColumn("_fresh", fresh).withColumn("session_no", F.sum("_fresh").over(w)).drop("_fresh")
 
 
-def session_ids(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int = DAY) -> DataFrame:
+def session_ids(df: DataFrame, keys: Sequence[str], ts: str, gap: int, chunk: int | Column | None = None) -> DataFrame:
     """Rows with their session number per key (1, 2, ..)."""
-    marked = _local_sessions(df, keys, ts, gap, chunk)
+    stamped = df.withColumn("_ts", F.col(ts).cast("timestamp"))
+    marked = _local_sessions(stamped.select(*keys, "_ts").distinct(), keys, gap, chunk)
     partial = marked.groupBy(*keys, "_chunk", "_sid").agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
-    return null_safe_join(marked, _numbered_partials(partial, keys, gap).drop("_first", "_last"), [*keys, "_chunk", "_sid"]).select(
-        *df.columns, "session_no")
+    numbers = null_safe_join(marked, _numbered_partials(partial, keys, gap).drop("_first", "_last"), [*keys, "_chunk", "_sid"])
+    return null_safe_join(stamped, numbers.select(*keys, "_ts", "session_no"), [*keys, "_ts"]).select(*df.columns, "session_no")
 
 
 def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mapping[str, tuple[str, Column]],
-             chunk: int = DAY, end: str = "gap") -> DataFrame:
+             chunk: int | Column | None = None, end: str = "gap") -> DataFrame:
     """Activity sessions per key: a step strictly longer than ``gap`` seconds starts a new one.
 
-    Rows fold to partial sessions inside (key, chunk), one shuffle of the raw rows; only
+    Rows fold to one per key and time, these to partial sessions inside (key, chunk), and only
     partial sessions are chained across chunk borders and folded again. ``aggs`` maps a
     name to (sum | count | min | max, column). ``end='gap'`` closes a session at its last
     event plus the gap, ``end='last_event'`` at its last event.
     """
     folds = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-    partial = _local_sessions(df, keys, ts, gap, chunk).groupBy(*keys, "_chunk", "_sid").agg(
-        F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
-        *[folds[k](c).alias(n) for n, (k, c) in aggs.items()])
-    linked = _numbered_partials(partial, keys, gap)
     again = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+    stamped = df.withColumn("_ts", F.col(ts).cast("timestamp"))
+    per_time = stamped.groupBy(*keys, "_ts").agg(*[folds[k](c).alias(n) for n, (k, c) in aggs.items()])
+    partial = _local_sessions(per_time, keys, gap, chunk).groupBy(*keys, "_chunk", "_sid").agg(
+        F.min("_ts").alias("_first"), F.max("_ts").alias("_last"), *[again[k](n).alias(n) for n, (k, _) in aggs.items()])
+    linked = _numbered_partials(partial, keys, gap)
     closing = F.max("_last")
     if end == "gap":
         closing = closing + F.expr(f"INTERVAL {gap} SECONDS")
@@ -231,7 +203,7 @@ def sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: int, aggs: Mappin
 
 
 def following(df: DataFrame, keys: Sequence[str], ts: str, tie: str | None, cols: Mapping[str, str],
-              chunk: int = DAY) -> DataFrame:
+              chunk: int | Column | None = None) -> DataFrame:
     """Add columns holding the next row's values: the row before, in falling order.
 
     ``tie`` is a numeric column that orders rows of the same time.

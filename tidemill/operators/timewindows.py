@@ -46,7 +46,7 @@ def hopping_from_slides(df: DataFrame, ts: str, size: int, slide: int, keys: Seq
 
 
 def session(df: DataFrame, ts: str, gap: int, keys: Sequence[str], aggs: Mapping[str, tuple[str, Column]],
-            end: str = "gap", chunk: int = O.DAY) -> DataFrame:
+            end: str = "gap", chunk: int | Column | None = None) -> DataFrame:
     """Sessions with their duration in seconds; see ``ordered.sessions`` for how hot keys are cut.
 
     A streaming input goes through ``session_window`` (append or complete mode).
@@ -75,7 +75,7 @@ def window_lookup(mv: DataFrame, key: str, value, lo: Column, hi: Column) -> Dat
 
 
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, complete_only: bool = True,
-                 chunk: int = O.DAY, **aggs: Column) -> DataFrame:
+                 chunk: int | Column | None = None, **aggs: Column) -> DataFrame:
     """Windows of n records per key; a window fires when it is full."""
     num = O.numbered(df, keys, order, "_rn", chunk).withColumn("window_no", F.floor((F.col("_rn") - 1) / n).cast("long"))
     out = num.groupBy(*keys, "window_no").agg(F.count("*").alias("_size"), *_named(aggs))

@@ -15,7 +15,6 @@ REGIONS = {
     "GB": 1, "DE": 1, "FR": 1, "ES": 1, "IT": 1,
     "JP": 2, "AU": 2, "IN": 2, "KR": 2, "SG": 2,
 }
-REGION_NAMES = {0: "Americas", 1: "Europe", 2: "Asia-Pacific"}
 
 
 def lag_level(lag: Column, elevated: int = 1000, high: int = 10_000) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import scalar as S
 from tidemill.functions.exact import dec
 from tidemill.operators.aggregates import last_n_reasons
-from tidemill.operators.ordered import DAY, micros, previous, running
+from tidemill.operators.ordered import micros, previous, running
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ def _alert(df: DataFrame, when: Column, rule: str, detail: Column, risk: Column)
                                  risk.cast("double").alias("risk"))
 
 
-def fraud_rules(txns: DataFrame, limits: Limits = Limits(), chunk: int = DAY) -> DataFrame:
+def fraud_rules(txns: DataFrame, limits: Limits = Limits(), chunk: int | Column | None = None) -> DataFrame:
     """Alert rows of five rules over (id, user, ts, amount, country, merchant).
 
     Counts and sums run inside fixed windows per user. A running count of different
@@ -50,7 +50,7 @@ def fraud_rules(txns: DataFrame, limits: Limits = Limits(), chunk: int = DAY) ->
                           S.risk_value(F.col("amount"), limits.full_value))
 
     spent = running(txns.select("id", "user", "ts", "amount", _bucket("ts", limits.total_window).alias("bucket")),
-                    ["user", "bucket"], order, {"total": ("sum", dec("amount"))}, min(chunk, limits.total_window))
+                    ["user", "bucket"], order, {"total": ("sum", dec("amount"))}, chunk)
     total = F.col("total").cast("double")
     spent_alerts = _alert(spent, total > limits.total, "spending_velocity", F.format_number(total, 2),
                           S.risk_velocity(total, limits.total, limits.total_span))
@@ -61,7 +61,7 @@ def fraud_rules(txns: DataFrame, limits: Limits = Limits(), chunk: int = DAY) ->
     marked = windowed.select("id", "user", "ts", "bucket", F.lit(1).alias("kind")).unionByName(firsts)
     counted = running(marked, ["user", "bucket"], [*order, "kind"], {
         "n": ("count", F.when(F.col("kind") == 1, 1)), "merchants": ("count", F.when(F.col("kind") == 0, 1))},
-        min(chunk, limits.count_window)).where("kind = 1")
+        chunk).where("kind = 1")
     count_alerts = counted.select("id", "user", "ts", F.explode(F.filter(F.array(
         F.when(F.col("n") > limits.count, F.struct(F.lit("high_frequency").alias("rule"), F.col("n").cast("string").alias("detail"),
                                                    S.risk_frequency(F.col("n")).alias("risk"))),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.exact import dec
-from tidemill.operators.ordered import DAY, micros, previous, session_ids
+from tidemill.operators.ordered import micros, previous, session_ids
 from tidemill.operators.relational import top_n
 from tidemill.plans.reports import answer, stack
 from tidemill.sinks.files import write_partitioned
@@ -17,7 +17,7 @@ from tidemill.sinks.files import write_partitioned
 
 # ---- funnel
 
-def funnel(df: DataFrame, user: str, ts: str, step: str, steps: Sequence[str], gap: int, chunk: int = DAY) -> DataFrame:
+def funnel(df: DataFrame, user: str, ts: str, step: str, steps: Sequence[str], gap: int, chunk: int | Column | None = None) -> DataFrame:
     """Sessions that reach each step, with step and total conversion in percent.
 
     A step counts when its first occurrence in the session follows that of the step before.
@@ -36,7 +36,7 @@ def funnel(df: DataFrame, user: str, ts: str, step: str, steps: Sequence[str], g
     return wide.select(F.explode(F.array(*rows_)).alias("r")).select("r.*")
 
 
-def transition_matrix(df: DataFrame, user: str, order: Sequence[str], step: str, gap: int, chunk: int = DAY) -> DataFrame:
+def transition_matrix(df: DataFrame, user: str, order: Sequence[str], step: str, gap: int, chunk: int | Column | None = None) -> DataFrame:
     """Counts of step pairs that follow each other within a session."""
     prev = previous(df.select(user, *order, step), [user], order, {"from_step": step, "_at": order[0]}, chunk)
     near = micros(order[0]) - micros("_at") <= gap * 1_000_000

@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job assumes. AQE merges small shuffle partitions and splits skewed ones at
-# run time; how many it starts from follows the input (``size_shuffles``).
+# run time; it starts from ``spark.sql.shuffle.partitions``, to be set for the largest input
+# (about one per 128 MB shuffled).
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -82,50 +83,5 @@ def materialize(df, label: str):
     costs a re-read instead of the whole lineage.
     """
     path = scratch(df.sparkSession, label)
-    size_shuffles(df).write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def plan_bytes(df) -> int:
-    """The optimizer's estimate of a table's size; for a scan, the bytes of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-SHUFFLE_BYTES = 128 * 1024 * 1024  # input per shuffle partition
-MOST_PARTITIONS = 100_000
-
-
-def input_bytes(df) -> int:
-    """Bytes of all tables a plan scans; sources of unknown size count as nothing."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return sum(size for size in sizes if size < 2 ** 62)
-
-
-def size_shuffles(df):
-    """Let shuffles start from as many partitions as the input needs; AQE merges those left small.
-
-    The session's own number is only ever raised. Returns the table itself.
-    """
-    conf = df.sparkSession.conf
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    have = int(conf.get(key, None) or conf.get("spark.sql.shuffle.partitions"))
-    need = min(input_bytes(df) // SHUFFLE_BYTES, MOST_PARTITIONS)
-    if need > have:
-        conf.set(key, str(need))
-    return df
-
-
-def spread(df):
-    """Give a small input to all cores before heavy per-row work.
-
-    A table of a few files with one row group each comes as a few tasks, however many cores
-    there are. Below one split's worth of bytes per core it is dealt out evenly, which
-    moves little data; a larger table already has enough splits and is left alone.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores) if plan_bytes(df) < split * cores else df

@@ -12,11 +12,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidemill.operators import ordered as O
 
 
-def split_late(df: DataFrame, ts: str, arrival: Sequence[str], delay: int, chunk: int = O.HOUR) -> DataFrame:
+def split_late(df: DataFrame, ts: str, arrival: Sequence[str], delay: int, chunk: int | Column | None = None) -> DataFrame:
     """Add ``late``: the row is behind the newest time that arrived before it, minus the delay.
 
-    The running maximum is taken in arrival order over the whole table, cut into chunks of
-    arrival time so that no task holds more than one.
+    The running maximum is taken in arrival order over the whole table, cut into sorted ranges.
     """
     seen = O.running(df, [], list(arrival), {"_seen": ("max", F.col(ts))}, chunk, inclusive=False)
     behind = O.micros(ts) < O.micros("_seen") - delay * 1_000_000
@@ -24,19 +23,27 @@ def split_late(df: DataFrame, ts: str, arrival: Sequence[str], delay: int, chunk
 
 
 def dedup_stream(df: DataFrame, ids: Sequence[str], ts: str, horizon: str) -> DataFrame:
-    """Each id once within the horizon. In batch, each id once."""
+    """Each id once within the horizon.
+
+    In batch a row counts if its id was not seen in the horizon before it; of rows of one time
+    the smallest counts. An id that returns later than that counts again, as on a stream.
+    """
     if df.isStreaming:
         return df.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(list(ids))
-    return df.dropDuplicates(list(ids))
+    at = F.col(ts).cast("timestamp")
+    one = df.groupBy(*ids, at.alias("_at")).agg(F.min(F.struct(*df.columns)).alias("_row"))
+    before = O.previous(one, list(ids), ["_at"], {"_before": "_at"})
+    fresh = F.col("_before").isNull() | (F.col("_before") + F.expr(f"INTERVAL {horizon}") < F.col("_at"))
+    return before.where(fresh).select("_row.*")
 
 
 def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Mapping[str, tuple[str, Column]],
-                   chunk: int = O.DAY) -> DataFrame:
+                   chunk: int | Column | None = None) -> DataFrame:
     """Running reduce, one output per input."""
     return O.running(df, keys, order, specs, chunk)
 
 
-def publish_every_n(df: DataFrame, key: str, order: Sequence[str], value: Column, n: int, chunk: int = O.DAY) -> DataFrame:
+def publish_every_n(df: DataFrame, key: str, order: Sequence[str], value: Column, n: int, chunk: int | Column | None = None) -> DataFrame:
     """A summary at each nth row of a key: count and running total so far."""
     out = O.running(df, [key], order, {"alert_count": ("count", F.lit(1)), "total": ("sum", value)}, chunk)
     return out.where(F.col("alert_count") % n == 0)
@@ -109,7 +116,7 @@ def rolling_reduce_stream(df: DataFrame, key: str, order: Sequence[str], value:
         GroupStateTimeout.NoTimeout)
 
 
-def session_tracker(df: DataFrame, key: str, ts: str, tie: str, action: str, idle: int, chunk: int = O.DAY) -> DataFrame:
+def session_tracker(df: DataFrame, key: str, ts: str, tie: str, action: str, idle: int, chunk: int | Column | None = None) -> DataFrame:
     """Sessions per user with their last action, action count, start and last time seen.
 
     On a stream (with a watermark) a session comes out when it is over, without its number.
