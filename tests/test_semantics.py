@@ -392,7 +392,7 @@ def test_alert_states(spark):
     t0 = ts("2024-01-01T00:00:00")
     rows = [(t0 + dt.timedelta(minutes=i), v) for i, v in enumerate([20, 5, 5, 20, 5, 5, 5])]
     periods = spark.createDataFrame(rows, "window_start timestamp, revenue int")
-    at = lambda m: P.alert_states(periods, {"low": (c("revenue") < 10, 3)}, F.lit(t0 + dt.timedelta(minutes=m))).first().state
+    at = lambda m: P.alert_states(periods, {"low": (c("revenue") < 10, 3)}, [F.lit(t0 + dt.timedelta(minutes=m))]).first().state
     assert [at(1), at(3), at(4), at(6), at(7)] == ["normal", "pending", "normal", "pending", "firing"]
 
 

@@ -125,3 +125,17 @@ def test_malformed_and_missing(spark):
     assert rows(R.decode_json(raw, "a int, b string", missing_ok=False), "a") == [(1,)]
     with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
         R.decode_json(raw, "a int, b string", ignore_parse_errors=False).collect()
+
+
+def test_agent_state_expires(spark, work):
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    t0 = dt.datetime(2024, 1, 1, 10)
+    batches = [[(1, "u", t0, 1), (2, "u", t0 + dt.timedelta(minutes=5), 2), (3, "u", t0 + dt.timedelta(minutes=6), 2)],
+               [(4, "u", t0 + dt.timedelta(minutes=20), 2), (5, "w", t0 + dt.timedelta(hours=9), 7)],
+               [(6, "u", t0 + dt.timedelta(hours=10), 9), (7, "u", t0 + dt.timedelta(hours=10, minutes=1), 9)]]
+    for part in batches:
+        land(spark, folder, part)
+        rows_ = stream(spark, folder).withWatermark("t", "1 minute").withColumn("place", c("v").cast("string"))
+        K.append_stream(X.fraud_agent_stream(rows_, "u", "t", "id", "place", 2, 3600), out, ckpt)
+    # the place moved at 2; 3 and 4 are beyond two in the hour; hours later nothing is remembered
+    assert rows(spark.read.parquet(out), "id", "rule") == [(2, "place_change"), (3, "high_frequency"), (4, "high_frequency")]

@@ -191,12 +191,8 @@ def _(t):
     periods = P.period_metrics(_shop(t), "1 hour")
     rules = {"low_revenue": (c("revenue") < 250, 3), "few_orders": (c("orders") < 5, 2),
              "cancellations": (c("cancelled") * 100.0 / F.nullif("orders", F.lit(0)) > 20, 1)}
-    out = None
-    for at in ("2024-01-11 00:00:00", "2024-01-20 05:00:00", "2024-01-28 13:00:00"):
-        when = F.lit(at).cast("timestamp_ntz")
-        one = P.alert_states(periods, rules, when).withColumn("as_of", when)
-        out = one if out is None else out.unionByName(one)
-    return out
+    times = ("2024-01-11 00:00:00", "2024-01-20 05:00:00", "2024-01-28 13:00:00")
+    return P.alert_states(periods, rules, [F.lit(at).cast("timestamp_ntz") for at in times])
 
 
 @query("dom_09_low_stock", f"SELECT l_partkey, {dsum('l_quantity')} AS stock FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING SUM({DEC2('l_quantity')}) < 100")

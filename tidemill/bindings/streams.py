@@ -330,7 +330,11 @@ def _(t):
     return R.load_shed(t.events, c("event_type") == "error", c("event_id"), 10).select("event_id", "event_type", "weight")
 
 
-@query("udf_04_stateful_agent", EVERY_THIRD)
+@query("udf_04_stateful_agent", """
+SELECT event_id, 'high_frequency' AS rule FROM
+ (SELECT event_id, ROW_NUMBER() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) AS n FROM events) WHERE n > 2
+UNION ALL SELECT event_id, 'place_change' FROM (SELECT *, LAG(event_type) OVER w AS was, LAG(ts) OVER w AS before FROM events
+ WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE was != event_type AND ts - before <= INTERVAL 24 HOUR""")
 def _(t):
-    out = _in_two_runs(t, lambda rows: X.publish_every_n_stream(rows, "user_id", ["ts", "event_id"], "cents", 3))
-    return out.select("user_id", "alert_count", (c("total_cents") / 100.0).alias("total"))
+    return _in_two_runs(t, lambda rows: X.fraud_agent_stream(
+        R.with_event_time(rows, "ts", "10 minutes"), "user_id", "ts", "event_id", "event_type", 2, 86400))

@@ -11,6 +11,7 @@ from tidemill.functions import scalar as S
 from tidemill.functions.exact import dec
 from tidemill.operators.aggregates import last_n_reasons
 from tidemill.operators.ordered import micros, previous, running
+from tidemill.session import materialize
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,6 @@ def fraud_rules(txns: DataFrame, limits: Limits = Limits(), chunk: int | Column
 
 
 def fraud_summary(alerts: DataFrame, last: int = 5) -> DataFrame:
-    """Alerts per user with total and mean risk and the last reasons, most alerts first."""
-    out = last_n_reasons(alerts.select("user", "ts", "id", "rule", "risk"), "user", ["ts", "id", "rule"], "rule", "risk", last)
-    return out.orderBy(F.col("alert_count").desc(), F.col("user"))
+    """Alerts per user with total and mean risk and the last reasons. The alerts are stored, as they are read twice."""
+    kept = materialize(alerts.select("user", "ts", "id", "rule", "risk"), "alerts")
+    return last_n_reasons(kept, "user", ["ts", "id", "rule"], "rule", "risk", last)

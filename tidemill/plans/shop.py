@@ -12,6 +12,7 @@ from tidemill.functions.exact import dec
 from tidemill.operators.ordered import micros, previous, session_ids
 from tidemill.operators.relational import top_n
 from tidemill.plans.reports import answer, stack
+from tidemill.session import materialize
 from tidemill.sinks.files import write_partitioned
 
 
@@ -150,29 +151,33 @@ def revenue_dashboard(orders: DataFrame, path: str, as_of: str, back: int, top:
 
 
 def period_metrics(orders: DataFrame, size: str) -> DataFrame:
-    """Orders, revenue and cancellations per period, silent periods included."""
+    """Orders, revenue and cancellations per period, silent periods included.
+
+    The orders are folded once and the short list of periods is stored, as all that follows reads it several times.
+    """
     from tidemill.operators.timewindows import gap_fill, tumbling
     per = tumbling(orders, "ts", size, orders=F.count("*"), revenue=F.sum(dec("amount")),
                    cancelled=F.count_if(F.col("status") == "cancelled")).drop("window_end")
+    per = materialize(per, "periods")
     filled = gap_fill(per, "window_start", size, {"orders": 0, "cancelled": 0})
     return filled.withColumn("revenue", F.coalesce("revenue", F.lit(0).cast("decimal(18,2)")))
 
 
-def alert_states(periods: DataFrame, rules: Mapping[str, tuple[Column, int]], as_of: Column) -> DataFrame:
-    """State of each rule at a time: normal, pending, or firing once its condition has held long enough.
+def alert_states(periods: DataFrame, rules: Mapping[str, tuple[Column, int]], as_of: Sequence[Column]) -> DataFrame:
+    """State of each rule at each of some times: normal, pending, or firing once its condition has held long enough.
 
     ``rules`` maps a name to (condition on a period, number of periods). The length of the
     current run is the number of periods after the last one that did not meet the condition.
     """
-    seen = periods.where(F.col("window_start") < as_of)
-    flags = seen.select("window_start", *[F.coalesce(cond, F.lit(False)).alias(n) for n, (cond, _) in rules.items()])
-    long = flags.unpivot(["window_start"], list(rules), "rule", "hit")
-    last_ok = long.groupBy("rule").agg(F.max(F.when(~F.col("hit"), F.col("window_start"))).alias("ok"))
-    runs = long.join(F.broadcast(last_ok), "rule").groupBy("rule").agg(
+    flags = periods.select("window_start", *[F.coalesce(cond, F.lit(False)).alias(n) for n, (cond, _) in rules.items()])
+    every = flags.unpivot(["window_start"], list(rules), "rule", "hit").withColumn("as_of", F.explode(F.array(*as_of)))
+    long = every.where(F.col("window_start") < F.col("as_of"))
+    last_ok = long.groupBy("as_of", "rule").agg(F.max(F.when(~F.col("hit"), F.col("window_start"))).alias("ok"))
+    runs = long.join(last_ok, ["as_of", "rule"]).groupBy("as_of", "rule").agg(
         F.count_if(F.col("ok").isNull() | (F.col("window_start") > F.col("ok"))).alias("periods"))
     need = reduce(lambda w, kv: w.when(F.col("rule") == kv[0], F.lit(kv[1][1])), rules.items(), F.when(F.lit(False), F.lit(0)))
     state = F.when(F.col("periods") == 0, "normal").when(F.col("periods") < need, "pending").otherwise("firing")
-    return runs.select("rule", "periods", state.alias("state"))
+    return runs.select("as_of", "rule", "periods", state.alias("state"))
 
 
 def low_stock(stock: DataFrame, item: str, quantity: str, limit: float = 10) -> DataFrame:

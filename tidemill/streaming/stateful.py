@@ -116,6 +116,39 @@ def rolling_reduce_stream(df: DataFrame, key: str, order: Sequence[str], value:
         GroupStateTimeout.NoTimeout)
 
 
+def fraud_agent_stream(df: DataFrame, key: str, ts: str, tie: str, place: str, limit: int, seconds: int) -> DataFrame:
+    """Alerts (``tie``, rule) of a keyed agent whose state expires.
+
+    Per key the state holds the current window of ``seconds`` with its count, the last place and when it was seen. A row
+    beyond ``limit`` in its window gives ``high_frequency``; one at another place than the row at most ``seconds`` before
+    it ``place_change``. Once the watermark is ``seconds`` past a key's last row its state is dropped. Rows of a key are
+    taken in order of time within a micro-batch, and micro-batches must follow each other in time. The stream needs a
+    watermark on ``ts``.
+    """
+    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = _in_order(batches, [ts, tie])
+        at = rows[ts].to_numpy("datetime64[us]").astype("int64")
+        window, places = at // (seconds * 1_000_000), rows[place].to_numpy()
+        held_window, held_count, held_place, held_at = state.get if state.exists else (-1, 0, None, -2 ** 62)
+        number = rows.groupby(window).cumcount().to_numpy() + 1 + (window == held_window) * held_count
+        before_place = [held_place, *places[:-1]]
+        before_at = [held_at, *at[:-1]]
+        moved = [p is not None and p != q and t - b <= seconds * 1_000_000 for p, q, t, b in zip(before_place, places, at, before_at)]
+        state.update((int(window[-1]), int(number[-1]), str(places[-1]), int(at[-1])))
+        state.setTimeoutTimestamp(max(int(at[-1]) // 1000 + seconds * 1000, state.getCurrentWatermarkMs() + 1))
+        ids = rows[tie]
+        yield pd.concat([pd.DataFrame({tie: ids[flags], "rule": rule}) for flags, rule in (
+            (number > limit, "high_frequency"), (moved, "place_change"))])
+
+    kind = df.schema[tie].dataType.simpleString()
+    return df.select(key, ts, tie, place).groupBy(key).applyInPandasWithState(
+        step, f"{tie} {kind}, rule string", "window long, count long, place string, at long", "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
 def session_tracker(df: DataFrame, key: str, ts: str, tie: str, action: str, idle: int, chunk: int | Column | None = None) -> DataFrame:
     """Sessions per user with their last action, action count, start and last time seen.
 
