@@ -14,17 +14,18 @@ from tidemill.session import scratch
 SLICE_CHARS = 2_000_000  # text that a task holds as Python objects at a time
 
 
-def narrow(df: DataFrame, **wanted: str) -> DataFrame:
+def narrow(df: DataFrame, whole_row: bool = False, **wanted: str) -> DataFrame:
     """Only the wanted columns, under new names: ``narrow(docs, id="doc_id", text="text")``.
 
     Columns are found by exact name and position, so extra columns whose names clash with
     an operator's own, or differ from a wanted one in case only, do no harm. Of two columns
-    with the same exact name the first counts.
+    with the same exact name the first counts. With ``whole_row`` all columns come along as struct ``row``.
     """
     names = df.columns
     places = {new: names.index(old) for new, old in wanted.items()}
     plain = df.toDF(*[f"_{i}" for i in range(len(names))])
-    return plain.select(*[F.col(f"_{i}").alias(new) for new, i in places.items()])
+    row = [F.struct(*[F.col(f"_{i}").alias(name) for i, name in enumerate(names)]).alias("row")] if whole_row else []
+    return plain.select(*[F.col(f"_{i}").alias(new) for new, i in places.items()], *row)
 
 
 def whole_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,24 +74,41 @@ def sha(col: Column) -> Column:
     return F.sha2(col, 256)
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While an intermediate table is written, shuffle files go with it.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     A lost executor then costs a re-read instead of the whole lineage. The shuffle files behind the
-    write have served their purpose and are dropped with it; the session's own setting is restored.
+    write have served their purpose and are dropped with it. The session's own settings are restored.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in WRITING}
+    for key, value in WRITING.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """(id, key, text), and whether several rows may share a key.
+
+    The id is the key. Only where an id repeats (or is null) do keys come from id and text together; then rows equal
+    in both share a key.
+    """
+    cut = whole_text(docs, id_col, text_col)
+    again = cut.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull())
+    if again.isEmpty():
+        return cut.select("id", F.col("id").cast("long").alias("key"), "text"), False
+    return cut.select("id", hashed_key(F.col("id"), F.col("text")).alias("key"), "text"), True
+
+
+def hashed_key(id_: Column, text: Column) -> Column:
+    return F.xxhash64(id_, text)

@@ -2,8 +2,8 @@
 
 Tasks read documents, gather (hash, key) pairs and fold them: a hash that several documents of the task hold
 is answered at once and sent on only once, so what a very common hash costs follows the number of tasks, not the
-number of documents. Pairs travel packed in binary columns, one row per bucket of hashes and task, and
-answers come back as one row per key with its packed hashes.
+number of documents. Pairs travel packed in binary columns, one row per bucket of hashes and task; answers
+go back the same way, one row per group of keys and task, and end as one row per key with its packed hashes.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from tidemill.llm.words import mix
 
 PAIRS = 2_000_000        # pairs that a task folds at a time
 BUCKETS_PER_PARTITION = 4
-SENT = "bucket int, key bigint, hashes binary, keys binary, counts binary"
-ANSWER = "key bigint, hashes binary"
+SENT = "bucket int, hashes binary, keys binary, counts binary"
+PACKED = "bucket int, keys binary, vals binary"
 
 Pairs = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]]
 
@@ -46,18 +47,44 @@ def _fold(hashes: np.ndarray, keys: np.ndarray):
     return hashes, keys, heads, np.repeat(np.arange(len(heads)), sizes), sizes
 
 
-def _answers(hashes: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-    found, columns = packed_rows(keys, hashes) if len(keys) else (keys, [[]])
-    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(columns[0], pa.binary())], ["key", "hashes"])
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_key_group(keys: np.ndarray, values: np.ndarray, groups: int) -> pa.RecordBatch:
+    """PACKED rows: (key, value) pairs, one row for each group of keys among them."""
+    if not len(keys):
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.binary()), pa.array([], pa.binary())], ["bucket", "keys", "vals"])
+    found, (k, v) = packed_rows((mix(keys.view(np.uint64)) % np.uint64(groups)).astype(np.int64), keys, values)
+    return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(k, pa.binary()), pa.array(v, pa.binary())], ["bucket", "keys", "vals"])
+
+
+def regroup(packed: DataFrame, kind, width: int = 1) -> DataFrame:
+    """(key, vals): PACKED rows as one row per key with all its packed values (``width`` numbers each)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values = [], []
+        for batch in batches:
+            keys.append(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64))
+            values.append(np.frombuffer(b"".join(batch.column(2).to_pylist()), kind).reshape(-1, width))
+        if not sum(map(len, keys)):
+            return
+        keys, values = np.concatenate(keys), np.concatenate(values)
+        found, (vals,) = packed_rows(keys, values)
+        for a in range(0, len(found), 4096):
+            yield pa.RecordBatch.from_arrays([pa.array(found[a:a + 4096], pa.int64()), pa.array(vals[a:a + 4096], pa.binary())], ["key", "vals"])
+
+    return packed.select("bucket", "keys", "vals").repartition("bucket").mapInArrow(run, "key bigint, vals binary")
 
 
 def meet(rows: DataFrame, pairs: Pairs, first_too: bool, within: bool) -> DataFrame:
-    """(key, hashes): for each key the hashes that occur elsewhere too, packed uint64, in one or more rows.
+    """(key, vals): for each key the hashes that occur elsewhere too, packed uint64, in one row.
 
     ``pairs`` turns a task's batches into (hash, key) arrays. With ``within``, occurrences under one key count
     as different ones; else only different keys do. Without ``first_too`` the smallest key of a hash gets no answer.
     """
-    buckets = BUCKETS_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = partitions(rows)
+    buckets = BUCKETS_PER_PARTITION * groups
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
@@ -80,30 +107,26 @@ def meet(rows: DataFrame, pairs: Pairs, first_too: bool, within: bool) -> DataFr
             known &= keys > lowest[group]
         fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (keys[1:] != keys[:-1])])
         known &= fresh
-        done = _answers(hashes[known], keys[known])
+        done = by_key_group(keys[known], hashes[known], groups)
         n = done.num_rows
-        none = pa.nulls(n, pa.binary())
-        spread = pa.array((np.asarray(done.column(0)) % buckets).astype(np.int32), pa.int32())
-        names = ["bucket", "key", "hashes", "keys", "counts"]
+        names = ["bucket", "hashes", "keys", "counts"]
         if n:
-            yield pa.RecordBatch.from_arrays([spread, done.column(0), done.column(1), none, none], names)
+            yield pa.RecordBatch.from_arrays([done.column(0), done.column(2), done.column(1), pa.nulls(n, pa.binary())], names)
         where = ((hashes[heads] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         counts = several.astype(np.uint8) + 1
         found, (h, k, c) = packed_rows(where, hashes[heads], lowest, counts)
         yield pa.RecordBatch.from_arrays([
-            pa.array(found.astype(np.int32)), pa.nulls(len(found), pa.int64()), pa.array(h, pa.binary()),
-            pa.array(k, pa.binary()), pa.array(c, pa.binary())], names)
+            pa.array(found.astype(np.int32)), pa.array(h, pa.binary()), pa.array(k, pa.binary()), pa.array(c, pa.binary())], names)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
-            sent = batch.column(3).is_valid()
             done = batch.filter(batch.column(3).is_null())
-            if done.num_rows:
-                yield pa.RecordBatch.from_arrays([done.column(1), done.column(2)], ["key", "hashes"])
-            asked = batch.filter(sent)
+            if done.num_rows:  # answered on the way: it only changes trains here
+                yield pa.RecordBatch.from_arrays([done.column(0), done.column(2), done.column(1)], ["bucket", "keys", "vals"])
+            asked = batch.filter(batch.column(3).is_valid())
             parts.append(tuple(np.frombuffer(b"".join(asked.column(i).to_pylist()), kind)
-                               for i, kind in ((2, np.uint64), (3, np.int64), (4, np.uint8))))
+                               for i, kind in ((1, np.uint64), (2, np.int64), (3, np.uint8))))
         if not parts or not sum(len(p[0]) for p in parts):
             return
         hashes, keys, counts = (np.concatenate(c) for c in zip(*parts))
@@ -119,18 +142,12 @@ def meet(rows: DataFrame, pairs: Pairs, first_too: bool, within: bool) -> DataFr
             wanted = several[group] & (counts == 1)
         else:
             wanted = keys > keys[heads][group]
-        yield _answers(hashes[wanted], keys[wanted])
+        yield by_key_group(keys[wanted], hashes[wanted], groups)
 
     sent = rows.mapInArrow(send, SENT)
-    return sent.repartition("bucket").mapInArrow(answer, ANSWER)
-
-
-def gathered(answers: DataFrame) -> DataFrame:
-    """One row per key with the list of its packed rows; a document's own hashes bound it."""
-    return answers.groupBy("key").agg(F.collect_list("hashes").alias("hashes"))
+    return regroup(sent.repartition("bucket").mapInArrow(answer, PACKED), np.uint64)
 
 
 def unpack(packed, kind=np.uint64) -> np.ndarray:
-    """All values of a list of packed rows (a pyarrow scalar or a Python list; null: none)."""
-    some = packed.as_py() if hasattr(packed, "as_py") else packed
-    return np.frombuffer(b"".join(some), kind) if some else np.zeros(0, kind)
+    """The values of a packed scalar (null: none)."""
+    return np.frombuffer(packed.as_buffer(), kind) if packed.is_valid else np.zeros(0, kind)

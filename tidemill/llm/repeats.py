@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import ranges, slices, stored, text_bytes, whole_text
-from tidemill.llm.meeting import gathered, meet, pack, packed_rows, unpack
+from tidemill.llm.common import ranges, row_keys, slices, stored, text_bytes
+from tidemill.llm.meeting import PACKED, by_key_group, meet, pack, partitions, regroup, unpack
 from tidemill.llm.rlbwt import SEPARATOR, RunIndex
 from tidemill.llm.words import prefix_hash, stretch_hash
 
@@ -38,8 +38,8 @@ STRETCHES = 40_000        # stretches that a task folds at a time
 INDEX_BYTES = 1 << 20     # buckets are indexed together up to about this size ...
 BUCKET_BYTES = 4 << 20    # ... and a bucket of more different bytes than this meets by window hashes
 BUCKETS_PER_PARTITION = 32
-STRETCH = "bucket int, key bigint, spans binary, keys binary, starts binary, sizes binary, counts binary, bytes binary"
-MARKS = "key bigint, spans binary, bucket int, keys binary, starts binary, sizes binary, bytes binary"
+STRETCH = "bucket int, keys binary, vals binary, starts binary, sizes binary, counts binary, bytes binary"
+MARKS = PACKED + ", sizes binary, bytes binary"
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -79,22 +79,8 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, window: int):
     return row[head], hashes[head], first[head], last[np.append(head[1:], True)]
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
-    """(id, key, text), and the keys that several rows share, if ids repeat at all.
-
-    The id is the key. Only where an id repeats (or is null) do keys come from id and text together; rows equal
-    in both then share a key and are counted.
-    """
-    cut = whole_text(docs, id_col, text_col)
-    again = cut.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull())
-    if again.isEmpty():
-        return cut.select("id", F.col("id").cast("long").alias("key"), "text"), None
-    keyed = cut.select("id", F.xxhash64("id", "text").alias("key"), "text")
-    return keyed, keyed.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("copied"))
-
-
 def shared_anchors(keyed: DataFrame, window: int) -> DataFrame:
-    """(key, hashes): the anchors of each document that occur elsewhere too, itself included."""
+    """(key, vals): the anchors of each document that occur elsewhere too, itself included."""
 
     def pairs(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches):
@@ -105,15 +91,11 @@ def shared_anchors(keyed: DataFrame, window: int) -> DataFrame:
     return meet(keyed.select("key", "text"), pairs, first_too=True, within=True)
 
 
-def _spans(keys: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    found, (spans,) = packed_rows(keys, np.column_stack([starts, ends])) if len(keys) else (keys, ([],))
-    return pa.array(found, pa.int64()), pa.array(spans, pa.binary())
-
-
 def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
     """The stretches around shared anchors, packed per bucket; those repeated within a task also as marks of their keys."""
-    buckets = BUCKETS_PER_PARTITION * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = keyed.join(gathered(shared), "key").select("key", "text", "hashes")
+    groups = partitions(keyed)
+    buckets = BUCKETS_PER_PARTITION * groups
+    rows = keyed.join(shared, "key").select("key", "text", "vals")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, bytes, int, int]] = []
@@ -143,10 +125,9 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
         if marks:
             keys = np.array([held[i][2] for i in marks], np.int64)
             starts = np.array([held[i][3] for i in marks], np.int64)
-            key, spans = _spans(keys, starts, starts + np.array([len(held[i][1]) for i in marks], np.int64))
-            bucket = pa.array((np.asarray(key) % buckets).astype(np.int32))
-            none = pa.nulls(len(key), pa.binary())
-            yield pa.RecordBatch.from_arrays([bucket, key, spans, none, none, none, none, none], NAMES)
+            done = by_key_group(keys, np.column_stack([starts, starts + [len(held[i][1]) for i in marks]]), groups)
+            none = pa.nulls(done.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([*done.columns, none, none, none, none], NAMES)
         by_bucket: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for (bucket, _), places in equal.items():
             by_bucket[bucket].append((places[0], min(len(places), 2)))
@@ -159,13 +140,13 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
             columns[3].append(pack(np.array([n for _, n in places], np.uint8)))
             columns[4].append(b"".join(s[1] for s in some))
         n = len(by_bucket)
-        yield pa.RecordBatch.from_arrays([pa.array(list(by_bucket), pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-                                          *[pa.array(c, pa.binary()) for c in columns]], NAMES)
+        packed = [pa.array(c, pa.binary()) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array(list(by_bucket), pa.int32()), packed[0], pa.nulls(n, pa.binary()), *packed[1:]], NAMES)
 
     return rows.mapInArrow(send, STRETCH)
 
 
-NAMES = ["bucket", "key", "spans", "keys", "starts", "sizes", "counts", "bytes"]
+NAMES = ["bucket", "keys", "vals", "starts", "sizes", "counts", "bytes"]
 
 
 def _indexed(stretch: list[tuple[int, int, bytes, int]], window: int):
@@ -207,7 +188,8 @@ def _indexed(stretch: list[tuple[int, int, bytes, int]], window: int):
 
 
 def marked(sent: DataFrame, window: int) -> DataFrame:
-    """Marks (key, spans) from all buckets; the rows of buckets too large to index come back as they are (key null)."""
+    """Marks (start, end) from all buckets, packed by key; the rows of buckets too large to index come back as they are (vals null)."""
+    groups = partitions(sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, int, bytes, int]] = []
@@ -225,24 +207,22 @@ def marked(sent: DataFrame, window: int) -> DataFrame:
                 at += size
 
         def out(some):
-            key, spans = _spans(*_indexed(some, window))
-            none = pa.nulls(len(key), pa.binary())
-            return pa.RecordBatch.from_arrays([key, spans, pa.nulls(len(key), pa.int32()), none, none, none, none], OUT)
+            keys, starts, ends = _indexed(some, window)
+            done = by_key_group(keys, np.column_stack([starts, ends]), groups)
+            none = pa.nulls(done.num_rows, pa.binary())
+            return pa.RecordBatch.from_arrays([*done.columns, none, none], OUT)
 
         def back(some):
-            cols = list(zip(*[(r[0], r[1], r[2], r[3], r[5]) for r in some]))
-            n = len(some)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(cols[0], pa.int32()),
-                                               *[pa.array(c, pa.binary()) for c in cols[1:]]], OUT)
+            bucket, keys, _, sizes, _, blob = zip(*some)
+            return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(keys, pa.binary()), pa.nulls(len(some), pa.binary()),
+                                               pa.array(sizes, pa.binary()), pa.array(blob, pa.binary())], OUT)
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(8))):
-                if row[1] is not None:  # marked on the way
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([row[1]], pa.int64()), pa.array([row[2]], pa.binary()), pa.nulls(1, pa.int32()),
-                        *[pa.nulls(1, pa.binary()) for _ in range(4)]], OUT)
-                    continue
-                row = (row[0], *row[3:])
+            done = batch.filter(batch.column(2).is_valid())
+            if done.num_rows:  # marked on the way
+                none = pa.nulls(done.num_rows, pa.binary())
+                yield pa.RecordBatch.from_arrays([*done.columns[:3], none, none], OUT)
+            for row in zip(*(batch.filter(batch.column(2).is_null()).column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6))):
                 if row[0] != bucket:
                     for r in rows:
                         waiting.extend(unpacked(r))
@@ -267,11 +247,11 @@ def marked(sent: DataFrame, window: int) -> DataFrame:
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, MARKS)
 
 
-OUT = ["key", "spans", "bucket", "keys", "starts", "sizes", "bytes"]
+OUT = ["bucket", "keys", "vals", "sizes", "bytes"]
 
 
 def window_meeting(back: DataFrame, window: int) -> DataFrame:
-    """(key, hashes): repeated windows of the stretches that were not indexed."""
+    """(key, vals): repeated windows of the stretches that were not indexed."""
 
     def pairs(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -287,13 +267,17 @@ def window_meeting(back: DataFrame, window: int) -> DataFrame:
 
 def remove(docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` binary."""
-    keyed, copies = _keyed(docs, id_col, text_col)
+    keyed, repeated = row_keys(docs, id_col, text_col)
     shared = stored(shared_anchors(keyed, window), "repeat-anchors")
     found = stored(marked(stretches(keyed, shared, window), window), "repeat-marks")
-    marks = found.where("key is not null").groupBy("key").agg(F.collect_list("spans").alias("spans"))
-    more = gathered(window_meeting(found.where("key is null"), window))
+    marks = regroup(found.where("vals is not null"), np.int64, 2).withColumnRenamed("vals", "spans")
+    more = window_meeting(found.where("vals is null"), window).withColumnRenamed("vals", "hashes")
     rows = keyed.join(marks.join(more, "key", "full"), "key", "left")
-    rows = rows.join(copies, "key", "left") if copies is not None else rows.withColumn("copied", F.lit(None).cast("boolean"))
+    if repeated:
+        copies = keyed.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("copied"))
+        rows = rows.join(copies, "key", "left")
+    else:
+        rows = rows.withColumn("copied", F.lit(False))
     id_type = keyed.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import ranges, slices, stored, text_bytes, whole_text
-from tidemill.llm.meeting import gathered, meet, unpack
+from tidemill.llm.meeting import meet, unpack
 from tidemill.llm.words import row_of, split_words, starts_inside, window_hashes, word_hashes
 
 # Difference covers by their modulus (perfect difference sets).
@@ -56,7 +56,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def anchors(keyed: DataFrame, window: int) -> DataFrame:
-    """(key, hashes): the anchors of each document that other documents hold at cover positions too."""
+    """(key, vals): the anchors of each document that other documents hold at cover positions too."""
     size = cover_for(window)[2]
 
     def pairs(batches: Iterator[pa.RecordBatch]):
@@ -81,9 +81,9 @@ def _members(values: np.ndarray, rows: np.ndarray, packed: pa.Array) -> np.ndarr
 
 
 def repeated_windows(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
-    """(key, hashes): the windows of each document that also start in one with a smaller key."""
+    """(key, vals): the windows of each document that also start in one with a smaller key."""
     v, _, size = cover_for(window)
-    rows = keyed.join(gathered(shared), "key").select("key", "text", "hashes")
+    rows = keyed.join(shared, "key").select("key", "text", "vals")
 
     def pairs(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches):
@@ -108,7 +108,7 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
     keyed = _keyed(docs, id_col, text_col)
     shared = stored(anchors(keyed, window), "anchors")
     gone = stored(repeated_windows(keyed, shared, window), "windows")
-    rows = keyed.join(gathered(gone), "key", "left").select("key", "text", "hashes")
+    rows = keyed.join(gone, "key", "left").select("key", "text", "vals")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
