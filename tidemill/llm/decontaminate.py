@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import slices, text_bytes, whole_text
+from tidemill.llm.common import narrow, slices, text_bytes, whole_text
 from tidemill.llm.words import split_words, window_hashes, word_hashes
 
 WINDOW = 13
@@ -227,3 +227,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         (F.min("same") == 1).alias("exact"))
 
 
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents that share no consistent window with any item. A text counts wherever it stands, so ids do not matter."""
+    rows = narrow(docs, whole_row=True, text=text_col)
+    keyed = rows.select(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("key"), "text", "row")
+    bad = leaks(keyed.select("key", "text"), benchmark, "key", "text", item_col, item_text_col).select("key").distinct()
+    return keyed.select("key", "row").join(bad, "key", "left_anti").select("row.*")

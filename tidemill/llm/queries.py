@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, imatch, pii, quality, repeats, secret_scan, substring_dedup, token_counts
+from tidemill.llm import bpe, decontaminate, imatch, near_dup, pii, quality, repeats, secret_scan, substring_dedup, token_counts
 from tidemill.llm.common import stored
-from tidemill.llm.sqltext import OP1
+from tidemill.llm.sqltext import OP1, OP4, OP9
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,7 +52,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@query("op4_substring_dedup")
+@query("op4_substring_dedup", OP4)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.dedup(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -81,6 +81,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.extract(documents(spark, sf_dir)))
 
 
+@query("op9_near_dup", OP9)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(documents(spark, sf_dir), words=2)
+
+
 @query("op10_imatch")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare(documents(spark, sf_dir))

@@ -20,7 +20,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import whole_text
+from tidemill.llm.common import narrow, whole_text
 from tidemill.llm.spans import listed, matches, tagged
 
 BLOCK = 4096  # ids per block: the longest possible posting list
@@ -179,27 +179,61 @@ def index(docs: DataFrame, grams: set[str]) -> DataFrame:
     return lists.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("gram", "ids"))).alias("postings"))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``id_col`` and ``spans`` array<struct<start, rank, kind, end>>, ordered, ends exclusive."""
-    cut = whole_text(docs, id_col, text_col).withColumn("key", F.coalesce(F.col("id").cast("long"), F.lit(0)))
+def _spans(rows: DataFrame, texts: DataFrame, text: Column, rules: tuple[Rule, ...]) -> DataFrame:
+    """``rows`` (with a key) and ``spans``; ``texts`` has the same documents as (key, text), ``text`` reads a row's text."""
     queries = [trigram_query(r.pattern) for r in rules]
     grams = set().union(*map(trigrams, queries))
-    found = cut
     tried = {}
     if grams:
-        blocks = index(cut, grams)
         hits = F.concat(*[_pairs(_candidates(q, F.col("postings")), i) for i, q in enumerate(queries) if q is not True])
-        pairs = blocks.select(F.explode(hits).alias("hit")).select("hit.key", "hit.rule")
-        wanted = pairs.groupBy("key").agg(F.collect_set("rule").alias("rules"))
-        found = cut.join(wanted, "key", "left")
+        pairs = index(texts, grams).select(F.explode(hits).alias("hit")).select("hit.key", "hit.rule")
+        rows = rows.join(pairs.groupBy("key").agg(F.collect_set("rule").alias("rules")), "key", "left")
         tried = {i: F.coalesce(F.array_contains("rules", i), F.lit(False)) for i, q in enumerate(queries) if q is not True}
     spans = []
     for i, rule in enumerate(rules):
-        got = matches(F.col("text"), rule.pattern, rule.group, tried.get(i))
+        got = matches(text, rule.pattern, rule.group, tried.get(i))
         if rule.at_least > 1:
             got = _long_enough(got, rule.at_least)
         spans.append(tagged(got, i, rule.kind))
-    return found.select(F.col("id").alias(id_col), F.array_sort(F.concat(*spans)).alias("spans"))
+    return rows.withColumn("spans", F.array_sort(F.concat(*spans)))
+
+
+def _key() -> Column:
+    return F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("key")
+
+
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``id_col`` and ``spans`` array<struct<start, rank, kind, end>>, ordered, ends exclusive."""
+    cut = whole_text(docs, id_col, text_col).select("id", "text", _key())
+    found = _spans(cut, cut.select("key", "text"), F.col("text"), rules)
+    return found.select(F.col("id").alias(id_col), "spans")
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mark: str = "[secret]", id_col: str = "doc_id",
+           text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The documents with every stretch covered by spans replaced by the mark; ``length_col``, if there, follows the text.
+
+    Documents without spans come back unchanged, null texts too.
+    """
+    cut = narrow(docs, whole_row=True, id=id_col, text=text_col).select("row", _key())
+    text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))
+    found = _spans(cut, whole_text(docs, id_col, text_col).select(_key(), "text"), text, rules)
+    walked = F.aggregate(
+        "spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda state, s: F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), F.concat(
+            state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mark)).alias("out"))).otherwise(
+            F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["out"].alias("out"))),
+        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
+    clean = found.select("row", F.when(F.size("spans") > 0, walked).alias("clean"))
+    columns = []
+    for name in docs.columns:
+        value = F.col("row")[name]
+        if name == text_col:
+            value = F.coalesce("clean", value)
+        elif name == length_col:
+            value = F.coalesce(F.length("clean").cast("long"), value)
+        columns.append(value.alias(name))
+    return clean.select(*columns)
 
 
 def _count(kind: str) -> Column:

@@ -50,3 +50,35 @@ FROM s"""
 
 
 OP1 = _secrets()
+
+_WORDS = r"""
+t AS (SELECT doc_id, list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM t)"""
+
+OP4 = f"""
+WITH {_WORDS.format(text="coalesce(text, '')")},
+wins AS (SELECT doc_id, i, string_agg(word, ' ') OVER w AS win, COUNT(*) OVER w AS n FROM words
+ WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+least AS (SELECT win, MIN(doc_id) AS m FROM wins WHERE n = 13 GROUP BY 1),
+bad AS (SELECT doc_id, i FROM wins JOIN least USING (win) WHERE n = 13 AND m < doc_id),
+marked AS (SELECT w.doc_id, w.i, w.word, MAX(CASE WHEN b.i IS NULL THEN 0 ELSE 1 END) OVER
+ (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM words w LEFT JOIN bad b ON w.doc_id = b.doc_id AND w.i = b.i),
+per AS (SELECT doc_id, SUM(gone) AS gone, string_agg(CASE WHEN gone = 0 THEN word END, ' ' ORDER BY i) AS kept FROM marked GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN per USING (doc_id)"""
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOW = f"translate(coalesce(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}')"
+
+OP9 = f"""
+WITH RECURSIVE {_WORDS.format(text=_LOW)},
+pairs AS (SELECT doc_id, word || ' ' || LEAD(word) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM words),
+sets AS (SELECT DISTINCT doc_id, s FROM pairs WHERE s IS NOT NULL UNION SELECT doc_id, ws[1] FROM t WHERE len(ws) = 1),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+sides AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM t UNION SELECT r.a, k.b FROM reach r JOIN sides k ON r.b = k.a),
+least AS (SELECT a AS doc_id, MIN(b) AS component_id FROM reach GROUP BY 1)
+SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, t.doc_id = component_id AS kept
+FROM t JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
