@@ -18,6 +18,7 @@ HEADLINE = [
     "agg_02_group_agg", "agg_09_topk", "agg_18_word_count", "ana_06_rolling_sum_range", "jon_08_asof_lookup",
     "cdc_06_apply_changelog", "inc_02_merge_upsert", "inc_10_scd2", "inc_11_dedup_by_key", "dom_07_fraud_rules",
     "dom_10_funnel", "dom_18_semantic_query", "dq_07_split", "str_12_rolling_reduce", "str_01_with_watermark",
+    "dom_08_revenue_dashboard", "dom_09_alerts", "dom_19_superstore_kpis", "dom_24_fraud_summary",
 ]
 
 

@@ -61,3 +61,13 @@ def test_small_values_share_files_and_rows_survive(spark, work):
     path, t = work("by_type"), Tables(spark, TESTDATA)
     K.write_partitioned(t.part, path, ["p_type"])
     assert spark.read.parquet(path).count() == t.part.count()
+
+
+def test_alerts_read_the_orders_once(spark):
+    """Panels and rules read the stored list of periods, not the joined events."""
+    plan = plan_of(bindings.QUERIES["dom_09_alerts"](spark, TESTDATA))
+    assert "events.parquet" not in plan and "customer.parquet" not in plan
+
+
+def test_summary_reads_the_stored_alerts(spark):
+    assert "events.parquet" not in plan_of(bindings.QUERIES["dom_24_fraud_summary"](spark, TESTDATA))
