@@ -43,7 +43,7 @@ def safe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the tokens of every text, and the text they decode to."""
     ranks, pattern = tokenizer()
-    both = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
+    both = bpe.round_trip(docs, ranks, pattern)
     return both.selectExpr("doc_id", "cast(size(ids) as bigint) as n_tokens", "ids", "cast(decoded as string) as decoded")
 
 

@@ -29,8 +29,8 @@ from tidemill.llm.common import ranges, slices, whole_text
 
 NONE = np.int32(2 ** 31 - 1)  # rank of a pair that does not merge
 WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 128, 256)  # matrix widths; longer pieces go to the heap
-CACHE_PIECES = 200_000  # pieces whose ids a worker remembers; only speed depends on it
-CHUNK_PIECES = 400_000
+CACHE_PIECES = 100_000  # pieces whose ids a worker remembers; only speed depends on it
+CHUNK_PIECES = 100_000
 SPLIT_CHARS = 1_000_000  # longer texts are cut into pieces a chunk at a time
 
 
@@ -178,7 +178,7 @@ class Vocabulary:
             for b in np.unique(bucket):
                 width = WIDTHS[b]
                 members = todo[bucket == b]
-                step = max(1, 4_000_000 // width)
+                step = max(1, 1_000_000 // width)
                 for a in range(0, len(members), step):
                     some = members[a:a + step]
                     raw = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in some), np.uint8)
@@ -262,6 +262,15 @@ def encode_texts(vocab: Vocabulary, pattern: str, texts: list[str], only_lengths
     return (None if only_lengths else np.concatenate(ids) if ids else np.zeros(0, np.int32)), counts
 
 
+def decode_ids(vocab: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The bytes of each run of ids, as a binary column."""
+    ids = ids.astype(np.int64)
+    widths = vocab.token_lengths[ids]
+    data = vocab.token_bytes[ranges(vocab.token_starts[ids], widths)]
+    ends = np.concatenate([[0], np.cumsum(widths)])[np.concatenate([[0], np.cumsum(counts)])]
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
 def _encoder(ranks, pattern: str, only_lengths: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(ranks.value)
@@ -302,24 +311,33 @@ def decode(tokens: DataFrame, ranks: bytes, id_col: str = "doc_id", ids_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(shared.value)
         for whole in batches:
-            at = 0
-            while at < whole.num_rows:  # a bounded number of tokens at a time
-                n = 256
-                batch = whole.slice(at, n)
-                at += n
+            for at in range(0, whole.num_rows, 256):  # a bounded number of tokens at a time
+                batch = whole.slice(at, 256)
                 col = batch.column(1)
                 sizes = np.asarray(col.value_lengths().fill_null(0)).astype(np.int64)
-                ids = np.asarray(col.flatten()).astype(np.int64)
-                widths = vocab.token_lengths[ids]
-                data = vocab.token_bytes[ranges(vocab.token_starts[ids], widths)]
-                ends = np.concatenate([[0], np.cumsum(widths)])[np.concatenate([[0], np.cumsum(sizes)])]
-                out = pa.Array.from_buffers(pa.binary(), len(col), [
-                    None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+                out = decode_ids(vocab, np.asarray(col.flatten()), sizes)
                 yield pa.RecordBatch.from_arrays([batch.column(0), col, out], names)
 
     return tokens.select(id_col, ids_col).mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode`` and then ``decode`` of its ids in one pass over the texts: ``id_col``, ``ids``, ``decoded``."""
+    cut = whole_text(docs, id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(shared.value)
+        for batch in slices(batches):
+            ids, counts = encode_texts(vocab, pattern, batch.column(1).to_pylist())
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, decode_ids(vocab, ids, counts)], ["id", "ids", "decoded"])
+
+    return cut.mapInArrow(run, T.StructType([cut.schema["id"], *fields])).select(F.col("id").alias(id_col), "ids", "decoded")
+
+
 def digests(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Number of tokens, and the digests of the ids and of the decoded bytes."""
     return tokens.select(

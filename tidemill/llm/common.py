@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.session import scratch
 
-SLICE_CHARS = 2_000_000  # text that a task holds as Python objects at a time
+SLICE_CHARS = 500_000  # bytes of text that a task works on at a time
 
 
 def narrow(df: DataFrame, whole_row: bool = False, **wanted: str) -> DataFrame:
@@ -74,8 +74,8 @@ def sha(col: Column) -> Column:
     return F.sha2(col, 256)
 
 
-# While an intermediate table is written, shuffle files go with it.
-WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# While an intermediate table is written, shuffle files go with it and Arrow batches stay small.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -26,14 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import narrow, slices, text_bytes, whole_text
+from tidemill.llm.common import narrow, slices, stored, text_bytes, whole_text
 from tidemill.llm.words import split_words, window_hashes, word_hashes
 
 WINDOW = 13
 LEAST_TOKENS = 5
 LEAST_LITERAL = 0.5    # share of literal tokens below which slots must be equal
 BITS = 24              # the bitmap has 2**BITS places
-CACHE_WORDS = 500_000  # word classes that a worker remembers; only speed depends on it
+CACHE_WORDS = 150_000  # word classes that a worker remembers; only speed depends on it
 
 LITERAL, NUMBER, NAME, UNIT, NOTHING = range(5)
 MARKS = {NUMBER: "<number>", NAME: "<name>", UNIT: "<unit>"}
@@ -50,8 +50,8 @@ _NUMBER = regex.compile(r"\d[\d.,:/]*(?:st|nd|rd|th|%)?")
 _ENDS = regex.compile(r"[.!?:;][^\p{L}\p{N}]*$")
 
 
-def _classify(word: bytes) -> tuple[int, bool, bool, int]:
-    """(kind, capitalised, ends a sentence, hash of the canonical word)."""
+def _classify(word: bytes) -> int:
+    """One number: kind (three bits), capitalised, ends a sentence, and above them the hash of the canonical word."""
     raw = word.decode("utf-8", "replace")
     core = _AROUND.sub("", raw)
     low = core.lower()
@@ -64,10 +64,11 @@ def _classify(word: bytes) -> tuple[int, bool, bool, int]:
         kind = UNIT
     else:
         kind = LITERAL
-    return kind, len(core) > 1 and core[0].isupper() and core[1:].islower(), bool(_ENDS.search(raw)), code
+    capital = len(core) > 1 and core[0].isupper() and core[1:].islower()
+    return (code >> 5 << 5) | bool(_ENDS.search(raw)) << 4 | capital << 3 | kind
 
 
-_CACHE: dict[int, tuple[int, bool, bool, int]] = {}
+_CACHE: dict[int, int] = {}
 
 
 def canonical(data: np.ndarray, offsets: np.ndarray):
@@ -85,20 +86,21 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
         if found is None:
             found = _CACHE[h] = _classify(data[starts[i]:ends[i]].tobytes())
         classes.append(found)
-    kind, capital, closes = (np.array([c[k] for c in classes])[place] for k in range(3))
-    codes = np.array([c[3] for c in classes], np.uint64)[place]
+    classes = np.array(classes, np.uint64)[place]
+    kind, codes = (classes & np.uint64(7)).astype(np.int8), classes >> np.uint64(5)
+    capital, closes = classes & np.uint64(8) > 0, classes & np.uint64(16) > 0
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     real = kind != NOTHING
     starts, ends, kind, capital, closes, codes, row = (x[real] for x in (starts, ends, kind, capital, closes, codes, row))
     first = np.searchsorted(row, np.arange(len(offsets)))
     same = np.zeros(len(row), bool)
     same[1:] = row[1:] == row[:-1]
-    before = np.zeros(len(row), np.int64)
+    before = np.zeros(len(row), np.int8)
     before[1:] = kind[:-1]
     open_ = np.zeros(len(row), bool)
-    open_[1:] = ~closes[:-1].astype(bool)
+    open_[1:] = ~closes[:-1]
     kinds = np.where(kind == NUMBER, NUMBER, LITERAL)
-    kinds[(kind == LITERAL) & capital.astype(bool) & same & open_] = NAME
+    kinds[(kind == LITERAL) & capital & same & open_] = NAME
     kinds[(kind == UNIT) & same & (before == NUMBER)] = UNIT
     codes = np.where(kinds == LITERAL, codes, kinds.astype(np.uint64))
     return starts, ends, first, kinds, codes
@@ -151,7 +153,7 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
             # Inside a document the first word no longer starts a text: if capitalised it may pass for a name there.
             starts, ends, first, kinds, codes = tokens
             heads = first[:-1][np.diff(first) > 0]
-            named = [h for h in heads.tolist() if kinds[h] == LITERAL and _classify(data[starts[h]:ends[h]].tobytes())[1]]
+            named = [h for h in heads.tolist() if kinds[h] == LITERAL and _classify(data[starts[h]:ends[h]].tobytes()) & 8]
             kinds, codes = kinds.copy(), codes.copy()
             kinds[named], codes[named] = NAME, np.uint64(NAME)
             again = set(named)
@@ -214,7 +216,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         bitmap[(r.piece - 1) * 4096:r.piece * 4096] = r.bits
     bitmap = bytes(bitmap)
     sizes = sorted({size for r in pieces for size in r.sizes})
-    ours = document_windows(docs, sizes, bitmap, id_col, text_col).select(
+    ours = stored(document_windows(docs, sizes, bitmap, id_col, text_col), "windows").select(
         F.col("id").alias("doc"), "size", "hash", "template", F.col("slots").alias("doc_slots"))
     theirs = items.select(F.col("id").alias("item"), "size", "at", "hash", "template", F.col("slots").alias("item_slots"), "n_windows")
     equal = F.col("doc_slots") == F.col("item_slots")

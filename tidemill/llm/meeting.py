@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from tidemill.llm.words import mix
 
-PAIRS = 2_000_000        # pairs that a task folds at a time
+PAIRS = 1_000_000        # pairs that a task folds at a time
 BUCKETS_PER_PARTITION = 4
 SENT = "bucket int, hashes binary, keys binary, counts binary"
 PACKED = "bucket int, keys binary, vals binary"

@@ -43,8 +43,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bpe_round_trip")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer()
-    both = bpe.decode(bpe.encode(documents(spark, sf_dir), ranks, pattern), ranks)
-    return bpe.digests(both)
+    return bpe.digests(bpe.round_trip(documents(spark, sf_dir), ranks, pattern))
 
 
 @query("op3_decontaminate")
