@@ -37,7 +37,7 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 BATCH = 32       # hashes compared at a time
 MISS = 1e-5      # posterior probability of a link at which a pair is dropped
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 512, 1 << 18
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64), 7).astype(np.uint32)
 FACTORS, SHIFTS = _SEEDS[:HASHES] | np.uint32(1), _SEEDS[HASHES:]
 
@@ -202,19 +202,20 @@ def survivors(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return both.where(stays("marks_x", "marks_y", "n_x", "n_y")).select("x", "y")
 
 
+def _alike(a, b, percent: int) -> bool:
+    """Whether two sorted sets of hashes are similar enough."""
+    both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose full sets are similar enough."""
 
     @F.arrow_udf(T.BooleanType())
     def alike(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            out.append(100 * common >= percent * (len(both) - common))
-        return pa.array(out, pa.bool_())
+        return pa.array([_alike(x.as_buffer(), y.as_buffer(), percent) for x, y in zip(a, b)], pa.bool_())
 
     one = sets.select(F.col("key").alias("x"), F.col("hashes").alias("a"))
     two = sets.select(F.col("key").alias("y"), F.col("hashes").alias("b"))
@@ -243,23 +244,28 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 
 
 def centre_pairs(buckets: DataFrame) -> DataFrame:
-    """Every member with two centres of its bucket: its smallest key and one picked by hash."""
-    centres = buckets.groupBy("h").agg(F.min("key").alias("c1"), F.min_by("key", F.xxhash64("key")).alias("c2"))
+    """Every member with two centres of its bucket, its smallest and its largest key: never the same one."""
+    centres = buckets.groupBy("h").agg(F.min("key").alias("c1"), F.max("key").alias("c2"))
     rows = buckets.join(centres, "h").select("key", F.explode(F.array("c1", "c2")).alias("c")).where("key != c")
     return rows.select(*_ordered(F.col("key"), F.col("c"))).distinct()
 
 
-def blocks(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+def blocks(buckets: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame:
     """(h, i, kind, j, side, key, comp): who meets whom in buckets that hold several components.
 
-    Buckets of up to three members are through: with two centres all their pairs have met.
+    Buckets of up to three members are through: with two centres all their pairs have met. A block has about BLOCK members
+    or BLOCK_SHINGLES shingles on a side.
     """
-    rows = buckets.join(labels, "key", "left").select("h", "key", F.coalesce("comp", "key").alias("comp"))
-    counts = rows.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("h").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("most"))
-    open_ = largest.where((F.col("all") > F.col("most.n")) & (F.col("all") > 3)).select(
-        "h", F.col("most.comp").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("others"),
-        F.ceil(F.col("most.n") / BLOCK).cast("int").alias("mains"))
+    rows = buckets.join(labels, "key", "left").join(sizes.select("key", "n"), "key").select("h", "key", "n", F.coalesce("comp", "key").alias("comp"))
+    counts = rows.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("weight"))
+    largest = counts.groupBy("h").agg(F.sum("n").alias("all"), F.sum("weight").alias("all_weight"), F.max(F.struct("n", "comp", "weight")).alias("most"))
+
+    def parts(n: Column, weight: Column) -> Column:
+        return F.ceil(F.greatest(n / BLOCK, weight / BLOCK_SHINGLES)).cast("int")
+
+    rest, rest_weight = F.col("all") - F.col("most.n"), F.col("all_weight") - F.col("most.weight")
+    open_ = largest.where((rest > 0) & (F.col("all") > 3)).select(
+        "h", F.col("most.comp").alias("main"), parts(rest, rest_weight).alias("others"), parts(F.col("most.n"), F.col("most.weight")).alias("mains"))
     placed = rows.join(open_, "h")
     inside = F.col("comp") == F.col("main")
     at = F.pmod(F.xxhash64("key"), F.when(inside, F.col("mains")).otherwise(F.col("others"))).cast("int")
@@ -275,29 +281,37 @@ def blocks(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.select("h", "key", "comp", F.explode(F.when(F.col("inside"), main).otherwise(other)).alias("p")).select("h", "p.*", "key", "comp")
 
 
-def block_pairs(met: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs (x, y) of different components, each from the first band that it shares."""
+def block_links(met: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) between components, from blocks: each pair is compared in the first band that it shares.
+
+    Within a block a pair is skipped once links found there connect it, so a block gives at most one
+    link per component that it joins.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         key, comp, side, n = (np.asarray(table[c]) for c in ("key", "comp", "side", "n"))
-        band = int(np.uint64(np.asarray(table["h"])[0].view(np.uint64)) & np.uint64(BANDS - 1))
+        band = int(np.asarray(table["h"])[0].view(np.uint64) & np.uint64(BANDS - 1))
         marks = _marks(table["marks"])
         whole = marks.reshape(-1, BANDS, ROWS)
+        held = [x.as_buffer() for x in table["hashes"]]
+        group = np.unique(comp, return_inverse=True)[1]
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         xs, ys = [], []
         for i in a.tolist():
-            to = b[comp[b] != comp[i]]
+            to = b[group[b] != group[i]]
             to = to[_stay(np.broadcast_to(marks[i], (len(to), HASHES)), marks[to], np.broadcast_to(n[i], len(to)), n[to], percent)]
-            if len(to):
-                first = (whole[to] == whole[i]).all(2).argmax(1)
-                to = to[first == band]
-                xs.append(np.minimum(key[i], key[to]))
-                ys.append(np.maximum(key[i], key[to]))
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"x": np.concatenate(xs or none), "y": np.concatenate(ys or none)})
-
-    rows = met.join(reps.select("key", "n", "marks"), "key")
+            to = to[(whole[to] == whole[i]).all(2).argmax(1) == band]
+            while len(to):
+                j, to = int(to[0]), to[1:]
+                if _alike(held[i], held[j], percent):
+                    xs.append(min(int(key[i]), int(key[j])))
+                    ys.append(max(int(key[i]), int(key[j])))
+                    group[group == group[j]] = group[i]
+                    to = to[group[to] != group[i]]
+        return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
+
+    rows = met.join(reps.select("key", "n", "marks"), "key").join(sets, "key")
     return rows.groupBy("h", "i", "kind", "j").applyInArrow(run, "x bigint, y bigint").distinct()
 
 
@@ -310,7 +324,7 @@ def linked(keyed: DataFrame, words: int, percent: int) -> DataFrame:
     sets = stored(full_sets(keyed, buckets.select("key").distinct(), words), "sets")
     links = stored(verified(survivors(centre_pairs(buckets), reps, percent), sets, percent), "centre-links")
     labels = components(links)
-    more = stored(verified(block_pairs(blocks(buckets, labels), reps, percent), sets, percent), "block-links")
+    more = stored(block_links(blocks(buckets, labels, reps), reps, sets, percent), "block-links")
     if not more.isEmpty():
         found = [labels.select(F.col("key").alias(c), F.col("comp").alias(f"comp_{c}")) for c in ("x", "y")]
         joined = more.join(found[0], "x", "left").join(found[1], "y", "left").select(
