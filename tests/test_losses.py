@@ -12,6 +12,7 @@ from tidemill.operators import analytic as N
 from tidemill.operators import incremental as I
 from tidemill.operators import joins as J
 from tidemill.operators import quality as Q
+from tidemill.operators import timewindows as W
 from tidemill.operators.versioned import VersionedTable
 from tidemill.plans import migrate
 from tidemill.streaming import sinks as K
@@ -164,3 +165,11 @@ def test_epochs_of_any_length(spark):
     df = spark.createDataFrame([("5000",), ("-1000",), ("x",), ("1700000000000",)], "x string")
     got = [r[0] for r in df.select(F.unix_millis(S.coerce_ts(c("x"), S.PLAIN_SECONDS).cast("timestamp"))).collect()]
     assert got == [5000, -1000, None, 1700000000000]
+
+
+def test_gaps_are_filled_per_key(spark):
+    rows = [("a", 1, 5), ("a", 4, 6), ("b", 2, 7), (None, 1, 8), (None, 3, 9)]
+    df = spark.createDataFrame([(k, day(d), v) for k, d, v in rows], "k string, w timestamp_ntz, v int")
+    got = W.gap_fill(df, "w", "1 day", {"v": 0}, ["k"]).withColumn("d", F.dayofmonth("w"))
+    want = [("a", 1, 5), ("a", 2, 0), ("a", 3, 0), ("a", 4, 6), ("b", 2, 7), (None, 1, 8), (None, 2, 0), (None, 3, 9)]
+    assert values(got, "k", "d", "v") == sorted(want, key=str)

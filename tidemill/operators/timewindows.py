@@ -89,11 +89,13 @@ def window_distinct(df: DataFrame, ts: str, size: str, keys: Sequence[str], memb
             .select(F.col("w.start").alias("window_start"), *keys, name))
 
 
-def gap_fill(windows: DataFrame, start: str, step: str, zero: Mapping[str, object]) -> DataFrame:
-    """Every window between the first and the last, empty ones with the given values."""
-    span = windows.agg(F.min(start).alias("a"), F.max(start).alias("b"))
-    spine = span.select(F.explode(F.expr(f"sequence(a, b, interval {step})")).alias(start))
-    return spine.join(windows, start, "left").withColumns(
+def gap_fill(windows: DataFrame, start: str, step: str, zero: Mapping[str, object], keys: Sequence[str] = ()) -> DataFrame:
+    """Every window between the first and the last, of each key if there are keys, empty ones with the given values."""
+    span = windows.groupBy(*keys).agg(F.min(start).alias("_a"), F.max(start).alias("_b")).where("_a IS NOT NULL")
+    spine = span.select(*keys, F.explode(F.expr(f"sequence(_a, _b, interval {step})")).alias(start))
+    held = windows.withColumnsRenamed({c: f"_r_{c}" for c in (*keys, start)})
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys] + [F.col(start) == F.col(f"_r_{start}")]
+    return spine.join(held, on, "left").drop(*[f"_r_{c}" for c in (*keys, start)]).withColumns(
         {c: F.coalesce(F.col(c), F.lit(v)) for c, v in zero.items()})
 
 
