@@ -105,12 +105,16 @@ def test_imatch_edges(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
-def test_next_ids_over_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(imatch, "ROWS_PER_BLOCK", 3)
-    ids = [-50, -7, -6, 0, 3, 4, 5, 900, 901, 10 ** 12]
-    keys = spark.createDataFrame([(i,) for i in ids + [4]], "key long")
-    got = {r.key: r.next_key for r in imatch.next_ids(keys, min(ids), max(ids), len(ids)).collect()}
-    assert got == {k: ids[i - 1] for i, k in enumerate(ids)}
+def test_next_over_many_blocks(spark, monkeypatch):
+    """Clustered and far-off ids, several to a block, repeated ones too; every block hands over to the next."""
+    monkeypatch.setattr(imatch, "LEAST_ROWS", 3)
+    ids = [-2 ** 60, -50, -7, -6, 0, 3, 4, 5, 900, 901, 10 ** 12, 10 ** 12 + 1, 2 ** 60]
+    docs = spark.createDataFrame([(i, f"text of {i}") for i in ids + [4]], "doc_id long, text string").repartition(5)
+    rows = imatch.with_next(docs).collect()
+    assert len(rows) == len(ids) + 1
+    assert {r.id: r.next_key for r in rows} == {k: ids[i - 1] for i, k in enumerate(ids)}
+    want = edited({i: f"text of {i}" for i in ids})
+    assert all(r.edited == want[r.id][0] for r in rows)
 
 
 def test_leaks_query(spark):

@@ -30,8 +30,8 @@ from tidemill.llm.words import LOWER, mix, powers, row_of, split_words, word_has
 LEAST_SHARE, MOST_SHARE = 0.002, 0.2  # the band: document frequency as a share of all documents
 SUBSETS = (24, 96, 384, 1536)         # one term in so many is kept ...
 EACH = 16                             # ... by so many subsets each
-PENDING = 2_000_000                   # counts that a task gathers before it folds them
-ROWS_PER_BLOCK = 100_000
+PENDING = 1_000_000                   # counts that a task gathers before it folds them
+LEAST_ROWS, MOST_BLOCKS, RANGES = 2_000, 100_000, 200  # blocks of neighbouring ids
 
 
 def _distinct(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,37 +143,78 @@ def likeness(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.where((x == y).all(1), 1.0, same / np.maximum(some, 1)))
 
 
-def next_ids(keys: DataFrame, low: int, high: int, rows: int) -> DataFrame:
-    """(key, next_key): each key's largest smaller key, and for the smallest the largest.
+def _blocks(ids: DataFrame, rows: int):
+    """A function from ids to ascending block numbers: quantile ranges, each cut evenly by value."""
+    ranges_ = min(RANGES, max(1, rows // LEAST_ROWS))
+    cuts = np.unique(np.array(ids.approxQuantile("id", [i / ranges_ for i in range(ranges_ + 1)], 0.1 / ranges_), np.float64))
+    cuts = np.clip(cuts, -2.0 ** 62, 2.0 ** 62).astype(np.int64)
+    parts = min(MOST_BLOCKS, max(1, rows // LEAST_ROWS)) // ranges_ + 1
+    widths = np.maximum(np.diff(np.append(cuts, cuts[-1:] + 1)) // parts + 1, 1)
 
-    Keys are cut into blocks of their range; windows run inside blocks and over one row per block.
-    """
-    width = max(1, (high - low) // max(1, rows // ROWS_PER_BLOCK) + 1)
-    blocks = keys.select("key").distinct().withColumn("block", F.expr(f"key div {width}L"))
-    inside = blocks.withColumn("next_key", F.lead("key").over(Window.partitionBy("block").orderBy(F.desc("key"))))
-    tops = blocks.groupBy("block").agg(F.max("key").alias("top"))
-    order = Window.orderBy(F.desc("block"))  # one row per block
-    follow = tops.select("block", F.coalesce(F.lead("top").over(order), F.lit(high)).alias("after"))
-    return inside.join(follow, "block").select("key", F.coalesce("next_key", "after").alias("next_key"))
+    @F.arrow_udf(T.LongType())
+    def block(keys: pa.Array) -> pa.Array:
+        keys = np.asarray(keys)
+        at = np.maximum(np.searchsorted(cuts, keys, "right") - 1, 0)
+        inside = np.clip(keys // widths[at] - cuts[at] // widths[at], 0, 2 ** 31 - 1)
+        return pa.array((at.astype(np.int64) << 32) + inside)
+
+    return block
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 3) -> DataFrame:
-    """(key, id, text, next_key, edited): every document, and its text with the last 1/share replaced by the next document's start."""
+    """(key, id, text, next_key, edited): every document, and its text with the last 1/share replaced by the next document's start.
+
+    The texts are shuffled once, to blocks of neighbouring ids, and walked in descending order; each block
+    also gets the first document of the block that follows. There are at most about MOST_BLOCKS blocks.
+    """
     cut = whole_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
-    sizes = cut.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).first()
-    low, high = (0, 0) if sizes.low is None else (sizes.low, sizes.high)
-    missing = max(low - 1, -2 ** 63)
-    keyed = cut.select(F.coalesce("id", F.lit(missing).cast("long")).alias("key"), "id", "text")
-    tail = F.floor(F.length("text") / share).cast("int")
-    asked = keyed.select("key", tail.alias("k")).distinct()
-    asked = asked.join(next_ids(keyed, missing, high, sizes.n), "key")
-    texts = keyed.select("key", "text", "id")
-    heads = texts.select("key", "text").join(asked.select(F.col("next_key").alias("key"), F.col("key").alias("for_key"), "k"), "key").select(
-        F.col("for_key").alias("key"), F.col("key").alias("next_key"), "k", F.expr("substring(text, 1, k)").alias("head"))
-    heads = heads.groupBy("key").agg(F.first("next_key").alias("next_key"), F.collect_set(F.struct("k", "head")).alias("heads"))
-    both = texts.join(heads, "key").withColumn("k", tail)
-    head = F.array_min(F.expr("filter(heads, h -> h.k = k)"))["head"]
-    return both.select("key", "id", "text", "next_key", F.concat(F.expr("substring(text, 1, length(text) - k)"), head).alias("edited"))
+    ids = cut.select("id")
+    sizes = ids.agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).first()
+    missing = 0 if sizes.low is None else max(sizes.low - 1, -2 ** 63)
+    block = _blocks(ids.na.fill(missing), sizes.n) if sizes.n else (lambda key: key)
+    key = F.coalesce("id", F.lit(missing).cast("long"))
+    tops = ids.select(key.alias("key")).select("key", block(F.col("key")).alias("block")).groupBy("block").agg(F.max("key").alias("key"))
+    ascending = Window.orderBy("block")  # one row per block
+    whole = ascending.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    copies = tops.select("key", F.coalesce(F.lead("block").over(ascending), F.min("block").over(whole)).alias("also"))
+    keyed = cut.select(key.alias("key"), "id", "text").select("key", "id", "text", block(F.col("key")).alias("block"))
+    # Broadcast: one row per block, so at most about MOST_BLOCKS + RANGES rows of two numbers.
+    places = keyed.join(F.broadcast(copies), "key", "left").select(
+        "key", "id", "text", F.explode(F.when(F.col("also").isNull(), F.array(_place(F.col("block"), 0))).otherwise(
+            F.array(_place(F.col("block"), 0), _place(F.col("also"), 1)))).alias("p"))
+    rows = places.select("p.block", "p.extra", "key", "id", "text").repartition("block").sortWithinPartitions(
+        "block", "extra", F.desc("key"), "text")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []  # rows of one (block, key) that still lack the next text
+        out: list[tuple] = []
+        size = 0
+        place = None
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if row[:3] != place:
+                    if place is not None and row[0] == place[0]:
+                        for _, _, k, i, text in waiting:
+                            n = len(text) // share
+                            out.append((k, i, text, row[2], text[:len(text) - n] + row[4][:n]))
+                            size += len(text)
+                    waiting, place = [], row[:3]
+                if row[1] == 0:
+                    waiting.append(row)
+                if size >= SLICE_CHARS:
+                    yield pa.RecordBatch.from_pylist([dict(zip(NEXT.names, o)) for o in out], NEXT)
+                    out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist([dict(zip(NEXT.names, o)) for o in out], NEXT)
+
+    return rows.mapInArrow(walk, "key bigint, id bigint, text string, next_key bigint, edited string")
+
+
+NEXT = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("text", pa.string()), ("next_key", pa.int64()), ("edited", pa.string())])
+
+
+def _place(block: Column, extra: int) -> Column:
+    return F.struct(block.alias("block"), F.lit(extra).alias("extra"))
 
 
 def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
