@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import stored
+
 BLOCK = 1024  # lengths per block
 
 
@@ -31,6 +33,7 @@ def limits(hist: DataFrame) -> DataFrame:
     is cut to L; quantile the share of documents of at most L tokens.
     """
     block = F.floor(F.col("length") / BLOCK).cast("long")
+    hist = stored(hist, "histogram")  # read twice below
     rows = hist.withColumn("block", block).withColumn("tokens", F.col("length") * F.col("n_docs"))
     sums = rows.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row per 1024 lengths
