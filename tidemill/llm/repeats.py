@@ -3,7 +3,7 @@
 1. Every window of ``window`` bytes selects its anchor: the gram with the smallest hash in it, the leftmost of equals.
    Equal windows select equal anchors at equal places, so only anchors that occur twice can hold repeats.
 2. The stretch of bytes whose windows selected such an anchor travels to the bucket of the anchor's hash. Equal
-   stretches are folded before and after the shuffle. What stays different is indexed, bucket by bucket: a
+   stretches are folded before and after the shuffle. Anchors with different stretches are indexed, bucket by bucket: a
    run-compressed Burrows-Wheeler transform with samples at run ends, from which the matching statistics of all its
    positions stream. Positions whose match is long enough mark their window.
 3. The marks return to their documents, whose marked bytes go.
@@ -18,7 +18,7 @@ of their own, and so repeat each other. Each input row gives one result row. Ext
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +32,13 @@ from tidemill.llm.rlbwt import SEPARATOR, RunIndex
 from tidemill.llm.words import prefix_hash, stretch_hash
 
 GRAM_SHARE = 4            # an anchor is a quarter as long as a window
-CHUNK = 1 << 21           # window starts handled at a time
+CHUNK = 1 << 19           # window starts handled at a time
 PLACE_BITS = 22
 STRETCHES = 40_000        # stretches that a task folds at a time
 INDEX_BYTES = 1 << 20     # buckets are indexed together up to about this size ...
 BUCKET_BYTES = 4 << 20    # ... and a bucket of more different bytes than this meets by window hashes
 BUCKETS_PER_PARTITION = 32
-STRETCH = "bucket int, keys binary, vals binary, starts binary, sizes binary, counts binary, bytes binary"
+STRETCH = "bucket int, keys binary, vals binary, starts binary, sizes binary, counts binary, bytes binary, anchors binary"
 MARKS = PACKED + ", sizes binary, bytes binary"
 
 
@@ -98,7 +98,7 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
     rows = keyed.join(shared, "key").select("key", "text", "vals")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes, int, int]] = []
+        held: list[tuple[int, bytes, int, int, int]] = []
         for batch in slices(batches):
             data, offsets = text_bytes(batch.column(1))
             keys = np.asarray(batch.column(0))
@@ -110,7 +110,7 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
             where = ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
             for i in np.flatnonzero(wanted).tolist():
                 a, b = int(first[i]), int(last[i]) + window
-                held.append((int(where[i]), data[a:b].tobytes(), int(keys[row[i]]), a - int(offsets[row[i]])))
+                held.append((int(where[i]), data[a:b].tobytes(), int(keys[row[i]]), a - int(offsets[row[i]]), int(hashes[i])))
             if len(held) >= STRETCHES:
                 yield from fold(held)
                 held = []
@@ -119,7 +119,7 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
 
     def fold(held) -> Iterator[pa.RecordBatch]:
         equal: dict[tuple[int, bytes], list[int]] = defaultdict(list)
-        for i, (bucket, text, _, _) in enumerate(held):
+        for i, (bucket, text, *_) in enumerate(held):
             equal[bucket, hashlib.blake2b(text, digest_size=16).digest()].append(i)
         marks = [i for places in equal.values() if len(places) > 1 for i in places]
         if marks:
@@ -127,11 +127,11 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
             starts = np.array([held[i][3] for i in marks], np.int64)
             done = by_key_group(keys, np.column_stack([starts, starts + [len(held[i][1]) for i in marks]]), groups)
             none = pa.nulls(done.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([*done.columns, none, none, none, none], NAMES)
+            yield pa.RecordBatch.from_arrays([*done.columns, none, none, none, none, none], NAMES)
         by_bucket: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for (bucket, _), places in equal.items():
             by_bucket[bucket].append((places[0], min(len(places), 2)))
-        columns: list[list[bytes]] = [[], [], [], [], []]
+        columns: list[list[bytes]] = [[], [], [], [], [], []]
         for places in by_bucket.values():
             some = [held[i] for i, _ in places]
             columns[0].append(pack(np.array([s[2] for s in some], np.int64)))
@@ -139,6 +139,7 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
             columns[2].append(pack(np.array([len(s[1]) for s in some], np.int32)))
             columns[3].append(pack(np.array([n for _, n in places], np.uint8)))
             columns[4].append(b"".join(s[1] for s in some))
+            columns[5].append(pack(np.array([s[4] for s in some], np.uint64)))
         n = len(by_bucket)
         packed = [pa.array(c, pa.binary()) for c in columns]
         yield pa.RecordBatch.from_arrays([pa.array(list(by_bucket), pa.int32()), packed[0], pa.nulls(n, pa.binary()), *packed[1:]], NAMES)
@@ -146,26 +147,33 @@ def stretches(keyed: DataFrame, shared: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(send, STRETCH)
 
 
-NAMES = ["bucket", "keys", "vals", "starts", "sizes", "counts", "bytes"]
+NAMES = ["bucket", "keys", "vals", "starts", "sizes", "counts", "bytes", "anchors"]
 
 
-def _indexed(stretch: list[tuple[int, int, bytes, int]], window: int):
-    """Marks (keys, starts, ends) of stretches (key, start, bytes, count) that share their buckets."""
-    equal: dict[bytes, list[int]] = defaultdict(list)
-    for i, (_, _, text, _) in enumerate(stretch):
-        equal[text].append(i)
+def _indexed(stretch: list[tuple[int, int, bytes, int, int]], window: int):
+    """Marks (keys, starts, ends) of stretches (key, start, bytes, count, anchor) that share their buckets.
+
+    Equal windows have one anchor, so an anchor with one stretch, however often, has nothing to look up.
+    """
+    equal: dict[tuple[int, bytes], list[int]] = defaultdict(list)
+    for i, (_, _, text, _, anchor) in enumerate(stretch):
+        equal[anchor, text].append(i)
+    different = Counter(anchor for anchor, _ in equal)
     keys, starts, ends = [], [], []
     pieces = []
-    for text, places in equal.items():
+    for (anchor, text), places in equal.items():
         if len(places) > 1 or stretch[places[0]][3] > 1:
             for i in places:
                 keys.append(stretch[i][0])
                 starts.append(stretch[i][1])
                 ends.append(stretch[i][1] + len(text))
-        pieces.append(stretch[places[0]])
+        if different[anchor] > 1:
+            pieces.append(stretch[places[0]])
+    if not pieces:
+        return np.array(keys, np.int64), np.array(starts, np.int64), np.array(ends, np.int64)
     pieces.sort(key=lambda p: (p[0], p[1]))
     regions: list[tuple[int, int, bytearray]] = []  # what one document sent, each byte of it once
-    for key, start, text, _ in pieces:
+    for key, start, text, *_ in pieces:
         if regions and regions[-1][0] == key and start <= regions[-1][1] + len(regions[-1][2]):
             have = regions[-1][1] + len(regions[-1][2])
             regions[-1][2].extend(text[max(have - start, 0):])
@@ -192,18 +200,18 @@ def marked(sent: DataFrame, window: int) -> DataFrame:
     groups = partitions(sent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[int, int, bytes, int]] = []
+        waiting: list[tuple[int, int, bytes, int, int]] = []
         waiting_bytes = 0
         rows: list[tuple] = []    # of the bucket being read
         different: dict[bytes, int] = {}
         bucket, over = None, False
 
         def unpacked(row):
-            _, keys, starts, sizes, counts, blob = row
+            _, keys, starts, sizes, counts, blob, anchors = row
             at = 0
-            for key, start, size, count in zip(*(np.frombuffer(x, t).tolist() for x, t in (
-                    (keys, np.int64), (starts, np.int64), (sizes, np.int32), (counts, np.uint8)))):
-                yield key, start, blob[at:at + size], count
+            for key, start, size, count, anchor in zip(*(np.frombuffer(x, t).tolist() for x, t in (
+                    (keys, np.int64), (starts, np.int64), (sizes, np.int32), (counts, np.uint8), (anchors, np.uint64)))):
+                yield key, start, blob[at:at + size], count, anchor
                 at += size
 
         def out(some):
@@ -213,7 +221,7 @@ def marked(sent: DataFrame, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([*done.columns, none, none], OUT)
 
         def back(some):
-            bucket, keys, _, sizes, _, blob = zip(*some)
+            bucket, keys, _, sizes, _, blob, _ = zip(*some)
             return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(keys, pa.binary()), pa.nulls(len(some), pa.binary()),
                                                pa.array(sizes, pa.binary()), pa.array(blob, pa.binary())], OUT)
 
@@ -222,7 +230,7 @@ def marked(sent: DataFrame, window: int) -> DataFrame:
             if done.num_rows:  # marked on the way
                 none = pa.nulls(done.num_rows, pa.binary())
                 yield pa.RecordBatch.from_arrays([*done.columns[:3], none, none], OUT)
-            for row in zip(*(batch.filter(batch.column(2).is_null()).column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6))):
+            for row in zip(*(batch.filter(batch.column(2).is_null()).column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6, 7))):
                 if row[0] != bucket:
                     for r in rows:
                         waiting.extend(unpacked(r))
