@@ -106,3 +106,20 @@ def test_posterior_bounds():
     assert (hits < np.array(least)).any(1).mean() < 1e-3
     hits = np.cumsum((rng.random((20_000, len(least), near_dup.BATCH)) < 0.5).sum(2), axis=1)
     assert (hits < np.array(least)).any(1).mean() > 0.99
+
+
+def test_marks_that_agree_in_an_earlier_band(spark):
+    """Equal marks in a band that a pair does not share do not keep it from meeting in the band that it does share."""
+    rng = np.random.default_rng(4)
+    marks = rng.integers(0, 256, near_dup.HASHES, np.uint8)
+    bands = rng.integers(0, 2 ** 62, (2, near_dup.BANDS), np.uint64) & ~np.uint64(near_dup.BANDS - 1) | np.arange(near_dup.BANDS, dtype=np.uint64)
+    shared = [9, 20]
+    bands[1, shared] = bands[0, shared]
+    some = np.sort(rng.integers(0, 2 ** 62, 50, np.uint64)).tobytes()
+    reps = spark.createDataFrame([(k, 50, bytearray(marks.tobytes()), bytearray(bands[k - 1].tobytes())) for k in (1, 2)],
+                                 "key long, n long, marks binary, bands binary")
+    sets = spark.createDataFrame([(k, bytearray(some)) for k in (1, 2)], "key long, hashes binary")
+    for band, want in ((9, [(1, 2)]), (20, [])):
+        met = spark.createDataFrame([(int(bands[0, band]), 0, "other", 0, k - 1, k, k) for k in (1, 2)],
+                                    "h long, i int, kind string, j int, side int, key long, comp long")
+        assert [tuple(r) for r in near_dup.block_links(met, reps, sets, 80).collect()] == want

@@ -284,6 +284,7 @@ def blocks(buckets: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame
 def block_links(met: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (x, y) between components, from blocks: each pair is compared in the first band that it shares.
 
+    Shared are the band hashes that made the buckets, so a pair meets in its first one whatever its marks say.
     Within a block a pair is skipped once links found there connect it, so a block gives at most one
     link per component that it joins.
     """
@@ -293,7 +294,7 @@ def block_links(met: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
         key, comp, side, n = (np.asarray(table[c]) for c in ("key", "comp", "side", "n"))
         band = int(np.asarray(table["h"])[0].view(np.uint64) & np.uint64(BANDS - 1))
         marks = _marks(table["marks"])
-        whole = marks.reshape(-1, BANDS, ROWS)
+        bands = np.frombuffer(b"".join(table["bands"].to_pylist()), np.uint64).reshape(-1, BANDS)
         held = [x.as_buffer() for x in table["hashes"]]
         group = np.unique(comp, return_inverse=True)[1]
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -301,7 +302,7 @@ def block_links(met: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
         for i in a.tolist():
             to = b[group[b] != group[i]]
             to = to[_stay(np.broadcast_to(marks[i], (len(to), HASHES)), marks[to], np.broadcast_to(n[i], len(to)), n[to], percent)]
-            to = to[(whole[to] == whole[i]).all(2).argmax(1) == band]
+            to = to[(bands[to] == bands[i]).argmax(1) == band]
             while len(to):
                 j, to = int(to[0]), to[1:]
                 if _alike(held[i], held[j], percent):
@@ -311,7 +312,7 @@ def block_links(met: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
                     to = to[group[to] != group[i]]
         return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
 
-    rows = met.join(reps.select("key", "n", "marks"), "key").join(sets, "key")
+    rows = met.join(reps.select("key", "n", "marks", "bands"), "key").join(sets, "key")
     return rows.groupBy("h", "i", "kind", "j").applyInArrow(run, "x bigint, y bigint").distinct()
 
 
