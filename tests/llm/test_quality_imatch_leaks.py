@@ -105,6 +105,25 @@ def test_imatch_edges(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_texts_without_lexicon_terms(spark):
+    """Unrelated texts outside the lexicon are not the same document; texts of the same terms and empty texts are."""
+    docs = spark.createDataFrame([(1, "alpha beta"), (2, "gamma delta"), (3, "Beta alpha beta"), (4, ""), (5, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in imatch.compare(docs).collect()}
+    assert rows[1].fingerprint == rows[3].fingerprint != rows[2].fingerprint
+    assert [rows[d].near_next for d in (1, 2, 3, 4, 5)] == [0.0, 0.0, 0.0, 0.0, 1.0]
+
+
+def test_copies_keep_their_terms(spark):
+    """Exact copies that hold a third of the rows take no term out of the lexicon."""
+    common = " ".join(f"t{i}" for i in range(30))
+    rows = [(i, f"u{i} u{i + 1} own{i}") for i in range(60)] + [(100, common), (101, common + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    copies = spark.createDataFrame([(1000 + i, common) for i in range(40)], "doc_id long, text string")
+    alone = imatch.lexicon(docs)
+    assert len(alone) >= 30
+    assert np.array_equal(imatch.lexicon(docs.union(copies)), alone)
+
+
 def test_next_over_many_blocks(spark, monkeypatch):
     """Clustered and far-off ids, several to a block, repeated ones too; every block hands over to the next."""
     monkeypatch.setattr(imatch, "LEAST_ROWS", 3)

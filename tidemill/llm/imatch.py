@@ -1,11 +1,13 @@
 """Document fingerprints by I-Match over several randomised lexicons.
 
-Document frequencies of all terms (words in lower case) are counted exactly. Terms within a band of
+Document frequencies of all terms (words in lower case) are counted exactly, over different texts, so exact copies of
+a text count once and a large group of them keeps its terms. Terms within a band of
 inverse document frequency form the lexicon; its size is bounded by the mean number of distinct
-terms of a document over the band's lower share, whatever the corpus. Each randomised subset keeps
+terms of a text over the band's lower share, whatever the corpus. Each randomised subset keeps
 a fixed share of the lexicon; a document's distinct terms in a subset, in sorted order, are hashed, and
 the hashes of all subsets are the fingerprint. Likeness is the share of equal subset hashes
-among those that are not empty in both documents; equal fingerprints have likeness 1.
+among those that are not empty in both documents; equal fingerprints have likeness 1. A text with words but
+without a lexicon term in any subset has hashes of all its distinct terms instead: it equals texts of the same terms only.
 
 Null and empty texts have no terms: every subset is empty. The next document of ``with_next`` is the
 one with the largest smaller id (after the smallest id: the largest one); a null id counts as one
@@ -47,7 +49,7 @@ def _distinct(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(term bigint, df bigint): in how many documents each term occurs, by term hash."""
+    """(term bigint, df bigint): in how many different texts each term occurs, by term hash."""
 
     def fold(terms: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
         keys, places = np.unique(np.concatenate(terms), return_inverse=True)
@@ -72,16 +74,16 @@ def frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             keys, sums = fold(terms, counts)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sums)], ["term", "df"])
 
-    rows = whole_text(docs, id_col, text_col).select("text").mapInArrow(count, "term bigint, df bigint")
+    rows = whole_text(docs, id_col, text_col).select("text").distinct().mapInArrow(count, "term bigint, df bigint")
     return rows.groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def lexicon(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """Sorted hashes of the terms in the band."""
-    n = docs.count()
+    n = whole_text(docs, id_col, text_col).select(F.xxhash64("text")).distinct().count()
     low, high = max(2, LEAST_SHARE * n), MOST_SHARE * n
     kept = stored(frequencies(docs, id_col, text_col).where((F.col("df") >= low) & (F.col("df") <= high)).select("term"), "lexicon")
-    # At most (mean distinct terms of a document) / LEAST_SHARE terms, however many documents.
+    # At most (mean distinct terms of a text) / LEAST_SHARE terms, however many documents.
     return np.sort(np.array([r.term for r in kept.collect()], np.int64).view(np.uint64))
 
 
@@ -99,20 +101,33 @@ def _fingerprints(terms: np.ndarray, members: tuple[np.ndarray, np.ndarray], dat
     at = np.searchsorted(terms, hashes)
     inside = np.flatnonzero(at < len(terms))
     inside = inside[terms[at[inside]] == hashes[inside]]
-    of, at = of[inside], at[inside]
+    row, at = of[inside], at[inside]
     first, subset = members
     times = first[at + 1] - first[at]
-    cell = np.repeat(of * k, times) + subset[ranges(first[at], times)]
-    if not len(cell):
-        return out.reshape(n, k)
-    order = np.argsort(cell, kind="stable")  # terms stay sorted within a cell
-    cell, values = cell[order], np.repeat(mix(terms[at], 99), times)[order]
-    heads = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-    place = np.arange(len(cell)) - np.repeat(heads, np.diff(np.append(heads, len(cell))))
+    cell = np.repeat(row * k, times) + subset[ranges(first[at], times)]
+    if len(cell):
+        order = np.argsort(cell, kind="stable")  # terms stay sorted within a cell
+        heads, sums = _sums(cell[order], np.repeat(mix(terms[at], 99), times)[order])
+        out[cell[order][heads]] = _nonzero(mix(sums))
+    out = out.reshape(n, k)
+    bare = ~out.any(1)[of]  # terms of texts that no subset knows
+    if bare.any():
+        heads, sums = _sums(of[bare], mix(hashes[bare], 99))
+        with np.errstate(over="ignore"):
+            out[of[bare][heads]] = _nonzero(mix(mix(sums, 100)[:, None] + np.arange(k, dtype=np.uint64)))
+    return out
+
+
+def _sums(groups: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(head, hash) of each run of equal groups, over its values in order."""
+    heads = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+    place = np.arange(len(groups)) - np.repeat(heads, np.diff(np.append(heads, len(groups))))
     with np.errstate(over="ignore"):
-        sums = np.add.reduceat(values * powers(int(place.max()) + 1)[place], heads)
-    out[cell[heads]] = np.maximum(mix(sums) >> np.uint64(32), np.uint64(1)).astype(np.uint32)
-    return out.reshape(n, k)
+        return heads, np.add.reduceat(values * powers(int(place.max()) + 1)[place], heads)
+
+
+def _nonzero(hashes: np.ndarray) -> np.ndarray:
+    return np.maximum(hashes >> np.uint64(32), np.uint64(1)).astype(np.uint32)
 
 
 def fingerprint(text: Column, terms: np.ndarray) -> Column:
