@@ -172,6 +172,24 @@ def test_reparameterised_questions(spark):
     assert decontaminate.leaks(docs, item.limit(0)).collect() == []
 
 
+def test_second_reading(spark):
+    """Glued units, runs of number words and names, inner capitals, apostrophes, and scripts without spaces."""
+    pairs = [
+        ("we put a sack of 5kg onto the old cart before noon", "we put a sack of 12 kg onto the old cart before noon"),
+        ("the small train goes at 10km/h along the river to town", "the small train goes at 45km/h along the river to town"),
+        ("there were twenty five birds sitting on the long wire outside", "there were 12 birds sitting on the long wire outside"),
+        ("yesterday the shop clerk told Mary Jane to come back for change", "yesterday the shop clerk told Bob to come back for change"),
+        ("on monday old farmer McDonald had to sell many of his cows", "on monday old farmer Smith had to sell many of his cows"),
+        ("every night captain O'Brien will count all of the ropes again", "every night captain Jones will count all of the ropes again"),
+        ("小明有12个苹果和一些梨放在桌子上", "小明有30个苹果和一些梨放在桌子上")]
+    items = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"so it says: {b}") for i, (_, b) in enumerate(pairs)] + [
+        (100 + i, f"so it says: {a}") for i, (a, _) in enumerate(pairs)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs, items).collect()}
+    assert set(got) == {(i, i) for i in range(7)} | {(100 + i, i) for i in range(7)}
+    assert all(r.share == 1.0 and r.exact == (d >= 100) for (d, _), r in got.items())
+
+
 def test_consistency(spark):
     from pyspark.sql import functions as F
     rows = spark.createDataFrame([

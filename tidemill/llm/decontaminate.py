@@ -8,6 +8,10 @@ checked: one value of the item must always stand for one value of the document,
 So a question with other numbers or names is caught as well as a copy. Windows with
 few literal words need equal slots.
 
+Texts are also read a second way (``loose``): a number is cut from a unit written to it, runs of number words and of
+capitalised words are one placeholder, names may hold inner capitals or an apostrophe, and scripts without spaces are
+cut into characters. Windows of either reading of an item meet windows of either reading of a document.
+
 A bitmap of the benchmark's window hashes (a fixed 2 MB, whatever the benchmark) lets tasks drop nearly all
 document windows before the shuffle; the join decides. Null and empty texts have no windows. Items of fewer than
 LEAST_TOKENS tokens never match. Null ids are results like others; repeated rows give one result per
@@ -45,13 +49,26 @@ UNITS = frozenset(
     "s sec second seconds min minute minutes h hour hours day days week weeks month months year years "
     "dollar dollars cent cents euro euros percent degree degrees kmh mph kph volt volts watt watts joule joules newton newtons".split())
 
+# For the second reading only.
+MORE_NUMBER_WORDS = NUMBER_WORDS | frozenset(
+    "thirteen fourteen fifteen sixteen seventeen eighteen nineteen sixty seventy eighty ninety billion".split())
+MORE_UNITS = UNITS | frozenset("am pm w kw kwh kb mb gb tb hz khz mhz ghz cm2 m2 m3".split())
+
 _AROUND = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 _NUMBER = regex.compile(r"\d[\d.,:/]*(?:st|nd|rd|th|%)?")
+_NAME = regex.compile(r"\p{Lu}\p{Ll}*(?:['’-]?\p{Lu}\p{Ll}+)+(?:['’]s)?|\p{Lu}['’]\p{Lu}\p{Ll}+(?:['’]s)?")
+_GLUED = regex.compile(r"([0-9][0-9.,:/]*)(\p{L}[\p{L}\p{N}/]*)")
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+_HAS_UNSPACED = regex.compile(f"[{_UNSPACED}]")
+_CHARACTERS = regex.compile(rf"[0-9][0-9.,:/]*|[{_UNSPACED}]\p{{M}}*|[^0-9{_UNSPACED}]+")
 _ENDS = regex.compile(r"[.!?:;][^\p{L}\p{N}]*$")
 
 
 def _classify(word: bytes) -> int:
-    """One number: kind (three bits), capitalised, ends a sentence, and above them the hash of the canonical word."""
+    """One number: kind (three bits), capitalised, ends a sentence, and above them the hash of the canonical word.
+
+    Between them, for the second reading: a name, a number word, a unit, to be cut.
+    """
     raw = word.decode("utf-8", "replace")
     core = _AROUND.sub("", raw)
     low = core.lower()
@@ -65,17 +82,45 @@ def _classify(word: bytes) -> int:
     else:
         kind = LITERAL
     capital = len(core) > 1 and core[0].isupper() and core[1:].islower()
-    return (code >> 5 << 5) | bool(_ENDS.search(raw)) << 4 | capital << 3 | kind
+    name = capital or core[:1].isupper() and bool(_NAME.fullmatch(core))
+    number = low in MORE_NUMBER_WORDS or "-" in low and all(part in MORE_NUMBER_WORDS for part in low.split("-"))
+    unit = low in MORE_UNITS or "/" in low and all(part in MORE_UNITS for part in low.split("/"))
+    cut = not core.isascii() and len(core) > 1 and bool(_HAS_UNSPACED.search(core)) or core[:1].isdigit() and _glued(core) is not None
+    return (code >> 9 << 9) | cut << 8 | unit << 7 | number << 6 | name << 5 | bool(_ENDS.search(raw)) << 4 | capital << 3 | kind
+
+
+def _glued(core: str):
+    """A match of a number and the unit written to it, or None. Ordinals are numbers already."""
+    found = _GLUED.fullmatch(core)
+    return found if found and all(part in MORE_UNITS for part in found[2].lower().split("/")) else None
+
+
+def _pieces(word: bytes) -> list[tuple[int, int, int]]:
+    """(start, end, class) of the parts of a word that is to be cut; only the last part may end a sentence."""
+    raw = word.decode("utf-8", "replace")
+    core = _AROUND.sub("", raw)
+    at = raw.index(core)
+    found = _glued(core)
+    cuts = [found.span(1), found.span(2)] if found else [m.span() for m in _CHARACTERS.finditer(core)]
+    out = []
+    for a, b in cuts:
+        a, b = (len(raw[:at + x].encode()) for x in (a, b))
+        code = _classify(word[a:b]) & ~(1 << 8)
+        if code & 7 != NOTHING:
+            out.append((a, b, code))
+    if _ENDS.search(raw):
+        out[-1] = (*out[-1][:2], out[-1][2] | 1 << 4)
+    return out
 
 
 _CACHE: dict[int, int] = {}
 
 
-def canonical(data: np.ndarray, offsets: np.ndarray):
-    """(starts, ends, first, kinds, codes) of the canonical tokens of each row."""
+def _words(data: np.ndarray, offsets: np.ndarray):
+    """(starts, ends, row, classes) of all words that are more than marks."""
     starts, ends, first = split_words(data, offsets)
     if not len(starts):
-        return starts, ends, first, np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return starts, ends, np.zeros(0, np.int64), np.zeros(0, np.uint64)
     hashes = word_hashes(data, starts, ends)
     different, where, place = np.unique(hashes, return_index=True, return_inverse=True)
     if len(_CACHE) > CACHE_WORDS:
@@ -87,34 +132,87 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
             found = _CACHE[h] = _classify(data[starts[i]:ends[i]].tobytes())
         classes.append(found)
     classes = np.array(classes, np.uint64)[place]
-    kind, codes = (classes & np.uint64(7)).astype(np.int8), classes >> np.uint64(5)
-    capital, closes = classes & np.uint64(8) > 0, classes & np.uint64(16) > 0
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    real = kind != NOTHING
-    starts, ends, kind, capital, closes, codes, row = (x[real] for x in (starts, ends, kind, capital, closes, codes, row))
-    first = np.searchsorted(row, np.arange(len(offsets)))
-    same = np.zeros(len(row), bool)
+    real = classes & np.uint64(7) != NOTHING
+    return starts[real], ends[real], row[real], classes[real]
+
+
+def _follows(row: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a word has one before it in its row, and whether that one does not end a sentence."""
+    same, open_ = np.zeros(len(row), bool), np.zeros(len(row), bool)
     same[1:] = row[1:] == row[:-1]
+    open_[1:] = classes[:-1] & np.uint64(16) == 0
+    return same, open_
+
+
+def _strict(row: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    kind = (classes & np.uint64(7)).astype(np.int8)
+    same, open_ = _follows(row, classes)
     before = np.zeros(len(row), np.int8)
     before[1:] = kind[:-1]
-    open_ = np.zeros(len(row), bool)
-    open_[1:] = ~closes[:-1]
     kinds = np.where(kind == NUMBER, NUMBER, LITERAL)
-    kinds[(kind == LITERAL) & capital & same & open_] = NAME
+    kinds[(kind == LITERAL) & (classes & np.uint64(8) > 0) & same & open_] = NAME
     kinds[(kind == UNIT) & same & (before == NUMBER)] = UNIT
-    codes = np.where(kinds == LITERAL, codes, kinds.astype(np.uint64))
-    return starts, ends, first, kinds, codes
+    return kinds
+
+
+def _codes(kinds: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    return np.where(kinds == LITERAL, classes >> np.uint64(9), kinds.astype(np.uint64))
+
+
+def canonical(data: np.ndarray, offsets: np.ndarray, words=None):
+    """(starts, ends, first, kinds, codes) of the canonical tokens of each row."""
+    starts, ends, row, classes = words or _words(data, offsets)
+    kinds = _strict(row, classes)
+    return starts, ends, np.searchsorted(row, np.arange(len(offsets))), kinds, _codes(kinds, classes)
+
+
+def loose(data: np.ndarray, offsets: np.ndarray, words, heads: bool = False):
+    """As ``canonical``, in the second reading, and which tokens differ from the first. With ``heads`` a row's first word may be a name."""
+    starts, ends, row, classes = words
+    other = np.zeros(len(row), bool)
+    cut = np.flatnonzero(classes & np.uint64(256))
+    if len(cut):
+        parts = [_pieces(data[a:b].tobytes()) for a, b in zip(starts[cut].tolist(), ends[cut].tolist())]
+        many = np.ones(len(row), np.int64)
+        many[cut] = [len(p) for p in parts]
+        at = np.repeat(np.arange(len(row)), many)
+        inner = np.repeat(classes & np.uint64(256) > 0, many)
+        base = starts[at[inner]]
+        starts, ends, row, classes, other = starts[at], ends[at], row[at], classes[at], inner
+        flat = [x for p in parts for x in p]
+        starts[inner], ends[inner] = base + np.array([x[0] for x in flat]), base + np.array([x[1] for x in flat])
+        classes[inner] = np.array([x[2] for x in flat], np.uint64)
+    plain = _strict(row, classes)
+    same, open_ = _follows(row, classes)
+    spelled = classes & np.uint64(64) > 0
+    kinds = np.where(spelled, NUMBER, plain)
+    before = np.zeros(len(row), np.int8)
+    before[1:] = kinds[:-1]
+    kinds[(classes & np.uint64(128) > 0) & same & (before == NUMBER)] = UNIT
+    kinds[(kinds == LITERAL) & (classes & np.uint64(32) > 0) & (same & open_ | ~same & heads)] = NAME
+    before[1:] = kinds[:-1]
+    near = np.zeros(len(row), bool)
+    near[1:] = data[ends[:-1] - 1] != ord(",")
+    joins = same & open_ & near & (kinds == before) & ((kinds == NAME) | (kinds == NUMBER) & spelled)
+    other = other | (kinds != plain) | joins
+    at = np.flatnonzero(~joins)
+    if len(at):
+        other = np.logical_or.reduceat(other, at)
+        ends = ends[np.append(at[1:], len(row)) - 1]
+    starts, row, kinds, classes = starts[at], row[at], kinds[at], classes[at]
+    return (starts, ends, np.searchsorted(row, np.arange(len(offsets))), kinds, _codes(kinds, classes)), other
 
 
 SCHEMA = [T.StructField("size", T.IntegerType()), T.StructField("at", T.IntegerType()), T.StructField("hash", T.LongType()),
           T.StructField("template", T.StringType()), T.StructField("slots", T.ArrayType(T.StringType())),
-          T.StructField("n_windows", T.IntegerType())]
+          T.StructField("n_windows", T.IntegerType()), T.StructField("reading", T.IntegerType())]
 
 
-def _emit(ids: pa.Array, data, tokens, chosen) -> pa.RecordBatch:
+def _emit(ids: pa.Array, data, tokens, chosen, reading: int = 0) -> pa.RecordBatch:
     """Rows for the chosen windows: lists of (row, first token, size, hash, windows of the row)."""
     starts, ends, first, kinds, _ = tokens
-    cols: list[list] = [[], [], [], [], [], []]
+    cols: list[list] = [[], [], [], [], [], [], []]
     rows = []
     for row, token, size, code, many in chosen:
         template, slots = [], []
@@ -127,28 +225,34 @@ def _emit(ids: pa.Array, data, tokens, chosen) -> pa.RecordBatch:
                 template.append(MARKS[kind])
                 slots.append(f"{MARKS[kind]}{core}")
         rows.append(row)
-        for col, value in zip(cols, (size, token - int(first[row]), code, " ".join(template), slots, many)):
+        for col, value in zip(cols, (size, token - int(first[row]), code, " ".join(template), slots, many, reading)):
             col.append(value)
-    fields = [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.int32()))]
+    fields = [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.int32(), pa.int32()))]
     return pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), *fields], ["id", *[f.name for f in SCHEMA]])
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """All windows of all items: (id, size, at, hash, template, slots, n_windows)."""
+    """All windows of all items: (id, size, at, hash, template, slots, n_windows, reading); the second reading where it differs."""
     cut = whole_text(benchmark, id_col, text_col)
 
+    def every(tokens, rows) -> list:
+        first, codes = tokens[2], tokens[4]
+        chosen = []
+        for row in rows:
+            n = int(first[row + 1] - first[row])
+            size = min(n, WINDOW)
+            if n >= LEAST_TOKENS:
+                hashes = window_hashes(codes[first[row]:first[row + 1]], size).view(np.int64).tolist()
+                chosen += [(row, int(first[row]) + k, size, h, len(hashes)) for k, h in enumerate(hashes)]
+        return chosen
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, offsets = text_bytes(batch.column(1))
-            tokens = canonical(data, offsets)
-            first, codes = tokens[2], tokens[4]
-            chosen = []
-            for row in range(batch.num_rows):
-                n = int(first[row + 1] - first[row])
-                size = min(n, WINDOW)
-                if n >= LEAST_TOKENS:
-                    hashes = window_hashes(codes[first[row]:first[row + 1]], size).view(np.int64).tolist()
-                    chosen += [(row, int(first[row]) + k, size, h, len(hashes)) for k, h in enumerate(hashes)]
+            words = _words(data, offsets)
+            tokens = canonical(data, offsets, words)
+            first = tokens[2]
+            chosen = every(tokens, range(batch.num_rows))
             yield _emit(batch.column(0), data, tokens, chosen)
             # Inside a document the first word no longer starts a text: if capitalised it may pass for a name there.
             starts, ends, first, kinds, codes = tokens
@@ -161,6 +265,14 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
                     for r, t, size, _, many in chosen if t in again and t == first[r]]
             if more:
                 yield _emit(batch.column(0), data, (starts, ends, first, kinds, codes), more)
+            for heads in (False, True):
+                tokens, other = loose(data, offsets, words, heads)
+                first = tokens[2]
+                found = every(tokens, [r for r in range(batch.num_rows) if other[first[r]:first[r + 1]].any()])
+                if heads:
+                    found = [c for c in found if c[1] == first[c[0]]]
+                if found:
+                    yield _emit(batch.column(0), data, tokens, found, 1)
 
     return cut.mapInArrow(run, T.StructType([cut.schema["id"], *SCHEMA]))
 
@@ -174,19 +286,23 @@ def document_windows(docs: DataFrame, sizes: list[int], bitmap: bytes, id_col: s
         marked = np.frombuffer(shared.value, np.uint8)
         for batch in slices(batches):
             data, offsets = text_bytes(batch.column(1))
-            tokens = canonical(data, offsets)
-            first, codes = tokens[2], tokens[4]
-            chosen = []
-            for size in sizes:
-                hashes = window_hashes(codes, size)
-                place = hashes >> np.uint64(64 - BITS)
-                maybe = np.flatnonzero(marked[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
-                row = np.searchsorted(first, maybe, "right") - 1
-                inside = maybe + size <= first[row + 1]
-                chosen += [(r, t, size, h, 0) for r, t, h in zip(
-                    row[inside].tolist(), maybe[inside].tolist(), hashes[maybe[inside]].view(np.int64).tolist())]
-            if chosen:
-                yield _emit(batch.column(0), data, tokens, chosen)
+            words = _words(data, offsets)
+            for tokens, other in ((canonical(data, offsets, words), None), loose(data, offsets, words)):
+                first, codes = tokens[2], tokens[4]
+                so_far = None if other is None else np.concatenate([[0], np.cumsum(other)])
+                chosen = []
+                for size in sizes:
+                    hashes = window_hashes(codes, size)
+                    place = hashes >> np.uint64(64 - BITS)
+                    maybe = np.flatnonzero(marked[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                    if other is not None:  # windows without a different token are those of the first reading
+                        maybe = maybe[so_far[maybe + size] > so_far[maybe]]
+                    row = np.searchsorted(first, maybe, "right") - 1
+                    inside = maybe + size <= first[row + 1]
+                    chosen += [(r, t, size, h, 0) for r, t, h in zip(
+                        row[inside].tolist(), maybe[inside].tolist(), hashes[maybe[inside]].view(np.int64).tolist())]
+                if chosen:
+                    yield _emit(batch.column(0), data, tokens, chosen)
 
     return cut.mapInArrow(run, T.StructType([cut.schema["id"], *SCHEMA]))
 
@@ -203,8 +319,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per (document, item) that share a consistent window:
 
-    ``n_windows`` distinct windows of the item found, their ``share`` of the item's windows, and ``exact``:
-    whether all of them have the item's own numbers, names and units.
+    ``n_windows`` distinct windows of the item found, their ``share`` of the item's windows (in the reading of the item
+    with the larger share), and ``exact``: whether all found windows have the item's own numbers, names and units.
     """
     items = item_windows(benchmark, item_col, item_text_col)
     # The driver gets at most 2**BITS bits, in pieces of 32768, and WINDOW sizes, whatever the benchmark.
@@ -218,16 +334,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     sizes = sorted({size for r in pieces for size in r.sizes})
     ours = stored(document_windows(docs, sizes, bitmap, id_col, text_col), "windows").select(
         F.col("id").alias("doc"), "size", "hash", "template", F.col("slots").alias("doc_slots"))
-    theirs = items.select(F.col("id").alias("item"), "size", "at", "hash", "template", F.col("slots").alias("item_slots"), "n_windows")
+    theirs = items.select(F.col("id").alias("item"), "size", "at", "hash", "template", F.col("slots").alias("item_slots"), "n_windows", "reading")
     equal = F.col("doc_slots") == F.col("item_slots")
     literal = 1 - F.size("item_slots") / F.col("size")
     hits = ours.join(theirs, ["size", "hash", "template"]).where(
         equal | ((literal >= LEAST_LITERAL) & consistent(F.col("item_slots"), F.col("doc_slots"))))
-    once = hits.groupBy("doc", "item", "at").agg(F.max(equal.cast("int")).alias("same"), F.first("n_windows").alias("n_windows"))
-    return once.groupBy(F.col("doc").alias(id_col), F.col("item").alias(item_col)).agg(
-        F.count(F.lit(1)).alias("n_windows"), (F.count(F.lit(1)) / F.max("n_windows")).alias("share"),
-        (F.min("same") == 1).alias("exact"))
-
+    once = hits.groupBy("doc", "item", "reading", "at").agg(F.max(equal.cast("int")).alias("same"), F.first("n_windows").alias("n_windows"))
+    read = once.groupBy("doc", "item", "reading").agg(
+        F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) / F.max("n_windows")).alias("share"), F.min("same").alias("same"))
+    best = F.max(F.struct("share", "n"))
+    return read.groupBy(F.col("doc").alias(id_col), F.col("item").alias(item_col)).agg(
+        best["n"].alias("n_windows"), best["share"].alias("share"), (F.min("same") == 1).alias("exact"))
 
 
 
