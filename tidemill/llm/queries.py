@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, imatch, near_dup, pii, quality, repeats, secret_scan, substring_dedup, token_counts
+from tidemill.llm import bpe, decontaminate, imatch, manifest, near_dup, pii, quality, repeats, secret_scan, substring_dedup, token_counts
 from tidemill.llm.common import stored
-from tidemill.llm.sqltext import OP1, OP4, OP9
+from tidemill.llm.sqltext import OP1, OP4, OP9, OP11
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_imatch")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare(documents(spark, sf_dir))
+
+
+@query("op11_manifest", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(documents(spark, sf_dir))

@@ -82,3 +82,73 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM t UNION SELECT r.a, k.b FROM reac
 least AS (SELECT a AS doc_id, MIN(b) AS component_id FROM reach GROUP BY 1)
 SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, t.doc_id = component_id AS kept
 FROM t JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
+
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text of one-byte characters."""
+    bit = "lambda x, i: xor(x >> 1, (x & 1) * 3988292384)"
+    byte = f"lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {bit}, xor(c, b))"
+    return (f"xor(list_reduce(list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT)), {byte}, "
+            "CAST(4294967295 AS BIGINT)), 4294967295)")
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR) END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, levels: int) -> str:
+    """CTEs {name}0 .. {name}N of a tree's nodes (grp, pos, node, n) from {name}0; above a single node nothing changes."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS (
+  SELECT grp, pos // 16 AS pos, CASE WHEN max(n) = 1 THEN min(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node,
+    CAST((max(n) + 15) // 16 AS BIGINT) AS n
+  FROM {name}{k} GROUP BY grp, pos // 16)""")
+    return ",\n".join(out)
+
+
+def _climb(leaf: str, name: str, levels: int, keep: str, grp: str) -> str:
+    """CTEs that take rows (.., pos, proof, fold) of ``leaf`` up a tree: siblings join the proof, the fold is hashed with them."""
+    out = []
+    for k in range(levels):
+        prev = leaf if k == 0 else f"{leaf}_{name}{k}"
+        run = f"(SELECT grp, pos // 16 AS up, max(n) AS n, list(node ORDER BY pos) AS run FROM {name}{k} GROUP BY grp, pos // 16)"
+        left = "array_to_string(r.run[1:l.pos % 16], '')"
+        right = "array_to_string(r.run[l.pos % 16 + 2:], '')"
+        out.append(f"""{leaf}_{name}{k + 1} AS (
+  SELECT {keep}, l.pos // 16 AS pos, CASE WHEN r.n = 1 THEN proof ELSE proof || {left} || {right} END AS proof,
+    CASE WHEN r.n = 1 THEN fold ELSE sha256({left} || fold || {right}) END AS fold
+  FROM {prev} l JOIN {run} r ON r.grp IS NOT DISTINCT FROM {grp} AND r.up = l.pos // 16)""")
+    return ",\n".join(out)
+
+
+# Sixteen to the eighth rows of a source, and as many sources, are as far as these levels reach.
+OP11 = f"""
+WITH d AS (
+  SELECT doc_id, source AS grp, {_leaf('text')} AS leaf,
+    CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+      ELSE {_leaf('text')} END AS claim
+  FROM documents),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n
+  FROM d),
+t0 AS (SELECT grp, pos, leaf AS node, n FROM p),
+{_tree('t', 8)},
+g0 AS (
+  SELECT 0 AS grp, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, node, count(*) OVER () AS n, grp AS source FROM t8),
+{_tree('g', 8)},
+w AS (SELECT doc_id, grp, leaf, pos, '' AS proof, claim AS fold FROM p),
+{_climb('w', 't', 8, 'doc_id, l.grp, leaf', 'l.grp')},
+v AS (
+  SELECT doc_id, leaf, g0.node AS subroot, g0.pos AS pos, proof, fold
+  FROM w_t8 JOIN g0 ON g0.source IS NOT DISTINCT FROM w_t8.grp),
+{_climb('v', 'g', 8, 'doc_id, leaf, subroot', '0')}
+SELECT doc_id, leaf, subroot, (SELECT node FROM g8) AS root, sha256(proof) AS proof_sha256, fold AS folded_root,
+  fold = (SELECT node FROM g8) AS verified
+FROM v_g8
+"""
