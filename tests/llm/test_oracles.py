@@ -17,5 +17,5 @@ def test_twin(spark, name):
 
 def test_all_are_registered():
     import __spark_entry__ as entry
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 12)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())

@@ -163,8 +163,11 @@ def _placed(rows: DataFrame) -> DataFrame:
 
 
 def grow(rows: DataFrame) -> DataFrame:
-    """The blocks of a manifest over rows (grp, key, leaf, claim); ``claim`` is the leaf to hold against the manifest."""
-    return stored(_blocks(_placed(rows)), "manifest-blocks")
+    """The blocks of a manifest over rows (grp, key, leaf, claim); ``claim`` is the leaf to hold against the manifest.
+
+    The rows are written first: they are read twice to be put in order, and the texts behind them are not.
+    """
+    return stored(_blocks(_placed(stored(rows, "manifest-leaves"))), "manifest-blocks")
 
 
 def append(blocks: DataFrame, rows: DataFrame) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, decontaminate, imatch, manifest, near_dup, pii, quality, repeats, secret_scan, substring_dedup, token_counts
+from tidemill.llm import bpe, decontaminate, dialogue, imatch, manifest, near_dup, pii, quality, repeats, secret_scan, substring_dedup, token_counts, weak_rules
 from tidemill.llm.common import stored
-from tidemill.llm.sqltext import OP1, OP4, OP9, OP11
+from tidemill.llm.sqltext import OP1, OP4, OP9, OP11, OP12
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_manifest", OP11)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(documents(spark, sf_dir))
+
+
+@query("op12_conversation_repair", OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.damage_and_repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op13_quality_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.report(weak_rules.judged(documents(spark, sf_dir)))

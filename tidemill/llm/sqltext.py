@@ -152,3 +152,69 @@ SELECT doc_id, leaf, subroot, (SELECT node FROM g8) AS root, sha256(proof) AS pr
   fold = (SELECT node FROM g8) AS verified
 FROM v_g8
 """
+
+
+# Conversations are solved from the end: v0 .. v3 hold, for the state start, system, user, assistant before a row, the best rest as one
+# text: ten digits of cost, the edits, a space, and the repaired lines. The least text has the least cost, then the least edits.
+_BODY = "regexp_replace({t}, '[\\x20\\x09-\\x0D]+$', '')"
+
+
+def _put(cost: str, letter: str, line: str, rest: str) -> str:
+    """A rest with one edit before it."""
+    sp = f"strpos(substr({rest}, 11), ' ')"
+    return (f"lpad(CAST(CAST(substr({rest}, 1, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || '{letter}' || substr({rest}, 11, {sp}) || "
+            f"{line} || substr({rest}, 11 + {sp})")
+
+
+def _states() -> tuple[str, str]:
+    free, name = [2, 2, 3, 2], ["", "", "user", "assistant"]
+    kept = [("s", 0, 1), ("u", 0, 2), ("u", 1, 2), ("a", 2, 3), ("u", 3, 2)]
+    base, full = [], []
+    for q in range(4):
+        keep = " ".join(f"WHEN NOT must AND initial = '{i}' THEN {_put('more', 'K', 'line', f'v{to}')}" for i, a, to in kept if a == q)
+        role = f"'{name[free[q]]}'"
+        base.append(f"least({_put('3', 'D', chr(39) * 2, f'v{q}')}, CASE {keep} END, "
+                    f"CASE WHEN NOT must THEN {_put('2 + more', 'R', f'{role} || substr(line, length(role) + 1)', f'v{free[q]}')} END) AS b{q}")
+        added = f"{role} || ':' || chr(10)"
+        full.append(f"least(b{q}, {_put('2', 'I', added, f'b{free[q]}')}) AS v{q}")
+    return ", ".join(base), ", ".join(full)
+
+
+OP12 = f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations),
+x AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM c, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM x),
+f AS (
+  SELECT *, CASE WHEN {_BODY.format(t='text')} = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN right({_BODY.format(t='text')}, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM o),
+t AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM f GROUP BY conv_id),
+r AS (
+  SELECT conv_id, n + 1 AS i, '0000000000 ' AS v0, '0000000004II user:' || chr(10) || 'assistant:' || chr(10) AS v1,
+    '0000000002I assistant:' || chr(10) AS v2, '0000000000 ' AS v3
+  FROM t
+  UNION ALL
+  SELECT conv_id, i, {_states()[1]} FROM (
+    SELECT conv_id, i, {_states()[0]} FROM (
+      SELECT r.conv_id, f.i, fault IN (1, 2) AS must, CASE fault WHEN 3 THEN 1 ELSE 0 END AS more, initial, role,
+        role || ':' || text || chr(10) AS line, v0, v1, v2, v3
+      FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i - 1))),
+s AS (SELECT conv_id, v0 FROM r WHERE i = 1)
+SELECT k.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(substr(v0, 1, 10) AS BIGINT), 0) AS cost,
+  coalesce(split_part(substr(v0, 11), ' ', 1), '') AS audit,
+  sha256(coalesce(regexp_replace(substr(v0, 11 + strpos(substr(v0, 11), ' ')), '\n$', ''), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
