@@ -47,6 +47,7 @@ STATES = range(4)
 KEPT = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (USER, "a"): ASSISTANT, (ASSISTANT, "u"): USER}
 FREE = {START: USER, SYSTEM: USER, USER: ASSISTANT, ASSISTANT: USER}  # what a row of a chosen role leads to
 ROLE = {USER: "user", ASSISTANT: "assistant"}
+LEGAL = ("su", "ua", "au")
 ENDS = [0, None, None, 0]  # what is still to pay at the end of a conversation
 SPACES = " \t\n\v\f\r"
 MOST = 2 ** 63 - 1
@@ -55,11 +56,6 @@ PLACE = ["conv", "_chunk", "block"]
 Row = tuple[str, int]  # first letter of the role, fault
 
 
-def fault(text: str, seen: bool) -> int:
-    body = text.rstrip(SPACES)
-    return BLANK if not body else DUPLICATE if seen else TRUNCATED if body[-1] not in ".!?" else 0
-
-
 def row_edits(state: int, row: Row) -> Iterator[tuple[str, int, int]]:
     """(letter, cost, state after) of what can be done with a row."""
     initial, wrong = row
@@ -92,8 +88,8 @@ def costs(rows: Sequence[Row], last: bool) -> list[list[int]]:
     return out
 
 
-def least(rows: Sequence[Row], entry: int, to_pay: Sequence[int | None], last: bool) -> tuple[int, str] | None:
-    """(state after, edits) of a block's least path from a state, given what each state after it still has to pay."""
+def least(rows: Sequence[Row], entry: int, to_pay: Sequence[int | None], last: bool) -> tuple[int, int, str] | None:
+    """(state after, cost, edits) of a block's least path from a state, given what each state after it still has to pay."""
     inserts = len(rows) + 2
     width = DIGIT * (len(rows) + inserts)
 
@@ -123,41 +119,33 @@ def least(rows: Sequence[Row], entry: int, to_pay: Sequence[int | None], last: b
         return None
     value, state = min(ends)
     digits = [value >> width - DIGIT * (at + 1) & (1 << DIGIT) - 1 for at in range(width // DIGIT)]
-    return state, "".join(LETTERS[d - 1] for d in digits if d)
+    return state, (value >> width) - to_pay[state], "".join(LETTERS[d - 1] for d in digits if d)
 
 
-def apply(edits: str, roles: Sequence[str], texts: Sequence[str], entry: int) -> list[tuple[str, str]]:
-    """The rows (role, text) that a string of edits makes."""
+def script(edits: str, initials: Sequence[str], entry: int) -> list[tuple[int, str | None]]:
+    """The rows that a string of edits makes: (number of the old row or -1, its role if that is a new one)."""
     out, at, state = [], 0, entry
     for letter in edits:
         if letter == "I":
             state = FREE[state]
-            out.append((ROLE[state], ""))
+            out.append((-1, ROLE[state]))
             continue
-        role, text = roles[at], texts[at]
-        at += 1
         if letter == "K":
-            state = KEPT[state, role[:1]]
-            out.append((role, text))
+            state = KEPT[state, initials[at]]
+            out.append((at, None))
         elif letter == "R":
             state = FREE[state]
-            out.append((ROLE[state], text))
+            out.append((at, ROLE[state]))
+        at += 1
     return out
 
 
-def illegal(initials: Sequence[str]) -> int:
-    return sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
-
-
-_SUMMARY = T.StructType([T.StructField(n, t) for n, t in (
-    ("faults", T.ArrayType(T.IntegerType())), ("illegal", T.LongType()), ("first", T.StringType()), ("last", T.StringType()),
-    ("turns", T.LongType()), ("low", T.LongType()), ("high", T.LongType()), ("inner", T.ArrayType(T.LongType())),
-    ("final", T.ArrayType(T.LongType())))])
-_TOTALS = T.StructType([T.StructField(n, T.LongType()) for n in ("gaps", "illegal", "cost")]
+_TOTALS = T.StructType([T.StructField(n, T.LongType()) for n in ("gaps", "illegal")]
                        + [T.StructField("to_pay", T.ArrayType(T.ArrayType(T.LongType())))])
-_MOVES = T.ArrayType(T.StructType([T.StructField("to", T.IntegerType()), T.StructField("edits", T.StringType())]))
-_READ = T.StructType([T.StructField("entries", T.ArrayType(T.IntegerType())), T.StructField("audit", T.StringType())])
-_LINES = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
+_TABLE = T.ArrayType(T.LongType())
+_MOVES = T.ArrayType(T.StructType([T.StructField("to", T.IntegerType()), T.StructField("cost", T.LongType()), T.StructField("edits", T.StringType())]))
+_READ = T.StructType([T.StructField("entries", T.ArrayType(T.IntegerType())), T.StructField("cost", T.LongType()), T.StructField("audit", T.StringType())])
+_SCRIPT = T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("role", T.StringType())]))
 
 
 def _each(fn, kind: T.DataType):
@@ -174,58 +162,56 @@ def _each(fn, kind: T.DataType):
     return run
 
 
-def _summarise(items: list[dict], firsts: list[int]) -> dict:
-    known = set(firsts)
-    initials = [r["role"][:1] for r in items]
-    faults = [fault(r["text"], r["rn"] not in known) for r in items]
-    rows = list(zip(initials, faults))
-    turns = [r["turn"] for r in items if r["turn"] is not None]
-    flat = lambda last: [c for line in costs(rows, last) for c in line]
-    return {"faults": faults, "illegal": illegal(initials), "first": initials[0], "last": initials[-1], "turns": len(set(turns)),
-            "low": turns[0] if turns else None, "high": turns[-1] if turns else None, "inner": flat(False), "final": flat(True)}
+def _table(initials: list[str], faults: list[int], last: bool) -> list[int]:
+    return [c for line in costs(list(zip(initials, faults)), last) for c in line]
+
+
+def illegal(initials: Sequence[str]) -> int:
+    return sum(a + b not in LEGAL for a, b in zip(initials, initials[1:]))
 
 
 def _total(blocks: list[dict]) -> dict:
-    """A conversation's gaps, illegal pairs and cost, and what each state after each block still has to pay."""
-    to_pay, pay = [], ENDS
-    for block, table in zip(reversed(blocks), ["final"] + ["inner"] * len(blocks)):
-        to_pay.append(pay)
-        own = block[table]
+    """A conversation's gaps and illegal pairs, and what each state after each block still has to pay."""
+    to_pay: list[list[int | None]] = [ENDS]
+    for block in reversed(blocks[1:]):
+        pay, own = to_pay[-1], block["table"]
         sums = [[own[4 * a + b] + pay[b] for b in STATES if pay[b] is not None and own[4 * a + b] < MOST] for a in STATES]
-        pay = [min(s) if s else None for s in sums]
+        to_pay.append([min(s) if s else None for s in sums])
     timed = [b for b in blocks if b["low"] is not None]
     shared = sum(a["high"] == b["low"] for a, b in zip(timed, timed[1:]))
     turns = sum(b["turns"] for b in timed) - shared
     gaps = timed[-1]["high"] - timed[0]["low"] + 1 - turns if timed else 0
     wrong = sum(b["illegal"] for b in blocks) + sum(illegal([a["last"], b["first"]]) for a, b in zip(blocks, blocks[1:]))
-    return {"gaps": min(gaps, MOST), "illegal": wrong, "cost": pay[START], "to_pay": to_pay[::-1]}
+    return {"gaps": min(gaps, MOST), "illegal": wrong, "to_pay": to_pay[::-1]}
 
 
-def _moves(roles: list[str], faults: list[int], to_pay: list[int | None], number: int, of: int) -> list[dict | None]:
-    """For each state that a block can be entered in: the state after it, and its edits."""
-    rows = [(role[:1], wrong) for role, wrong in zip(roles, faults)]
+def _moves(initials: list[str], faults: list[int], to_pay: list[int | None], number: int, of: int) -> list[dict | None]:
+    """For each state that a block can be entered in: the state after it, and its cost and edits."""
+    rows = list(zip(initials, faults))
     found = [least(rows, state, to_pay, number == of - 1) if number or state == START else None for state in STATES]
-    return [None if f is None else {"to": f[0], "edits": f[1]} for f in found]
+    return [None if f is None else {"to": f[0], "cost": f[1], "edits": f[2]} for f in found]
 
 
 def _read_off(moves: list[list[dict | None]]) -> dict:
-    """The state that each block is entered in, and all edits."""
-    state, entries, edits = START, [], []
+    """The state that each block is entered in, and the cost and edits of all."""
+    state, entries, cost, edits = START, [], 0, []
     for block in moves:
         entries.append(state)
+        cost += block[state]["cost"]
         edits.append(block[state]["edits"])
         state = block[state]["to"]
-    return {"entries": entries, "audit": "".join(edits)}
+    return {"entries": entries, "cost": cost, "audit": "".join(edits)}
 
 
-def _lines(items: list[dict], moves: list[dict | None], entry: int) -> list[dict]:
-    made = apply(moves[entry]["edits"], [r["role"] for r in items], [r["text"] for r in items], entry)
-    return [{"role": role, "text": text} for role, text in made]
+def _script(initials: list[str], edits: str, entry: int) -> list[dict]:
+    return [{"at": at, "role": role} for at, role in script(edits, initials, entry)]
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """(conv, _chunk, block, items, summary): runs of up to BLOCK rows in order, within the table's sorted ranges."""
+    """(conv, _chunk, block, items, initials, faults, ..): runs of up to BLOCK rows in order, within the table's sorted ranges."""
     order = ["turn", "role", "text"]
+    body = F.rtrim("text", F.lit(SPACES))
+    alone = F.when(body == "", BLANK).when(~F.right(body, F.lit(1)).isin(".", "!", "?"), TRUNCATED).otherwise(0)
     ranges = ordered.cut(rows, ["conv"], order)
     number = F.row_number().over(Window.partitionBy("conv", "_chunk").orderBy(*order))
     numbered = ranges.withColumn("rn", number).withColumn("block", F.expr(f"(rn - 1) div {BLOCK}"))
@@ -233,10 +219,20 @@ def _blocks(rows: DataFrame) -> DataFrame:
     first = numbered.groupBy("conv", seen.alias("seen")).agg(F.min(F.struct("_chunk", "rn", "block")).alias("at"))
     firsts = first.groupBy("conv", "at._chunk", "at.block").agg(F.collect_list("at.rn").alias("firsts"))
     firsts = firsts.withColumnsRenamed({c: f"_{c}" for c in PLACE})
-    items = numbered.groupBy(*PLACE).agg(F.array_sort(F.collect_list(F.struct("rn", "turn", "role", "text"))).alias("items"))
+    items = numbered.groupBy(*PLACE).agg(F.array_sort(F.collect_list(F.struct(
+        "rn", "turn", "role", "text", F.left("role", F.lit(1)).alias("initial"), alone.alias("fault")))).alias("items"))
     met = items.join(firsts, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE], "left")
-    known = F.coalesce("firsts", F.array().cast("array<int>"))
-    return stored(met.select(*PLACE, "items", _each(_summarise, _SUMMARY)("items", known).alias("summary")), "dialogue-blocks")
+    fresh = lambda r: F.coalesce(F.array_contains("firsts", r["rn"]), F.lit(False))
+    out = met.select(
+        *PLACE, F.transform("items", lambda r: F.struct(r["role"].alias("role"), r["text"].alias("text"))).alias("items"),
+        F.transform("items", lambda r: r["initial"]).alias("initials"),
+        F.transform("items", lambda r: F.when(r["fault"] == BLANK, BLANK).when(~fresh(r), DUPLICATE).otherwise(r["fault"])).alias("faults"),
+        F.filter(F.transform("items", lambda r: r["turn"]), lambda v: v.isNotNull()).alias("turn"))
+    pairs = F.zip_with(F.slice("initials", F.lit(1), F.size("initials") - 1), F.slice("initials", F.lit(2), F.size("initials")), lambda a, b: F.concat(a, b))
+    return stored(out.select(
+        *PLACE, "items", "initials", "faults", F.size(F.filter(pairs, lambda p: ~p.isin(*LEGAL))).cast("long").alias("illegal"),
+        F.col("initials")[0].alias("first"), F.element_at("initials", -1).alias("last"), F.size(F.array_distinct("turn")).cast("long").alias("turns"),
+        F.array_min("turn").alias("low"), F.array_max("turn").alias("high")), "dialogue-blocks")
 
 
 def _per_conversation(blocks: DataFrame, *columns: Column | str) -> DataFrame:
@@ -244,8 +240,24 @@ def _per_conversation(blocks: DataFrame, *columns: Column | str) -> DataFrame:
     return blocks.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("_chunk", "block", *columns))).alias("blocks"))
 
 
+def _places() -> Column:
+    return F.transform("blocks", lambda b: F.struct(b["_chunk"].alias("_chunk"), b["block"].alias("block"))).alias("at")
+
+
+def _with_tables(folded: DataFrame) -> DataFrame:
+    """Conversations (conv, blocks) with the cost table of each block, where there are several."""
+    long = folded.where(F.size("blocks") > 1).select("conv", F.size("blocks").alias("of"), F.posexplode("blocks").alias("number", "b"))
+    table = _each(_table, _TABLE)("b.initials", "b.faults", F.col("number") == F.col("of") - 1)
+    kept = [f"b.{c}" for c in ("illegal", "first", "last", "turns", "low", "high")]
+    several = _per_conversation(long.select("conv", "b._chunk", "b.block", *kept, table.alias("table")),
+                                *[c.removeprefix("b.") for c in kept], "table")
+    single = folded.where(F.size("blocks") == 1).select("conv", F.transform("blocks", lambda b: F.struct(
+        *[b[c].alias(c) for c in ("_chunk", "block", *[k.removeprefix("b.") for k in kept])], F.lit(None).cast(_TABLE).alias("table"))).alias("blocks"))
+    return several.unionByName(single)
+
+
 def _count(kind: int) -> Column:
-    return F.sum(F.size(F.filter("summary.faults", lambda f: f == kind))).cast("long")
+    return F.sum(F.size(F.filter("faults", lambda f: f == kind))).cast("long")
 
 
 @dataclass(frozen=True)
@@ -261,27 +273,27 @@ def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     cut = narrow(rows, conv=conv_col, turn=turn_col, role=role_col, text=text_col)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c)
     blocks = _blocks(cut.select("conv", F.col("turn").cast("long").alias("turn"), text("role"), text("text")))
-    summary = ("illegal", "first", "last", "turns", "low", "high", "inner", "final")
-    folded = _per_conversation(blocks, *[F.col(f"summary.{c}").alias(c) for c in summary])
-    totals = stored(folded.select("conv", _each(_total, _TOTALS)("blocks").alias("t"),
-                                  F.transform("blocks", lambda b: F.struct(b["_chunk"].alias("_chunk"), b["block"].alias("block"))).alias("at")),
-                    "dialogue-totals")
+    folded = _per_conversation(blocks, "illegal", "first", "last", "turns", "low", "high", "initials", "faults")
+    totals = _with_tables(stored(folded, "dialogue-folded"))
+    totals = stored(totals.select("conv", _each(_total, _TOTALS)("blocks").alias("t"), _places()), "dialogue-totals")
     pay = totals.select("conv", F.posexplode(F.arrays_zip("at", "t.to_pay")).alias("number", "of_block"), F.size("at").alias("of"))
     pay = pay.select("conv", "of_block.at._chunk", "of_block.at.block", "of_block.to_pay", "number", "of")
-    roles = F.transform("items", lambda r: r["role"])
-    met = ordered.null_safe_join(blocks, pay, PLACE)
-    moved = stored(met.select(*PLACE, "items", "summary.faults", _each(_moves, _MOVES)(
-        roles, "summary.faults", "to_pay", "number", "of").alias("moves")), "dialogue-moves")
+    moved = ordered.null_safe_join(blocks.select(*PLACE, "initials", "faults"), pay, PLACE)
+    moved = stored(moved.select(*PLACE, "initials", _each(_moves, _MOVES)("initials", "faults", "to_pay", "number", "of").alias("moves")),
+                   "dialogue-moves")
     read = _per_conversation(moved, "moves")
-    read = stored(read.select("conv", F.transform("blocks", lambda b: F.struct(b["_chunk"].alias("_chunk"), b["block"].alias("block"))).alias("at"),
-                              _each(_read_off, _READ)(F.transform("blocks", lambda b: b["moves"])).alias("r")), "dialogue-edits")
+    read = stored(read.select("conv", _places(), _each(_read_off, _READ)(F.transform("blocks", lambda b: b["moves"])).alias("r")), "dialogue-edits")
     entered = read.select("conv", F.explode(F.arrays_zip("at", "r.entries")).alias("e"))
     entered = entered.select("conv", "e.at._chunk", "e.at.block", F.col("e.entries").alias("entry"))
-    pieces = ordered.null_safe_join(moved, entered, PLACE).select(
-        *PLACE, _each(_lines, _LINES)("items", "moves", "entry").alias("lines"))
+    chosen = ordered.null_safe_join(moved, entered, PLACE).select(
+        *PLACE, _each(_script, _SCRIPT)("initials", F.get("moves", F.col("entry"))["edits"], "entry").alias("script"))
+    old = lambda r, c: F.element_at("items", r["at"] + 1)[c]
+    line = lambda r: F.when(r["at"] < 0, F.struct(r["role"].alias("role"), F.lit("").alias("text"))).otherwise(
+        F.struct(F.coalesce(r["role"], old(r, "role")).alias("role"), old(r, "text").alias("text")))
+    pieces = ordered.null_safe_join(blocks.select(*PLACE, "items"), chosen, PLACE).select(*PLACE, F.transform("script", line).alias("lines"))
     counts = blocks.groupBy("conv").agg(_count(BLANK).alias("blank"), _count(DUPLICATE).alias("duplicate"), _count(TRUNCATED).alias("truncated"))
-    report = ordered.null_safe_join(ordered.null_safe_join(counts, totals.select("conv", "t.gaps", "t.illegal", "t.cost"), ["conv"]),
-                                    read.select("conv", "r.audit"), ["conv"])
+    report = ordered.null_safe_join(ordered.null_safe_join(counts, totals.select("conv", "t.gaps", "t.illegal"), ["conv"]),
+                                    read.select("conv", "r.cost", "r.audit"), ["conv"])
     return Repair(report, pieces)
 
 
