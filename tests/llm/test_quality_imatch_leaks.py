@@ -197,3 +197,18 @@ def test_consistency(spark):
         (["<number>1", "<number>2"], ["<number>5", "<number>5"], True), (["<name>a", "<name>b"], ["<name>c", "<name>c"], False),
         ([], [], True)], "a array<string>, b array<string>, want boolean")
     assert all(r.got == r.want for r in rows.select("want", decontaminate.consistent(F.col("a"), F.col("b")).alias("got")).collect())
+
+
+def test_plain_words_are_classified_alike():
+    """The classes found without a call per word are those of the call."""
+    import random
+    rng = random.Random(2)
+    parts = ["a", "the", "B", "Be", "é", "ß", "É", "÷", "×", "km", "Five", "twenty", "7", "3.5", "10km", ".", "!", ",", ":", "(", "'", "-", "…", "“", "Ω", "ǅ", "李", "MIT", "\x00", "İ", "ﬁ"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) for _ in range(20_000)] + parts + sorted(decontaminate.MORE_UNITS | decontaminate.MORE_NUMBER_WORDS)
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, first = decontaminate.split_words(data, np.array([0, len(data)]))
+    classes, known = decontaminate._plain_classes(data, starts, ends)
+    want = decontaminate._coded([decontaminate._classify(data[a:b].tobytes()) for a, b in zip(starts, ends)])
+    blank = want & np.uint64(7) == decontaminate.NOTHING
+    assert known.mean() > 0.2 and np.array_equal(classes[known & ~blank], want[known & ~blank])
+    assert np.array_equal(classes[known & blank] & np.uint64(7), want[known & blank] & np.uint64(7))

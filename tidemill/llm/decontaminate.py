@@ -20,8 +20,7 @@ distinct (document, item). Extra columns are not read.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.common import narrow, slices, stored, text_bytes, whole_text
-from tidemill.llm.words import split_words, window_hashes, word_hashes
+from tidemill.llm.words import LOWER, prefix_hash, split_words, stretch_hash, window_hashes, word_hashes
 
 WINDOW = 13
 LEAST_TOKENS = 5
 LEAST_LITERAL = 0.5    # share of literal tokens below which slots must be equal
 BITS = 24              # the bitmap has 2**BITS places
-CACHE_WORDS = 150_000  # word classes that a worker remembers; only speed depends on it
+CACHE_WORDS = 150_000  # classes of words that are not plain that a worker remembers; only speed depends on it
 
 LITERAL, NUMBER, NAME, UNIT, NOTHING = range(5)
 MARKS = {NUMBER: "<number>", NAME: "<name>", UNIT: "<unit>"}
@@ -64,15 +63,11 @@ _CHARACTERS = regex.compile(rf"[0-9][0-9.,:/]*|[{_UNSPACED}]\p{{M}}*|[^0-9{_UNSP
 _ENDS = regex.compile(r"[.!?:;][^\p{L}\p{N}]*$")
 
 
-def _classify(word: bytes) -> int:
-    """One number: kind (three bits), capitalised, ends a sentence, and above them the hash of the canonical word.
-
-    Between them, for the second reading: a name, a number word, a unit, to be cut.
-    """
+def _classify(word: bytes) -> tuple[int, bytes]:
+    """(flags, canonical word): kind (three bits), capitalised, ends a sentence; for the second reading: a name, a number word, a unit, to be cut."""
     raw = word.decode("utf-8", "replace")
     core = _AROUND.sub("", raw)
     low = core.lower()
-    code = int.from_bytes(hashlib.blake2b(low.encode(), digest_size=8).digest(), "little")
     if not core:
         kind = NOTHING
     elif _NUMBER.fullmatch(core) or low in NUMBER_WORDS:
@@ -86,7 +81,15 @@ def _classify(word: bytes) -> int:
     number = low in MORE_NUMBER_WORDS or "-" in low and all(part in MORE_NUMBER_WORDS for part in low.split("-"))
     unit = low in MORE_UNITS or "/" in low and all(part in MORE_UNITS for part in low.split("/"))
     cut = not core.isascii() and len(core) > 1 and bool(_HAS_UNSPACED.search(core)) or core[:1].isdigit() and _glued(core) is not None
-    return (code >> 9 << 9) | cut << 8 | unit << 7 | number << 6 | name << 5 | bool(_ENDS.search(raw)) << 4 | capital << 3 | kind
+    return cut << 8 | unit << 7 | number << 6 | name << 5 | bool(_ENDS.search(raw)) << 4 | capital << 3 | kind, low.encode()
+
+
+def _coded(found: Sequence[tuple[int, bytes]]) -> np.ndarray:
+    """Classes of words: the flags, and above them the hash of the canonical word."""
+    ends = np.cumsum([len(low) for _, low in found], dtype=np.int64)
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    hashes = word_hashes(np.frombuffer(b"".join(low for _, low in found), np.uint8), starts, ends) if len(found) else np.zeros(0, np.uint64)
+    return hashes >> np.uint64(9) << np.uint64(9) | np.array([flags for flags, _ in found], np.uint64)
 
 
 def _glued(core: str):
@@ -102,17 +105,62 @@ def _pieces(word: bytes) -> list[tuple[int, int, int]]:
     at = raw.index(core)
     found = _glued(core)
     cuts = [found.span(1), found.span(2)] if found else [m.span() for m in _CHARACTERS.finditer(core)]
-    out = []
-    for a, b in cuts:
-        a, b = (len(raw[:at + x].encode()) for x in (a, b))
-        code = _classify(word[a:b]) & ~(1 << 8)
-        if code & 7 != NOTHING:
-            out.append((a, b, code))
+    spans = [tuple(len(raw[:at + x].encode()) for x in cut) for cut in cuts]
+    codes = (_coded([_classify(word[a:b]) for a, b in spans]) & ~np.uint64(1 << 8)).tolist()
+    out = [(a, b, code) for (a, b), code in zip(spans, codes) if code & 7 != NOTHING]
     if _ENDS.search(raw):
         out[-1] = (*out[-1][:2], out[-1][2] | 1 << 4)
     return out
 
 
+def _hash_set(words: frozenset) -> np.ndarray:
+    return np.sort(_coded([(0, w.encode()) for w in sorted(words)]))
+
+
+_NUMBER_CODES, _UNIT_CODES = _hash_set(NUMBER_WORDS), _hash_set(UNITS)
+_MORE_NUMBER_CODES, _MORE_UNIT_CODES = _hash_set(MORE_NUMBER_WORDS), _hash_set(MORE_UNITS)
+# Bytes: marks, small letters, capitals, digits, bytes beyond ASCII.
+_MARK, _SMALL, _CAPITAL, _DIGIT, _BEYOND = range(5)
+_BYTES = np.full(256, _MARK, np.int8)
+_BYTES[97:123], _BYTES[65:91], _BYTES[48:58], _BYTES[128:] = _SMALL, _CAPITAL, _DIGIT, _BEYOND
+_STOPS = np.zeros(256, bool)
+_STOPS[[ord(c) for c in ".!?:;"]] = True
+
+
+def _within(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=sums[1:])
+    return sums[ends] - sums[starts]
+
+
+def _plain_classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, known): the classes of plain words, without a call per word; ``known`` says which words are plain.
+
+    A plain word has marks at its ends only and else letters: small ones of ASCII and of the second half of Latin-1, after at
+    most one capital, or capitals alone. Others are left to ``_classify``, which says the same of plain ones.
+    """
+    kind = _BYTES[data]
+    second = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x9F) & (data[1:] < 0xC0) & (data[1:] != 0xB7))
+    kind[second], kind[second + 1] = _SMALL, _SMALL
+    solid = np.append(np.flatnonzero(kind != _MARK), len(data))
+    begin = solid[np.searchsorted(solid, starts)]
+    blank = begin >= ends
+    begin = np.where(blank, starts, begin)
+    end = np.where(blank, ends, solid[np.searchsorted(solid, ends) - 1] + 1)
+    length = end - begin
+    capitals = _within(kind == _CAPITAL, begin, end)
+    odd = _within((kind == _DIGIT) | (kind == _BEYOND), starts, ends) + _within(kind == _MARK, begin, end)
+    first = kind[begin] == _CAPITAL
+    known = blank & (_within(kind == _BEYOND, starts, ends) == 0) | ~blank & (odd == 0) & (
+        (capitals == 0) | first & (capitals == 1) | (capitals == length))
+    low = stretch_hash(prefix_hash(LOWER[data]), begin, end) >> np.uint64(9) << np.uint64(9)
+    capital = first & (capitals == 1) & (length > 1)
+    stop = _within(_STOPS[data], end, ends) > 0
+    what = np.where(blank, NOTHING, np.where(np.isin(low, _NUMBER_CODES), NUMBER, np.where(np.isin(low, _UNIT_CODES), UNIT, LITERAL)))
+    flags = (what + (capital * 8 + stop * 16 + capital * 32) + np.isin(low, _MORE_NUMBER_CODES) * 64 + np.isin(low, _MORE_UNIT_CODES) * 128)
+    return low | flags.astype(np.uint64), known
+
+
 _CACHE: dict[int, int] = {}
 
 
@@ -121,17 +169,18 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     starts, ends, first = split_words(data, offsets)
     if not len(starts):
         return starts, ends, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = word_hashes(data, starts, ends)
-    different, where, place = np.unique(hashes, return_index=True, return_inverse=True)
-    if len(_CACHE) > CACHE_WORDS:
-        _CACHE.clear()
-    classes = []
-    for h, i in zip(different.tolist(), where.tolist()):
-        found = _CACHE.get(h)
-        if found is None:
-            found = _CACHE[h] = _classify(data[starts[i]:ends[i]].tobytes())
-        classes.append(found)
-    classes = np.array(classes, np.uint64)[place]
+    classes, known = _plain_classes(data, starts, ends)
+    others = np.flatnonzero(~known)
+    if len(others):
+        hashes = word_hashes(data, starts[others], ends[others])
+        different, where, place = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(_CACHE) > CACHE_WORDS:
+            _CACHE.clear()
+        keys = different.tolist()
+        new = [(h, others[i]) for h, i in zip(keys, where.tolist()) if h not in _CACHE]
+        codes = _coded([_classify(data[starts[i]:ends[i]].tobytes()) for _, i in new]).tolist()
+        _CACHE.update((h, code) for (h, _), code in zip(new, codes))
+        classes[others] = np.array([_CACHE[h] for h in keys], np.uint64)[place]
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     real = classes & np.uint64(7) != NOTHING
     return starts[real], ends[real], row[real], classes[real]
@@ -257,7 +306,7 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
             # Inside a document the first word no longer starts a text: if capitalised it may pass for a name there.
             starts, ends, first, kinds, codes = tokens
             heads = first[:-1][np.diff(first) > 0]
-            named = [h for h in heads.tolist() if kinds[h] == LITERAL and _classify(data[starts[h]:ends[h]].tobytes()) & 8]
+            named = [h for h in heads.tolist() if kinds[h] == LITERAL and _classify(data[starts[h]:ends[h]].tobytes())[0] & 8]
             kinds, codes = kinds.copy(), codes.copy()
             kinds[named], codes[named] = NAME, np.uint64(NAME)
             again = set(named)
