@@ -6,11 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import joins as J
+from tidemill.operators import ordered as O
 from tidemill.operators import timewindows as W
 from tidemill.operators.versioned import VersionedTable
+from tidemill.plans import fraud as FR
 from tidemill.streaming import sinks as K
 from tidemill.streaming import sources as R
 from tidemill.streaming import stateful as X
+from tidemill.streaming.asof import asof_lookup_stream
+from tidemill.streaming.live_sessions import latest_sessions, session_changes
 
 c = F.col
 DDL = "id bigint, u string, t timestamp, v bigint"
@@ -139,3 +143,125 @@ def test_agent_state_expires(spark, work):
         K.append_stream(X.fraud_agent_stream(rows_, "u", "t", "id", "place", 2, 3600), out, ckpt)
     # the place moved at 2; 3 and 4 are beyond two in the hour; hours later nothing is remembered
     assert rows(spark.read.parquet(out), "id", "rule") == [(2, "place_change"), (3, "high_frequency"), (4, "high_frequency")]
+
+
+def late_parts(rows_, minutes=20):
+    """Three parts in which rows come up to so many minutes after their time, and a last one far ahead."""
+    arrival = lambda r: r[2] + dt.timedelta(minutes=(r[0] * 37) % minutes)
+    come = sorted(rows_, key=arrival)
+    n = len(come) // 3
+    return [come[:n], come[n:2 * n], come[2 * n:], [(-1, "marker", FAR, 0)]]
+
+
+def mixed(n=90):
+    """Few rows a minute apart at places, hours apart at others; NULL keys, equal times."""
+    return [(i, None if i % 17 == 3 else "hot" if i % 3 else f"u{i % 2}", T0 + dt.timedelta(seconds=(i // 10) * 9000 + (i % 10 // 2) * 400), i % 7) for i in range(n)]
+
+
+def test_asof_stream_over_three_parts(spark, work):
+    """Versions that come late within the watermark count; only the newest closed version of a key stays in the state."""
+    rows_, out, ckpt = mixed(), work("out"), work("ckpt")
+    sides = {"l": [r for r in rows_ if r[3] < 3], "r": [r for r in rows_ if r[3] >= 3]}
+    folders = {name: work(name) for name in sides}
+    parts = late_parts(rows_)
+    cols = {"vid": "id", "v2": "v"}
+    for k in range(4):
+        for name, side in sides.items():
+            land(spark, folders[name], [r for r in parts[k] if r in side or r[0] < 0])
+        left, right = (stream(spark, folders[n]) for n in ("l", "r"))
+        K.append_stream(asof_lookup_stream(left, right, "u", "t", "t", cols, "id", "id", "25 minutes", 1800), out, ckpt)
+    left, right = (spark.createDataFrame(sides[n], DDL) for n in ("l", "r"))
+    want = J.asof_lookup(left, right, "u", "t", "t", cols, "id", "id")
+    key = lambda df: sorted((tuple(r[x] for x in ("id", "u", "t", "v", "vid", "v2")) for r in df.collect()), key=str)
+    assert key(spark.read.parquet(out).where("id >= 0")) == key(want) and want.where("vid IS NOT NULL").count() > 10
+    state = spark.read.format("statestore").option("stateVarName", "waiting").load(ckpt)
+    assert state.count() <= 2  # the marker's own pane; nothing of the closed ones
+    newest = spark.read.format("statestore").option("stateVarName", "newest").load(ckpt)
+    assert newest.count() == len({r[1] for r in sides["r"]} - {None})
+
+
+def test_live_sessions_over_restarts(spark, work):
+    """The last change of every session is the batch's session, also where late rows join two or move a start."""
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    parts = late_parts(mixed())
+    end, minutes = max(r[2] for r in parts[0]), lambda m: dt.timedelta(minutes=m)
+    parts[0] += [(200, "m", end - minutes(16), 1), (201, "m", end, 2)]
+    parts[1] += [(222, "m", end - minutes(8), 3), (223, "m", end - minutes(20), 4)]  # one joins the two, one moves the start
+    rows_ = [r for part in parts[:3] for r in part]
+    for part in parts:
+        land(spark, folder, part)
+        K.append_stream(session_changes(stream(spark, folder), "u", "t", "id", "v", 600, "25 minutes"), out, ckpt)
+    changes = spark.read.parquet(out).where("u IS NULL OR u != 'marker'")
+    got = latest_sessions(changes, "u")
+    batch = X.session_tracker(spark.createDataFrame(rows_, DDL), "u", "t", "id", "v", 600)
+    key = lambda df: sorted((tuple(map(str, (r[x] for x in ("u", "session_start", "last_seen", "actions", "last_action")))) for r in df.collect()))
+    assert key(got) == key(batch) and {r.state for r in got.collect()} == {"closed"}
+    assert changes.where("state = 'merged'").count() >= 2
+    assert changes.where("state = 'open'").count() == len(rows_)  # every row is a change
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_fraud_stream_is_the_batch(spark, work, parts):
+    limits = FR.Limits(count=3, count_window=3600, value=9.0, total=12.0, total_window=7200, merchants=2, full_value=20.0, total_span=50.0, parts=parts)
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    rows_ = mixed(150)
+
+    def txns(df):
+        return df.select("id", c("u").alias("user"), c("t").alias("ts"), (c("v") * 1.7).alias("amount"),
+                         F.when(c("id") % 11 != 4, (c("id") % 4).cast("string")).alias("country"), F.when(c("id") % 5 > 0, (c("id") % 5).cast("string")).alias("merchant"))
+    for part in late_parts(rows_):
+        land(spark, folder, part)
+        K.append_stream(FR.fraud_rules_stream(txns(stream(spark, folder)), limits, "25 minutes", 900), out, ckpt)
+    want = FR.fraud_rules(txns(spark.createDataFrame(rows_, DDL)), limits, chunk=7)
+    key = lambda df: sorted((tuple(map(str, r)) for r in df.select("id", "user", "ts", "rule", "detail", "risk").collect()))
+    assert key(spark.read.parquet(out).where("id >= 0")) == key(want)
+    assert {r.rule for r in want.collect()} == {"country_hop", "high_value", "spending_velocity", "high_frequency", "merchant_diversity"}
+
+
+def test_trailing_windows_by_hand(spark):
+    """A window of one hour in four parts holds the row's quarter of an hour and the three before."""
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    rows_ = [(1, "u", at(1), 5.0, "a", "x"), (2, "u", at(14), 1.0, "a", "y"), (3, "u", at(46), 2.0, "a", "x"), (4, "u", at(59), 1.0, None, None),
+             (5, "u", at(60), 4.0, "b", "y"), (6, "u", at(200), 1.0, "b", "z")]
+    df = spark.createDataFrame(rows_, "id long, user string, ts timestamp, amount double, country string, merchant string")
+    got = FR.with_history(df, FR.Limits(count_window=3600, total_window=3600, parts=4), chunk=3)
+    assert rows(got, "id", "was", "n", "merchants", "total") == [
+        (1, None, 1, 1, 5), (2, "a", 2, 2, 6), (3, "a", 3, 2, 8), (4, "a", 4, 3, 9), (5, None, 3, 3, 7), (6, "b", 1, 1, 1)]
+
+
+def test_dedup_of_a_chain(spark, work):
+    """An id that comes every fifty minutes is never silent for an hour: it counts once, in both forms."""
+    chain = [(i, "c", T0 + dt.timedelta(minutes=50 * i), 0) for i in range(8)] + [(20, "c", T0 + dt.timedelta(hours=9), 0), (21, "d", T0, 1), (22, "d", T0 + dt.timedelta(hours=1), 1)]
+    batch = X.dedup_stream(spark.createDataFrame(chain, DDL), ["u"], "t", "1 hour")
+    assert rows(batch, "id") == [(0,), (20,), (21,)]
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    for part in (chain[:3] + chain[-2:], chain[3:7], chain[7:-2], [(-1, "marker", FAR, 0)]):
+        land(spark, folder, part)
+        K.append_stream(X.dedup_stream(stream(spark, folder), ["u"], "t", "1 hour", eager=False), out, ckpt)
+    assert rows(spark.read.parquet(out).where("id >= 0"), "id") == [(0,), (20,), (21,)]
+
+
+def test_agent_ignores_unknown_places(spark, work):
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    batches = [[(1, "u", T0, 1), (2, "u", T0 + dt.timedelta(minutes=1), None)], [(3, "u", T0 + dt.timedelta(minutes=2), 1), (4, "u", T0 + dt.timedelta(minutes=3), None)],
+               [(5, "u", T0 + dt.timedelta(minutes=4), None), (6, "u", T0 + dt.timedelta(minutes=5), 2), (7, "u", T0 + dt.timedelta(minutes=6), 3)]]
+    for part in batches:
+        land(spark, folder, part)
+        rows_ = stream(spark, folder).withWatermark("t", "1 minute").withColumn("place", c("v").cast("string"))
+        K.append_stream(X.fraud_agent_stream(rows_, "u", "t", "id", "place", 99, 3600), out, ckpt)
+    assert rows(spark.read.parquet(out), "id", "rule") == [(7, "place_change")]
+
+
+def test_sets_of_running_columns(spark):
+    """Columns with keys of their own agree with plain windows, over chunk borders."""
+    rows_ = [(i, "h" if i % 4 else f"k{i % 3}", i // 7, i // 5, None if i % 6 == 0 else f"p{i % 5}", i % 9) for i in range(120)]
+    df = spark.createDataFrame(rows_, "id long, k string, b1 long, b2 long, p string, v long").cache()
+    got = O.running_sets(O.cut(df, ["k"], ["id"], 9), ["k"], ["id"], {
+        "n": (("b1",), "count", F.lit(1)), "s": (("b2",), "sum", c("v")), "was": ((), "before", c("p")), "all": ((), "sum", c("v"))})
+    from pyspark.sql import Window
+    w = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("id", F.count("*").over(w.partitionBy("k", "b1")).alias("n"), F.sum("v").over(w.partitionBy("k", "b2")).alias("s"),
+                     F.last("p", ignorenulls=True).over(before).alias("was"), F.sum("v").over(w.partitionBy("k")).alias("all"))
+    key = lambda d: sorted((tuple(map(str, (r[x] for x in ("id", "n", "s", "was", "all")))) for r in d.collect()))
+    assert key(got) == key(want)

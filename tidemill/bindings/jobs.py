@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemill.bindings.functions import hex_mod_sql
@@ -142,6 +144,31 @@ def _(t):
     return FR.fraud_rules(_txns(t), LIMITS)
 
 
+# The same rules in windows that trail a row: a day of four parts, two days of four parts.
+TRAILING_LIMITS = replace(LIMITS, parts=4)
+TRAILING = f"""WITH e AS (SELECT event_id AS id, user_id AS "user", ts, value AS amount, event_type AS country, json_extract_string(props, '$.k') AS merchant,
+ epoch_us(ts) // 21600000000 AS b1, epoch_us(ts) // 43200000000 AS b2 FROM events),
+w AS (SELECT *, LAG(country) OVER u AS was,
+ COUNT(*) OVER (PARTITION BY "user" ORDER BY b1 RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) - COUNT(*) OVER (PARTITION BY "user", b1)
+  + ROW_NUMBER() OVER (PARTITION BY "user", b1 ORDER BY ts, id) AS n,
+ CAST(SUM({DEC2('amount')}) OVER (PARTITION BY "user" ORDER BY b2 RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) - SUM({DEC2('amount')}) OVER (PARTITION BY "user", b2)
+  + SUM({DEC2('amount')}) OVER (PARTITION BY "user", b2 ORDER BY ts, id) AS DOUBLE) AS total FROM e WINDOW u AS (PARTITION BY "user" ORDER BY ts, id)),
+m AS (SELECT a.id, CAST(COUNT(DISTINCT coalesce(b.merchant, '')) AS BIGINT) AS merchants FROM e a JOIN e b ON a."user" = b."user"
+ AND b.b1 BETWEEN a.b1 - 3 AND a.b1 AND (b.ts, b.id) <= (a.ts, a.id) GROUP BY a.id),
+x AS (SELECT * FROM w JOIN m USING (id)),
+a AS (SELECT id, "user", ts, 'country_hop' AS rule, was || ' -> ' || country AS detail, 0.7::DOUBLE AS risk FROM x WHERE was != country
+UNION ALL SELECT id, "user", ts, 'high_value', format('{{:.2f}}', amount), LEAST(amount / 400.0::DOUBLE, 1.0::DOUBLE) FROM x WHERE amount > 200
+UNION ALL SELECT id, "user", ts, 'spending_velocity', format('{{:.2f}}', total), LEAST(0.6::DOUBLE + (total - 150.0::DOUBLE) / 2500.0::DOUBLE, 1.0::DOUBLE) FROM x WHERE total > 150
+UNION ALL SELECT id, "user", ts, 'high_frequency', n::VARCHAR, LEAST(0.5::DOUBLE + (n - 5) * 0.1::DOUBLE, 1.0::DOUBLE) FROM x WHERE n > 3
+UNION ALL SELECT id, "user", ts, 'merchant_diversity', merchants::VARCHAR, 0.5::DOUBLE FROM x WHERE merchants > 3)
+SELECT id, "user", ts, rule, detail, risk FROM a"""
+
+
+@query("dom_07_fraud_rules_trailing", TRAILING)
+def _(t):
+    return FR.fraud_rules(_txns(t), TRAILING_LIMITS)
+
+
 @query("dom_24_fraud_summary", FRAUD + """, r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "user" ORDER BY ts DESC, id DESC, rule DESC) AS rn,
  CAST(risk AS DECIMAL(18,6)) AS d FROM a)
 SELECT "user", COUNT(*) AS alert_count, CAST(SUM(d) AS DOUBLE) AS total_risk, CAST(SUM(d) AS DOUBLE) / COUNT(*) AS avg_risk, MAX(ts) AS last_alert_at,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemill.bindings import jobs as J_
 from tidemill.bindings.functions import hex_mod_sql
 from tidemill.bindings.registry import query
 from tidemill.bindings.sqltext import DEC2, dsum
@@ -15,9 +16,12 @@ from tidemill.operators import aggregates as A
 from tidemill.operators import joins as J
 from tidemill.operators import timewindows as W
 from tidemill.operators.versioned import VersionedTable
+from tidemill.plans import fraud as FR
 from tidemill.streaming import sinks as K
 from tidemill.streaming import sources as R
 from tidemill.streaming import stateful as X
+from tidemill.streaming.asof import asof_lookup_stream
+from tidemill.streaming.live_sessions import latest_sessions, session_changes
 
 c = F.col
 DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -194,6 +198,15 @@ def _(t):
     return t.spark.read.parquet(out).select("event_id", "user_id", "value")
 
 
+@query("str_03_dedup_silence_stream", """
+SELECT user_id, event_id FROM (SELECT *, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)
+WHERE p IS NULL OR ts - p > INTERVAL 6 HOUR""")
+def _(t):
+    """Users that come again after six hours of silence; rows arrive up to ten minutes late."""
+    first = lambda events: X.dedup_stream(events.select("ts", "event_id", "user_id"), ["user_id"], "ts", "6 hours", eager=False)
+    return _as_they_arrive(t, {"events": t.events}, first).select("user_id", "event_id")
+
+
 @query("str_04_checkpointed_query", HOURLY)
 def _(t):
     """Two runs of one query around a restart; windows open at the restart go on."""
@@ -338,3 +351,60 @@ UNION ALL SELECT event_id, 'place_change' FROM (SELECT *, LAG(event_type) OVER w
 def _(t):
     return _in_two_runs(t, lambda rows: X.fraud_agent_stream(
         R.with_event_time(rows, "ts", "10 minutes"), "user_id", "ts", "event_id", "event_type", 2, 86400))
+
+
+# ---- event-time work by panes: rows are dealt to three runs by their arrival, up to ten minutes after they happened
+
+def _as_they_arrive(t, rows, shape, out=None, keep="user_id >= 0"):
+    """Land rows in three parts by arrival, run the query after each, and a last time behind a marker in the far future.
+
+    ``rows`` maps a landing folder's name to its rows; ``shape`` gets the opened streams.
+    """
+    out, ckpt = out or t.scratch("arrived"), t.scratch("ckpt")
+    folders = {name: t.scratch(name) for name in rows}
+    late = lambda df: df.withColumn("arrival", c("ts") + F.make_dt_interval(secs=c("event_id") * 37 % 600))
+    for lo, hi in ((None, FIRST), (FIRST, SECOND), (SECOND, None), ("marker", None)):
+        for name, df in rows.items():
+            drop(marker(t.events) if lo == "marker" else part(late(df), lo, hi, "arrival").drop("arrival"), folders[name])
+        K.append_stream(shape(*[R.stream_json_events(t.spark, f, DDL) for f in folders.values()]), out, ckpt)
+    return t.spark.read.parquet(out).where(keep)
+
+
+@query("jon_08_asof_lookup_stream", """
+SELECT p.event_id AS event_id, p.user_id AS user_id, k.event_id AS click_id, k.value AS click_value
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') k ON p.user_id = k.user_id AND p.ts >= k.ts""")
+def _(t):
+    sides = {"buys": t.events.where("event_type = 'purchase'"), "clicks": t.events.where("event_type = 'click'")}
+    return _as_they_arrive(t, sides, lambda buys, clicks: asof_lookup_stream(
+        buys.select("event_id", "user_id", "ts"), clicks, "user_id", "ts", "ts", {"click_id": "event_id", "click_value": "value"},
+        "event_id", "event_id", "20 minutes", 86400)).select("event_id", "user_id", "click_id", "click_value")
+
+
+@query("str_05_session_tracker_live", """
+WITH l AS (SELECT *, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
+g AS (SELECT *, SUM(CASE WHEN p IS NULL OR ts - p > INTERVAL 2 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM l)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) AS last_seen, COUNT(*) AS actions, arg_max(event_type, (ts, event_id)) AS last_action,
+  'closed' AS state FROM g GROUP BY user_id, s""")
+def _(t):
+    changes = _as_they_arrive(t, {"events": t.events}, lambda events: session_changes(
+        events, "user_id", "ts", "event_id", "event_type", 2 * 3600, "20 minutes"))
+    return latest_sessions(changes, "user_id")
+
+
+def _history_stream(t, limits):
+    def shape(events):
+        txns = events.select(c("event_id").alias("id"), c("user_id").alias("user"), "ts", c("value").alias("amount"),
+                             c("event_type").alias("country"), F.get_json_object("props", "$.k").alias("merchant"))
+        return FR.fraud_rules_stream(txns, limits, "20 minutes", 86400)
+    return _as_they_arrive(t, {"events": t.events}, shape, keep="user >= 0")
+
+
+@query("dom_07_fraud_rules_stream", J_.FRAUD + 'SELECT id, "user", ts, rule, detail, risk FROM a')
+def _(t):
+    return _history_stream(t, J_.LIMITS)
+
+
+@query("dom_07_fraud_rules_trailing_stream", J_.TRAILING)
+def _(t):
+    return _history_stream(t, J_.TRAILING_LIMITS)

@@ -89,6 +89,51 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Map
     return both.withColumns(out).where("_rowkind = 1").select(*df.columns, *specs)
 
 
+def running_sets(chunked: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 specs: Mapping[str, tuple[Sequence[str], str, Column]]) -> DataFrame:
+    """Several running columns, each within keys of its own, from one read of a table that has been ``cut``.
+
+    ``specs`` maps a new name to (more keys, kind, column): the column runs within ``keys`` and the further ones, which must not
+    fall along the order (such as a time bucket). Kinds are sum, count, and before (the newest non-null value of the rows before).
+    One pass folds (key, chunk) for all sets of keys together; the rows meet what is carried into their chunk in a
+    single exchange by key and chunk, which serves every set.
+    """
+    sets = list(dict.fromkeys(tuple(extra) for extra, _, _ in specs.values()))
+    extras = list(dict.fromkeys(e for extra in sets for e in extra))
+    value, total = {}, []
+    for name, (_, kind, c) in specs.items():
+        v = f"_v_{name}"
+        if kind == "before":
+            value[v] = c
+            total.append(F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(v))
+        elif kind in ("sum", "count"):
+            value[v] = F.when(c.isNotNull(), F.lit(1).cast("long")) if kind == "count" else c
+            total.append(F.sum(value[v]).alias(v))
+        else:
+            raise ValueError(f"unknown running kind {kind}")
+    of_set = {extra: F.lit(sum(2 ** (len(extras) - i) for i, e in enumerate(extras) if e not in extra)) for extra in sets}
+    summary = chunked.groupingSets([[*keys, *extra, "_chunk"] for extra in sets], *keys, *extras, "_chunk").agg(
+        F.grouping_id().alias("_set"), *total)
+    earlier = Window.partitionBy("_set", *keys, *extras).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = []
+    for name, (extra, kind, _) in specs.items():
+        v = f"_v_{name}"
+        carry = F.last(v, ignorenulls=True).over(earlier) if kind == "before" else F.sum(v).over(earlier)
+        carried.append(F.when(F.col("_set") == of_set[tuple(extra)], carry).alias(v))
+    seeds = summary.select(*keys, *extras, "_chunk", F.lit(0).alias("_rowkind"), *carried).dropna("all", subset=list(value))
+    both = chunked.withColumns(value).withColumn("_rowkind", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
+    both = both.repartition(*keys, "_chunk")
+    out = {}
+    for name, (extra, kind, _) in specs.items():
+        within = Window.partitionBy(*keys, "_chunk", *extra).orderBy("_rowkind", *order).rowsBetween(
+            Window.unboundedPreceding, -1 if kind == "before" else Window.currentRow)
+        v = F.col(f"_v_{name}")
+        out[name] = F.last(v, ignorenulls=True).over(within) if kind == "before" else F.sum(v).over(within)
+        if kind == "count":
+            out[name] = F.coalesce(out[name], F.lit(0).cast("long"))
+    return both.withColumns(out).where("_rowkind = 1").select(*chunked.columns, *specs)
+
+
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Mapping[str, str],
              chunk: int | Column | None = None) -> DataFrame:
     """Add columns holding the row before's values (``cols``: new name -> source)."""

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+FILES_PER_BATCH = 1000  # a micro-batch is bounded unless the caller sets another bound
+
+
 def decode_json(raw: DataFrame, ddl: str, value: str = "value", ignore_parse_errors: bool = True,
                 missing_ok: bool = True) -> DataFrame:
     """Typed columns from JSON text.
@@ -29,20 +32,19 @@ def decode_json(raw: DataFrame, ddl: str, value: str = "value", ignore_parse_err
 
 
 def stream_json_events(spark: SparkSession, path: str, ddl: str, ignore_parse_errors: bool = True,
-                       missing_ok: bool = True, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+                       missing_ok: bool = True, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     return decode_json(reader.text(path), ddl, "value", ignore_parse_errors, missing_ok)
 
 
-def auto_ingest(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+def auto_ingest(spark: SparkSession, path: str, schema: str | T.StructType, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """CSV files as they land; the query's checkpoint remembers which were read."""
-    return spark.readStream.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(path)
+    reader = spark.readStream.schema(schema).option("header", True).option("recursiveFileLookup", True)
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
 
 
-def stream_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.option("lineSep", "\n").text(path).withColumn("arrived_at", F.current_timestamp())
+def stream_text_lines(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    return spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_batch).text(path).withColumn("arrived_at", F.current_timestamp())
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:

@@ -22,15 +22,21 @@ def split_late(df: DataFrame, ts: str, arrival: Sequence[str], delay: int, chunk
     return seen.withColumn("late", F.coalesce(behind, F.lit(False))).drop("_seen")
 
 
-def dedup_stream(df: DataFrame, ids: Sequence[str], ts: str, horizon: str) -> DataFrame:
-    """Each id once within the horizon.
+def dedup_stream(df: DataFrame, ids: Sequence[str], ts: str, horizon: str, eager: bool = True) -> DataFrame:
+    """Each id once until it has been silent for longer than the horizon.
 
-    In batch a row counts if its id was not seen in the horizon before it; of rows of one time
-    the smallest counts. An id that returns later than that counts again, as on a stream.
+    A row counts if its id was not seen in the horizon before it, be that row kept or not; of rows of one time the smallest
+    counts. A stream gives the same rows with ``eager=False``, each when its id has been silent for long enough, in whatever order rows
+    arrive within the horizon. An eager stream gives a row at once and forgets an id by its kept row: an id that
+    keeps coming for longer than the horizon may then count more than once.
     """
-    if df.isStreaming:
-        return df.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(list(ids))
     at = F.col(ts).cast("timestamp")
+    if df.isStreaming and eager:
+        return df.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(list(ids))
+    if df.isStreaming:
+        marked = df.withColumn("_at", at).withWatermark("_at", horizon)
+        silent = F.session_window("_at", f"{horizon} 1 microsecond")  # a step of just the horizon is no silence
+        return marked.groupBy(silent.alias("_w"), *ids).agg(F.min(F.struct("_at", F.struct(*df.columns).alias("row"))).alias("_first")).select("_first.row.*")
     one = df.groupBy(*ids, at.alias("_at")).agg(F.min(F.struct(*df.columns)).alias("_row"))
     before = O.previous(one, list(ids), ["_at"], {"_before": "_at"})
     fresh = F.col("_before").isNull() | (F.col("_before") + F.expr(f"INTERVAL {horizon}") < F.col("_at"))
@@ -50,11 +56,28 @@ def publish_every_n(df: DataFrame, key: str, order: Sequence[str], value: Column
 
 
 def _in_order(batches: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    """A micro-batch's rows of one key. Their number is bounded by the source's per-trigger limit."""
+    """A micro-batch's rows of one key. Their number is bounded by the source's limit per trigger, which every source here has.
+
+    Work that has to be in event-time order over micro-batches, or must not hold a micro-batch, goes by panes (``panes``).
+    """
     return pd.concat(list(batches)).sort_values(list(order))
 
 
-def publish_every_n_stream(df: DataFrame, key: str, order: Sequence[str], cents: str, n: int) -> DataFrame:
+def _forgetting(step, idle_ms: int | None):
+    """(step, timeout): a keyed step whose state is dropped after so long without rows; None keeps it, as totals since ever need."""
+    if idle_ms is None:
+        return step, GroupStateTimeout.NoTimeout
+
+    def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        yield from step(k, batches, state)
+        state.setTimeoutDuration(idle_ms)
+    return run, GroupStateTimeout.ProcessingTimeTimeout
+
+
+def publish_every_n_stream(df: DataFrame, key: str, order: Sequence[str], cents: str, n: int, idle_ms: int | None = None) -> DataFrame:
     """The same as a state machine: (count, total) per key lives in the state store.
 
     ``cents`` is an integer column.
@@ -70,12 +93,12 @@ def publish_every_n_stream(df: DataFrame, key: str, order: Sequence[str], cents:
         state.update((count + len(rows), int(running_total.iloc[-1])))
         yield out[out["alert_count"] % n == 0]
 
+    run, timeout = _forgetting(step, idle_ms)
     return df.select(key, *order, cents).groupBy(key).applyInPandasWithState(
-        step, f"{key} {kind}, alert_count long, total_cents long", "count long, total long", "append",
-        GroupStateTimeout.NoTimeout)
+        run, f"{key} {kind}, alert_count long, total_cents long", "count long, total long", "append", timeout)
 
 
-def count_window_stream(df: DataFrame, key: str, order: Sequence[str], cents: str, n: int) -> DataFrame:
+def count_window_stream(df: DataFrame, key: str, order: Sequence[str], cents: str, n: int, idle_ms: int | None = None) -> DataFrame:
     """Windows of n records per key over a stream; the state holds the count and the open window's sum."""
     kind = df.schema[key].dataType.simpleString()
 
@@ -90,12 +113,12 @@ def count_window_stream(df: DataFrame, key: str, order: Sequence[str], cents: st
         state.update((count, int(sums.iloc[-1]) if count % n else 0))
         yield pd.DataFrame({key: k[0], "window_no": full.index, "total_cents": full.to_numpy()})
 
+    run, timeout = _forgetting(step, idle_ms)
     return df.select(key, *order, cents).groupBy(key).applyInPandasWithState(
-        step, f"{key} {kind}, window_no long, total_cents long", "count long, pending long", "append",
-        GroupStateTimeout.NoTimeout)
+        run, f"{key} {kind}, window_no long, total_cents long", "count long, pending long", "append", timeout)
 
 
-def rolling_reduce_stream(df: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
+def rolling_reduce_stream(df: DataFrame, key: str, order: Sequence[str], value: str, idle_ms: int | None = None) -> DataFrame:
     """Running maximum, minimum and sum of a whole-number column, one output per input of a keyed stream."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
@@ -111,9 +134,9 @@ def rolling_reduce_stream(df: DataFrame, key: str, order: Sequence[str], value:
             [key, *order, "highest", "lowest", "total"]]
 
     named = ", ".join(f"{c} {kinds[c]}" for c in (key, *order))
+    run, timeout = _forgetting(step, idle_ms)
     return df.select(key, *order, value).groupBy(key).applyInPandasWithState(
-        step, f"{named}, highest long, lowest long, total long", "highest long, lowest long, total long", "append",
-        GroupStateTimeout.NoTimeout)
+        run, f"{named}, highest long, lowest long, total long", "highest long, lowest long, total long", "append", timeout)
 
 
 def fraud_agent_stream(df: DataFrame, key: str, ts: str, tie: str, place: str, limit: int, seconds: int) -> DataFrame:
@@ -121,7 +144,7 @@ def fraud_agent_stream(df: DataFrame, key: str, ts: str, tie: str, place: str, l
 
     Per key the state holds the current window of ``seconds`` with its count, the last place and when it was seen. A row
     beyond ``limit`` in its window gives ``high_frequency``; one at another place than the row at most ``seconds`` before
-    it ``place_change``. Once the watermark is ``seconds`` past a key's last row its state is dropped. Rows of a key are
+    it ``place_change``, if both places are known. Once the watermark is ``seconds`` past a key's last row its state is dropped. Rows of a key are
     taken in order of time within a micro-batch, and micro-batches must follow each other in time. The stream needs a
     watermark on ``ts``.
     """
@@ -131,13 +154,13 @@ def fraud_agent_stream(df: DataFrame, key: str, ts: str, tie: str, place: str, l
             return
         rows = _in_order(batches, [ts, tie])
         at = rows[ts].to_numpy("datetime64[us]").astype("int64")
-        window, places = at // (seconds * 1_000_000), rows[place].to_numpy()
+        window, places = at // (seconds * 1_000_000), [None if p is None or p != p else p for p in rows[place].tolist()]
         held_window, held_count, held_place, held_at = state.get if state.exists else (-1, 0, None, -2 ** 62)
         number = rows.groupby(window).cumcount().to_numpy() + 1 + (window == held_window) * held_count
         before_place = [held_place, *places[:-1]]
         before_at = [held_at, *at[:-1]]
-        moved = [p is not None and p != q and t - b <= seconds * 1_000_000 for p, q, t, b in zip(before_place, places, at, before_at)]
-        state.update((int(window[-1]), int(number[-1]), str(places[-1]), int(at[-1])))
+        moved = [p is not None and q is not None and p != q and t - b <= seconds * 1_000_000 for p, q, t, b in zip(before_place, places, at, before_at)]
+        state.update((int(window[-1]), int(number[-1]), None if places[-1] is None else str(places[-1]), int(at[-1])))
         state.setTimeoutTimestamp(max(int(at[-1]) // 1000 + seconds * 1000, state.getCurrentWatermarkMs() + 1))
         ids = rows[tie]
         yield pd.concat([pd.DataFrame({tie: ids[flags], "rule": rule}) for flags, rule in (
