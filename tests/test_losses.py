@@ -14,7 +14,8 @@ from tidemill.operators import joins as J
 from tidemill.operators import quality as Q
 from tidemill.operators import timewindows as W
 from tidemill.operators.versioned import VersionedTable
-from tidemill.plans import migrate
+from tidemill.operators.summaries import RetractableSummary as Summary
+from tidemill.plans import migrate, reports, semantic, shop
 from tidemill.streaming import sinks as K
 from tidemill.streaming import stateful as X
 
@@ -173,3 +174,141 @@ def test_gaps_are_filled_per_key(spark):
     got = W.gap_fill(df, "w", "1 day", {"v": 0}, ["k"]).withColumn("d", F.dayofmonth("w"))
     want = [("a", 1, 5), ("a", 2, 0), ("a", 3, 0), ("a", 4, 6), ("b", 2, 7), (None, 1, 8), (None, 2, 0), (None, 3, 9)]
     assert values(got, "k", "d", "v") == sorted(want, key=str)
+
+
+def test_doubled_source_keys_are_refused_or_ordered(spark):
+    """One rule for all merges: a batch has one row per key, unless an order says which one counts."""
+    dim = spark.createDataFrame([(1, "a", day(1), None, True), (2, "b", day(1), None, True)], "k int, v string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    twice = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, "p", 1), (3, "q", 2)], "k int, v string, seq int")
+    order, now = [c("seq").desc()], F.lit(day(5)).cast("timestamp_ntz")
+    versions = I.scd2_apply(dim, twice, "k", ["v"], now, order)
+    assert values(versions.where("is_current"), "k", "v") == [(1, "y"), (2, "b"), (3, "q")]
+    assert versions.where("k = 1").count() == 2
+    target = spark.createDataFrame([(1, "a", False, None), (2, "b", False, None)], "k int, v string, is_deleted boolean, deleted_ts timestamp_ntz")
+    merged = I.merge_soft_delete(target, twice.drop("seq").dropDuplicates(["k"]), "k", now)
+    assert values(merged, "k", "is_deleted") == [(1, False), (2, True), (3, False)]
+    assert values(I.merge_soft_delete(target.withColumn("seq", F.lit(0)), twice, "k", now, order), "k", "v", "is_deleted") == [(1, "y", False), (2, "b", True), (3, "q", False)]
+    old = target.select("k", "v").withColumn("seq", F.lit(0))
+    assert values(I.insert_new_only(old, twice, ["k"], order), "k", "v") == [(1, "a"), (2, "b"), (3, "q")]
+    for refused in (lambda: I.scd2_apply(dim, twice, "k", ["v"], now), lambda: I.merge_soft_delete(target.withColumn("seq", F.lit(0)), twice, "k", now),
+                    lambda: I.insert_new_only(old, twice, ["k"])):
+        with pytest.raises(Exception, match="several source rows for one key"):
+            refused().collect()
+
+
+def test_numbers_survive_as_they_are(spark):
+    """Neither 0.004 nor 1e17 is taken for money unless a scale says so."""
+    df = spark.createDataFrame([("a", 0.004, day(1)), ("a", 0.002, day(1)), ("b", 1e17, day(1))], "p string, v double, t timestamp_ntz")
+    want = {"a": 0.006, "b": 1e17}
+    near = lambda got: {k: pytest.approx(v, rel=1e-12) for k, v in got.items()} == want
+    assert near({r.p: r.total_score for r in N.leaderboard(df, "p", "v", 9).collect()})
+    assert near({r.p: r.total_score for r in N.leaderboard_by_period(df, F.trunc("t", "month"), "p", "v", 9).collect()})
+    assert near({r.p: r.all_time_score for r in N.windowed_leaderboard(df, "t", "1 day", "p", "v", 9).collect()})
+    assert N.player_rank(df, "p", "v", "a").first().place == 2
+    assert near({r.p: r.total for r in W.moving_average(df, "t", 3600, 3600, ["p"], "v").collect()})
+    few = df.where("p = 'a'")
+    assert W.mean_duration_by_hour(few, "t", "t", "v").first().mean_event_time == pytest.approx(0.003)
+    assert reports.taxi_summary(few, "v", "v", "v", "v", c("v"), long_trip=1, high_tip_pct=1).first().mean_distance == pytest.approx(0.003)
+    assert reports.zone_stats(few, "p", "v", "v", min_distance=0, min_fare=0).first().mean_distance == pytest.approx(0.003)
+    calls = df.select(c("p").alias("call"), c("v").alias("delay"), F.lit(1).alias("zip"), c("p").alias("hood"), F.lit("x").alias("city"), "t")
+    report = {(r.question, r.label): r.value for r in reports.fire_calls_report(
+        calls, "call", "delay", "zip", "hood", "city", "t", slow=1, zips=[1], year=2024, in_city="x").collect()}
+    assert report["totals", "low"] == 0.002 and report["totals", "total"] == pytest.approx(1e17) and report["slow_calls", "over 1"] == 1
+    model = {"base": "t", "joins": {}, "dimensions": {"p": ("t", "p")}, "measures": {"s": ("t", "sum", "v")}}
+    assert near({r.p: r.s for r in semantic.semantic_query({"t": df}, model, ["p"], ["s"]).collect()})
+
+
+def test_report_on_an_empty_table(spark):
+    none = spark.createDataFrame([], "call string, delay double, zip int, hood string, city string, t timestamp_ntz")
+    got = {(r.question, r.label): r.value for r in reports.fire_calls_report(
+        none, "call", "delay", "zip", "hood", "city", "t", slow=1, zips=[1], year=2024, in_city="x").collect()}
+    assert got["totals", "calls"] == 0 and got["slow_calls", "over 1"] == 0
+
+
+def test_measures_do_not_fan_out(spark):
+    """An order counts once per group however many lines it has; what might repeat rows undeclared is refused."""
+    lines = spark.createDataFrame([(1, "A", 1.0), (1, "A", 2.0), (1, "B", 3.0), (2, "B", 4.0), (9, "B", 5.0)], "ok int, flag string, price double")
+    orders = spark.createDataFrame([(1, 10, 100.0), (2, 10, 200.0), (3, 11, 400.0)], "k int, cust int, total double")
+    notes = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "nk int, note string")
+    model = {"base": "lines", "joins": {"orders": ("ok = k", "many_to_one"), "notes": ("k = nk", "one_to_many")}, "needs": {"notes": "orders"},
+             "keys": {"orders": ["k"]}, "dimensions": {"flag": ("lines", "flag"), "cust": ("orders", "cust"), "note": ("notes", "note")},
+             "measures": {"total": ("orders", "sum", "total"), "n": ("orders", "count", "k"), "sales": ("lines", "sum", "price"),
+                          "mean": (None, "ratio", ("total", "n")), "most": ("orders", "max", "total")}}
+    tables = {"lines": lines, "orders": orders, "notes": notes}
+    ask = lambda dims, measures, m=model: sorted((tuple(r) for r in semantic.semantic_query(tables, m, dims, measures).collect()), key=str)
+    assert ask(["flag"], ["total", "n", "sales", "mean", "most"]) == [("A", 100.0, 1, 3.0, 100.0, 100.0), ("B", 300.0, 2, 12.0, 150.0, 200.0)]
+    assert ask([], ["total", "sales"]) == [(300.0, 15.0)]
+    assert ask(["cust"], ["total"]) == sorted([(10, 300.0), (None, None)], key=str)
+    assert ask(["note"], ["total"]) == sorted([("x", 100.0), ("y", 100.0), (None, 200.0)], key=str)
+    with pytest.raises(semantic.ModelError, match="no key"):  # notes repeat lines, and lines have no declared key
+        ask(["note"], ["sales"])
+    with pytest.raises(semantic.ModelError, match="no cardinality"):
+        ask(["flag"], ["total"], {**model, "joins": {"orders": "ok = k"}})
+    assert ask(["flag"], ["most"], {**model, "joins": {"orders": "ok = k"}}) == [("A", 100.0), ("B", 200.0)]
+    panels = semantic.semantic_panels(tables, model, ["flag", "cust"], ["sales"])
+    assert values(panels, "panel", "label", "sales") == sorted([("flag", "A", 3.0), ("flag", "B", 12.0), ("cust", "10", 10.0), ("cust", None, 5.0)], key=str)
+    assert values(semantic.semantic_panels(tables, model, ["flag"], ["total"]), "panel", "label", "total") == [("flag", "A", 100.0), ("flag", "B", 300.0)]
+
+
+def test_summary_under_inserts_updates_and_deletes(spark, work):
+    """After every batch the saved summary is the one rebuilt from the rows that are there."""
+    import random
+    rng, rows, s = random.Random(4), {}, Summary(spark, work("s"), ["g"], {"total": c("v").cast("decimal(18,2)")}, ["v", "w"], 2)
+    for batch in range(4):
+        signed = []
+        for _ in range(60):
+            i = rng.randrange(40)
+            if i in rows:
+                signed.append((*rows.pop(i), -1))
+            if rng.random() < (0.7 if batch < 3 else 0.2):
+                rows[i] = (rng.choice(["a", "b", None]), rng.choice([1.5, 2.0, 7.25, None]), rng.choice(["x", "y", None]))
+                signed.append((*rows[i], 1))
+        for _ in range(2):  # a batch applied twice counts once
+            s.apply(spark.createDataFrame(signed, "g string, v double, w string, sign int"), f"b{batch}")
+        want = spark.createDataFrame(list(rows.values()) or [("-", None, None)], "g string, v double, w string").where("g IS NULL OR g != '-'").groupBy("g").agg(
+            F.count("*").alias("n"), F.sum(c("v").cast("decimal(18,2)")).alias("total"), F.min("v").alias("min_v"), F.max("v").alias("max_v"),
+            F.countDistinct("v").alias("distinct_v"), F.min("w").alias("min_w"), F.max("w").alias("max_w"), F.countDistinct("w").alias("distinct_w"))
+        cols = [x for x in want.columns if x != "total"]
+        assert values(s.read(), *cols) == values(want, *cols)
+        money = lambda df: {r.g: float(r.total or 0) for r in df.collect()}
+        assert money(s.read()) == money(want)
+    with pytest.raises(Exception, match="taken away"):
+        s.apply(spark.createDataFrame([("a", 99.0, "q", -1)] * 999, "g string, v double, w string, sign int"), "bad")
+
+
+def test_retracting_stream(spark, work):
+    """After every batch the aggregates equal a recomputation over the current rows; the grouping key may change; old rows are required."""
+    schema = "op string, tombstone boolean, before struct<id:int,s:string,v:double>, after struct<id:int,s:string,v:double>"
+    folder, ckpt, s = work("in"), work("ckpt"), Summary(spark, work("s"), ["s"], {"total": c("v").cast("decimal(18,2)")}, ["v"])
+    r = lambda i, st, v: (i, st, v)
+    batches = [[("c", False, None, r(1, "new", 5.0)), ("r", False, None, r(2, "new", 7.0)), ("c", False, None, r(3, "paid", 7.0))],
+               [("u", False, r(1, "new", 5.0), r(1, "paid", 6.0)), ("d", False, r(3, "paid", 7.0), None), (None, True, None, None)],
+               [("u", False, r(1, "paid", 6.0), r(1, "paid", 9.0)), ("d", False, r(2, "new", 7.0), None)]]
+    want = [[("new", 2, 5.0, 7.0, 2, 12.0), ("paid", 1, 7.0, 7.0, 1, 7.0)], [("new", 1, 7.0, 7.0, 1, 7.0), ("paid", 1, 6.0, 6.0, 1, 6.0)], [("paid", 1, 9.0, 9.0, 1, 9.0)]]
+    for rows, now in zip(batches, want):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        for _ in range(2):  # the second run has nothing new
+            K.retract_stream(spark.readStream.schema(schema).parquet(folder), s, ["s", "v"], ckpt)
+        assert sorted((x.s, x.n, x.min_v, x.max_v, x.distinct_v, float(x.total)) for x in s.read().collect()) == now
+    spark.createDataFrame([("d", False, None, None)], schema).write.mode("append").parquet(folder)
+    with pytest.raises(Exception, match="without its old row"):
+        K.retract_stream(spark.readStream.schema(schema).parquet(folder), s, ["s", "v"], ckpt)
+
+
+def test_dashboard_over_any_range(spark, work):
+    """Customers are exact when the range starts and ends within days, at midnight, or lies in one day."""
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i * 37), f"c{i % 7}", "x" if i % 3 else "y", "paid", 1.0 + i % 11) for i in range(250)]
+    orders = spark.createDataFrame(rows, "id long, ts timestamp_ntz, customer string, category string, status string, amount double")
+    path = work("dash")
+    shop.save_dashboard_tables(orders, path)
+    for as_of, back in (("2024-01-06 00:00:00", 3 * 86400), ("2024-01-05 13:07:00", 2 * 86400 + 3600), ("2024-01-03 20:00:00", 7200), ("2024-01-04 05:00:00", 30000)):
+        end = dt.datetime.fromisoformat(as_of)
+        inside = [x for x in rows if end - dt.timedelta(seconds=back) <= x[1] < end]
+        got = shop.revenue_dashboard(orders, path, as_of, back).collect()
+        pick = lambda q: {x.label: x.value for x in got if x.question == q}
+        spent = {}
+        for x in inside:
+            spent[x[2]] = spent.get(x[2], 0) + x[5]
+        assert pick("top_customers") == spent
+        assert pick("total")["orders"] == len(inside) and pick("total")["revenue"] == sum(spent.values())
+        assert sum(pick("category").values()) == sum(spent.values()) and sum(pick("orders_per_minute").values()) == len(inside)

@@ -1,5 +1,8 @@
 """Every query with an SQL twin must give the twin's rows, types included."""
 
+import subprocess
+import sys
+
 import check
 import pytest
 from conftest import TESTDATA
@@ -21,10 +24,22 @@ def test_query(spark, duck, name):
     if sql is None:
         assert result.startswith("rows-only") and not result.endswith(" 0")
     else:
-        assert result.startswith("ok") and "EMPTY" not in result, result
+        assert result.startswith("ok") and "EMPTY" not in result and "TYPES" not in result, result
 
 
 def test_entry(spark):
     import __spark_entry__ as entry
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("hidden", [["tidemill.llm", "corpus_pipeline"], ["tidemill.llm"], ["corpus_pipeline"]])
+def test_entry_without_the_training_data_package(hidden):
+    """The entry imports, and has all of the library's queries, when the package or its pipeline is left out."""
+    code = ("import sys\nfor name in %r: sys.modules[name] = None\nimport __spark_entry__ as e\nfrom tidemill import bindings\n"
+            "assert set(bindings.QUERIES) <= set(e.queries()) and 'pipeline' not in e.queries()\n"
+            "assert any(q.startswith('op1_') for q in e.queries()) == ('tidemill.llm' not in sys.argv[1:])" % hidden)
+    if "tidemill.llm" not in hidden and not (check.Path(__file__).parents[1] / "tidemill" / "llm" / "queries.py").exists():
+        pytest.skip("the package is left out")
+    done = subprocess.run([sys.executable, "-c", code, *hidden], cwd=check.Path(__file__).parents[1], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr

@@ -405,7 +405,7 @@ def test_lag_levels(spark):
 
 def test_semantic_joins_only_what_is_used(spark):
     a, b = spark.createDataFrame([(1, 2.0)], "k int, v double"), spark.createDataFrame([(1, "x")], "k2 int, n string")
-    model = {"base": "a", "joins": {"b": "k = k2"}, "dimensions": {"name": ("b", "n"), "key": ("a", "k")}, "measures": {"sum": ("a", "sum", "v")}}
+    model = {"base": "a", "joins": {"b": ("k = k2", "many_to_one")}, "dimensions": {"name": ("b", "n"), "key": ("a", "k")}, "measures": {"sum": ("a", "sum", "v")}}
     plan = SM.semantic_query({"a": a, "b": b}, model, ["key"], ["sum"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
     assert SM.semantic_query({"a": a, "b": b}, model, ["name"], ["sum"]).first().sum == 2.0
@@ -428,5 +428,5 @@ def test_topk_keeps_duplicates_only_when_asked(spark):
 def test_money_sum_is_exact(spark):
     from tidemill.functions.exact import exact_sum
     df = spark.createDataFrame([(0.1,)] * 10, "v double")
-    assert df.agg(exact_sum("v")).first()[0] == 1.0
+    assert df.agg(exact_sum("v", 2)).first()[0] == 1.0
     assert df.select(S.to_money(F.lit(1.005))).first()[0] == Decimal("1.01")

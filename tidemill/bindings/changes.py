@@ -14,6 +14,7 @@ from tidemill.bindings.sqltext import dsum
 from tidemill.functions.exact import exact_sum
 from tidemill.operators import cdc as C
 from tidemill.operators import ordered as O
+from tidemill.operators.summaries import RetractableSummary
 from tidemill.operators.versioned import VersionedTable
 from tidemill.streaming import sinks as K
 
@@ -156,7 +157,7 @@ BY_STATUS = LOG + f"SELECT status, COUNT(*) AS n, {dsum('total')} AS revenue FRO
 def _(t):
     orders = parsed(t).where(c("key").startswith("orders:"))
     live = C.apply_changelog(orders, "key", ["position"], ["status", "total"])
-    return live.groupBy("status").agg(F.count("*").alias("n"), exact_sum("total").alias("revenue"))
+    return live.groupBy("status").agg(F.count("*").alias("n"), exact_sum("total", 2).alias("revenue"))
 
 
 @query("cdc_07_cdc_aggregate_deltas", BY_STATUS)
@@ -167,6 +168,18 @@ def _(t):
         c("total").cast("decimal(18,2)") * c("sign")).cast("double").alias("revenue")).where("n > 0")
 
 
+@query("cdc_07_cdc_aggregate_stream", BY_STATUS.replace("COUNT(*) AS n,", "COUNT(*) AS n, MIN(total) AS min_total, MAX(total) AS max_total,"))
+def _(t):
+    """The log arrives in three parts; each is taken in once, updates that change the status included."""
+    folder, ckpt = t.scratch("log"), t.scratch("ckpt")
+    log = parsed(t).where(c("key").startswith("orders:"))
+    summary = RetractableSummary(t.spark, t.scratch("by_status"), ["status"], {"revenue": c("total").cast("decimal(18,2)")}, ["total"], 2)
+    for low, high in ((0, 0), (1, 1), (2, 3)):
+        log.where(c("position").between(low, high)).write.mode("append").parquet(folder)
+        K.retract_stream(t.spark.readStream.schema(log.schema).parquet(folder), summary, ["status", "total"], ckpt)
+    return summary.read().select("status", "n", "min_total", "max_total", c("revenue").cast("double").alias("revenue"))
+
+
 @query("cdc_08_validate_dead_letter", """
 SELECT event_id, CASE event_type WHEN 'click' THEN 'no_operation' WHEN 'signup' THEN 'unknown_operation:x'
   WHEN 'error' THEN CASE WHEN value < 30 THEN 'not_json' ELSE 'no_before_row:d' END

@@ -222,4 +222,4 @@ def _(t):
     path = t.scratch("external")
     t.supplier.write.parquet(path)
     return K.external_table(t.spark, "tm_supplier_ext", path).groupBy("s_nationkey").agg(
-        F.count("*").alias("n"), exact_sum("s_acctbal").alias("balance"))
+        F.count("*").alias("n"), exact_sum("s_acctbal", 2).alias("balance"))

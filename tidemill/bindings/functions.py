@@ -255,7 +255,7 @@ WITH n AS (SELECT user_id, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2)))
 SELECT user_id, LEAST(0.5::DOUBLE + (n - 5) * 0.1::DOUBLE, 1.0::DOUBLE) AS by_count, LEAST(top / 10000.0::DOUBLE, 1.0::DOUBLE) AS by_value,
        LEAST(0.6::DOUBLE + (total - 1000.0::DOUBLE) / 25000.0::DOUBLE, 1.0::DOUBLE) AS by_total FROM n""")
 def _(t):
-    per = t.events.groupBy("user_id").agg(F.count("*").alias("n"), exact_sum("value").alias("total"), F.max("value").alias("top"))
+    per = t.events.groupBy("user_id").agg(F.count("*").alias("n"), exact_sum("value", 2).alias("total"), F.max("value").alias("top"))
     return per.select("user_id", S.risk_frequency(c("n")).alias("by_count"), S.risk_value(c("top")).alias("by_value"),
                       S.risk_velocity(c("total"), threshold=1000.0).alias("by_total"))
 

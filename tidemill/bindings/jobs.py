@@ -12,7 +12,6 @@ from tidemill.bindings.sqltext import DEC2, davg, dsum
 from tidemill.functions import scalar as S
 from tidemill.functions.exact import exact_sum
 from tidemill.operators import aggregates as A
-from tidemill.operators.relational import union_all
 from tidemill.plans import broker as B
 from tidemill.plans import experiment as E
 from tidemill.plans import fraud as FR
@@ -62,7 +61,7 @@ def _(t):
     calls = t.events.join(t.customer, c("user_id") == c("c_custkey")).select(
         c("event_type").alias("call"), c("value").alias("delay"), F.get_json_object("props", "$.k").cast("int").alias("zip"),
         c("user_id").alias("hood"), c("c_mktsegment").alias("city"), "ts")
-    return R.fire_calls_report(calls, "call", "delay", "zip", "hood", "city", "ts", slow=100, zips=[7, 42], year=2024, in_city="BUILDING")
+    return R.fire_calls_report(calls, "call", "delay", "zip", "hood", "city", "ts", slow=100, zips=[7, 42], year=2024, in_city="BUILDING", scale=2)
 
 
 @query("dom_03_location_summary", """
@@ -106,14 +105,14 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def _(t):
     trips = t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey"))
     return R.taxi_summary(trips, "l_extendedprice", "l_quantity", "l_tax", "l_linenumber",
-                          S.duration_minutes(c("o_orderdate"), c("l_shipdate")), long_trip=45, high_tip_pct=0.0005)
+                          S.duration_minutes(c("o_orderdate"), c("l_shipdate")), long_trip=45, high_tip_pct=0.0005, scale=2)
 
 
 @query("dom_06_zone_stats", f"""
 SELECT l_partkey, {davg('l_quantity')} AS mean_distance, {davg('l_extendedprice')} AS mean_fare, COUNT(*) AS trips FROM lineitem
 WHERE l_quantity > 10 AND l_extendedprice > 50000 GROUP BY 1""")
 def _(t):
-    return R.zone_stats(t.lineitem, "l_partkey", "l_quantity", "l_extendedprice", min_distance=10, min_fare=50000)
+    return R.zone_stats(t.lineitem, "l_partkey", "l_quantity", "l_extendedprice", min_distance=10, min_fare=50000, scale=2)
 
 
 # ---- fraud
@@ -180,11 +179,12 @@ def _(t):
 # ---- dashboard, alerts
 
 SHOP = """s AS (SELECT ts, event_id AS id, user_id AS customer, c_mktsegment AS category, CASE WHEN value < 10 THEN 'cancelled' ELSE 'paid' END AS status,
- value AS amount FROM events JOIN customer ON user_id = c_custkey WHERE event_type IN ('purchase', 'click'))"""
+ value AS amount FROM events JOIN customer ON user_id = c_custkey)"""
 
 
 def _shop(t):
-    return t.events.where("event_type IN ('purchase', 'click')").join(t.customer, c("user_id") == c("c_custkey")).select(
+    """Every event of a known customer is an order: the tables have no other shop orders with a time of day."""
+    return t.events.join(t.customer, c("user_id") == c("c_custkey")).select(
         "ts", c("event_id").alias("id"), c("user_id").alias("customer"), c("c_mktsegment").alias("category"),
         F.when(c("value") < 10, "cancelled").otherwise("paid").alias("status"), c("value").alias("amount"))
 
@@ -224,7 +224,7 @@ def _(t):
 
 @query("dom_09_low_stock", f"SELECT l_partkey, {dsum('l_quantity')} AS stock FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING SUM({DEC2('l_quantity')}) < 100")
 def _(t):
-    stock = t.lineitem.where("l_returnflag = 'R'").groupBy("l_partkey").agg(exact_sum("l_quantity").alias("stock"))
+    stock = t.lineitem.where("l_returnflag = 'R'").groupBy("l_partkey").agg(exact_sum("l_quantity", 2).alias("stock"))
     return P.low_stock(stock, "l_partkey", "stock", 100)
 
 
@@ -376,18 +376,22 @@ def _(t):
 
 MODEL = {
     "base": "lineitem",
-    "joins": {"orders": "l_orderkey = o_orderkey", "part": "l_partkey = p_partkey", "customer": "o_custkey = c_custkey",
-              "nation": "c_nationkey = n_nationkey", "region": "n_regionkey = r_regionkey"},
+    "joins": {"orders": ("l_orderkey = o_orderkey", "many_to_one"), "part": ("l_partkey = p_partkey", "many_to_one"),
+              "customer": ("o_custkey = c_custkey", "many_to_one"), "nation": ("c_nationkey = n_nationkey", "many_to_one"),
+              "region": ("n_regionkey = r_regionkey", "many_to_one")},
+    "keys": {"orders": ["o_orderkey"], "customer": ["c_custkey"]},
     "needs": {"customer": "orders", "nation": "customer", "region": "nation"},
     "dimensions": {"status": ("orders", "o_orderstatus"), "segment": ("customer", "c_mktsegment"), "state": ("nation", "n_name"),
                    "region": ("region", "r_name"), "category": ("part", "p_type"), "manager": ("region", "concat('Manager of ', r_name)"),
-                   "priority": ("orders", "o_orderpriority")},
+                   "priority": ("orders", "o_orderpriority"), "returnflag": ("lineitem", "l_returnflag")},
     "date_groups": {"ordered": ("orders", "o_orderdate")},
     "measures": {
-        "sales": ("lineitem", "sum", "l_extendedprice"), "profit": ("lineitem", "sum", "cast(l_extendedprice as decimal(12,2)) * cast(0.5 - l_discount as decimal(4,2))"),
+        "sales": ("lineitem", "sum_money", "l_extendedprice"), "profit": ("lineitem", "sum_money", "cast(l_extendedprice as decimal(12,2)) * cast(0.5 - l_discount as decimal(4,2))"),
         "lines": ("lineitem", "count", "l_linenumber"), "orders": ("orders", "count_distinct", "o_orderkey"),
         "returned_orders": ("lineitem", "count_distinct", "case when l_returnflag = 'R' then l_orderkey end"),
-        "customers": ("orders", "count_distinct", "o_custkey"),
+        "customers": ("orders", "count_distinct", "o_custkey"), "order_value": ("orders", "sum_money", "o_totalprice"),
+        "order_rows": ("orders", "count", "o_orderkey"), "balance": ("customer", "sum_money", "c_acctbal"),
+        "value_per_order": (None, "ratio", ("order_value", "order_rows")),
         "profit_ratio": (None, "ratio", ("profit", "sales")), "returned_ratio": (None, "ratio", ("returned_orders", "orders"))},
     "parameters": {"profit_or_sales": {"profit": "profit", "sales": "sales"}},
 }
@@ -407,6 +411,17 @@ def _(t):
                              {"status": ["F", "O"]}, {"profit_or_sales": "profit"})
 
 
+@query("dom_18_semantic_fanout", f"""
+WITH j AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+l AS (SELECT l_returnflag AS returnflag, c_mktsegment AS segment, {dsum('l_extendedprice')} AS sales, COUNT(l_linenumber) AS lines FROM j GROUP BY 1, 2),
+o AS (SELECT l_returnflag AS returnflag, c_mktsegment AS segment, {dsum('o_totalprice')} AS order_value, COUNT(*) AS order_rows
+ FROM (SELECT DISTINCT l_returnflag, c_mktsegment, o_orderkey, o_totalprice FROM j) GROUP BY 1, 2),
+k AS (SELECT l_returnflag AS returnflag, c_mktsegment AS segment, {dsum('c_acctbal')} AS balance FROM (SELECT DISTINCT l_returnflag, c_mktsegment, c_custkey, c_acctbal FROM j) GROUP BY 1, 2)
+SELECT returnflag, segment, sales, lines, order_value, order_rows, balance, order_value / order_rows AS value_per_order FROM l JOIN o USING (returnflag, segment) JOIN k USING (returnflag, segment)""")
+def _(t):
+    return SM.semantic_query(_views(t), MODEL, ["returnflag", "segment"], ["sales", "lines", "order_value", "order_rows", "balance", "value_per_order"])
+
+
 KPIS = ["returned_ratio", "sales", "profit", "customers", "profit_ratio", "orders"]
 
 
@@ -423,8 +438,7 @@ def _(t):
     filters = {"segment": ["BUILDING", "MACHINERY", "HOUSEHOLD"], "category": ["ECONOMY", "STANDARD", "SMALL", "MEDIUM", "LARGE"], "status": ["F", "O"],
                "ordered_year": (dt.date(1996, 1, 1), dt.date(1999, 1, 1)), "region": ["AFRICA", "AMERICA", "EUROPE", "MIDDLE EAST"]}
     panels = SM.semantic_panels(_views(t), MODEL, ["ordered_month", "state", "region", "manager"], KPIS, filters)
-    return union_all(*[one.select(F.lit(dim.removeprefix("ordered_")).alias("panel"), c(dim).cast("string").alias("label"), *KPIS)
-                       for dim, one in panels.items()])
+    return panels.withColumn("panel", F.regexp_replace("panel", "^ordered_", ""))
 
 
 # ---- further reports

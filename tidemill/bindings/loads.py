@@ -13,6 +13,7 @@ from tidemill.functions.exact import exact_sum
 from tidemill.operators import incremental as N
 from tidemill.operators import joins as J
 from tidemill.operators import ordered as O
+from tidemill.operators.summaries import RetractableSummary
 from tidemill.operators.versioned import VersionedTable
 from tidemill.plans import warehouse as H
 from tidemill.sinks import files as K
@@ -131,7 +132,7 @@ u AS (SELECT 'append' AS strategy, * FROM b UNION ALL SELECT 'append', * FROM d
 SELECT strategy, st AS o_orderstatus, COUNT(*) AS n, {dsum('p')} AS total FROM u GROUP BY 1, 2""")
 def _(t):
     parts = [N.apply_strategy(s, _base(t), _delta(t), ["o_orderkey"]).groupBy("o_orderstatus").agg(
-        F.count("*").alias("n"), exact_sum("o_totalprice").alias("total")).withColumn("strategy", F.lit(s)) for s in N.STRATEGIES]
+        F.count("*").alias("n"), exact_sum("o_totalprice", 2).alias("total")).withColumn("strategy", F.lit(s)) for s in N.STRATEGIES]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -311,7 +312,7 @@ def _(t):
     for name in dims:
         fact = fact.join(star[name], f"{name}_key")
     return fact.groupBy("p_brand", "c_mktsegment", "n_name", "l_returnflag").agg(
-        F.count("*").alias("n"), exact_sum("l_extendedprice").alias("sales"))
+        F.count("*").alias("n"), exact_sum("l_extendedprice", 2).alias("sales"))
 
 
 @query("inc_21_calendar_dim", """
@@ -337,6 +338,29 @@ def _(t):
     return table.read().withColumn("amount", c("amount").cast("double"))
 
 
+def _signed(df, sign):
+    return df.withColumn("sign", F.lit(sign))
+
+
+@query("inc_22_summary_with_deletes", f"""
+WITH o AS (SELECT CASE WHEN o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1999-01-01' THEN o_custkey % 10 ELSE o_custkey END AS o_custkey, o_orderstatus,
+ CASE WHEN o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1999-01-01' THEN o_totalprice + 100 ELSE o_totalprice END AS price FROM orders WHERE o_orderpriority != '5-LOW')
+SELECT o_custkey, COUNT(*) AS n, {dsum('price')} AS amount, MIN(price) AS min_price, MAX(price) AS max_price, COUNT(DISTINCT price) AS distinct_price,
+ COUNT(DISTINCT o_orderstatus) AS distinct_o_orderstatus FROM o GROUP BY 1""")
+def _(t):
+    """Orders come in two batches; the second also moves urgent ones to other customers at other prices, the third deletes the low ones."""
+    rows = t.orders.select("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", c("o_totalprice").alias("price"))
+    early, urgent = rows.where(c("o_orderdate") < ntz(Y1999)), c("o_orderpriority") == "1-URGENT"
+    moved = early.where(urgent).withColumn("o_custkey", c("o_custkey") % 10).withColumn("price", c("price") + 100)
+    low = rows.where("o_orderpriority = '5-LOW'")
+    summary = RetractableSummary(t.spark, t.scratch("summary"), ["o_custkey"], {"amount": c("price").cast("decimal(18,2)")}, ["price", "o_orderstatus"], 2)
+    summary.apply(_signed(early, 1), "b1")
+    for _ in range(2):  # the second time changes nothing
+        summary.apply(_signed(rows.where(c("o_orderdate") >= ntz(Y1999)), 1).unionByName(_signed(early.where(urgent), -1)).unionByName(_signed(moved, 1)), "b2")
+    summary.apply(_signed(low, -1), "b3")
+    return summary.read().select("o_custkey", "n", c("amount").cast("double").alias("amount"), "min_price", "max_price", "distinct_price", "distinct_o_orderstatus")
+
+
 @query("inc_23_run_incremental", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def _(t):
     table, log = VersionedTable(t.spark, t.scratch("orders_copy"), ["o_orderkey"]), N.WatermarkLog(t.spark, t.scratch("marks"))

@@ -163,7 +163,7 @@ def _(t):
         (t.orders.select("o_orderkey", "o_custkey"), c("l_orderkey") == c("o_orderkey")),
         (t.customer.select("c_custkey", "c_mktsegment"), c("o_custkey") == c("c_custkey"))])
     return A.group_agg(wide, ["p_brand", "c_mktsegment", "s_nationkey"],
-                       n=F.count("*"), revenue=exact_sum("l_extendedprice"))
+                       n=F.count("*"), revenue=exact_sum("l_extendedprice", 2))
 
 
 @query("jon_04_join_cast_key", """
@@ -268,7 +268,7 @@ def _(t):
     cal = J.calendar_over(t.orders, "o_orderdate")
     joined = J.left_join(t.orders.withColumn("on_day", c("o_orderdate").cast("date")), cal, c("on_day") == c("day"))
     return A.group_agg(joined, ["year", "quarter"], orders=F.count("o_orderkey"), days=F.countDistinct("day"),
-                       amount=exact_sum("o_totalprice"))
+                       amount=exact_sum("o_totalprice", 2))
 
 
 @query("jon_14_join_then_window", f"""
@@ -278,7 +278,7 @@ def _(t):
     joined = t.events.where("event_type = 'purchase'").join(
         t.customer.select("c_custkey", "c_mktsegment"), c("user_id") == c("c_custkey"))
     return (joined.groupBy(F.window("ts", "1 day").alias("w"), "c_mktsegment")
-            .agg(F.count("*").alias("n"), exact_sum("value").alias("revenue"))
+            .agg(F.count("*").alias("n"), exact_sum("value", 2).alias("revenue"))
             .select(c("w.start").alias("window_start"), "c_mktsegment", "n", "revenue"))
 
 
@@ -288,7 +288,7 @@ def _(t):
 SELECT COUNT(*) AS n, {dsum('o_totalprice')} AS total, {davg('o_totalprice')} AS mean, MIN(o_totalprice) AS lowest,
        MAX(o_totalprice) AS highest FROM orders""")
 def _(t):
-    return A.global_agg(t.orders, n=F.count("*"), total=exact_sum("o_totalprice"), mean=exact_avg("o_totalprice"),
+    return A.global_agg(t.orders, n=F.count("*"), total=exact_sum("o_totalprice", 2), mean=exact_avg("o_totalprice", 2),
                         lowest=F.min("o_totalprice"), highest=F.max("o_totalprice"))
 
 
@@ -297,7 +297,7 @@ SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n, {dsum('o_totalprice')} AS
        MIN(o_totalprice) AS lowest, MAX(o_totalprice) AS highest FROM orders GROUP BY 1, 2""")
 def _(t):
     return A.group_agg(t.orders, ["o_orderstatus", "o_orderpriority"], n=F.count("*"),
-                       total=exact_sum("o_totalprice"), mean=exact_avg("o_totalprice"),
+                       total=exact_sum("o_totalprice", 2), mean=exact_avg("o_totalprice", 2),
                        lowest=F.min("o_totalprice"), highest=F.max("o_totalprice"))
 
 
@@ -355,7 +355,7 @@ SELECT user_id, w AS window_start, COUNT(*) AS n, {dsum('value')} AS total FROM
 GROUP BY 1, 2 HAVING COUNT(*) >= 3""")
 def _(t):
     hop = t.events.groupBy("user_id", F.window("ts", "2 hours", "1 hour").alias("w")).agg(
-        F.count("*").alias("n"), exact_sum("value").alias("total"))
+        F.count("*").alias("n"), exact_sum("value", 2).alias("total"))
     return hop.where("n >= 3").select("user_id", c("w.start").alias("window_start"), "n", "total")
 
 
@@ -462,8 +462,8 @@ SELECT p_type, p_brand, COUNT(*) AS n, {dsum('l_quantity')} AS units, {dsum('l_e
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""")
 def _(t):
     joined = t.lineitem.join(t.part, c("l_partkey") == c("p_partkey"))
-    return A.group_agg(joined, ["p_type", "p_brand"], n=F.count("*"), units=exact_sum("l_quantity"),
-                       revenue=exact_sum("l_extendedprice"))
+    return A.group_agg(joined, ["p_type", "p_brand"], n=F.count("*"), units=exact_sum("l_quantity", 2),
+                       revenue=exact_sum("l_extendedprice", 2))
 
 
 @query("agg_22_mode_by_group", """

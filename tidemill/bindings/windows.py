@@ -19,7 +19,7 @@ c = F.col
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
        COUNT(*) AS n, {dsum('value')} AS total, MAX(value) AS highest FROM events GROUP BY 1, 2, 3""")
 def _(t):
-    return W.tumbling(t.events, "ts", "1 hour", ["event_type"], n=F.count("*"), total=exact_sum("value"),
+    return W.tumbling(t.events, "ts", "1 hour", ["event_type"], n=F.count("*"), total=exact_sum("value", 2),
                       highest=F.max("value"))
 
 
@@ -27,7 +27,7 @@ def _(t):
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
        COUNT(*) AS n, {dsum('value')} AS total FROM events GROUP BY 1, 2""")
 def _(t):
-    return W.tumbling(t.events, "ts", "5 minutes", n=F.count("*"), total=exact_sum("value"))
+    return W.tumbling(t.events, "ts", "5 minutes", n=F.count("*"), total=exact_sum("value", 2))
 
 
 @query("win_02_hopping", f"""
@@ -35,7 +35,7 @@ SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, event_type, C
 (SELECT *, time_bucket(INTERVAL 2 HOUR, ts) - i * INTERVAL 2 HOUR AS window_start FROM events, range(3) r(i))
 GROUP BY 1, 2, 3""")
 def _(t):
-    return W.hopping(t.events, "ts", "6 hours", "2 hours", ["event_type"], n=F.count("*"), total=exact_sum("value"))
+    return W.hopping(t.events, "ts", "6 hours", "2 hours", ["event_type"], n=F.count("*"), total=exact_sum("value", 2))
 
 
 SESSIONS = """
@@ -65,7 +65,7 @@ def _(t):
 SELECT window_start, event_type, {dsum('value')} AS total, COUNT(value) AS n, {davg('value')} AS mean FROM
 (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) - i * INTERVAL 1 HOUR AS window_start FROM events, range(5) r(i)) GROUP BY 1, 2""")
 def _(t):
-    return W.moving_average(t.events, "ts", 5 * 3600, 3600, ["event_type"], "value")
+    return W.moving_average(t.events, "ts", 5 * 3600, 3600, ["event_type"], "value", 2)
 
 
 @query("win_05_window_lookup", f"""
@@ -73,7 +73,7 @@ SELECT date_trunc('day', ts) AS window_start, user_id, COUNT(*) AS n, {dsum('val
 WHERE user_id = 7 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1, 2""")
 def _(t):
     path = t.scratch("windows")
-    W.tumbling(t.events, "ts", "1 day", ["user_id"], n=F.count("*"), total=exact_sum("value")).write.parquet(path)
+    W.tumbling(t.events, "ts", "1 day", ["user_id"], n=F.count("*"), total=exact_sum("value", 2)).write.parquet(path)
     mv = t.spark.read.parquet(path)
     return W.window_lookup(mv, "user_id", 7, F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"),
                            F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")).drop("window_end")
@@ -85,7 +85,7 @@ SELECT user_id, CAST((rn - 1) // 10 AS BIGINT) AS window_no, MIN(ts) AS first_ts
 GROUP BY 1, 2 HAVING COUNT(*) = 10""")
 def _(t):
     return W.count_window(t.events, ["user_id"], ["ts", "event_id"], 10, first_ts=F.min("ts"), last_ts=F.max("ts"),
-                          total=exact_sum("value"))
+                          total=exact_sum("value", 2))
 
 
 @query("win_07_window_distinct", """
@@ -120,7 +120,7 @@ WITH h AS (SELECT date_trunc('minute', ts) AS window_start, COUNT(*) AS n, {dsum
 s AS (SELECT unnest(generate_series((SELECT MIN(window_start) FROM h), (SELECT MAX(window_start) FROM h), INTERVAL 1 MINUTE)) AS window_start)
 SELECT window_start, COALESCE(n, 0) AS n, COALESCE(total, 0) AS total FROM s LEFT JOIN h USING (window_start)""")
 def _(t):
-    minutes = W.tumbling(t.events, "ts", "1 minute", n=F.count("*"), total=exact_sum("value")).drop("window_end")
+    minutes = W.tumbling(t.events, "ts", "1 minute", n=F.count("*"), total=exact_sum("value", 2)).drop("window_end")
     return W.gap_fill(minutes, "window_start", "1 minute", {"n": 0, "total": 0.0})
 
 
@@ -141,7 +141,7 @@ WITH e AS (SELECT date_trunc('hour', ts) AS hour, {davg('value')} AS mean_event_
 a AS (SELECT date_trunc('hour', {ARRIVAL}) AS hour, {davg('value')} AS mean_arrival_time FROM events GROUP BY 1)
 SELECT hour, mean_event_time, mean_arrival_time FROM e FULL JOIN a USING (hour)""")
 def _(t):
-    return W.mean_duration_by_hour(with_arrival(t.events), "ts", "arrival", "value")
+    return W.mean_duration_by_hour(with_arrival(t.events), "ts", "arrival", "value", 2)
 
 
 # ---- analytic
@@ -179,14 +179,14 @@ TOTALS = f"(SELECT user_id, {dsum('value')} AS total_score FROM events GROUP BY
 SELECT user_id, total_score, CAST(ROW_NUMBER() OVER (ORDER BY total_score DESC, user_id) AS INTEGER) AS place FROM {TOTALS}
 ORDER BY place LIMIT 100""")
 def _(t):
-    return N.leaderboard(t.events, "user_id", "value", 100)
+    return N.leaderboard(t.events, "user_id", "value", 100, 2)
 
 
 @query("ana_04_player_rank", f"""
 SELECT 7::INTEGER AS user_id, COUNT(*) FILTER (total_score > (SELECT total_score FROM {TOTALS} WHERE user_id = 7)) + 1 AS place,
        COUNT(*) AS players FROM {TOTALS}""")
 def _(t):
-    return N.player_rank(t.events, "user_id", "value", 7)
+    return N.player_rank(t.events, "user_id", "value", 7, 2)
 
 
 @query("ana_05_leaderboard_by_period", f"""
@@ -194,7 +194,7 @@ WITH p AS (SELECT date_trunc('week', ts)::DATE AS period, user_id, {dsum('value'
 SELECT period, user_id, total_score, CAST(place AS INTEGER) AS place FROM
 (SELECT *, ROW_NUMBER() OVER (PARTITION BY period ORDER BY total_score DESC, user_id) AS place FROM p) WHERE place <= 10""")
 def _(t):
-    return N.leaderboard_by_period(t.events, F.trunc("ts", "week"), "user_id", "value", 10)
+    return N.leaderboard_by_period(t.events, F.trunc("ts", "week"), "user_id", "value", 10, 2)
 
 
 @query("ana_06_rolling_sum_range", f"""
@@ -213,7 +213,7 @@ r AS (SELECT *, SUM(CASE WHEN before = slot - INTERVAL 30 MINUTE THEN 0 ELSE 1 E
 SELECT event_type, MIN(slot) AS run_start, MAX(slot) AS run_end, COUNT(*) AS periods FROM r
 GROUP BY event_type, run HAVING COUNT(*) >= 2""")
 def _(t):
-    slots = A.group_agg(t.events, ["event_type", F.window("ts", "30 minutes")["start"].alias("slot")], mean_value=exact_avg("value"))
+    slots = A.group_agg(t.events, ["event_type", F.window("ts", "30 minutes")["start"].alias("slot")], mean_value=exact_avg("value", 2))
     return N.consecutive_condition(slots, ["event_type"], "slot", c("mean_value") < 45, 2, 1800)
 
 
@@ -225,7 +225,7 @@ SELECT period, CAST(a AS DOUBLE) AS amount, n, CAST(SUM(a) OVER (ORDER BY period
 def _(t):
     out = A.running_global(t.orders, c("o_orderdate").cast("date"), amount=F.sum(c("o_totalprice").cast("decimal(18,2)")),
                            n=F.count("*"))
-    whole = t.orders.agg(exact_sum("o_totalprice").alias("whole")).scalar()
+    whole = t.orders.agg(exact_sum("o_totalprice", 2).alias("whole")).scalar()
     return out.select(
         "period", c("amount").cast("double").alias("amount"), "n", c("running_amount").cast("double").alias("running_amount"),
         "running_n", (c("amount").cast("double") / whole).alias("share"))
@@ -246,4 +246,4 @@ SELECT window_start, user_id, window_score, CAST(place AS INTEGER) AS place, tot
 (SELECT *, ROW_NUMBER() OVER (PARTITION BY window_start ORDER BY window_score DESC, user_id) AS place FROM p)
 JOIN {TOTALS} USING (user_id) WHERE place <= 5""")
 def _(t):
-    return N.windowed_leaderboard(t.events, "ts", "1 day", "user_id", "value", 5)
+    return N.windowed_leaderboard(t.events, "ts", "1 day", "user_id", "value", 5, 2)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.exact import exact_sum
+from tidemill.functions.exact import total
 from tidemill.operators import ordered as O
 from tidemill.operators.relational import top_n_per_group
 
@@ -38,25 +38,25 @@ def daily_allocation(df: DataFrame, key: str, ts: str, tie: str, group: str) ->
             .select(key, F.explode(F.expr("sequence(day, _until, interval 1 day)")).alias("day"), group))
 
 
-def leaderboard(df: DataFrame, player: str, score: str, k: int) -> DataFrame:
-    """Top k players by total score. Only k rows reach the numbering step."""
-    totals = df.groupBy(player).agg(exact_sum(score).alias("total_score"))
+def leaderboard(df: DataFrame, player: str, score: str, k: int, scale: int | None = None) -> DataFrame:
+    """Top k players by total score (of ``scale`` digits if it is money). Only k rows reach the numbering step."""
+    totals = df.groupBy(player).agg(total(score, scale).alias("total_score"))
     best = totals.orderBy(F.col("total_score").desc(), F.col(player)).limit(k)
     w = Window.orderBy(F.col("total_score").desc(), F.col(player))
     return best.withColumn("place", F.row_number().over(w))
 
 
-def player_rank(df: DataFrame, player: str, score: str, who) -> DataFrame:
+def player_rank(df: DataFrame, player: str, score: str, who, scale: int | None = None) -> DataFrame:
     """Rank of one player: one more than the number of players with a higher total; NULL for a stranger."""
-    totals = df.groupBy(player).agg(exact_sum(score).alias("total_score"))
-    own = df.where(F.col(player) == who).agg(exact_sum(score).alias("own")).scalar()
+    totals = df.groupBy(player).agg(total(score, scale).alias("total_score"))
+    own = df.where(F.col(player) == who).agg(total(score, scale).alias("own")).scalar()
     counted = totals.withColumn("own", own).agg(
         F.max("own").alias("own"), F.count_if(F.col("total_score") > F.col("own")).alias("above"), F.count("*").alias("players"))
     return counted.select(F.lit(who).alias(player), F.when(F.col("own").isNotNull(), F.col("above") + 1).alias("place"), "players")
 
 
-def leaderboard_by_period(df: DataFrame, period: Column, player: str, score: str, k: int) -> DataFrame:
-    totals = df.groupBy(period.alias("period"), player).agg(exact_sum(score).alias("total_score"))
+def leaderboard_by_period(df: DataFrame, period: Column, player: str, score: str, k: int, scale: int | None = None) -> DataFrame:
+    totals = df.groupBy(period.alias("period"), player).agg(total(score, scale).alias("total_score"))
     return top_n_per_group(totals, ["period"], [F.col("total_score").desc(), F.col(player)], k, "place")
 
 
@@ -79,9 +79,9 @@ def consecutive_condition(periods: DataFrame, keys: Sequence[str], order: str, c
             .where(F.col("periods") >= n).drop("_run"))
 
 
-def windowed_leaderboard(df: DataFrame, ts: str, size: str, player: str, score: str, k: int) -> DataFrame:
+def windowed_leaderboard(df: DataFrame, ts: str, size: str, player: str, score: str, k: int, scale: int | None = None) -> DataFrame:
     """Top k scorers of each window, next to their all-time score."""
-    per = df.groupBy(F.window(ts, size).alias("w"), player).agg(exact_sum(score).alias("window_score"))
+    per = df.groupBy(F.window(ts, size).alias("w"), player).agg(total(score, scale).alias("window_score"))
     per = per.select(F.col("w.start").alias("window_start"), player, "window_score")
     best = top_n_per_group(per, ["window_start"], [F.col("window_score").desc(), F.col(player)], k, "place")
-    return best.join(df.groupBy(player).agg(exact_sum(score).alias("all_time_score")), player)
+    return best.join(df.groupBy(player).agg(total(score, scale).alias("all_time_score")), player)

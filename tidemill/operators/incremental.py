@@ -77,11 +77,12 @@ def merge_when_changed(target: DataFrame, source: DataFrame, keys: Sequence[str]
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def merge_soft_delete(target: DataFrame, source: DataFrame, key: str, now: Column) -> DataFrame:
+def merge_soft_delete(target: DataFrame, source: DataFrame, key: str, now: Column, order: Sequence[Column] | None = None) -> DataFrame:
     """Upsert from a full snapshot; target rows it lacks are flagged, returning keys cleared.
 
-    Anti-join semantics: a NULL key in the snapshot does not stop deletions.
+    Anti-join semantics: a NULL key in the snapshot does not stop deletions. Several source rows for a key: see ``merge_upsert``.
     """
+    source = one_per_key(source, [key], order)
     attrs = [c for c in source.columns if c != key]
     joined = target.alias("t").join(source.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
     there = F.col(f"s.{key}").isNotNull()
@@ -93,7 +94,9 @@ def merge_soft_delete(target: DataFrame, source: DataFrame, key: str, now: Colum
         F.when(there, None).when(already, F.col("t.deleted_ts")).otherwise(now).alias("deleted_ts"))
 
 
-def insert_new_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_new_only(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+    """Source rows whose key the target lacks are added, others left out. Several source rows for a key: see ``merge_upsert``."""
+    source = one_per_key(source, keys, order)
     return target.unionByName(_fresh(target, source, keys).select(*target.columns))
 
 
@@ -150,11 +153,13 @@ def full_refresh(model: DataFrame, path: str) -> DataFrame:
 scd1 = merge_upsert
 
 
-def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], effective: Column) -> DataFrame:
+def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], effective: Column,
+               order: Sequence[Column] | None = None) -> DataFrame:
     """Close the open version of changed keys and open a new one; other rows stay.
 
-    ``dim`` has the key, the tracked columns, valid_from, valid_to and is_current.
+    ``dim`` has the key, the tracked columns, valid_from, valid_to and is_current. Several snapshot rows for a key: see ``merge_upsert``.
     """
+    snapshot = one_per_key(snapshot, [key], order)
     past = dim.where(~F.col("is_current"))
     joined = dim.where("is_current").alias("t").join(snapshot.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"), "left")
     changed = F.col(f"s.{key}").isNotNull() & differs(tracked, "t", "s")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators import ordered as O
-from tidemill.functions.exact import dec
+from tidemill.functions.exact import dec, mean
 
 
 def _named(aggs: Mapping[str, Column]) -> list[Column]:
@@ -63,9 +63,9 @@ def session(df: DataFrame, ts: str, gap: int, keys: Sequence[str], aggs: Mapping
     return out.withColumn("duration_s", length)
 
 
-def moving_average(df: DataFrame, ts: str, size: int, slide: int, keys: Sequence[str], value: str) -> DataFrame:
-    """Sum, count and mean over hopping windows."""
-    out = hopping_from_slides(df, ts, size, slide, keys, {"total": F.sum(dec(value)), "n": F.count(value)})
+def moving_average(df: DataFrame, ts: str, size: int, slide: int, keys: Sequence[str], value: str, scale: int | None = None) -> DataFrame:
+    """Sum, count and mean over hopping windows; money is summed with its ``scale`` digits."""
+    out = hopping_from_slides(df, ts, size, slide, keys, {"total": F.sum(value if scale is None else dec(value, scale)), "n": F.count(value)})
     return out.withColumn("total", F.col("total").cast("double")).withColumn("mean", F.col("total") / F.col("n"))
 
 
@@ -122,9 +122,9 @@ def multi_resolution(df: DataFrame, ts: str, sizes: Sequence[str], keys: Sequenc
     return out
 
 
-def mean_duration_by_hour(df: DataFrame, event_ts: str, arrival_ts: str, value: str) -> DataFrame:
+def mean_duration_by_hour(df: DataFrame, event_ts: str, arrival_ts: str, value: str, scale: int | None = None) -> DataFrame:
     """Mean per hour under event time and under arrival time, side by side."""
     def hourly(ts, name):
         return df.groupBy(F.date_trunc("hour", F.col(ts)).alias("hour")).agg(
-            (F.sum(dec(value)).cast("double") / F.count(value)).alias(name))
+            mean(value, scale).alias(name))
     return hourly(event_ts, "mean_event_time").join(hourly(arrival_ts, "mean_arrival_time"), "hour", "full")

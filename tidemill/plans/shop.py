@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -89,11 +90,11 @@ def cart_replay(events: DataFrame, as_of: Column | None = None) -> DataFrame:
     items, discounts = cart_items(events, as_of), cart_discounts(events, as_of)
     carts = (events if as_of is None else events.where(F.col("ts") <= as_of)).groupBy("cart").agg(F.max("ts").alias("last_updated"))
     sums = items.groupBy("cart").agg(F.sum("quantity").alias("item_count"), F.count("*").alias("unique_items"),
-                                     F.sum(dec("unit_price") * F.col("quantity")).cast("decimal(18,2)").alias("subtotal"))
-    pct = F.sum(F.when(F.col("discount_type") == "percentage", dec("discount_value")))
-    fixed = F.sum(F.when(F.col("discount_type") == "fixed", dec("discount_value")))
+                                     F.sum(dec("unit_price", 2) * F.col("quantity")).cast("decimal(18,2)").alias("subtotal"))
+    pct = F.sum(F.when(F.col("discount_type") == "percentage", dec("discount_value", 2)))
+    fixed = F.sum(F.when(F.col("discount_type") == "fixed", dec("discount_value", 2)))
     # a cart has few codes; the list is ordered so that it does not depend on arrival
-    off = discounts.groupBy("cart").agg(F.coalesce(pct, dec(F.lit(0))).alias("pct"), F.coalesce(fixed, dec(F.lit(0))).alias("fixed"),
+    off = discounts.groupBy("cart").agg(F.coalesce(pct, dec(F.lit(0), 2)).alias("pct"), F.coalesce(fixed, dec(F.lit(0), 2)).alias("fixed"),
                                         F.array_join(F.sort_array(F.collect_set("code")), ",").alias("discounts"))
     zero = F.lit(0).cast("decimal(18,2)")
     out = carts.join(sums, "cart", "left").join(off, "cart", "left")
@@ -114,40 +115,54 @@ def cart_read_model(events: DataFrame, path: str) -> DataFrame:
 # ---- dashboard and alerts
 
 def save_dashboard_tables(orders: DataFrame, path: str) -> None:
-    """Aggregates the dashboard reads, from (ts, id, customer, category, status, amount)."""
-    minute = F.date_trunc("minute", F.col("ts")).alias("minute")
-    money = F.sum(dec("amount")).alias("revenue")
-    folded = orders.groupBy(minute, "category", "status", "customer").agg(F.count("*").alias("orders"), money)
-    write_partitioned(folded.withColumn("day", F.to_date("minute")), f"{path}/per_minute", ["day"])
+    """Aggregates the dashboard reads, from (ts, id, customer, category, status, amount), in one pass over the orders.
+
+    One table per grain: minutes by category and status, and days by customer. Neither grows with customers times minutes.
+    """
+    rows = orders.select(F.to_date("ts").alias("day"), F.date_trunc("minute", F.col("ts")).alias("minute"), "category", "status", "customer", "amount")
+    folded = rows.groupingSets([["day", "minute", "category", "status"], ["day", "customer"]], "day", "minute", "category", "status", "customer").agg(
+        F.when(F.grouping("customer") == 1, "minute").otherwise("customer").alias("grain"), F.count("*").alias("orders"), F.sum(dec("amount", 2)).alias("revenue"))
+    write_partitioned(folded, f"{path}/folded", ["grain", "day"])
 
 
 def revenue_dashboard(orders: DataFrame, path: str, as_of: str, back: int, top: int = 10, latest: int = 20) -> DataFrame:
     """Panels over the ``back`` seconds before ``as_of``: per minute, totals, category, status, customers, latest.
 
-    Panels read the saved per-minute aggregate; a day filter prunes its directories. Only
-    the list of latest orders reads the orders themselves.
+    Panels by minute, category and status come from one pass over the saved minutes. Customers come from the saved whole days, and from the
+    orders for what the range has of a day at its ends. The list of latest orders reads the orders. ``as_of`` is taken to the minute.
     """
-    end = F.lit(as_of).cast("timestamp_ntz")
-    start = end - F.make_dt_interval(secs=F.lit(back))
-    saved = orders.sparkSession.read.parquet(f"{path}/per_minute")
-    minute = F.col("minute").cast("timestamp_ntz")
-    recent = saved.where((F.col("day") >= F.to_date(start)) & (F.col("day") <= F.to_date(end)) & (minute >= start) & (minute < end))
-    total = F.sum("revenue").cast("double").alias("revenue")
-    count = F.sum("orders").alias("orders")
-
-    def by(col: str) -> DataFrame:
-        return recent.groupBy(col).agg(total, count)
-    per_minute = by("minute")
-    whole = recent.agg(total, count)
-    customers = top_n(by("customer"), [F.col("revenue").desc(), F.col("customer")], top)
-    newest = top_n(orders.where((F.col("ts") >= start) & (F.col("ts") < end)).select("id", "ts", "amount"), [F.col("ts").desc(), F.col("id").desc()], latest)
+    end = dt.datetime.fromisoformat(as_of)
+    start = end - dt.timedelta(seconds=back)
+    midnight = dt.datetime.combine(start.date(), dt.time())
+    whole_from = midnight if midnight == start else midnight + dt.timedelta(days=1)
+    whole_to = max(dt.datetime.combine(end.date(), dt.time()), whole_from)
+    at = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+    within = lambda c, lo, hi: (F.col(c).cast("timestamp_ntz") >= at(lo)) & (F.col(c).cast("timestamp_ntz") < at(hi))
+    saved = orders.sparkSession.read.parquet(f"{path}/folded")
+    recent = saved.where((F.col("grain") == "minute") & F.col("day").between(F.lit(start.date()), F.lit(end.date())) & within("minute", start, end))
+    sums = [F.sum("revenue").cast("double").alias("revenue"), F.sum("orders").alias("orders")]
+    panels = recent.groupingSets([["minute"], ["category"], ["status"], []], "minute", "category", "status").agg(F.grouping_id().alias("g"), *sums)
     stamp = F.date_format("minute", "yyyy-MM-dd HH:mm")
-    return stack([
-        answer(per_minute, "orders_per_minute", stamp, F.col("orders")), answer(per_minute, "revenue_per_minute", stamp, F.col("revenue")),
-        answer(whole, "total", F.lit("orders"), F.col("orders")), answer(whole, "total", F.lit("revenue"), F.col("revenue")),
-        answer(whole, "total", F.lit("mean_order"), F.col("revenue") / F.col("orders")),
-        answer(by("category"), "category", F.col("category"), F.col("revenue")), answer(by("status"), "status", F.col("status"), F.col("orders")),
-        answer(customers, "top_customers", F.col("customer"), F.col("revenue")), answer(newest, "latest_orders", F.col("id"), F.col("amount"))])
+
+    def row(question: str, label: Column, value: Column) -> Column:
+        return F.struct(F.lit(question).alias("question"), label.cast("string").alias("label"), value.cast("double").alias("value"))
+    revenue, count = F.col("revenue"), F.col("orders")
+    answers = (F.when(F.col("g") == 0b011, F.array(row("orders_per_minute", stamp, count), row("revenue_per_minute", stamp, revenue)))
+               .when(F.col("g") == 0b101, F.array(row("category", F.col("category"), revenue)))
+               .when(F.col("g") == 0b110, F.array(row("status", F.col("status"), count)))
+               .otherwise(F.array(row("total", F.lit("orders"), count), row("total", F.lit("revenue"), revenue), row("total", F.lit("mean_order"), revenue / count))))
+    panels = panels.select(F.explode(answers).alias("a")).select("a.*")
+
+    customers = saved.where((F.col("grain") == "customer") & (F.col("day") >= F.lit(whole_from.date())) & (F.col("day") < F.lit(whole_to.date()))).select(
+        "customer", "revenue")
+    ends = [(lo, hi) for lo, hi in ((start, min(whole_from, end)), (whole_to, end)) if lo < hi]
+    if ends:
+        edge = reduce(Column.__or__, [within("ts", lo, hi) for lo, hi in ends])
+        customers = customers.unionByName(orders.where(edge).groupBy("customer").agg(F.sum(dec("amount", 2)).alias("revenue")))
+    customers = top_n(customers.groupBy("customer").agg(sums[0]), [F.col("revenue").desc(), F.col("customer")], top)
+    newest = top_n(orders.where(within("ts", start, end)).select("id", "ts", "amount"), [F.col("ts").desc(), F.col("id").desc()], latest)
+    return stack([panels, answer(customers, "top_customers", F.col("customer"), F.col("revenue")),
+                  answer(newest, "latest_orders", F.col("id"), F.col("amount"))])
 
 
 def period_metrics(orders: DataFrame, size: str) -> DataFrame:
@@ -156,7 +171,7 @@ def period_metrics(orders: DataFrame, size: str) -> DataFrame:
     The orders are folded once and the short list of periods is stored, as all that follows reads it several times.
     """
     from tidemill.operators.timewindows import gap_fill, tumbling
-    per = tumbling(orders, "ts", size, orders=F.count("*"), revenue=F.sum(dec("amount")),
+    per = tumbling(orders, "ts", size, orders=F.count("*"), revenue=F.sum(dec("amount", 2)),
                    cancelled=F.count_if(F.col("status") == "cancelled")).drop("window_end")
     per = materialize(per, "periods")
     filled = gap_fill(per, "window_start", size, {"orders": 0, "cancelled": 0})

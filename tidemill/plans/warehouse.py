@@ -28,7 +28,7 @@ def dim_customers(customers: DataFrame, orders: DataFrame, key: str, order_key:
 
 def fct_orders(orders: DataFrame, payments: DataFrame, key: str, pay_key: str, amount: str, success: Column) -> DataFrame:
     """Orders with the total of their successful payments, 0 where there is none."""
-    paid = payments.groupBy(F.col(pay_key).alias(key)).agg(F.sum(F.when(success, dec(amount))).alias("amount"))
+    paid = payments.groupBy(F.col(pay_key).alias(key)).agg(F.sum(F.when(success, dec(amount, 2))).alias("amount"))
     return orders.join(paid, key, "left").withColumn("amount", F.coalesce("amount", F.lit(0)).cast("double"))
 
 

@@ -7,7 +7,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.cdc import signed_rows
 from tidemill.operators.relational import top_n_per_group
+from tidemill.operators.summaries import RetractableSummary
 from tidemill.operators.versioned import VersionedTable
 from tidemill.session import hadoop_fs
 
@@ -84,6 +86,22 @@ def changelog_stream(parsed: DataFrame, table: VersionedTable, order: Sequence[s
     each_batch(parsed, checkpoint, work)
 
 
+def retract_stream(parsed: DataFrame, summary: RetractableSummary, row_fields: Sequence[str], checkpoint: str,
+                   shape: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Aggregates that retract, kept from a stream of change records: each batch is taken in as signed rows, once.
+
+    A change adds its new row and takes away its old one, so it may also move a row to another group. An update or delete
+    must carry the old row; one without is an error, as nothing could be taken away. ``shape`` adds columns to group by.
+    """
+    image = F.assert_true(~F.coalesce(F.col("op").isin("u", "d"), F.lit(False)) | F.col("tombstone") | F.col("before").isNotNull(),
+                          F.lit("an update or delete without its old row"))
+
+    def work(batch: DataFrame, n: int) -> None:
+        signed = signed_rows(batch.where(image.isNull()), row_fields)
+        summary.apply(shape(signed) if shape else signed, f"{query_id(batch, checkpoint)}b{n}")
+    each_batch(parsed, checkpoint, work)
+
+
 def live_rows(table: VersionedTable) -> DataFrame:
     return table.read().where("NOT deleted").drop("deleted")
 
