@@ -12,10 +12,12 @@ from tidemill.operators import analytic as N
 from tidemill.operators import incremental as I
 from tidemill.operators import joins as J
 from tidemill.operators import quality as Q
+from tidemill.operators import sketches
 from tidemill.operators import timewindows as W
 from tidemill.operators.versioned import VersionedTable
 from tidemill.operators.summaries import RetractableSummary as Summary
 from tidemill.plans import migrate, reports, semantic, shop
+from tidemill.sinks import files
 from tidemill.streaming import sinks as K
 from tidemill.streaming import stateful as X
 
@@ -312,3 +314,65 @@ def test_dashboard_over_any_range(spark, work):
         assert pick("top_customers") == spent
         assert pick("total")["orders"] == len(inside) and pick("total")["revenue"] == sum(spent.values())
         assert sum(pick("category").values()) == sum(spent.values()) and sum(pick("orders_per_minute").values()) == len(inside)
+
+
+def test_replay_from_snapshots(spark, work):
+    """Equal to the full replay at three times, reading the newest snapshot before and no older day."""
+    kinds = ["cart.item_added", "cart.item_removed", "cart.item_quantity_changed", "cart.discount_applied", "cart.discount_removed"]
+    rows = [(f"c{i % 4}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i * 5), i, kinds[i * 7 % 5 if i % 3 else 0], f"p{i % 3}" if i * 7 % 5 < 3 or i % 3 == 0 else None,
+             1 + i % 4, 2.5 + i % 5, None if i * 7 % 5 < 3 or i % 3 == 0 else "TEN" if i % 2 else "FIVE", "percentage" if i % 2 else "fixed", 10.0 if i % 2 else 5.0) for i in range(120)]
+    flat = spark.createDataFrame(rows, "cart string, ts timestamp_ntz, id long, type string, product string, quantity int, unit_price double, code string, discount_type string, discount_value double")
+    log, saved = work("log"), work("snapshots")
+    flat.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(log)
+    events = spark.read.parquet(log)
+    shop.save_cart_snapshots(events, saved, ["2024-01-08 00:00:00", "2024-01-15 12:00:00"])
+    cols = ["cart", "item_count", "unique_items", "subtotal", "discount", "total", "discounts", "last_updated"]
+    for as_of, days in (("2024-01-05 03:00:00", None), ("2024-01-11 07:00:00", 8), ("2024-01-20 00:00:00", 15)):
+        got = shop.cart_replay_from(saved, events, as_of)
+        assert values(got, *cols) == values(shop.cart_replay(flat, F.lit(as_of).cast("timestamp_ntz")), *cols)
+        if days:
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert f">= 2024-01-{days:02d}" in plan.split("PartitionFilters: [", 1)[1]
+            snapshots = {f.split("at=")[1][:15] for f in got.inputFiles() if "at=" in f}
+            assert len(snapshots) == 1 and max(n for n in ("20240108T000000", "20240115T120000") if n[:8] <= as_of[:10].replace("-", "")) in snapshots
+
+
+def test_clustering_by_two_columns(spark, work):
+    """A filter on the second column alone meets under a third of the files that a sort by both leaves."""
+    rows = spark.range(20_000).select(c("id"), (c("id") * 7919 % 20_011).alias("a"), F.timestamp_seconds(c("id") * 104_729 % 20_021).alias("b"))
+    rows = rows.withColumn("b", F.when(c("id") % 500 != 0, c("b")))
+    z, linear = work("z"), work("linear")
+    files.write_zordered(rows, z, ["a", "b"], 36)
+    rows.repartitionByRange(36, "a", "b").sortWithinPartitions("a", "b").write.parquet(linear)
+    lo, hi = F.timestamp_seconds(F.lit(5000)), F.timestamp_seconds(F.lit(5400))
+
+    def met(path):
+        per = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("b").alias("lo"), F.max("b").alias("hi"))
+        return per.where((c("lo") <= hi) & (c("hi") >= lo)).count()
+    assert met(z) * 3 < met(linear)
+    found = [values(spark.read.parquet(p).where(c("b").between(lo, hi)), "id") for p in (z, linear)]
+    assert found[0] == found[1] and found[0] and spark.read.parquet(z).count() == 20_000
+
+
+def test_merged_sketches_are_the_whole(spark, work):
+    """Profiles merged from parts say what one over the whole says; quantiles are within the stated rank error; streams append sketches."""
+    df = spark.range(30_000).select((c("id") % 7).alias("part"), F.when(c("id") % 10 != 0, (c("id") * 37 % 9973).cast("double")).alias("v"), (c("id") % 50).cast("string").alias("w"))
+    parts = sketches.merge_profiles(sketches.profile_sketches(df, ["v", "w"], ["part"]))
+    got = {r.column_name: r for r in sketches.profile_report(parts).collect()}
+    one = {r.column_name: r for r in sketches.profile_report(sketches.profile_sketches(df, ["v", "w"])).collect()}
+    assert got["v"].row_count == 30_000 and got["v"].null_count == 3000 and (got["w"].min_value, got["w"].max_value) == ("0", "9")
+    exact = df.agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"), F.countDistinct("v").alias("d")).first()
+    assert got["v"].mean == pytest.approx(exact.m) and got["v"].stddev == pytest.approx(exact.s) and abs(got["v"].distinct_count - exact.d) < 0.05 * exact.d
+    assert got["w"].distinct_count == 50 == one["w"].distinct_count and got["w"].mean is None and got["w"].p50 is None
+    for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        assert abs(df.where(c("v") <= got["v"][name]).count() / 27_000 - share) < 0.02
+    events = spark.range(5000).select(F.timestamp_seconds(c("id") * 13).alias("t"), (c("id") % 900).alias("u"))
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    for low in (0, 2500):
+        events.where(c("u").isNotNull() & (F.unix_seconds("t") >= low * 13) & (F.unix_seconds("t") < (low + 2500) * 13)).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(events.schema).parquet(folder).withWatermark("t", "0 seconds")
+        K.append_stream(sketches.distinct_sketches(stream, "t", "u"), out, ckpt)
+    K.append_stream(sketches.distinct_sketches(spark.readStream.schema(events.schema).parquet(folder).withWatermark("t", "0 seconds"), "t", "u"), out, ckpt)
+    saved = sketches.merge_sketches(spark.read.parquet(out))
+    whole = sketches.distinct_over(saved, None).first().members
+    assert abs(whole - 900) < 45

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.bindings.registry import query
+from tidemill.operators import sketches as SK
 from tidemill.operators import quality as Q
 
 c = F.col
@@ -233,3 +234,26 @@ def _(t):
     expected = T.StructType.fromDDL("event_id bigint, ts timestamp_ntz, user_id int, event_type string, value double, props string")
     batch = t.events.drop("props").withColumn("device", F.when(c("event_id") >= 0, "web"))
     return Q.schema_drift_gate(batch, expected, "backward")
+
+
+@query("dq_10_profile_sketches", " UNION ALL ".join(f"""
+SELECT '{col}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({col}) AS null_count, true AS distinct_near, true AS median_near, true AS extremes FROM orders"""
+ for col in ("o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")))
+def _(t):
+    """Profiles saved per year of orders and merged, held against the table itself."""
+    cols = ["o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    path = t.scratch("profiles")
+    yearly = t.orders.withColumn("year", F.year("o_orderdate"))
+    SK.profile_sketches(yearly, cols, ["year"]).write.parquet(path)
+    report = SK.profile_report(SK.merge_profiles(t.spark.read.parquet(path)))
+    rank = lambda x: (F.count_if(c(x) < c(f"m_{x}")) / F.count(x), F.count_if(c(x) <= c(f"m_{x}")) / F.count(x))
+    asked = t.orders.withColumns({f"m_{x}": report.where(c("column_name") == x).select("p50").scalar() for x in ("o_custkey", "o_totalprice")})
+    below = lambda x: (rank(x)[0] <= 0.52) & (rank(x)[1] >= 0.48)
+    exact = asked.agg(*[F.countDistinct(x).alias(f"d_{x}") for x in cols], *[F.min(x).cast("string").alias(f"lo_{x}") for x in cols],
+                      *[F.max(x).cast("string").alias(f"hi_{x}") for x in cols], *[below(x).alias(f"r_{x}") for x in ("o_custkey", "o_totalprice")])
+    truth = exact.select(F.explode(F.array(*[F.struct(F.lit(x).alias("column_name"), c(f"d_{x}").alias("d"), c(f"lo_{x}").alias("lo"), c(f"hi_{x}").alias("hi"),
+                                                      (c(f"r_{x}") if x in ("o_custkey", "o_totalprice") else F.lit(True)).alias("r")) for x in cols])).alias("t")).select("t.*")
+    same = lambda a, b: F.coalesce(F.col(a).try_cast("double") == F.col(b).try_cast("double"), F.col(a) == F.col(b))
+    return report.join(truth, "column_name").select(
+        "column_name", "row_count", "null_count", (F.abs(c("distinct_count") - c("d")) <= F.greatest(F.lit(1.0), 0.05 * c("d"))).alias("distinct_near"),
+        c("r").alias("median_near"), (same("min_value", "lo") & same("max_value", "hi")).alias("extremes"))

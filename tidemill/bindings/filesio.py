@@ -223,3 +223,16 @@ def _(t):
     t.supplier.write.parquet(path)
     return K.external_table(t.spark, "tm_supplier_ext", path).groupBy("s_nationkey").agg(
         F.count("*").alias("n"), exact_sum("s_acctbal", 2).alias("balance"))
+
+
+@query("snk_05_write_zordered", """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_totalprice BETWEEN 100000 AND 110000
+UNION ALL SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-01-31'""")
+def _(t):
+    """Orders clustered by date and price together; a filter on either skips files."""
+    path = t.scratch("zordered")
+    K.write_zordered(t.orders.select("o_orderkey", "o_orderdate", "o_totalprice"), path, ["o_orderdate", "o_totalprice"], 16)
+    rows = t.spark.read.parquet(path)
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    return rows.where(c("o_totalprice").between(100000, 110000)).unionByName(
+        rows.where(c("o_orderdate").between(day("1998-01-01 00:00:00"), day("1998-01-31 00:00:00"))))

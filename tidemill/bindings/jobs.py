@@ -20,6 +20,7 @@ from tidemill.plans import reports as R
 from tidemill.plans import semantic as SM
 from tidemill.plans import sensors as N
 from tidemill.plans import shop as P
+from tidemill.sinks.files import write_partitioned
 from tidemill.sources.files import inline_table
 
 c = F.col
@@ -316,6 +317,15 @@ def _(t):
     return P.cart_replay(_cart_events(t), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
 
 
+@query("dom_13_cart_replay_from_snapshot", CART.format(as_of="2024-01-15 10:30:00"))
+def _(t):
+    log, saved = t.scratch("cart_events"), t.scratch("cart_snapshots")
+    write_partitioned(_cart_events(t).withColumn("day", F.to_date("ts")), log, ["day"])
+    events = t.spark.read.parquet(log)
+    P.save_cart_snapshots(events, saved, ["2024-01-05 00:00:00", "2024-01-12 06:00:00", "2024-01-25 00:00:00"])
+    return P.cart_replay_from(saved, events, "2024-01-15 10:30:00")
+
+
 @query("dom_14_cart_read_model", CART.format(as_of="2025-01-01 00:00:00"))
 def _(t):
     return P.cart_read_model(_cart_events(t), t.scratch("carts"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.bindings.registry import query
 from tidemill.bindings.sqltext import DEC2, davg, dsum
 from tidemill.functions.exact import exact_avg, exact_sum
+from tidemill.operators import sketches as SK
 from tidemill.operators import aggregates as A
 from tidemill.operators import analytic as N
 from tidemill.operators import ordered as O
@@ -247,3 +248,24 @@ SELECT window_start, user_id, window_score, CAST(place AS INTEGER) AS place, tot
 JOIN {TOTALS} USING (user_id) WHERE place <= 5""")
 def _(t):
     return N.windowed_leaderboard(t.events, "ts", "1 day", "user_id", "value", 5, 2)
+
+
+# ---- sketches
+
+GRAINS = {"1 hour": "date_trunc('hour', ts)", "1 day": "date_trunc('day', ts)", "7 days": "time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01')"}
+
+
+@query("win_07_distinct_from_sketches", " UNION ALL ".join(f"""
+SELECT '{size}' AS grain, {start} AS window_start, event_type, COUNT(DISTINCT user_id) AS users, true AS near FROM events GROUP BY 2, 3""" for size, start in GRAINS.items()))
+def _(t):
+    """Users per window at three grains, all from sketches saved per minute, held against the exact counts."""
+    path = t.scratch("sketches")
+    SK.distinct_sketches(t.events, "ts", "user_id", ["event_type"]).write.parquet(path)
+    saved, out = t.spark.read.parquet(path), None
+    for size in GRAINS:
+        exact = W.window_distinct(t.events, "ts", size, ["event_type"], "user_id", "users")
+        met = exact.join(SK.distinct_over(saved, size, ["event_type"], "estimate"), ["window_start", "event_type"], "full")
+        near = F.abs(c("estimate") - c("users")) <= F.greatest(F.lit(1.0), 0.05 * c("users"))  # three standard errors
+        one = met.select(F.lit(size).alias("grain"), "window_start", "event_type", "users", F.coalesce(near, F.lit(False)).alias("near"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -13,7 +13,7 @@ from tidemill.functions.exact import dec
 from tidemill.operators.ordered import micros, previous, session_ids
 from tidemill.operators.relational import top_n
 from tidemill.plans.reports import answer, stack
-from tidemill.session import materialize
+from tidemill.session import hadoop_fs, materialize
 from tidemill.sinks.files import write_partitioned
 
 
@@ -56,41 +56,48 @@ def page_and_referrer_counts(df: DataFrame, ts: str, size: str, page: str, refer
 
 # ---- carts
 
-def cart_items(events: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Items in each cart at a time, from (cart, product, type, quantity, unit_price, ts, id).
+def cart_state(events: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The events of (cart, product, type, quantity, unit_price, code, .., ts, id) until a time, folded to what a cart can be told from.
 
-    The newest add and the newest removal of a product decide whether it is there; the
-    newest add or later quantity change gives its quantity. All of it folds with partial
-    aggregates, so a cart of any length is never drawn together.
+    Per (cart, product) the newest add, removal and quantity change, per (cart, code) the newest discount event, per cart its last
+    time. All are maxima: states of two stretches of time fold to the state of both, and a cart of any length is never
+    drawn together.
     """
     rows = events if as_of is None else events.where(F.col("ts") <= as_of)
     at = F.struct("ts", "id")
 
     def newest(kind: str, value: Column) -> Column:
-        return F.max(F.when(F.col("type") == kind, F.struct(at.alias("at"), value.alias("v"))))
-    folded = rows.where(F.col("product").isNotNull()).groupBy("cart", "product").agg(
-        newest("cart.item_added", F.struct(F.col("quantity").alias("q"), F.col("unit_price").alias("p"))).alias("a"),
-        newest("cart.item_removed", F.lit(0)).alias("r"), newest("cart.item_quantity_changed", F.col("quantity")).alias("c"))
-    there = F.col("a").isNotNull() & (F.col("r").isNull() | (F.col("a.at") > F.col("r.at")))
-    quantity = F.when(F.col("c.at") > F.col("a.at"), F.col("c.v")).otherwise(F.col("a.v.q"))
-    out = folded.where(there).select("cart", "product", quantity.alias("quantity"), F.col("a.v.p").alias("unit_price"))
-    return out.where("quantity > 0")
+        return F.when(F.col("type") == kind, F.struct(at.alias("at"), value.alias("v")))
+    entry = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    entries = F.filter(F.array(entry("cart", F.lit(None).cast("string")), F.when(F.col("product").isNotNull(), entry("item", F.col("product").cast("string"))),
+                               F.when(F.col("code").isNotNull(), entry("code", F.col("code").cast("string")))), lambda e: e.isNotNull())
+    item, code = F.col("e.kind") == "item", F.col("e.kind") == "code"
+    told = rows.withColumn("e", F.explode(entries))
+    return fold_cart_states(told.select(
+        "cart", "e.kind", "e.name", F.col("ts").alias("last"), F.when(item, newest("cart.item_added", F.struct(F.col("quantity").alias("q"), F.col("unit_price").alias("p")))).alias("a"),
+        F.when(item, newest("cart.item_removed", F.lit(0))).alias("r"), F.when(item, newest("cart.item_quantity_changed", F.col("quantity"))).alias("c"),
+        F.when(code, F.struct(at.alias("at"), "type", "discount_type", "discount_value")).alias("d")))
 
 
-def cart_discounts(events: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Discounts in force per cart: the newest event of each code applies it."""
-    rows = events if as_of is None else events.where(F.col("ts") <= as_of)
-    last = rows.where(F.col("code").isNotNull()).groupBy("cart", "code").agg(
-        F.max_by(F.struct("type", "discount_type", "discount_value"), F.struct("ts", "id")).alias("l"))
-    return last.where("l.type = 'cart.discount_applied'").select("cart", "code", "l.discount_type", "l.discount_value")
+def fold_cart_states(states: DataFrame) -> DataFrame:
+    return states.groupBy("cart", "kind", "name").agg(*[F.max(c).alias(c) for c in ("last", "a", "r", "c", "d")])
 
 
-def cart_replay(events: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Subtotal, discount and total per cart at a time; carts without items have 0."""
-    items, discounts = cart_items(events, as_of), cart_discounts(events, as_of)
-    carts = (events if as_of is None else events.where(F.col("ts") <= as_of)).groupBy("cart").agg(F.max("ts").alias("last_updated"))
-    sums = items.groupBy("cart").agg(F.sum("quantity").alias("item_count"), F.count("*").alias("unique_items"),
-                                     F.sum(dec("unit_price", 2) * F.col("quantity")).cast("decimal(18,2)").alias("subtotal"))
+def _items(state: DataFrame) -> DataFrame:
+    """(cart, product, quantity, unit_price): the newest add and removal of a product decide whether it is there, the newest add or later
+    quantity change gives its quantity."""
+    there = F.col("a").isNotNull() & (F.col("r").isNull() | (F.col("a.at") > F.col("r.at")))
+    quantity = F.when(F.col("c.at") > F.col("a.at"), F.col("c.v")).otherwise(F.col("a.v.q"))
+    items = state.where((F.col("kind") == "item") & there).select("cart", F.col("name").alias("product"), quantity.alias("quantity"), F.col("a.v.p").alias("unit_price"))
+    return items.where("quantity > 0")
+
+
+def cart_totals(state: DataFrame) -> DataFrame:
+    """Subtotal, discount and total per cart from its folded state; carts without items have 0. The newest event of each code applies it."""
+    carts = state.where("kind = 'cart'").select("cart", F.col("last").alias("last_updated"))
+    sums = _items(state).groupBy("cart").agg(F.sum("quantity").alias("item_count"), F.count("*").alias("unique_items"),
+                                             F.sum(dec("unit_price", 2) * F.col("quantity")).cast("decimal(18,2)").alias("subtotal"))
+    discounts = state.where("kind = 'code' AND d.type = 'cart.discount_applied'").select("cart", F.col("name").alias("code"), "d.discount_type", "d.discount_value")
     pct = F.sum(F.when(F.col("discount_type") == "percentage", dec("discount_value", 2)))
     fixed = F.sum(F.when(F.col("discount_type") == "fixed", dec("discount_value", 2)))
     # a cart has few codes; the list is ordered so that it does not depend on arrival
@@ -106,6 +113,49 @@ def cart_replay(events: DataFrame, as_of: Column | None = None) -> DataFrame:
                       F.coalesce("discounts", F.lit("")).alias("discounts"), "last_updated")
 
 
+def cart_replay(events: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Carts as they were at a time, from all events until then."""
+    return cart_totals(cart_state(events, as_of))
+
+
+def save_cart_snapshots(events: DataFrame, path: str, times: Sequence[str]) -> None:
+    """The folded state at each of some times, in a directory each; every one is made of the one before and the events since."""
+    spark, before, since = events.sparkSession, None, None
+    for time in sorted(times):
+        until = F.lit(time).cast(events.schema["ts"].dataType)
+        fresh = cart_state(_since(events, since, until))
+        state = fresh if before is None else fold_cart_states(before.unionByName(fresh))
+        name = dt.datetime.fromisoformat(time).strftime("%Y%m%dT%H%M%S")
+        state.write.mode("overwrite").parquet(f"{path}/at={name}")
+        before, since = spark.read.parquet(f"{path}/at={name}"), until
+
+
+def _since(events: DataFrame, after: Column | None, until: Column) -> DataFrame:
+    """Events in (after, until]. Where the events are partitioned by ``day``, only the days of that stretch are read."""
+    rows = events.where(F.col("ts") <= until)
+    rows = rows if after is None else rows.where(F.col("ts") > after)
+    if "day" in events.columns:
+        rows = rows.where(F.col("day") <= F.to_date(until))
+        rows = rows if after is None else rows.where(F.col("day") >= F.to_date(after))
+    return rows
+
+
+def cart_replay_from(path: str, events: DataFrame, as_of: str) -> DataFrame:
+    """``cart_replay`` by way of the newest snapshot that is not after ``as_of``: that and the later events are all that is read."""
+    spark = events.sparkSession
+    fs, root = hadoop_fs(spark, path)
+    named = [s.getPath().getName().removeprefix("at=") for s in fs.listStatus(root)] if fs.exists(root) else []
+    wanted = dt.datetime.fromisoformat(as_of).strftime("%Y%m%dT%H%M%S")
+    usable = [n for n in named if n[:1].isdigit() and n <= wanted]
+    until = F.lit(as_of).cast(events.schema["ts"].dataType)
+    if not usable:
+        return cart_totals(cart_state(_since(events, None, until)))
+    newest = max(usable)
+    after = F.lit(str(dt.datetime.strptime(newest, "%Y%m%dT%H%M%S"))).cast(events.schema["ts"].dataType)
+    saved = spark.read.parquet(f"{path}/at={newest}")
+    return cart_totals(fold_cart_states(saved.unionByName(cart_state(_since(events, after, until)))))
+
+
 def cart_read_model(events: DataFrame, path: str) -> DataFrame:
     """The cart summary kept as a table."""
     cart_replay(events).write.mode("overwrite").parquet(path)
