@@ -198,13 +198,15 @@ def _spans(rows: DataFrame, texts: DataFrame, text: Column, rules: tuple[Rule, .
     return rows.withColumn("spans", F.array_sort(F.concat(*spans)))
 
 
-def _key() -> Column:
-    return F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("key")
+def _key(text: Column) -> Column:
+    """What brings a document and its candidate rules together. Documents without an id go by their text, so that they do not share one key;
+    should two documents share a key, each is tried with the rules of both."""
+    return F.coalesce(F.col("id").cast("long"), F.xxhash64(text)).alias("key")
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col`` and ``spans`` array<struct<start, rank, kind, end>>, ordered, ends exclusive."""
-    cut = whole_text(docs, id_col, text_col).select("id", "text", _key())
+    cut = whole_text(docs, id_col, text_col).select("id", "text", _key(F.col("text")))
     found = _spans(cut, cut.select("key", "text"), F.col("text"), rules)
     return found.select(F.col("id").alias(id_col), "spans")
 
@@ -215,9 +217,9 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mark: str = "
 
     Documents without spans come back unchanged, null texts too.
     """
-    cut = narrow(docs, whole_row=True, id=id_col, text=text_col).select("row", _key())
     text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))
-    found = _spans(cut, whole_text(docs, id_col, text_col).select(_key(), "text"), text, rules)
+    cut = narrow(docs, whole_row=True, id=id_col, text=text_col).select("row", _key(text))
+    found = _spans(cut, whole_text(docs, id_col, text_col).select(_key(F.col("text")), "text"), text, rules)
     walked = F.aggregate(
         "spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda state, s: F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), F.concat(
