@@ -24,7 +24,7 @@ HEADLINE = [
 
 def main() -> None:
     from tidemill import bindings
-    from tidemill.session import build_session
+    from tidemill.session import build_session, clear_scratch
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -42,6 +42,7 @@ def main() -> None:
             times.append(time.perf_counter() - start)
         cold[name] = round(times[0], 3)
         warm[name] = round(min(times[1:] or times), 3)
+    clear_scratch(spark)
     spark.stop()
     print(json.dumps({"metric": "total_warm_seconds", "value": round(sum(warm.values()), 3), "unit": "sec", "queries": warm,
                       "cold": cold, "sf": os.path.basename(sf_dir.rstrip("/")), "cpus": int(cpus)}))

@@ -133,8 +133,8 @@ w AS (SELECT *, LAG(country) OVER u AS was, COUNT(*) OVER d AS n, CAST(SUM(fresh
  CAST(SUM({DEC2('amount')}) OVER (PARTITION BY "user", b2 ORDER BY ts, id) AS DOUBLE) AS total FROM f
  WINDOW u AS (PARTITION BY "user" ORDER BY ts, id), d AS (PARTITION BY "user", b1 ORDER BY ts, id)),
 a AS (SELECT id, "user", ts, 'country_hop' AS rule, was || ' -> ' || country AS detail, 0.7::DOUBLE AS risk FROM w WHERE was != country
-UNION ALL SELECT id, "user", ts, 'high_value', format('{{:.2f}}', amount), LEAST(amount / 400.0::DOUBLE, 1.0::DOUBLE) FROM w WHERE amount > 200
-UNION ALL SELECT id, "user", ts, 'spending_velocity', format('{{:.2f}}', total), LEAST(0.6::DOUBLE + (total - 150.0::DOUBLE) / 2500.0::DOUBLE, 1.0::DOUBLE) FROM w WHERE total > 150
+UNION ALL SELECT id, "user", ts, 'high_value', format('{{:,.2f}}', amount), LEAST(amount / 400.0::DOUBLE, 1.0::DOUBLE) FROM w WHERE amount > 200
+UNION ALL SELECT id, "user", ts, 'spending_velocity', format('{{:,.2f}}', total), LEAST(0.6::DOUBLE + (total - 150.0::DOUBLE) / 2500.0::DOUBLE, 1.0::DOUBLE) FROM w WHERE total > 150
 UNION ALL SELECT id, "user", ts, 'high_frequency', n::VARCHAR, LEAST(0.5::DOUBLE + (n - 5) * 0.1::DOUBLE, 1.0::DOUBLE) FROM w WHERE n > 3
 UNION ALL SELECT id, "user", ts, 'merchant_diversity', merchants::VARCHAR, 0.5::DOUBLE FROM w WHERE merchants > 3)"""
 
@@ -157,8 +157,8 @@ m AS (SELECT a.id, CAST(COUNT(DISTINCT coalesce(b.merchant, '')) AS BIGINT) AS m
  AND b.b1 BETWEEN a.b1 - 3 AND a.b1 AND (b.ts, b.id) <= (a.ts, a.id) GROUP BY a.id),
 x AS (SELECT * FROM w JOIN m USING (id)),
 a AS (SELECT id, "user", ts, 'country_hop' AS rule, was || ' -> ' || country AS detail, 0.7::DOUBLE AS risk FROM x WHERE was != country
-UNION ALL SELECT id, "user", ts, 'high_value', format('{{:.2f}}', amount), LEAST(amount / 400.0::DOUBLE, 1.0::DOUBLE) FROM x WHERE amount > 200
-UNION ALL SELECT id, "user", ts, 'spending_velocity', format('{{:.2f}}', total), LEAST(0.6::DOUBLE + (total - 150.0::DOUBLE) / 2500.0::DOUBLE, 1.0::DOUBLE) FROM x WHERE total > 150
+UNION ALL SELECT id, "user", ts, 'high_value', format('{{:,.2f}}', amount), LEAST(amount / 400.0::DOUBLE, 1.0::DOUBLE) FROM x WHERE amount > 200
+UNION ALL SELECT id, "user", ts, 'spending_velocity', format('{{:,.2f}}', total), LEAST(0.6::DOUBLE + (total - 150.0::DOUBLE) / 2500.0::DOUBLE, 1.0::DOUBLE) FROM x WHERE total > 150
 UNION ALL SELECT id, "user", ts, 'high_frequency', n::VARCHAR, LEAST(0.5::DOUBLE + (n - 5) * 0.1::DOUBLE, 1.0::DOUBLE) FROM x WHERE n > 3
 UNION ALL SELECT id, "user", ts, 'merchant_diversity', merchants::VARCHAR, 0.5::DOUBLE FROM x WHERE merchants > 3)
 SELECT id, "user", ts, rule, detail, risk FROM a"""

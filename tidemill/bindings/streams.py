@@ -87,12 +87,15 @@ def _(t):
 
 
 @query("src_16_stream_text_lines", r"""
-SELECT line, COUNT(*) AS n FROM (SELECT unnest(string_split(text, E'\n')) AS line FROM documents) GROUP BY 1""")
+SELECT line, COUNT(*) AS n, true AS arrived FROM (SELECT unnest(string_split(text, E'\n')) AS line FROM documents) GROUP BY 1""")
 def _(t):
+    """Lines, and whether each came between the start of the stream and now."""
+    started = F.lit(t.spark.sql("SELECT current_timestamp() AS t").first().t)
     folder, out = t.scratch("text"), t.scratch("lines")
     t.documents.select("text").write.option("lineSep", "\n").text(folder)
     K.append_stream(R.stream_text_lines(t.spark, folder), out, t.scratch("ckpt"))
-    return t.spark.read.parquet(out).groupBy(c("value").alias("line")).agg(F.count("*").alias("n"))
+    arrived = F.min(c("arrived_at").between(started, F.current_timestamp()))
+    return t.spark.read.parquet(out).groupBy(c("value").alias("line")).agg(F.count("*").alias("n"), F.coalesce(arrived, F.lit(False)).alias("arrived"))
 
 
 # ---- sinks

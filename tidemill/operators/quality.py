@@ -27,7 +27,10 @@ def _quiet(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
+# Each check function gives the condition under which a row fails the check of its name.
+
 def is_not_null(col: str) -> Column:
+    """Fails where the value is NULL."""
     return F.col(col).isNull()
 
 

@@ -67,7 +67,7 @@ class PaneWork(StatefulProcessor):
         raise NotImplementedError
 
     def idle(self, key: tuple, passed: int) -> None:
-        """Called at a timer of the work's own; ``passed`` is the watermark in microseconds."""
+        """Called at a timer of the work's own; no row before ``passed`` (microseconds) can come to ``work`` any more."""
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         number = self.arrived.get()[0] if self.arrived.exists() else 0
@@ -90,8 +90,8 @@ class PaneWork(StatefulProcessor):
             for number in over[pane]:
                 self.waiting.removeKey((pane, number))
             yield from self.work(key, rows.sort_values(self.order, ignore_index=True))
-        if not over:
-            self.idle(key, passed)
+        if not over:  # rows that still wait may be older than the watermark
+            self.idle(key, min([passed, *[pane * self.width for (pane, _) in self.waiting.keys()]]))
 
     def close(self) -> None:
         pass
