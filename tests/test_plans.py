@@ -11,7 +11,7 @@ from tidemill.sinks import files as K
 from tidemill.sources import files as R
 
 LAZY = sorted(n for n in bindings.QUERIES if n.startswith(("prj", "jon", "agg", "ana", "win", "set", "srt", "trx", "fun", "dq", "cdc", "dom"))
-              and n not in ("agg_17_running_totals",))
+              and n not in ("agg_17_running_totals",) and not n.endswith("_stream"))
 
 
 def plan_of(df):
