@@ -25,25 +25,6 @@ def test_quality_query(spark):
     assert len(held) > 50 and np.mean([rows[d].predicted == labels[d] for d in held]) >= 0.97
 
 
-def test_model_is_the_plain_discriminant(spark):
-    """The model and its scores against the textbook formulas, computed in one place from the labelled rows."""
-    measured = quality.statistics(spark.read.parquet(f"{BIGGER}/documents.parquet"))
-    labels = spark.read.parquet(f"{BIGGER}/labels.parquet")
-    x = {r.id: np.array(r.x) for r in measured.collect()}
-    y = {r.doc_id: r.quality for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
-    logs = []
-    for label in (0, 1):
-        rows = np.array([x[d] for d in sorted(y) if y[d] == label])
-        cov = np.cov(rows.T, bias=True)
-        cov = 0.95 * cov + 0.05 * np.diag(np.diag(cov)) + 1e-3 * np.eye(len(cov))
-        inverse, log_det = np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
-        off = {d: v - rows.mean(0) for d, v in x.items()}
-        logs.append({d: np.log(len(rows)) - 0.5 * log_det - 0.5 * v @ inverse @ v for d, v in off.items()})
-    got = {r.doc_id: r.score for r in quality.scored(measured, quality.fit(measured, labels)).collect()}
-    want = {d: 1 / (1 + np.exp(min(max(logs[0][d] - logs[1][d], -500), 500))) for d in x}
-    assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-6 for d in want)
-
-
 def test_quality_learns_outside_the_fold_only(spark):
     """Labels of the held-out fold change nothing."""
     docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
