@@ -8,6 +8,7 @@ import pytest
 from conftest import TESTDATA
 
 from tidemill import bindings
+from tidemill.session import STATE_STORE
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +28,19 @@ def test_query(spark, duck, name):
         assert result.startswith("ok") and "EMPTY" not in result and "TYPES" not in result, result
 
 
+@pytest.mark.parametrize("name", ["dom_07_fraud_rules_stream", "dom_07_fraud_rules_trailing_stream", "jon_08_asof_lookup_stream", "str_05_session_tracker_live"])
+def test_keyed_streams_bring_their_store(spark, duck, name):
+    """A session with Spark's default state store, as a caller's may be, is enough; it is left as it was."""
+    default, before = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider", spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, default)
+    try:
+        result, _ = check.compare(spark, duck, name, bindings.QUERIES[name], bindings.ORACLES[name], TESTDATA)
+        assert result.startswith("ok") and "EMPTY" not in result and "TYPES" not in result, result
+        assert spark.conf.get(STATE_STORE) == default
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
     assert entry.entry(spark).count() > 0

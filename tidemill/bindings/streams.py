@@ -17,6 +17,7 @@ from tidemill.operators import joins as J
 from tidemill.operators import timewindows as W
 from tidemill.operators.versioned import VersionedTable
 from tidemill.plans import fraud as FR
+from tidemill.session import rocksdb_state
 from tidemill.streaming import sinks as K
 from tidemill.streaming import sources as R
 from tidemill.streaming import stateful as X
@@ -373,13 +374,19 @@ def _as_they_arrive(t, rows, shape, out=None, keep="user_id >= 0"):
     return t.spark.read.parquet(out).where(keep)
 
 
+def _by_panes(t, rows, shape, keep="user_id >= 0"):
+    """``_as_they_arrive`` for shapes with states and timers per key."""
+    with rocksdb_state(t.spark):
+        return _as_they_arrive(t, rows, shape, keep=keep)
+
+
 @query("jon_08_asof_lookup_stream", """
 SELECT p.event_id AS event_id, p.user_id AS user_id, k.event_id AS click_id, k.value AS click_value
 FROM (SELECT * FROM events WHERE event_type = 'purchase') p
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') k ON p.user_id = k.user_id AND p.ts >= k.ts""")
 def _(t):
     sides = {"buys": t.events.where("event_type = 'purchase'"), "clicks": t.events.where("event_type = 'click'")}
-    return _as_they_arrive(t, sides, lambda buys, clicks: asof_lookup_stream(
+    return _by_panes(t, sides, lambda buys, clicks: asof_lookup_stream(
         buys.select("event_id", "user_id", "ts"), clicks, "user_id", "ts", "ts", {"click_id": "event_id", "click_value": "value"},
         "event_id", "event_id", "20 minutes", 86400)).select("event_id", "user_id", "click_id", "click_value")
 
@@ -390,7 +397,7 @@ g AS (SELECT *, SUM(CASE WHEN p IS NULL OR ts - p > INTERVAL 2 HOUR THEN 1 ELSE
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) AS last_seen, COUNT(*) AS actions, arg_max(event_type, (ts, event_id)) AS last_action,
   'closed' AS state FROM g GROUP BY user_id, s""")
 def _(t):
-    changes = _as_they_arrive(t, {"events": t.events}, lambda events: session_changes(
+    changes = _by_panes(t, {"events": t.events}, lambda events: session_changes(
         events, "user_id", "ts", "event_id", "event_type", 2 * 3600, "20 minutes"))
     return latest_sessions(changes, "user_id")
 
@@ -400,7 +407,7 @@ def _history_stream(t, limits):
         txns = events.select(c("event_id").alias("id"), c("user_id").alias("user"), "ts", c("value").alias("amount"),
                              c("event_type").alias("country"), F.get_json_object("props", "$.k").alias("merchant"))
         return FR.fraud_rules_stream(txns, limits, "20 minutes", 86400)
-    return _as_they_arrive(t, {"events": t.events}, shape, keep="user >= 0")
+    return _by_panes(t, {"events": t.events}, shape, "user >= 0")
 
 
 @query("dom_07_fraud_rules_stream", J_.FRAUD + 'SELECT id, "user", ts, rule, detail, risk FROM a')

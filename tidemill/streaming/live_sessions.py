@@ -82,6 +82,7 @@ def session_changes(df: DataFrame, key: str, ts: str, tie: str, action: str, idl
     Every row opens or changes a session (``open``). A row that arrives late may join two sessions or move a start back: the start
     that is no more gets a row ``merged``. Once the watermark (``delay`` behind the newest time) is ``idle`` seconds past a
     session's last row it is ``closed`` and its state dropped; a later row starts anew. ``change`` numbers a key's changes.
+    Start it in a session with RocksDB state, or in ``session.rocksdb_state``.
     """
     rows = df.select(F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("event_time"), micros(ts).alias("at_us"), F.col(tie).cast("long").alias("tie"),
                      F.col(action).cast("string").alias("action")).withWatermark("event_time", delay)

@@ -98,5 +98,5 @@ class PaneWork(StatefulProcessor):
 
 
 def in_panes(df: DataFrame, key: str, work: PaneWork, output: str | T.StructType) -> DataFrame:
-    """Run pane work per key on a stream that has a watermark."""
+    """Run pane work per key on a stream that has a watermark. Start it in a session with RocksDB state, or in ``session.rocksdb_state``."""
     return df.groupBy(key).transformWithStateInPandas(work, output, "Append", "EventTime")
