@@ -1,6 +1,7 @@
 """A stream run to its end must give the rows of its batch twin."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,86 @@ def test_every_nth_stream(spark, work):
     assert rows(spark.read.parquet(out), "u", "alert_count", "total_cents") == rows(batch, "u", "alert_count", "total")
 
 
+KEYED = "id bigint, u bigint, t timestamp, v bigint"
+
+
+def many_keys(n=6000, keys=2500):
+    """More keys than buckets, the NULL key too; ids beyond 2^53 beside a missing one, and missing values."""
+    big = 2 ** 60
+    out = [(big + i, i * 7919 % keys, T0 + dt.timedelta(seconds=i // 3), None if i % 5 == 0 else big // 8 * (i % 3) + i % 13) for i in range(n)]
+    return out + [(big + n + i, None, T0 + dt.timedelta(seconds=n + i), i) for i in range(5)] + [(None, 1, T0 + dt.timedelta(seconds=n + 9), 4)]
+
+
+def in_two_runs(spark, work, rows_, shape):
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    for part in (rows_[:len(rows_) // 3], rows_[len(rows_) // 3:]):
+        spark.createDataFrame(part, KEYED).coalesce(3).write.mode("append").parquet(folder)
+        K.append_stream(shape(spark.readStream.schema(KEYED).parquet(folder)), out, ckpt)
+    return spark.read.parquet(out), spark.read.format("statestore").load(ckpt)
+
+
+def by_key(rows_):
+    keys = {}
+    for r in sorted(rows_, key=lambda r: (r[2], r[0] is None, r[0])):
+        keys.setdefault(r[1], []).append(r)
+    return keys
+
+
+def test_rolling_reduce_takes_keys_together(spark, work):
+    """One state row per bucket and not per key; values and ids stay whole numbers, what is missing stays out."""
+    rows_ = many_keys()
+    got, state = in_two_runs(spark, work, rows_, lambda s: X.rolling_reduce_stream(s, "u", ["t", "id"], "v"))
+    want = []
+    for u, mine in by_key(rows_).items():
+        seen = []
+        for i, _, t, v in mine:
+            seen += [] if v is None else [v]
+            want.append((u, t, i, *((max(seen), min(seen), sum(seen)) if seen else (None,) * 3)))
+    key = lambda r: (str(r[0]), r[1], str(r[2]))
+    assert sorted(map(tuple, got.select("u", "t", "id", "highest", "lowest", "total").collect()), key=key) == sorted(want, key=key)
+    assert state.count() <= X.BUCKETS + 1 < len(by_key(rows_))
+
+
+def test_counts_take_keys_together(spark, work):
+    rows_ = many_keys()
+    windows, state = in_two_runs(spark, work, rows_, lambda s: X.count_window_stream(s, "u", ["t", "id"], "v", 2, buckets=16))
+    nth, _ = in_two_runs(spark, work, rows_, lambda s: X.publish_every_n_stream(s, "u", ["t", "id"], "v", 2, buckets=16))
+    sums = {u: [sum(r[3] or 0 for r in mine[:k]) for k in range(0, len(mine) + 1, 2)] for u, mine in by_key(rows_).items()}
+    key = lambda rs: sorted(rs, key=str)
+    assert key(map(tuple, windows.collect())) == key((u, k, b - a) for u, s in sums.items() for k, (a, b) in enumerate(zip(s, s[1:])))
+    assert key(map(tuple, nth.collect())) == key((u, 2 * k, total) for u, s in sums.items() for k, total in enumerate(s) if k)
+    assert state.count() == 17
+
+
+def test_idle_keys_of_a_bucket_are_forgotten(spark, work):
+    """A key without rows for long enough starts anew, beside keys of its bucket that go on."""
+    folder, out, ckpt = work("in"), work("out"), work("ckpt")
+    for k, (part, pause) in enumerate((([1, 2], 0), ([1], 3), ([1, 2], 0))):
+        time.sleep(pause)
+        land(spark, folder, [(10 * k + u, str(u), T0 + dt.timedelta(minutes=k), 1) for u in part])
+        counts = X.publish_every_n_stream(stream(spark, folder), "u", ["t", "id"], "v", 1, idle_ms=2000, buckets=1)
+        counts.writeStream.trigger(once=True).option("checkpointLocation", ckpt).start(out, "parquet", "append").awaitTermination()
+    assert rows(spark.read.parquet(out), "u", "alert_count") == [("1", 1), ("1", 2), ("1", 3), ("2", 1), ("2", 1)]
+
+
+def test_agents_take_keys_together(spark, work):
+    """The agent's alerts over two runs; of agents whose time has passed no state stays."""
+    rows_ = [(i, u, t, v) for i, u, t, v in many_keys(4000, 1500) if i is not None]
+    shape = lambda s: X.fraud_agent_stream(s.withWatermark("t", "1 minute").withColumn("place", c("v").cast("string")), "u", "t", "id", "place", 1, 600)
+    got, state = in_two_runs(spark, work, rows_, shape)
+    want, epoch = [], dt.datetime(1970, 1, 1)
+    for mine in by_key(rows_).values():
+        number = {}
+        for k, (i, _, t, v) in enumerate(mine):
+            window = int((t - epoch).total_seconds()) // 600
+            number[window] = number.get(window, 0) + 1
+            want += [(i, "high_frequency")] if number[window] > 1 else []
+            if k and None not in (v, mine[k - 1][3]) and v != mine[k - 1][3] and (t - mine[k - 1][2]).total_seconds() <= 600:
+                want.append((i, "place_change"))
+    assert rows(got, "id", "rule") == sorted(want) and {r for _, r in want} == {"high_frequency", "place_change"}
+    assert 0 < state.count() <= X.BUCKETS + 1
+
+
 def test_malformed_and_missing(spark):
     raw = spark.createDataFrame([('{"a":1,"b":"x"}',), ("{oops",), ('{"a":2}',), (None,)], "value string")
     assert rows(R.decode_json(raw, "a int, b string"), "a") == [(1,), (2,)]
