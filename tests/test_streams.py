@@ -347,3 +347,46 @@ def test_sets_of_running_columns(spark):
                      F.last("p", ignorenulls=True).over(before).alias("was"), F.sum("v").over(w.partitionBy("k")).alias("all"))
     key = lambda d: sorted((tuple(map(str, (r[x] for x in ("id", "n", "s", "was", "all")))) for r in d.collect()))
     assert key(got) == key(want)
+
+
+def by_buckets(spark, work, shape, state):
+    """The result over many keys of rows and a marker, the rows, and how many entries of a state wait before the marker."""
+    rows_ = [(i, u, t, None if v is None else v % 13) for i, u, t, v in many_keys(3000, 1201) if i is not None]
+    folder, out, ckpt, entries = work("in"), work("out"), work("ckpt"), []
+    for part in (rows_, [(-1, -1, FAR, 0)]):
+        spark.createDataFrame(part, KEYED).coalesce(3).write.mode("append").parquet(folder)
+        K.append_stream(shape(spark.readStream.schema(KEYED).parquet(folder)), out, ckpt)
+        entries.append(spark.read.format("statestore").option("stateVarName", state).option("flattenCollectionTypes", False).load(ckpt).count())
+    return spark.read.parquet(out), spark.createDataFrame(rows_, KEYED), entries[0]
+
+
+def all_rows(df):
+    return sorted((tuple(map(str, r)) for r in df.select(sorted(df.columns)).collect()))
+
+
+def test_asof_panes_take_keys_together(spark, work):
+    """A state entry per bucket and pane, not per key; -0.0 and 0.0 are one key, NULL keys meet nothing."""
+    key = F.when(c("u") < 2, F.when(c("id") % 2 == 0, F.lit(-0.0)).otherwise(F.lit(0.0))).otherwise(c("u").cast("double")).alias("u")
+    cols = {"vid": "id", "v2": "v"}
+
+    def sides(df):
+        df = df.select("id", key, "t", "v")
+        return df.where("id % 3 = 0"), df.where("id % 3 != 0")
+    got, rows_, entries = by_buckets(spark, work, lambda s: asof_lookup_stream(*sides(s), "u", "t", "t", cols, "id", "id", "25 minutes", 86400), "waiting")
+    assert 0 < entries <= 128
+    want = J.asof_lookup(*sides(rows_), "u", "t", "t", cols, "id", "id")
+    same = lambda df: all_rows(df.where("id >= 0").withColumn("u", c("u") + 0.0))
+    assert same(got) == same(want) and want.where("vid IS NOT NULL").count() > 100 and want.where("u IS NULL").count()
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_fraud_panes_take_keys_together(spark, work, parts):
+    limits = FR.Limits(count=1, count_window=400, value=9.0, total=12.0, total_window=800, merchants=1, full_value=20.0, total_span=50.0, parts=parts)
+
+    def txns(df):
+        return df.select("id", c("u").alias("user"), c("t").alias("ts"), (c("v") * 1.7).alias("amount"), (c("id") % 4).cast("string").alias("country"),
+                         F.when(c("id") % 5 > 0, (c("id") % 5).cast("string")).alias("merchant"))
+    got, rows_, entries = by_buckets(spark, work, lambda s: FR.fraud_rules_stream(txns(s), limits, "25 minutes", 86400), "waiting")
+    assert 0 < entries <= 128
+    want = FR.fraud_rules(txns(rows_), limits)
+    assert all_rows(got.where("id >= 0")) == all_rows(want) and want.select("rule").distinct().count() == 5

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,7 +16,7 @@ from tidemill.functions.exact import dec
 from tidemill.operators.aggregates import last_n_reasons
 from tidemill.operators.ordered import cut, micros, null_safe_join, running_sets
 from tidemill.session import materialize
-from tidemill.streaming.panes import PaneWork, in_panes, packed, unpacked
+from tidemill.streaming.panes import BUCKETS, PaneWork, in_panes, key_text, packed, starts_of, unpacked
 
 
 @dataclass(frozen=True)
@@ -97,7 +98,7 @@ def with_history(txns: DataFrame, limits: Limits = Limits(), chunk: int | Column
 
 
 class _History(PaneWork):
-    """State per user: the last country, a ring of sub-buckets each for counts and sums, and each merchant's last sub-bucket.
+    """Held per user: the last country, a ring of sub-buckets each for counts and sums, and each merchant's last sub-bucket.
 
     A trailing window costs its sub-buckets and not its rows; sub-buckets that have left it are evicted as later rows
     come, and all of them once the watermark has passed the window.
@@ -108,54 +109,51 @@ class _History(PaneWork):
         self.parts = limits.parts
         self.count_width, self.total_width = (s * 1_000_000 // limits.parts for s in (limits.count_window, limits.total_window))
 
-    def open(self, handle) -> None:
-        self.place = handle.getValueState("place", "place string")
-        self.counts = handle.getListState("counts", "bucket long, value long")
-        self.sums = handle.getListState("sums", "bucket long, value long")
-        self.merchants = handle.getMapState("merchants", "merchant string", "bucket long")
-
-    def work(self, key: tuple, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        rings = [deque(map(list, ring.get())) for ring in (self.counts, self.sums)]
-        inside = [sum(v for _, v in ring) for ring in rings]
-        held = {m: b for (m,), (b,) in self.merchants.iterator()}
-        seen = dict(held)
-        was = self.place.get()[0] if self.place.exists() else None
+    def decode(self, text: str) -> list:
+        place, counts, sums, merchants = json.loads(text)
+        return [place, deque(counts), deque(sums), merchants]
+
+    def encode(self, value: list) -> str:
+        place, counts, sums, merchants = value
+        return json.dumps([place, list(counts), list(sums), merchants], separators=(",", ":"))
+
+    def work(self, rows: pd.DataFrame, held: dict) -> Iterator[pd.DataFrame]:
+        cols = [rows[c].tolist() for c in ("at_us", "place", "merchant", "cents")]
         out: list[tuple] = []
-        for at, place, merchant, cents in zip(rows["at_us"].tolist(), rows["place"].tolist(), rows["merchant"].tolist(), rows["cents"].tolist()):
-            buckets = at // self.count_width, at // self.total_width
-            for k, (ring, bucket, value) in enumerate(zip(rings, buckets, (1, cents))):
-                while ring and ring[0][0] <= bucket - self.parts:
-                    inside[k] -= ring.popleft()[1]
-                if not ring or ring[-1][0] != bucket:
-                    ring.append([bucket, 0])
-                    if k == 0:
-                        seen = {m: b for m, b in seen.items() if b > bucket - self.parts}
-                ring[-1][1] += value
-                inside[k] += value
-            seen["-" if merchant is None else "+" + merchant] = buckets[0]
-            out.append((was, inside[0], len(seen), inside[1]))
-            was = place
-        self.place.update((was,))
-        for state, ring in zip((self.counts, self.sums), rings):
-            state.put([tuple(x) for x in ring])
-        for merchant in held.keys() - seen.keys():
-            self.merchants.removeKey((merchant,))
-        for merchant, bucket in seen.items():
-            if held.get(merchant) != bucket:
-                self.merchants.updateValue((merchant,), (bucket,))
-        self.handle.registerTimer(max((b + self.parts) * w for b, w in zip(buckets, (self.count_width, self.total_width))) // 1000 + 1)
+        starts = starts_of(rows["k"]).tolist()
+        for lo, hi in zip(starts, [*starts[1:], len(rows)]):
+            k = rows["k"].iat[lo]
+            was, *rings, seen = held.get(k) or [None, deque(), deque(), {}]
+            inside = [sum(v for _, v in ring) for ring in rings]
+            for at, place, merchant, cents in zip(*[c[lo:hi] for c in cols]):
+                buckets = at // self.count_width, at // self.total_width
+                for n, (ring, bucket, value) in enumerate(zip(rings, buckets, (1, cents))):
+                    while ring and ring[0][0] <= bucket - self.parts:
+                        inside[n] -= ring.popleft()[1]
+                    if not ring or ring[-1][0] != bucket:
+                        ring.append([bucket, 0])
+                        if n == 0:
+                            seen = {m: b for m, b in seen.items() if b > bucket - self.parts}
+                    ring[-1][1] += value
+                    inside[n] += value
+                seen["-" if merchant is None else "+" + merchant] = buckets[0]
+                out.append((was, inside[0], len(seen), inside[1]))
+                was = place
+            held[k] = [was, *rings, seen]
         yield pd.DataFrame(out, columns=["was", "n", "merchants", "total_cents"]).assign(body=rows["body"])[["body", "was", "n", "merchants", "total_cents"]]
 
-    def idle(self, key: tuple, passed: int) -> None:
-        for state, width in ((self.counts, self.count_width), (self.sums, self.total_width)):
-            ring = [x for x in state.get() if (x[0] + self.parts) * width > passed]
-            state.put(ring) if ring else state.clear()
-        for (merchant,), (bucket,) in list(self.merchants.iterator()):
-            if (bucket + self.parts) * self.count_width <= passed:
-                self.merchants.removeKey((merchant,))
+    def evict(self, held: dict, passed: int) -> int | None:
+        ends = []
+        for value in held.values():
+            for ring, width in zip(value[1:3], (self.count_width, self.total_width)):
+                while ring and (ring[0][0] + self.parts) * width <= passed:
+                    ring.popleft()
+                ends += [(ring[-1][0] + self.parts) * width] if ring else []
+            value[3] = {m: b for m, b in value[3].items() if (b + self.parts) * self.count_width > passed}
+        return max(ends, default=None)
 
 
-def with_history_stream(txns: DataFrame, limits: Limits, delay: str, pane_seconds: int) -> DataFrame:
+def with_history_stream(txns: DataFrame, limits: Limits, delay: str, pane_seconds: int, buckets: int = BUCKETS) -> DataFrame:
     """``with_history`` on a stream: the same columns for the same rows, whatever order they arrive in within ``delay``.
 
     A row comes out when the watermark has passed its pane. The last country of a user is kept; all other state leaves with
@@ -163,10 +161,10 @@ def with_history_stream(txns: DataFrame, limits: Limits, delay: str, pane_second
     """
     cols = ["id", "user", "ts", "amount", "country", "merchant"]
     cents = F.coalesce((dec("amount", 2) * 100).cast("long"), F.lit(0))
-    rows = txns.select(F.col("user").alias("k"), F.col("ts").cast("timestamp").alias("event_time"), micros("ts").alias("at_us"), F.col("id").cast("long").alias("tie"),
+    rows = txns.select(key_text(txns, "user").alias("k"), F.col("ts").cast("timestamp").alias("event_time"), micros("ts").alias("at_us"), F.col("id").cast("long").alias("tie"),
                        F.col("country").cast("string").alias("place"), F.col("merchant").cast("string").alias("merchant"), cents.alias("cents"),
                        packed(cols).alias("body")).withWatermark("event_time", delay)
-    out = in_panes(rows, "k", _History(limits, pane_seconds), "body string, was string, n long, merchants long, total_cents long")
+    out = in_panes(rows, _History(limits, pane_seconds), "body string, was string, n long, merchants long, total_cents long", buckets)
     total = (F.col("total_cents").cast("decimal(28,0)") / 100).cast("decimal(28,2)").alias("total")
     out = out.select(unpacked("body", txns.select(*cols).schema).alias("r"), "was", "n", "merchants", total)
     return out.select(*[F.col(f"r.{c}").alias(c) for c in cols], "was", "n", "merchants", "total")
