@@ -379,6 +379,13 @@ def test_asof_panes_take_keys_together(spark, work):
     assert same(got) == same(want) and want.where("vid IS NOT NULL").count() > 100 and want.where("u IS NULL").count()
 
 
+def test_live_sessions_take_keys_together(spark, work):
+    got, rows_, entries = by_buckets(spark, work, lambda s: session_changes(s, "u", "t", "id", "v", 420, "25 minutes"), "users")
+    assert 0 < entries <= 128
+    batch = X.session_tracker(rows_, "u", "t", "id", "v", 420).drop("session_no").withColumn("last_action", c("last_action").cast("string"))
+    assert all_rows(latest_sessions(got.where("u IS NULL OR u >= 0"), "u").drop("state")) == all_rows(batch)
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_fraud_panes_take_keys_together(spark, work, parts):
     limits = FR.Limits(count=1, count_window=400, value=9.0, total=12.0, total_window=800, merchants=1, full_value=20.0, total_span=50.0, parts=parts)
